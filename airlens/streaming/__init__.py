@@ -1,0 +1 @@
+"""Incremental ingest of arriving reading files (Structured Streaming)."""
