@@ -1,0 +1,117 @@
+"""Extraction, cleaning and enrichment on a hand-written JSON-lines folder."""
+
+import json
+
+import pytest
+
+from airlens.operators.clean import TIMESTAMP_KEY, clean_readings
+from airlens.operators.extract import extract_readings, extract_readings_sql
+from airlens.plans import ingest
+from airlens.sources.json_readings import InputError, read_country_codes, read_readings
+
+
+def reading(rid, ts, p1, p2, sensor=1, lat="48.85", lon="2.35", country="FR", order=("P1", "P2")):
+    vals = {"P1": p1, "P2": p2}
+    return {"id": rid, "timestamp": ts,
+            "location": {"id": sensor, "latitude": lat, "longitude": lon, "country": country, "city": "x"},
+            "sensor": {"id": sensor, "sensor_type": {"name": "SDS011"}},
+            "sensordatavalues": [{"value_type": k, "value": vals[k]} for k in order if vals[k] is not None]}
+
+
+CODES = [{"alpha2Code": "FR", "alpha3Code": "FRA", "englishShortName": "France"},
+         {"alpha2Code": "DE", "alpha3Code": "DEU", "englishShortName": "Germany"}]
+
+
+@pytest.fixture()
+def folder(tmp_path):
+    day1 = [
+        reading(1, "2024-01-01 07:00:00", "22.5", "14.1", sensor=1),                      # normal
+        reading(2, "2024-01-01 07:00:00", "22.5", "14.1", sensor=2, order=("P2", "P1")),  # swapped
+        reading(3, "2024-01-01 07:00:00", "22.5", None, sensor=3),                        # one slot
+        reading(4, "2024-01-01 07:00:00", "n/a", "14.1", sensor=4),                       # bad number
+        reading(5, "yesterday", "22.5", "14.1", sensor=5),                                # bad timestamp
+        reading(6, "2024-01-01 07:00:00", "22.5", "14.1", sensor=6, country=None),        # null country
+        reading(7, "2024-01-01 07:00:00", "0", "14.1", sensor=7),                         # zero
+        reading(8, "2024-01-01 07:00:00", "1000", "14.1", sensor=8),                      # upper P1
+        reading(9, "2024-01-01 07:00:00", "22.5", "500", sensor=9),                       # upper P2
+        reading(10, "2024-01-01 07:00:00", "999.99", "499.99", sensor=10),                # just inside
+        reading(11, "2024-01-01 13:00:00", "30", "20", sensor=11),                        # same key twice
+        reading(12, "2024-01-01 07:00:00", "10", "5", sensor=11),
+        reading(13, "2024-01-01 07:00:00", "-1", "5", sensor=12),                         # invalid wins
+        reading(14, "2024-01-01 13:00:00", "20", "5", sensor=12),
+        reading(15, "2024-01-01 07:00:00", "10", "5", sensor=13, country="XX"),           # unknown code
+    ]
+    (tmp_path / "sensors_20240101.json").write_text(
+        "\n".join(json.dumps(r) for r in day1) + "\n{not json\n")
+    (tmp_path / "country_codes.json").write_text(json.dumps(CODES, indent=2))
+    return tmp_path
+
+
+def test_glob_keeps_codes_out_of_scan(spark, folder):
+    raw = read_readings(spark, str(folder))
+    assert raw.count() == 16          # 15 readings + 1 malformed line, no code-file lines
+
+
+def test_missing_path_raises(spark, tmp_path):
+    with pytest.raises(InputError):
+        read_readings(spark, str(tmp_path / "nope")).count()
+
+
+def test_extract_positional_and_by_name(spark, folder):
+    raw = read_readings(spark, str(folder))
+    by_pos = {r.sensor_id for r in extract_readings(raw, "position").collect()}
+    by_name = {r.sensor_id for r in extract_readings(raw, "name").collect()}
+    assert 2 not in by_pos and 2 in by_name      # swapped slots
+    assert 3 not in by_pos and 3 not in by_name  # one slot only, no exception
+
+
+def test_extract_sql_equals_dataframe_form(spark, folder):
+    raw = read_readings(spark, str(folder))
+    a = sorted(map(tuple, extract_readings(raw).collect()), key=str)
+    b = sorted(map(tuple, extract_readings_sql(spark, raw).collect()), key=str)
+    assert a == b
+
+
+def test_clean_cases(spark, folder):
+    clean = ingest.build_from_json(spark, str(folder), str(folder / "country_codes.json"))
+    rows = {r.sensor_id: r for r in clean.collect()}
+    assert set(rows) == {1, 10, 11, 13}
+    assert rows[10].AQI == 10
+    assert (rows[1].country, rows[1].country_name) == ("FRA", "France")
+    assert (rows[13].country, rows[13].country_name) == (None, None)       # left join, unknown code
+    # same key twice in a day: the 07:00 reading (P1 10, P2 5 -> index 1) survives
+    assert rows[11].AQI == 1
+
+
+def test_validate_first_keeps_valid_reading(spark, folder):
+    raw = extract_readings(read_readings(spark, str(folder)))
+    default = {r.sensor_id for r in clean_readings(raw).collect()}
+    first = {r.sensor_id for r in clean_readings(raw, validate_first=True).collect()}
+    assert 12 not in default and 12 in first
+
+
+def test_timestamp_key_keeps_both_readings(spark, folder):
+    raw = extract_readings(read_readings(spark, str(folder)))
+    n = clean_readings(raw, key=TIMESTAMP_KEY).where("sensor_id = 11").count()
+    assert n == 2
+
+
+def test_missing_code_file_copies_code(spark, folder):
+    assert read_country_codes(spark, str(folder / "absent.json")) is None
+    clean = ingest.build_from_json(spark, str(folder), str(folder / "absent.json"))
+    r = clean.where("sensor_id = 1").first()
+    assert (r.country, r.country_name) == ("FR", "FR")
+
+
+def test_duplicate_dimension_key_is_rejected(spark, folder, tmp_path):
+    bad = tmp_path / "dup_codes.json"
+    bad.write_text(json.dumps(CODES + CODES[:1]))
+    with pytest.raises(ValueError):
+        ingest.build_from_json(spark, str(folder), str(bad))
+
+
+def test_dedupe_survivor_independent_of_partitioning(spark, folder):
+    raw = extract_readings(read_readings(spark, str(folder)))
+    a = sorted(map(tuple, clean_readings(raw).collect()), key=str)
+    b = sorted(map(tuple, clean_readings(raw.repartition(7)).collect()), key=str)
+    assert a == b

@@ -33,6 +33,37 @@ def key(row):
                  for x in row)
 
 
+def register_views(con, sf):
+    for t in TABLES:
+        p = f"{sf}/{t}.parquet"
+        if os.path.exists(p):
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{p}')")
+
+
+def compare(spark, con, name, sf):
+    """(ok, message) for one query: same sorted column names and same sorted rows."""
+    df = QUERIES[name](spark, sf)
+    scols = df.columns
+    srows = [tuple(norm(v) for v in r) for r in df.collect()]
+    rel = con.sql(ORACLE[name])
+    dcols = rel.columns
+    drows = [tuple(norm(v) for v in r) for r in rel.fetchall()]
+    order_s = sorted(range(len(scols)), key=lambda i: scols[i])
+    order_d = sorted(range(len(dcols)), key=lambda i: dcols[i])
+    sc = [scols[i] for i in order_s]
+    dc = [dcols[i] for i in order_d]
+    if sc != dc:
+        return False, f"columns differ: {sc} vs {dc}"
+    s2 = sorted((tuple(r[i] for i in order_s) for r in srows), key=key)
+    d2 = sorted((tuple(r[i] for i in order_d) for r in drows), key=key)
+    if len(s2) != len(d2):
+        return False, f"row counts differ: {len(s2)} vs {len(d2)}"
+    for a, b in zip(s2, d2):
+        if a != b:
+            return False, f"first differing row: {a} vs {b}"
+    return True, f"{len(s2)} rows"
+
+
 def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:] or list(QUERIES)
