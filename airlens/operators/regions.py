@@ -44,14 +44,18 @@ def distinct_points(df: DataFrame, lat: str = "latitude", lon: str = "longitude"
 
 
 def training_points(df: DataFrame, lat: str = "latitude", lon: str = "longitude",
-                    partitions: int = 8) -> DataFrame:
+                    partitions: int | None = None) -> DataFrame:
     """Distinct points, hash-partitioned into a fixed number of partitions and
     sorted within them.
 
     K-Means (k-means|| initialisation) depends on how points fall into
     partitions; pinning the layout makes the same seed give the same model
-    however the input files were split.
+    however the input files were split. ``partitions`` defaults to the
+    session's shuffle partitions. The distinct runs first (map-side combine),
+    so the second shuffle only moves distinct points.
     """
+    if partitions is None:
+        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (distinct_points(df, lat, lon)
             .repartition(partitions, lat, lon)
             .sortWithinPartitions(lat, lon))

@@ -25,7 +25,7 @@ from airlens.operators.joins import bounded_broadcast
 from airlens.operators.ranking import best
 from airlens.plans import ingest, present
 from airlens.sources import sinks, tables
-from airlens.sources.json_readings import read_country_codes, require_rows
+from airlens.sources.json_readings import InputError, read_country_codes
 
 
 @dataclass
@@ -49,7 +49,7 @@ class JobOptions:
     as_of: str | None = None
     top_countries: int = TOP_COUNTRIES
     top_regions: int = TOP_REGIONS
-    training_partitions: int = 8
+    training_partitions: int | None = None
     timings: dict[str, float] = field(default_factory=dict)
 
 
@@ -93,9 +93,12 @@ def run(spark: SparkSession, o: JobOptions) -> dict[str, str]:
         clean, codes = _clean(spark, o)
         sinks.write_curated(clean, f"{out}/readings")
         written["readings"] = f"{out}/readings"
-        clean = require_rows(sinks.read_table(spark, f"{out}/readings"), "clean readings")
-        save("profile", ingest.profile(clean))
-        as_of = o.as_of or delta.latest_date_value(clean)
+        clean = sinks.read_table(spark, f"{out}/readings")
+        prof = ingest.profile(clean).first()          # one small aggregate
+        if not prof["rows"]:
+            raise InputError("no clean readings")
+        save("profile", spark.createDataFrame([prof], ingest.profile(clean).schema))
+        as_of = o.as_of or prof["last_date"]
 
     # 2. countries
     with _Timer(tm, "countries"):
