@@ -1,8 +1,9 @@
 """Session helpers.
 
 The library never sets ``master``: on a cluster the session comes from
-spark-submit. ``get_session`` only fills in defaults that are unset, so a
-cluster's own settings (shuffle partitions, checkpoint folder, ...) win.
+spark-submit. ``get_session`` only fills in defaults for keys the cluster
+configuration leaves unset, so the cluster's own settings (shuffle
+partitions, time zone, checkpoint folder, ...) win.
 """
 
 from __future__ import annotations
@@ -31,9 +32,13 @@ def get_session(app_name: str = "airlens", master: str | None = None,
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**DEFAULTS, **(conf or {})}.items():
+    for key, value in (conf or {}).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
+    cluster = spark.sparkContext.getConf()
+    for key, value in DEFAULTS.items():
+        if not cluster.contains(key) and key not in (conf or {}):
+            spark.conf.set(key, value)
     ensure_checkpoint_dir(spark)
     return spark
 
