@@ -44,21 +44,25 @@ def distinct_points(df: DataFrame, lat: str = "latitude", lon: str = "longitude"
 
 
 def training_points(df: DataFrame, lat: str = "latitude", lon: str = "longitude",
-                    partitions: int | None = None) -> DataFrame:
-    """Distinct points, hash-partitioned into a fixed number of partitions and
+                    partitions: int | None = None,
+                    points_per_partition: int = 1_000_000) -> DataFrame:
+    """Distinct points, hash-partitioned into a pinned number of partitions and
     sorted within them.
 
     K-Means (k-means|| initialisation) depends on how points fall into
     partitions; pinning the layout makes the same seed give the same model
-    however the input files were split. ``partitions`` defaults to the
-    session's shuffle partitions. The distinct runs first (map-side combine),
-    so the second shuffle only moves distinct points.
+    however the input files were split. Unless given, the number of
+    partitions follows the data: one per ``points_per_partition`` distinct
+    points, at most the session's shuffle partitions (a count of the distinct
+    points, far cheaper than the 20+ passes of the fit). The distinct runs
+    first (map-side combine), so the second shuffle moves distinct points only.
     """
+    points = distinct_points(df, lat, lon)
     if partitions is None:
-        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (distinct_points(df, lat, lon)
-            .repartition(partitions, lat, lon)
-            .sortWithinPartitions(lat, lon))
+        cap = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        n = points.count()
+        partitions = max(1, min(cap, -(-n // points_per_partition)))
+    return points.repartition(partitions, lat, lon).sortWithinPartitions(lat, lon)
 
 
 def _pipeline(k: int, seed: int, lat: str, lon: str, max_iter: int | None) -> Pipeline:
@@ -143,19 +147,18 @@ def nearest_centroid(df: DataFrame, centroids: DataFrame, lat: str = "latitude",
     """Add ``out`` = id of the nearest centroid (squared Euclidean distance on
     the coordinates; lowest id on ties), and optionally the squared distance.
 
-    ``centroids`` has (cluster, centroid_lat, centroid_lon). Its rows are
-    gathered into one sorted array by an in-plan scalar subquery; the query
-    fails with a clear error if there are more than ``max_centroids`` of them.
+    ``centroids`` has (cluster, centroid_lat, centroid_lon). Their number is
+    checked first (reading at most ``max_centroids + 1`` rows); then they are
+    gathered into one sorted array by an in-plan scalar subquery, evaluated
+    once and shipped to every task.
     """
-    packed = centroids.select(
+    if centroids.limit(max_centroids + 1).count() > max_centroids:
+        raise ValueError(f"more than {max_centroids} centroids")
+    checked = centroids.select(
         F.array_sort(F.collect_list(F.struct(
             F.col("cluster").cast("int").alias("id"),
             F.col("centroid_lat").cast("double").alias("cy"),
-            F.col("centroid_lon").cast("double").alias("cx")))).alias("_c"))
-    checked = packed.select(
-        F.when(F.size("_c") <= F.lit(max_centroids), F.col("_c"))
-         .otherwise(F.raise_error(F.lit(f"more than {max_centroids} centroids"))
-                    .cast(packed.schema["_c"].dataType)).alias("_c")).scalar()
+            F.col("centroid_lon").cast("double").alias("cx")))).alias("_c")).scalar()
     y, x = F.col(lat).cast("double"), F.col(lon).cast("double")
 
     def d2(c):

@@ -23,7 +23,7 @@ from airlens.constants import (ELBOW_KS, GOOD_INDEX_LIMIT, INDEX_PALETTE, K_REGI
                                SAMPLE_POINTS, TOP_COUNTRIES, TOP_REGIONS)
 from airlens.functions.bands import band, composite_index
 from airlens.operators import delta, regions, runs
-from airlens.operators.clean import dedupe_first
+from airlens.operators.clean import TIMESTAMP_KEY, dedupe_first
 from airlens.operators.extract import extract_readings
 from airlens.operators.joins import bounded_broadcast
 from airlens.operators.ranking import best
@@ -112,6 +112,10 @@ def q_dedup_first(spark, sf):
     return dedupe_first(tables.extracted_readings(spark, sf))
 
 
+def q_dedup_by_timestamp(spark, sf):
+    return dedupe_first(tables.extracted_readings(spark, sf), key=TIMESTAMP_KEY)
+
+
 def q_clean_validate_first(spark, sf):
     return ingest.build_clean(tables.extracted_readings(spark, sf),
                               tables.country_codes(spark, sf), validate_first=True)
@@ -211,6 +215,10 @@ def q_streak_max_calendar(spark, sf):
     return runs.max_runs(_sensor_streaks(spark, sf, gap="calendar"), ["sensor_id"])
 
 
+def q_streak_max_calendar_by_region(spark, sf):
+    return runs.max_runs(_region_streaks(spark, sf, gap="calendar"), ["cluster"])
+
+
 def q_streak_hist(spark, sf):
     return runs.run_histogram(_sensor_streaks(spark, sf))
 
@@ -265,6 +273,18 @@ def q_kmeans_streak_max(spark, sf):
     return runs.max_runs(runs.runs(daily, ["cluster"]), ["cluster"])
 
 
+def q_kmeans_distinct_points(spark, sf):
+    model = kmeans_model(spark, sf)
+    return regions.distinct_points(regions.assign_regions(readings(spark, sf), model),
+                                   extra=["cluster"])
+
+
+def q_kmeans_streak_tiers(spark, sf):
+    model = kmeans_model(spark, sf)
+    daily = runs.daily_flags(regions.assign_regions(readings(spark, sf), model), ["cluster"])
+    return present.streak_popups(regions.centroid_table(spark, model), runs.runs(daily, ["cluster"]))
+
+
 def q_kmeans_elbow(spark, sf):
     pts = regions.training_points(readings(spark, sf))
     return regions.elbow(spark, pts, ELBOW_KS, seed=K_SEED)
@@ -279,6 +299,7 @@ QUERIES: dict[str, Query] = {
     "top10_countries": q_top10_countries,
     "country_map": q_country_map,
     "dedup_first": q_dedup_first,
+    "dedup_by_timestamp": q_dedup_by_timestamp,
     "clean_validate_first": q_clean_validate_first,
     "band_pair": q_band_pair,
     "nested_extract": q_nested_extract,
@@ -298,6 +319,7 @@ QUERIES: dict[str, Query] = {
     "streak_max_by_region": q_streak_max_by_region,
     "streak_max_by_sensor": q_streak_max_by_sensor,
     "streak_max_calendar": q_streak_max_calendar,
+    "streak_max_calendar_by_region": q_streak_max_calendar_by_region,
     "streak_hist": q_streak_hist,
     "streak_hist_by_region": q_streak_hist_by_region,
     "streak_bins": q_streak_bins,
@@ -308,6 +330,8 @@ QUERIES: dict[str, Query] = {
     "kmeans_centroids": q_kmeans_centroids,
     "kmeans_improve_by_region": q_kmeans_improve_by_region,
     "kmeans_streak_max": q_kmeans_streak_max,
+    "kmeans_distinct_points": q_kmeans_distinct_points,
+    "kmeans_streak_tiers": q_kmeans_streak_tiers,
     "kmeans_elbow": q_kmeans_elbow,
 }
 
@@ -495,6 +519,10 @@ SELECT c.country, c.country_name, w.avg_AQI,
             ELSE {_PALETTE}[greatest(1, least(10, CAST(trunc(w.avg_AQI) AS INTEGER)))] END AS fill
 FROM countries c LEFT JOIN worst w ON w.country = c.country""",
     "dedup_first": f"WITH {EXTRACTED} {_DEDUP.format(src='extracted')}",
+    "dedup_by_timestamp": f"""WITH {EXTRACTED}
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY sensor_id, ts ORDER BY id) AS rn FROM extracted)
+WHERE rn = 1""",
     "clean_validate_first": f"{_readings_cte(validate_first=True)} SELECT * FROM readings",
     "band_pair": f"""WITH {EXTRACTED}
 SELECT id, P1, P2, {_B1} AS band_p1, {_B2} AS band_p2,
@@ -598,6 +626,8 @@ SELECT CAST(cluster AS INTEGER) AS cluster, max(streak) AS max_streak FROM with_
 SELECT sensor_id, max(streak) AS max_streak FROM with_streak GROUP BY sensor_id""",
     "streak_max_calendar": f"""{READINGS}, {_streaks('readings', 'sensor_id', calendar=True)}
 SELECT sensor_id, max(streak) AS max_streak FROM with_streak GROUP BY sensor_id""",
+    "streak_max_calendar_by_region": f"""{CLUSTERED}, {_streaks('clustered', 'cluster', calendar=True)}
+SELECT CAST(cluster AS INTEGER) AS cluster, max(streak) AS max_streak FROM with_streak GROUP BY cluster""",
     "streak_hist": f"""{READINGS}, {_streaks('readings', 'sensor_id')}
 SELECT streak, count(*) AS count FROM with_streak WHERE streak > 0 GROUP BY streak""",
     "streak_hist_by_region": f"""{CLUSTERED}, {_streaks('clustered', 'cluster')}

@@ -63,3 +63,24 @@ def test_date_filter_prunes_partitions(spark, tmp_path):
 def test_scan_reads_only_needed_columns(spark):
     p = formatted(catalog.q_worst_today(spark, SF_SMALL))
     assert "event_type" not in p.split("ReadSchema")[1].split("\n")[0]
+
+
+def _before_first_exchange(p: str, marker: str) -> bool:
+    tree = p.split("\n\n")[0]
+    lines = tree.split("\n")
+    # the tree is printed root first: the partial aggregate sits below the exchange
+    ex = max(i for i, line in enumerate(lines) if "Exchange" in line and "Broadcast" not in line)
+    return any(marker in line for line in lines[ex:])
+
+
+def test_dedupe_and_daily_means_combine_map_side(spark):
+    """A key holding a large share of all rows is reduced in each map task
+    before it is shuffled (partial aggregation), for the dedupe and the
+    daily means alike."""
+    from airlens.operators.clean import dedupe_first
+    from airlens.sources import tables
+    p = formatted(dedupe_first(tables.extracted_readings(spark, SF_SMALL)))
+    assert "partial_min" in p
+    daily = runs.daily_flags(catalog.readings(spark, SF_SMALL), ["sensor_id"])
+    p2 = formatted(daily)
+    assert "partial_avg" in p2

@@ -30,8 +30,8 @@ def test_tie_goes_to_lowest_id(spark, two_centroids):
 
 
 def test_too_many_centroids_fails(spark, three_points, two_centroids):
-    with pytest.raises(Exception):
-        regions.nearest_centroid(three_points, two_centroids, max_centroids=1).collect()
+    with pytest.raises(ValueError):
+        regions.nearest_centroid(three_points, two_centroids, max_centroids=1)
 
 
 def test_k_larger_than_points(spark, three_points):
