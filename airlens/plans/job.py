@@ -50,6 +50,7 @@ class JobOptions:
     top_countries: int = TOP_COUNTRIES
     top_regions: int = TOP_REGIONS
     training_partitions: int | None = None
+    train_on: str = "positions"          # "positions" (original) or "sensors"
     timings: dict[str, float] = field(default_factory=dict)
 
 
@@ -112,7 +113,8 @@ def run(spark: SparkSession, o: JobOptions) -> dict[str, str]:
 
     # 3. regions: fit (or reuse) the model, score, rank
     with _Timer(tm, "regions_fit"):
-        points = regions.training_points(clean, partitions=o.training_partitions)
+        per = "sensor_id" if o.train_on == "sensors" else None
+        points = regions.training_points(clean, partitions=o.training_partitions, per=per)
         model = regions.fit_regions(points, k=o.k, seed=o.seed, model_path=o.model_path,
                                     retrain=o.retrain)
         centroids = regions.centroid_table(spark, model)
@@ -180,12 +182,15 @@ def _parse(argv=None) -> JobOptions:
     p.add_argument("--validate-first", action="store_true")
     p.add_argument("--require-both-days", action="store_true")
     p.add_argument("--as-of")
+    p.add_argument("--train-on", choices=["positions", "sensors"], default="positions",
+                   help="K-Means training points: distinct positions or one mean per sensor")
     a = p.parse_args(argv)
     return JobOptions(out=a.out, readings=a.readings, codes=a.codes, tables=a.tables,
                       k=a.k, seed=a.seed, model_path=a.model_path, retrain=a.retrain,
                       elbow=a.elbow, maps=not a.no_maps, gap=a.gap, match=a.match,
                       dedupe_on=a.dedupe_on, validate_first=a.validate_first,
-                      require_both_days=a.require_both_days, as_of=a.as_of)
+                      require_both_days=a.require_both_days, as_of=a.as_of,
+                      train_on=a.train_on)
 
 
 def main(argv=None) -> None:

@@ -32,6 +32,10 @@ from airlens.schemas import RAW
 from airlens.sources.json_readings import READINGS_GLOB, read_country_codes
 
 
+# More distinct days than this in one micro-batch means a malformed input.
+MAX_DAYS_PER_BATCH = 100_000
+
+
 def stream_readings(spark: SparkSession, path: str, glob: str = READINGS_GLOB,
                     max_files_per_trigger: int | None = None) -> DataFrame:
     """A streaming DataFrame of raw readings from files landing in ``path``."""
@@ -46,10 +50,15 @@ def _upsert_days(spark: SparkSession, batch: DataFrame, staging: str, curated: s
                  validate_first: bool) -> None:
     extracted = extract_readings(batch, match=match)
     extracted.write.mode("append").partitionBy("date").parquet(staging)
-    touched = extracted.select("date").dropna().distinct()
-    staged = spark.read.parquet(staging)
-    # rows of the touched days only (a semi join against the few touched days)
-    days = staged.join(F.broadcast(touched), "date", "left_semi")
+    # The touched days are a calendar-bounded set (checked); as literals they
+    # become static partition pruning on the staging table.
+    touched = [r[0] for r in extracted.select("date").dropna().distinct()
+               .limit(MAX_DAYS_PER_BATCH + 1).collect()]
+    if len(touched) > MAX_DAYS_PER_BATCH:
+        raise ValueError(f"a batch touches more than {MAX_DAYS_PER_BATCH} days")
+    if not touched:
+        return
+    days = spark.read.parquet(staging).where(F.col("date").isin(touched))
     clean = build_clean(days, read_country_codes(spark, codes_path), key=key,
                         validate_first=validate_first)
     (clean.hint("rebalance", "date").sortWithinPartitions("date")

@@ -91,3 +91,10 @@ def test_elbow_one_row_per_k(spark, fitted):
     rows = regions.elbow(spark, pts, [2, 4, 6], seed=42, max_iter=5).collect()
     assert [r.k for r in rows] == [2, 4, 6]
     assert all(r.inertia is not None and r.training_cost is not None for r in rows)
+
+
+def test_sensor_points_one_per_sensor(spark):
+    df = spark.createDataFrame([(1, 0.0, 0.0), (1, 0.0, 2.0), (2, 5.0, 5.0), (2, 5.0, 5.0)],
+                               "sensor_id long, latitude double, longitude double")
+    pts = sorted(map(tuple, regions.training_points(df, partitions=2, per="sensor_id").collect()))
+    assert pts == [(0.0, 1.0), (5.0, 5.0)]
