@@ -20,8 +20,28 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     return F.broadcast(df) if n <= max_rows else df
 
 
+def checked_dimension(df: DataFrame, key: str, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Assert ``key`` is unique and broadcast ``df`` if it has at most
+    ``max_rows`` rows, in one bounded pass over at most ``max_rows + 1`` rows.
+
+    A larger dimension is checked with a full aggregation and joined without
+    a broadcast hint.
+    """
+    head = df.limit(max_rows + 1)
+    # NULL keys never match an equi-join, so only non-NULL keys must be unique
+    n, keyed, distinct = head.agg(F.count("*"), F.count(F.col(key)),
+                                  F.count_distinct(F.col(key))).first()
+    if n <= max_rows:
+        if keyed != distinct:
+            raise ValueError(f"dimension key {key!r} is not unique")
+        return F.broadcast(df)
+    assert_unique(df, key)
+    return df
+
+
 def assert_unique(df: DataFrame, key: str) -> None:
-    """Raise if ``key`` repeats (a repeated dimension key fans out a left join)."""
-    dup = df.groupBy(key).count().where(F.col("count") > 1).limit(1).collect()
+    """Raise if a non-NULL ``key`` repeats (it would fan out a left join)."""
+    dup = (df.where(F.col(key).isNotNull()).groupBy(key).count()
+             .where(F.col("count") > 1).limit(1).collect())
     if dup:
         raise ValueError(f"dimension key {key!r} is not unique: {dup[0][key]!r}")

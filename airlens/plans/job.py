@@ -114,7 +114,11 @@ def run(spark: SparkSession, o: JobOptions) -> dict[str, str]:
     # 3. regions: fit (or reuse) the model, score, rank
     with _Timer(tm, "regions_fit"):
         per = "sensor_id" if o.train_on == "sensors" else None
-        points = regions.training_points(clean, partitions=o.training_partitions, per=per)
+        # pinned layout sized from the known row count (an upper bound on the
+        # number of distinct points), so no extra counting pass
+        parts = o.training_partitions or max(1, min(
+            int(spark.conf.get("spark.sql.shuffle.partitions")), -(-prof["rows"] // 1_000_000)))
+        points = regions.training_points(clean, partitions=parts, per=per)
         model = regions.fit_regions(points, k=o.k, seed=o.seed, model_path=o.model_path,
                                     retrain=o.retrain)
         centroids = regions.centroid_table(spark, model)

@@ -69,14 +69,13 @@ def main():
     names = sys.argv[2:] or list(QUERIES)
     from pyspark.sql import SparkSession
     spark = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
-             .config("spark.sql.shuffle.partitions", "8").config("spark.ui.showConsoleProgress", "false")
-             .config("spark.sql.session.timeZone", "UTC").getOrCreate())
+             .config("spark.sql.shuffle.partitions", os.environ.get("CHECK_PARTITIONS", "8"))
+             .config("spark.ui.showConsoleProgress", "false")
+             .config("spark.sql.ansi.enabled", os.environ.get("CHECK_ANSI", "true"))
+             .config("spark.sql.session.timeZone", os.environ.get("CHECK_TZ", "UTC")).getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     con = duckdb.connect()
-    for t in TABLES:
-        p = f"{sf}/{t}.parquet"
-        if os.path.exists(p):
-            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{p}')")
+    register_views(con, sf)
     bad = 0
     for name in names:
         t0 = time.time()
