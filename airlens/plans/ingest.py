@@ -12,7 +12,7 @@ from airlens.operators.clean import DAY_KEY, clean_readings
 from airlens.operators.enrich import join_country_codes
 from airlens.operators.extract import extract_readings
 from airlens.schemas import CLEAN_COLUMNS
-from airlens.sources.json_readings import read_country_codes, read_readings
+from airlens.sources.json_readings import READINGS_GLOB, read_country_codes, read_readings
 
 
 def add_index(df: DataFrame, p1: str = "P1", p2: str = "P2", out: str = "AQI") -> DataFrame:
@@ -32,9 +32,9 @@ def build_clean(extracted: DataFrame, codes: DataFrame | None,
 
 def build_from_json(spark: SparkSession, readings_path: str, codes_path: str | None,
                     match: str = "position", key: Sequence[str] = DAY_KEY,
-                    validate_first: bool = False) -> DataFrame:
+                    validate_first: bool = False, glob: str | None = READINGS_GLOB) -> DataFrame:
     """The whole ingest from JSON files."""
-    raw = read_readings(spark, readings_path)
+    raw = read_readings(spark, readings_path, glob=glob)
     codes = read_country_codes(spark, codes_path)
     return build_clean(extract_readings(raw, match=match), codes, key, validate_first)
 

@@ -25,13 +25,14 @@ from airlens.operators.joins import bounded_broadcast
 from airlens.operators.ranking import best
 from airlens.plans import ingest, present
 from airlens.sources import sinks, tables
-from airlens.sources.json_readings import InputError, read_country_codes
+from airlens.sources.json_readings import READINGS_GLOB, InputError, read_country_codes
 
 
 @dataclass
 class JobOptions:
     out: str
     readings: str | None = None          # folder of JSON-lines readings
+    readings_glob: str | None = READINGS_GLOB
     codes: str | None = None             # JSON array of country codes
     tables: str | None = None            # or: folder of the driver's Parquet tables
     k: int = K_REGIONS
@@ -74,7 +75,7 @@ def _clean(spark: SparkSession, o: JobOptions) -> tuple[DataFrame, DataFrame | N
         return clean, codes
     codes = read_country_codes(spark, o.codes)
     clean = ingest.build_from_json(spark, o.readings, o.codes, match=o.match, key=key,
-                                   validate_first=o.validate_first)
+                                   validate_first=o.validate_first, glob=o.readings_glob)
     return clean, codes
 
 

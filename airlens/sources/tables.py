@@ -99,3 +99,23 @@ def raw_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
         values.alias("sensordatavalues"))
     text = ev.select(F.to_json(record).alias("line"))
     return text.select(F.from_json("line", RAW).alias("r")).select("r.*")
+
+
+def nested_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The driver tables as nested reading records (``RAW`` layout, numbers
+    as text, P1 then P2), with the date for writing one folder per day."""
+    ex = extracted_readings(spark, sf_dir)
+    values = F.array(
+        F.struct(F.lit("P1").alias("value_type"), F.col("P1").cast("string").alias("value")),
+        F.struct(F.lit("P2").alias("value_type"), F.col("P2").cast("string").alias("value")))
+    return ex.select(
+        F.col("date"),
+        F.col("id"),
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
+        F.struct(F.col("sensor_id").alias("id"),
+                 F.col("latitude").cast("string").alias("latitude"),
+                 F.col("longitude").cast("string").alias("longitude"),
+                 F.col("country"), F.lit(None).cast("string").alias("city")).alias("location"),
+        F.struct(F.col("sensor_id").alias("id"),
+                 F.struct(F.lit("SDS011").alias("name")).alias("sensor_type")).alias("sensor"),
+        values.alias("sensordatavalues"))

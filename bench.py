@@ -53,6 +53,24 @@ def main() -> None:
         timings[f"job_{k}"] = v
     n_readings = spark.read.parquet(f"{scratch}/out/readings").count()
 
+    # the same job from nested JSON-lines readings (one folder per day) and a
+    # JSON country-code array, written from the same tables beforehand
+    from airlens.sources import tables
+    json_dir = f"{scratch}/json"
+    (tables.nested_readings(spark, sf_dir).repartition("date")
+     .write.partitionBy("date").json(f"{json_dir}/readings"))
+    tables.country_codes(spark, sf_dir).coalesce(1).write.json(f"{json_dir}/codes_lines")
+    codes_rows = [r.asDict() for r in spark.read.json(f"{json_dir}/codes_lines").collect()]
+    with open(f"{json_dir}/country_codes.json", "w") as fh:
+        json.dump(codes_rows, fh)
+    jopts = job.JobOptions(out=f"{scratch}/out_json", readings=f"{json_dir}/readings",
+                           readings_glob="*.json", codes=f"{json_dir}/country_codes.json")
+    t1 = time.perf_counter()
+    job.run(spark, jopts)
+    timings["json_job_total"] = round(time.perf_counter() - t1, 3)
+    for k, v in jopts.timings.items():
+        timings[f"json_job_{k}"] = v
+
     headline = ["improve_by_country", "worst_today", "improve_by_region",
                 "streak_max_by_sensor", "streak_max_calendar", "streak_bins",
                 "dedup_first", "nested_extract"]
