@@ -183,6 +183,11 @@ def q_zone_points(spark, sf):
     return present.zone_points(q_distinct_points(spark, sf), SAMPLE_POINTS, K_REGIONS)
 
 
+def q_zone_centroids(spark, sf):
+    return _round(present.centroid_markers(label_centroids(spark, sf)),
+                  ["centroid_lat", "centroid_lon"], CENTROID_DIGITS)
+
+
 def _region_streaks(spark, sf, gap="rows"):
     return runs.runs(runs.daily_flags(clustered(spark, sf), ["cluster"]), ["cluster"], gap=gap)
 
@@ -314,6 +319,7 @@ QUERIES: dict[str, Query] = {
     "top_regions": q_top_regions,
     "region_markers": q_region_markers,
     "zone_points": q_zone_points,
+    "zone_centroids": q_zone_centroids,
     "streak_series_by_region": q_streak_series_by_region,
     "streak_series_by_sensor": q_streak_series_by_sensor,
     "streak_max_by_region": q_streak_max_by_region,
@@ -617,6 +623,10 @@ SELECT latitude, longitude, cluster, CAST(cluster % {K_REGIONS} AS INTEGER) AS s
 ORDER BY md5(CAST(CAST(floor(latitude * 1e6) AS BIGINT) AS VARCHAR) || ','
              || CAST(CAST(floor(longitude * 1e6) AS BIGINT) AS VARCHAR)), latitude, longitude
 LIMIT {SAMPLE_POINTS}""",
+    "zone_centroids": f"""WITH {CENTROIDS}
+SELECT CAST(cluster AS INTEGER) AS cluster, round(centroid_lat, 9) AS centroid_lat,
+       round(centroid_lon, 9) AS centroid_lon, 'Cluster ' || CAST(cluster AS VARCHAR) || ' centroid' AS tooltip
+FROM centroids""",
     "streak_series_by_region": f"{CLUSTERED}, {_streaks('clustered', 'cluster')} "
                                "SELECT * REPLACE (CAST(cluster AS INTEGER) AS cluster) FROM with_streak",
     "streak_series_by_sensor": f"{READINGS}, {_streaks('readings', 'sensor_id')} SELECT * FROM with_streak",
@@ -654,7 +664,7 @@ SELECT CAST(c.cluster AS INTEGER) AS cluster, round(c.centroid_lat, 9) AS centro
        least(1.0, CAST(coalesce(p.mx, 0) AS DOUBLE) / 14.0) AS saturation,
        coalesce(p.histogram, '') AS histogram,
        CASE WHEN coalesce(p.mx, 0) > 0
-            THEN 'Cluster ' || CAST(c.cluster AS VARCHAR) || ' - max streak: ' || CAST(p.mx AS VARCHAR) || ' days'
+            THEN 'Cluster ' || CAST(c.cluster AS VARCHAR) || ' \u2014 max streak: ' || CAST(p.mx AS VARCHAR) || ' days'
             ELSE 'Cluster ' || CAST(c.cluster AS VARCHAR) || ': no good air days recorded' END AS tooltip
 FROM centroids c LEFT JOIN per p ON p.cluster = c.cluster""",
     "streak_summary": f"""{READINGS}, {_streaks('readings', 'sensor_id')},

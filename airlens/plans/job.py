@@ -1,6 +1,6 @@
 """End-to-end batch job: ingest, the three analyses, chart and map tables.
 
-    spark-submit -m airlens.plans.job --readings <dir> --codes <file> --out <dir>
+    spark-submit --py-files airlens.zip run_job.py --readings <dir> --codes <file> --out <dir>
     python -m airlens.plans.job --tables /root/testdata/sf0.1 --out <dir>
 
 Every result is written as a Parquet table under ``--out``. The clean
@@ -164,6 +164,7 @@ def run(spark: SparkSession, o: JobOptions) -> dict[str, str]:
             save("region_markers", present.region_markers(sinks.read_table(spark, written["region_chart"])))
             zone_src = regions.distinct_points(clustered, extra=["cluster"])
             save("zone_points", present.zone_points(zone_src, n_slots=o.k))
+            save("zone_centroids", present.centroid_markers(cents))
             save("streak_popups", present.streak_popups(cents, with_streak))
     return written
 

@@ -84,6 +84,13 @@ def zone_points(points: DataFrame, n: int = SAMPLE_POINTS, n_slots: int = K_REGI
             .withColumn("slot", palette_slot("cluster", n_slots)))
 
 
+def centroid_markers(centroids: DataFrame) -> DataFrame:
+    """Region centres with their marker tooltip (the centre layer of the zone map)."""
+    return centroids.select("cluster", "centroid_lat", "centroid_lon",
+                            F.concat(F.lit("Cluster "), F.col("cluster").cast("string"),
+                                     F.lit(" centroid")).alias("tooltip"))
+
+
 def streak_popups(centroids: DataFrame, with_streak: DataFrame) -> DataFrame:
     """Every region (from the centroid table) with its centre, max good run,
     marker tier and run-length histogram text; regions without good days are
@@ -94,6 +101,6 @@ def streak_popups(centroids: DataFrame, with_streak: DataFrame) -> DataFrame:
             .withColumn("tooltip", F.when(
                 F.col("max_streak") > 0,
                 F.concat(F.lit("Cluster "), F.col("cluster").cast("string"),
-                         F.lit(" - max streak: "), F.col("max_streak").cast("string"), F.lit(" days")))
+                         F.lit(" \u2014 max streak: "), F.col("max_streak").cast("string"), F.lit(" days")))
                 .otherwise(F.concat(F.lit("Cluster "), F.col("cluster").cast("string"),
                                     F.lit(": no good air days recorded")))))
