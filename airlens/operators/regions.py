@@ -13,12 +13,13 @@ Two ways to give every reading a region:
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Sequence
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -80,48 +81,98 @@ def training_points(df: DataFrame, lat: str = "latitude", lon: str = "longitude"
     return points.repartition(partitions, lat, lon).sortWithinPartitions(lat, lon)
 
 
-def _pipeline(k: int, seed: int, lat: str, lon: str, max_iter: int | None) -> Pipeline:
+# Unit-sphere features (geometry="sphere"): distances without the pole and
+# antimeridian distortion of raw degrees.
+SPHERE_COLS = ("_ux", "_uy", "_uz")
+FINGERPRINT_DIR = "airlens_fingerprint"
+
+
+def _pipeline(k: int, seed: int, lat: str, lon: str, max_iter: int | None,
+              geometry: str = "degrees") -> Pipeline:
     km = KMeans(k=k, seed=seed, featuresCol=FEATURES, predictionCol="cluster")
     if max_iter is not None:
         km = km.setMaxIter(max_iter)
-    va = VectorAssembler(inputCols=[lat, lon], outputCol=FEATURES, handleInvalid="skip")
-    return Pipeline(stages=[va, km])
+    if geometry == "degrees":
+        va = VectorAssembler(inputCols=[lat, lon], outputCol=FEATURES, handleInvalid="skip")
+        return Pipeline(stages=[va, km])
+    if geometry == "sphere":
+        ux, uy, uz = SPHERE_COLS
+        to_xyz = SQLTransformer(statement=(
+            f"SELECT *, cos(radians({lat})) * cos(radians({lon})) AS {ux}, "
+            f"cos(radians({lat})) * sin(radians({lon})) AS {uy}, "
+            f"sin(radians({lat})) AS {uz} FROM __THIS__"))
+        va = VectorAssembler(inputCols=list(SPHERE_COLS), outputCol=FEATURES, handleInvalid="skip")
+        return Pipeline(stages=[to_xyz, va, km])
+    raise ValueError(f"geometry must be 'degrees' or 'sphere', not {geometry!r}")
+
 
+def geometry_of(model: PipelineModel) -> str:
+    return "sphere" if len(model.stages) == 3 else "degrees"
 
-def _matches(model: PipelineModel, k: int, seed: int, lat: str, lon: str) -> bool:
+
+def _matches(model: PipelineModel, k: int, seed: int, lat: str, lon: str, geometry: str) -> bool:
     try:
-        va, km = model.stages[0], model.stages[-1]
-        return (list(va.getInputCols()) == [lat, lon] and km.getK() == k
-                and km.getSeed() == seed)
+        va, km = model.stages[-2], model.stages[-1]
+        if geometry_of(model) != geometry or km.getK() != k or km.getSeed() != seed:
+            return False
+        if geometry == "degrees":
+            return list(va.getInputCols()) == [lat, lon]
+        statement = model.stages[0].getStatement()
+        return f"radians({lat})" in statement and f"radians({lon})" in statement
     except Exception:  # a foreign model: refit
         return False
 
 
+def fingerprint(points: DataFrame, lat: str = "latitude", lon: str = "longitude") -> tuple[int, int]:
+    """(number of points, xor of their 64-bit hashes): equal for the same set
+    of distinct points however they are partitioned or ordered."""
+    n, h = points.agg(F.count("*"), F.bit_xor(F.xxhash64(lat, lon))).first()
+    return int(n), int(h or 0)
+
+
+def _stored_fingerprint(spark: SparkSession, model_path: str):
+    try:
+        row = spark.read.json(f"{model_path}/{FINGERPRINT_DIR}").first()
+        return (int(row["n"]), int(row["h"])) if row else None
+    except Exception:
+        return None
+
+
 def fit_regions(points: DataFrame, k: int = K_REGIONS, seed: int = K_SEED,
                 lat: str = "latitude", lon: str = "longitude",
                 max_iter: int | None = None, model_path: str | None = None,
-                retrain: bool = False) -> PipelineModel:
+                retrain: bool = False, geometry: str = "degrees",
+                check_data: bool = True) -> PipelineModel:
     """Fit (or load) the region model on ``points`` (see ``training_points``).
 
-    With ``model_path`` an existing model is reused only if it was fitted with
-    the same k, seed and coordinate columns; otherwise, or with
-    ``retrain=True``, it is refitted and overwritten. Works on any Hadoop file
-    system (no local path checks).
+    With ``model_path`` an existing model is reused only if it was fitted
+    with the same k, seed, geometry and coordinate columns and, with
+    ``check_data``, on the same set of points (a count + hash fingerprint
+    stored next to the model). Otherwise, or with ``retrain=True``, it is
+    refitted and overwritten. Works on any Hadoop file system (no local path
+    checks). ``geometry="sphere"`` clusters unit vectors instead of raw
+    degrees; the model still takes latitude and longitude.
     """
+    spark = points.sparkSession
+    fp = fingerprint(points, lat, lon) if (model_path and check_data) else None
     if model_path and not retrain:
         try:
             model = PipelineModel.load(model_path)
-            if _matches(model, k, seed, lat, lon):
+            if _matches(model, k, seed, lat, lon, geometry) and (
+                    fp is None or _stored_fingerprint(spark, model_path) == fp):
                 return model
         except Exception:
             pass
     cached = points.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        model = _pipeline(k, seed, lat, lon, max_iter).fit(cached)
+        model = _pipeline(k, seed, lat, lon, max_iter, geometry).fit(cached)
     finally:
         cached.unpersist()
     if model_path:
         model.write().overwrite().save(model_path)
+        if fp is not None:
+            (spark.createDataFrame([fp], "n long, h long").coalesce(1)
+                  .write.mode("overwrite").json(f"{model_path}/{FINGERPRINT_DIR}"))
     return model
 
 
@@ -134,7 +185,8 @@ def training_cost(model: PipelineModel) -> float | None:
 def assign_regions(df: DataFrame, model: PipelineModel) -> DataFrame:
     """Add ``cluster`` (int) to every row by scoring with the model. Rows with
     a NULL coordinate are dropped, as the assembler cannot place them."""
-    return model.transform(df).drop(FEATURES).withColumn("cluster", F.col("cluster").cast("int"))
+    return (model.transform(df).drop(FEATURES, *SPHERE_COLS)
+                 .withColumn("cluster", F.col("cluster").cast("int")))
 
 
 def centroid_table(spark: SparkSession, model: PipelineModel) -> DataFrame:
@@ -143,7 +195,11 @@ def centroid_table(spark: SparkSession, model: PipelineModel) -> DataFrame:
     k may be smaller than requested when there are fewer distinct points.
     """
     centres = model.stages[-1].clusterCenters()
-    rows = [(i, float(c[0]), float(c[1])) for i, c in enumerate(centres)]
+    if geometry_of(model) == "sphere":
+        rows = [(i, math.degrees(math.atan2(float(c[2]), math.hypot(float(c[0]), float(c[1])))),
+                 math.degrees(math.atan2(float(c[1]), float(c[0])))) for i, c in enumerate(centres)]
+    else:
+        rows = [(i, float(c[0]), float(c[1])) for i, c in enumerate(centres)]
     return spark.createDataFrame(rows, CENTROID_SCHEMA)
 
 

@@ -52,6 +52,7 @@ class JobOptions:
     top_regions: int = TOP_REGIONS
     training_partitions: int | None = None
     train_on: str = "positions"          # "positions" (original) or "sensors"
+    geometry: str = "degrees"            # "degrees" (original) or "sphere"
     timings: dict[str, float] = field(default_factory=dict)
 
 
@@ -121,7 +122,7 @@ def run(spark: SparkSession, o: JobOptions) -> dict[str, str]:
             int(spark.conf.get("spark.sql.shuffle.partitions")), -(-prof["rows"] // 1_000_000)))
         points = regions.training_points(clean, partitions=parts, per=per)
         model = regions.fit_regions(points, k=o.k, seed=o.seed, model_path=o.model_path,
-                                    retrain=o.retrain)
+                                    retrain=o.retrain, geometry=o.geometry)
         centroids = regions.centroid_table(spark, model)
         save("centroids", centroids)
         cost = regions.training_cost(model)
@@ -190,13 +191,15 @@ def _parse(argv=None) -> JobOptions:
     p.add_argument("--as-of")
     p.add_argument("--train-on", choices=["positions", "sensors"], default="positions",
                    help="K-Means training points: distinct positions or one mean per sensor")
+    p.add_argument("--geometry", choices=["degrees", "sphere"], default="degrees",
+                   help="K-Means distance: raw degrees or unit-sphere vectors")
     a = p.parse_args(argv)
     return JobOptions(out=a.out, readings=a.readings, codes=a.codes, tables=a.tables,
                       k=a.k, seed=a.seed, model_path=a.model_path, retrain=a.retrain,
                       elbow=a.elbow, maps=not a.no_maps, gap=a.gap, match=a.match,
                       dedupe_on=a.dedupe_on, validate_first=a.validate_first,
                       require_both_days=a.require_both_days, as_of=a.as_of,
-                      train_on=a.train_on)
+                      train_on=a.train_on, geometry=a.geometry)
 
 
 def main(argv=None) -> None:

@@ -98,3 +98,30 @@ def test_sensor_points_one_per_sensor(spark):
                                "sensor_id long, latitude double, longitude double")
     pts = sorted(map(tuple, regions.training_points(df, partitions=2, per="sensor_id").collect()))
     assert pts == [(0.0, 1.0), (5.0, 5.0)]
+
+
+def test_changed_data_refits_saved_model(spark, fitted, tmp_path):
+    _, pts, _ = fitted
+    path = str(tmp_path / "model")
+    regions.fit_regions(pts, k=5, seed=42, model_path=path)
+    same = regions.fit_regions(pts, k=5, seed=42, model_path=path)
+    assert regions.training_cost(same) is None                     # reused
+    fewer = pts.orderBy("latitude").limit(pts.count() - 3)
+    changed = regions.fit_regions(fewer, k=5, seed=42, model_path=path)
+    assert regions.training_cost(changed) is not None              # refitted
+
+
+def test_sphere_geometry(spark):
+    # two tight groups on both sides of the antimeridian and one far away
+    df = spark.createDataFrame([(10.0, 179.9), (10.1, -179.9), (10.0, -179.8), (10.1, 179.8),
+                                (-40.0, 20.0), (-40.1, 20.1)], "latitude double, longitude double")
+    pts = regions.training_points(df, partitions=1)
+    model = regions.fit_regions(pts, k=2, seed=1, geometry="sphere")
+    labels = {(r.latitude, r.longitude): r.cluster
+              for r in regions.assign_regions(df, model).collect()}
+    assert len({labels[(10.0, 179.9)], labels[(10.1, -179.9)], labels[(10.0, -179.8)],
+                labels[(10.1, 179.8)]}) == 1
+    assert labels[(-40.0, 20.0)] != labels[(10.0, 179.9)]
+    cents = sorted((round(r.centroid_lat), round(abs(r.centroid_lon)))
+                   for r in regions.centroid_table(spark, model).collect())
+    assert cents == [(-40, 20), (10, 180)]
