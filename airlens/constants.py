@@ -38,3 +38,8 @@ MARKER_RADIUS_SCALE = 8
 STREAK_TIER_GREEN = 7         # max streak >= 7 -> green
 STREAK_TIER_ORANGE = 3        # max streak >= 3 -> orange, else red; none -> gray
 STREAK_FULL_SATURATION = 14   # days at which the streak saturation reaches 1
+# marker texts (printf-style templates: region id, then the value)
+TOOLTIP_IMPROVEMENT = "Cluster %s<br>AQI improvement: %s"
+TOOLTIP_STREAK = "Cluster %s \u2014 max streak: %s days"
+TOOLTIP_NO_STREAK = "Cluster %s: no good air days recorded"
+TOOLTIP_CENTROID = "Cluster %s centroid"

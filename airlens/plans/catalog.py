@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 
 from airlens.constants import (ELBOW_KS, GOOD_INDEX_LIMIT, INDEX_PALETTE, K_REGIONS,
                                K_SEED, NO_DATA_COLOUR, PM10_THRESHOLDS, PM25_THRESHOLDS,
-                               SAMPLE_POINTS, TOP_COUNTRIES, TOP_REGIONS)
+                               SAMPLE_POINTS, TOOLTIP_CENTROID, TOOLTIP_IMPROVEMENT,
+                               TOOLTIP_NO_STREAK, TOOLTIP_STREAK, TOP_COUNTRIES, TOP_REGIONS)
 from airlens.functions.bands import band, composite_index
 from airlens.operators import delta, regions, runs
 from airlens.operators.clean import TIMESTAMP_KEY, dedupe_first
@@ -614,8 +615,7 @@ SELECT cluster, AQI_improvement, centroid_lat, centroid_lon,
        CASE WHEN hi = lo THEN '#808080'
             ELSE printf('#%02x%02x55', CAST(trunc(255 * (1 - t)) AS INTEGER),
                         CAST(trunc(200 * t + 55) AS INTEGER)) END AS scaled_colour,
-       'Cluster ' || CAST(cluster AS VARCHAR) || '<br>AQI improvement: '
-         || {_label('AQI_improvement', 3)} AS tooltip
+       printf('{TOOLTIP_IMPROVEMENT}', CAST(cluster AS VARCHAR), {_label('AQI_improvement', 3)}) AS tooltip
 FROM us""",
     "zone_points": f"""{CLUSTERED},
 dp AS (SELECT DISTINCT latitude, longitude, CAST(cluster AS INTEGER) AS cluster FROM clustered)
@@ -625,7 +625,7 @@ ORDER BY md5(CAST(CAST(floor(latitude * 1e6) AS BIGINT) AS VARCHAR) || ','
 LIMIT {SAMPLE_POINTS}""",
     "zone_centroids": f"""WITH {CENTROIDS}
 SELECT CAST(cluster AS INTEGER) AS cluster, round(centroid_lat, 9) AS centroid_lat,
-       round(centroid_lon, 9) AS centroid_lon, 'Cluster ' || CAST(cluster AS VARCHAR) || ' centroid' AS tooltip
+       round(centroid_lon, 9) AS centroid_lon, printf('{TOOLTIP_CENTROID}', CAST(cluster AS VARCHAR)) AS tooltip
 FROM centroids""",
     "streak_series_by_region": f"{CLUSTERED}, {_streaks('clustered', 'cluster')} "
                                "SELECT * REPLACE (CAST(cluster AS INTEGER) AS cluster) FROM with_streak",
@@ -663,9 +663,8 @@ SELECT CAST(c.cluster AS INTEGER) AS cluster, round(c.centroid_lat, 9) AS centro
             WHEN p.mx >= 3 THEN 'orange' ELSE 'red' END AS tier,
        least(1.0, CAST(coalesce(p.mx, 0) AS DOUBLE) / 14.0) AS saturation,
        coalesce(p.histogram, '') AS histogram,
-       CASE WHEN coalesce(p.mx, 0) > 0
-            THEN 'Cluster ' || CAST(c.cluster AS VARCHAR) || ' \u2014 max streak: ' || CAST(p.mx AS VARCHAR) || ' days'
-            ELSE 'Cluster ' || CAST(c.cluster AS VARCHAR) || ': no good air days recorded' END AS tooltip
+       CASE WHEN coalesce(p.mx, 0) > 0 THEN printf('{TOOLTIP_STREAK}', CAST(c.cluster AS VARCHAR), CAST(p.mx AS VARCHAR))
+            ELSE printf('{TOOLTIP_NO_STREAK}', CAST(c.cluster AS VARCHAR)) END AS tooltip
 FROM centroids c LEFT JOIN per p ON p.cluster = c.cluster""",
     "streak_summary": f"""{READINGS}, {_streaks('readings', 'sensor_id')},
 mx AS (SELECT sensor_id, max(streak) AS max_streak FROM with_streak GROUP BY sensor_id),

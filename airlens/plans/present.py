@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from airlens.constants import (K_REGIONS, NO_DATA_COLOUR, SAMPLE_POINTS,
+from airlens.constants import (K_REGIONS, NO_DATA_COLOUR, SAMPLE_POINTS, TOOLTIP_CENTROID,
+                               TOOLTIP_IMPROVEMENT, TOOLTIP_NO_STREAK, TOOLTIP_STREAK,
                                TOP_COUNTRIES, TOP_REGIONS)
 from airlens.functions.presentation import (index_colour, marker_radius, palette_slot,
                                             ramp_colour, scaled_colour, sign_colour,
@@ -59,9 +60,8 @@ def region_markers(top_regions: DataFrame, score: str = "AQI_improvement") -> Da
                         marker_radius(score).alias("radius"),
                         ramp_colour(score, F.col("_lo"), F.col("_hi")).alias("colour"),
                         scaled_colour(score, F.col("_lo"), F.col("_hi")).alias("scaled_colour"),
-                        F.concat(F.lit("Cluster "), F.col("cluster").cast("string"),
-                                 F.lit("<br>AQI improvement: "), signed_label(score, 3))
-                         .alias("tooltip")))
+                        F.format_string(TOOLTIP_IMPROVEMENT, F.col("cluster"),
+                                        signed_label(score, 3)).alias("tooltip")))
 
 
 def grid_key(lat: str = "latitude", lon: str = "longitude") -> Column:
@@ -87,8 +87,7 @@ def zone_points(points: DataFrame, n: int = SAMPLE_POINTS, n_slots: int = K_REGI
 def centroid_markers(centroids: DataFrame) -> DataFrame:
     """Region centres with their marker tooltip (the centre layer of the zone map)."""
     return centroids.select("cluster", "centroid_lat", "centroid_lon",
-                            F.concat(F.lit("Cluster "), F.col("cluster").cast("string"),
-                                     F.lit(" centroid")).alias("tooltip"))
+                            F.format_string(TOOLTIP_CENTROID, F.col("cluster")).alias("tooltip"))
 
 
 def streak_popups(centroids: DataFrame, with_streak: DataFrame) -> DataFrame:
@@ -100,7 +99,5 @@ def streak_popups(centroids: DataFrame, with_streak: DataFrame) -> DataFrame:
             .join(tiers, "cluster", "left")
             .withColumn("tooltip", F.when(
                 F.col("max_streak") > 0,
-                F.concat(F.lit("Cluster "), F.col("cluster").cast("string"),
-                         F.lit(" \u2014 max streak: "), F.col("max_streak").cast("string"), F.lit(" days")))
-                .otherwise(F.concat(F.lit("Cluster "), F.col("cluster").cast("string"),
-                                    F.lit(": no good air days recorded")))))
+                F.format_string(TOOLTIP_STREAK, F.col("cluster"), F.col("max_streak")))
+                .otherwise(F.format_string(TOOLTIP_NO_STREAK, F.col("cluster")))))
