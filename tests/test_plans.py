@@ -84,3 +84,50 @@ def test_dedupe_and_daily_means_combine_map_side(spark):
     daily = runs.daily_flags(catalog.readings(spark, SF_SMALL), ["sensor_id"])
     p2 = formatted(daily)
     assert "partial_avg" in p2
+
+
+def test_hot_sensor_join_partition_is_split(spark):
+    """One sensor holding a third of all readings in a sort-merge join with a
+    dimension: AQE splits its partition (the session default
+    forceOptimizeSkewedJoin allows the extra shuffle before the dedupe), and
+    the result is unchanged. Thresholds are lowered so the small test data
+    counts as skewed."""
+    from pyspark.sql import functions as F
+
+    from airlens.operators.clean import dedupe_first
+    from airlens.session import DEFAULTS
+
+    confs = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+             "spark.sql.adaptive.coalescePartitions.enabled": "false",
+             "spark.sql.shuffle.partitions": "16",
+             "spark.sql.adaptive.forceOptimizeSkewedJoin":
+                 DEFAULTS["spark.sql.adaptive.forceOptimizeSkewedJoin"]}
+    old = {k: spark.conf.get(k, None) for k in confs}
+    try:
+        for k, v in confs.items():
+            spark.conf.set(k, v)
+        sf = "/root/testdata/sf0.01"
+        ev = (spark.read.parquet(f"{sf}/events.parquet").repartition(16)
+              .withColumn("user_id", F.when(F.col("event_id") % 3 == 0, F.lit(7))
+                          .otherwise(F.col("user_id"))))
+        cust = spark.read.parquet(f"{sf}/customer.parquet").select("c_custkey", "c_nationkey")
+        joined = (ev.join(cust, ev.user_id == cust.c_custkey, "left")
+                    .select(F.col("event_id").alias("id"), "ts", F.col("user_id").alias("sensor_id"),
+                            F.to_date("ts").alias("date"), "c_nationkey", "value"))
+        res = dedupe_first(joined, key=("sensor_id", "date"))
+        rows = res.collect()
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            res.explain()
+        assert "SortMergeJoin(skew=true)" in buf.getvalue()
+        want = ev.select("user_id", F.to_date("ts")).distinct().count()
+        assert len(rows) == want
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
