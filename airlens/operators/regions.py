@@ -48,9 +48,12 @@ def sensor_points(df: DataFrame, sensor: str = "sensor_id", lat: str = "latitude
                   lon: str = "longitude") -> DataFrame:
     """One mean position per sensor (partial aggregation, one shuffle on the
     sensor key). Far fewer training points than distinct positions when
-    positions jitter per reading."""
+    positions jitter per reading. Means are rounded to 1e-9 degrees (well
+    under a millimetre) so that the summation order, which depends on
+    partitioning, cannot change the training set or its fingerprint."""
     return (df.dropna(subset=[lat, lon])
-              .groupBy(sensor).agg(F.avg(lat).alias(lat), F.avg(lon).alias(lon))
+              .groupBy(sensor).agg(F.round(F.avg(lat), 9).alias(lat),
+                                   F.round(F.avg(lon), 9).alias(lon))
               .select(lat, lon))
 
 
