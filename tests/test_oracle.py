@@ -3,7 +3,7 @@
 import duckdb
 import pytest
 
-from airlens.plans.catalog import ORACLE
+from airlens.plans.oracle import ORACLE
 from tests.conftest import SF_SMALL
 from tools.oracle_check import compare, register_views
 

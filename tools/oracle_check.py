@@ -16,7 +16,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import duckdb  # noqa: E402
 
-from airlens.plans.catalog import ORACLE, QUERIES  # noqa: E402
+from airlens.plans.catalog import QUERIES
+from airlens.plans.oracle import ORACLE  # noqa: E402
 from airlens.sources.tables import TABLES  # noqa: E402
 
 
