@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import argparse
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,6 +54,7 @@ class JobOptions:
     training_partitions: int | None = None
     train_on: str = "positions"          # "positions" (original) or "sensors"
     geometry: str = "degrees"            # "degrees" (original) or "sphere"
+    concurrency: int = 4                 # independent branches submitted side by side
     timings: dict[str, float] = field(default_factory=dict)
 
 
@@ -81,16 +83,32 @@ def _clean(spark: SparkSession, o: JobOptions) -> tuple[DataFrame, DataFrame | N
 
 
 def run(spark: SparkSession, o: JobOptions) -> dict[str, str]:
-    """Run the job; returns {table name: path}. Timings go to ``o.timings``."""
+    """Run the job; returns {table name: path}. Timings go to ``o.timings``.
+
+    Independent branches (the country analysis and the region fit; the
+    result tables of one stage) are submitted from separate threads, so
+    Spark runs their jobs side by side instead of leaving executors idle
+    during small jobs (``concurrency=1`` runs them one after another).
+    """
     out = o.out.rstrip("/")
     written: dict[str, str] = {}
     tm = o.timings
+    st: dict = {}
 
     def save(name: str, df: DataFrame) -> None:
         path = f"{out}/{name}"
         sinks.write_table(df, path)
         written[name] = path
 
+    def together(*tasks) -> None:
+        if o.concurrency <= 1 or len(tasks) == 1:
+            for t in tasks:
+                t()
+            return
+        with ThreadPoolExecutor(max_workers=min(o.concurrency, len(tasks))) as pool:
+            for f in [pool.submit(t) for t in tasks]:
+                f.result()
+
     # 1. ingest -> curated readings (partitioned by day), read back
     with _Timer(tm, "ingest"):
         clean, codes = _clean(spark, o)
@@ -103,36 +121,42 @@ def run(spark: SparkSession, o: JobOptions) -> dict[str, str]:
         save("profile", spark.createDataFrame([prof], ingest.profile(clean).schema))
         as_of = o.as_of or prof["last_date"]
 
-    # 2. countries
-    with _Timer(tm, "countries"):
-        improvement = delta.day_over_day(clean, ["country", "country_name"], as_of=as_of,
-                                         require_both_days=o.require_both_days)
-        save("country_improvement", improvement)
-        improvement = sinks.read_table(spark, written["country_improvement"])
-        save("country_chart", present.country_chart(improvement, o.top_countries))
-        worst = delta.level_on_day(clean, ["country"], as_of=as_of)
-        save("worst_today", worst)
-
-    # 3. regions: fit (or reuse) the model, score, rank
-    with _Timer(tm, "regions_fit"):
-        per = "sensor_id" if o.train_on == "sensors" else None
-        # pinned layout sized from the known row count (an upper bound on the
-        # number of distinct points), so no extra counting pass
-        parts = o.training_partitions or max(1, min(
-            int(spark.conf.get("spark.sql.shuffle.partitions")), -(-prof["rows"] // 1_000_000)))
-        points = regions.training_points(clean, partitions=parts, per=per)
-        model = regions.fit_regions(points, k=o.k, seed=o.seed, model_path=o.model_path,
-                                    retrain=o.retrain, geometry=o.geometry)
-        centroids = regions.centroid_table(spark, model)
-        save("centroids", centroids)
-        cost = regions.training_cost(model)
-        fit = regions.inertia(points, centroids).withColumn(
-            "training_cost", F.lit(cost).cast("double"))
-        save("region_fit", fit)
-        if o.elbow:
-            save("elbow", regions.elbow(spark, points, o.elbow_ks, seed=o.seed))
+    # 2. countries, alongside 3a. the region fit (both only read the curated table)
+    def countries() -> None:
+        with _Timer(tm, "countries"):
+            improvement = delta.day_over_day(clean, ["country", "country_name"], as_of=as_of,
+                                             require_both_days=o.require_both_days)
+            save("country_improvement", improvement)
+            improvement = sinks.read_table(spark, written["country_improvement"])
+            together(lambda: save("country_chart", present.country_chart(improvement, o.top_countries)),
+                     lambda: save("worst_today", delta.level_on_day(clean, ["country"], as_of=as_of)))
+
+    def fit() -> None:
+        with _Timer(tm, "regions_fit"):
+            per = "sensor_id" if o.train_on == "sensors" else None
+            # pinned layout sized from the known row count (an upper bound on
+            # the number of distinct points), so no extra counting pass
+            parts = o.training_partitions or max(1, min(
+                int(spark.conf.get("spark.sql.shuffle.partitions")), -(-prof["rows"] // 1_000_000)))
+            points = regions.training_points(clean, partitions=parts, per=per)
+            model = regions.fit_regions(points, k=o.k, seed=o.seed, model_path=o.model_path,
+                                        retrain=o.retrain, geometry=o.geometry)
+            centroids = regions.centroid_table(spark, model)
+            save("centroids", centroids)
+            cost = regions.training_cost(model)
+            fit_row = regions.inertia(points, centroids).withColumn(
+                "training_cost", F.lit(cost).cast("double"))
+            tasks = [lambda: save("region_fit", fit_row)]
+            if o.elbow:
+                tasks.append(lambda: save("elbow", regions.elbow(spark, points, o.elbow_ks, seed=o.seed)))
+            together(*tasks)
+            st["model"] = model
+
+    together(countries, fit)
+
+    # 3b. score and rank regions
     with _Timer(tm, "regions_rank"):
-        clustered = regions.assign_regions(clean, model)
+        clustered = regions.assign_regions(clean, st["model"])
         cents = bounded_broadcast(sinks.read_table(spark, written["centroids"]), regions.MAX_CENTROIDS)
         region_imp = (delta.day_over_day(clustered, ["cluster"], as_of=as_of,
                                          require_both_days=o.require_both_days, ranked=False)
@@ -142,31 +166,41 @@ def run(spark: SparkSession, o: JobOptions) -> dict[str, str]:
         region_imp = sinks.read_table(spark, written["region_improvement"])
         save("region_chart", present.region_chart(region_imp, o.top_regions))
 
-    # 4. runs of good days per region
-    with _Timer(tm, "streaks"):
-        daily = runs.daily_flags(clustered, ["cluster"])
-        save("streak_series", runs.runs(daily, ["cluster"], gap=o.gap))
-        with_streak = sinks.read_table(spark, written["streak_series"])
-        max_streaks = runs.max_runs(with_streak, ["cluster"])
-        save("max_streaks", max_streaks)
-        max_streaks = sinks.read_table(spark, written["max_streaks"])
-        save("streak_distribution", runs.run_histogram(with_streak))
-        save("streak_by_region", runs.run_histogram(with_streak, ["cluster"]))
-        top = best(max_streaks, "max_streak", ["cluster"]).select("cluster")
-        save("best_region_bins", runs.run_bins(with_streak, ["cluster"])
-             .join(F.broadcast(top), "cluster"))
-        save("streak_summary", runs.run_summary(with_streak, max_streaks))
-
-    # 5. map tables
-    if o.maps:
+    # 4. runs of good days per region, alongside the map tables that do not need them
+    def streaks() -> None:
+        with _Timer(tm, "streaks"):
+            daily = runs.daily_flags(clustered, ["cluster"])
+            save("streak_series", runs.runs(daily, ["cluster"], gap=o.gap))
+            with_streak = sinks.read_table(spark, written["streak_series"])
+            save("max_streaks", runs.max_runs(with_streak, ["cluster"]))
+            max_streaks = sinks.read_table(spark, written["max_streaks"])
+            top = best(max_streaks, "max_streak", ["cluster"]).select("cluster")
+            tasks = [
+                lambda: save("streak_distribution", runs.run_histogram(with_streak)),
+                lambda: save("streak_by_region", runs.run_histogram(with_streak, ["cluster"])),
+                lambda: save("best_region_bins", runs.run_bins(with_streak, ["cluster"])
+                             .join(F.broadcast(top), "cluster")),
+                lambda: save("streak_summary", runs.run_summary(with_streak, max_streaks)),
+            ]
+            if o.maps:
+                tasks.append(lambda: save("streak_popups", present.streak_popups(cents, with_streak)))
+            together(*tasks)
+
+    def maps() -> None:
         with _Timer(tm, "maps"):
+            tasks = [
+                lambda: save("region_markers",
+                             present.region_markers(sinks.read_table(spark, written["region_chart"]))),
+                lambda: save("zone_points", present.zone_points(
+                    regions.distinct_points(clustered, extra=["cluster"]), n_slots=o.k)),
+                lambda: save("zone_centroids", present.centroid_markers(cents)),
+            ]
             if codes is not None:
-                save("country_map", present.country_map(codes, sinks.read_table(spark, written["worst_today"])))
-            save("region_markers", present.region_markers(sinks.read_table(spark, written["region_chart"])))
-            zone_src = regions.distinct_points(clustered, extra=["cluster"])
-            save("zone_points", present.zone_points(zone_src, n_slots=o.k))
-            save("zone_centroids", present.centroid_markers(cents))
-            save("streak_popups", present.streak_popups(cents, with_streak))
+                tasks.append(lambda: save("country_map", present.country_map(
+                    codes, sinks.read_table(spark, written["worst_today"]))))
+            together(*tasks)
+
+    together(streaks, maps) if o.maps else streaks()
     return written
 
 
