@@ -265,18 +265,29 @@ def inertia(df: DataFrame, centroids: DataFrame, lat: str = "latitude",
 
 def elbow(spark: SparkSession, points: DataFrame, ks: Iterable[int], seed: int = K_SEED,
           lat: str = "latitude", lon: str = "longitude",
-          max_iter: int | None = None) -> DataFrame:
+          max_iter: int | None = None, concurrency: int = 4) -> DataFrame:
     """(k, training_cost, inertia) for each k: one fit per k on the same
-    persisted training set; inertia is recomputed from the data."""
+    persisted training set; inertia is recomputed from the data.
+
+    The fits are independent, so up to ``concurrency`` of them are submitted
+    from separate threads and Spark runs their jobs side by side.
+    """
     cached = points.persist(StorageLevel.MEMORY_AND_DISK)
-    rows = []
+
+    def one(k: int):
+        model = _pipeline(int(k), seed, lat, lon, max_iter).fit(cached)
+        cost = training_cost(model)
+        wss = inertia(cached, centroid_table(spark, model), lat, lon).first()["inertia"]
+        return int(k), float(cost) if cost is not None else None, float(wss)
+
     try:
-        for k in ks:
-            model = _pipeline(k, seed, lat, lon, max_iter).fit(cached)
-            cost = training_cost(model)
-            cents = centroid_table(spark, model)
-            wss = inertia(cached, cents, lat, lon).first()["inertia"]
-            rows.append((int(k), float(cost) if cost is not None else None, float(wss)))
+        ks = list(ks)
+        if concurrency <= 1:
+            rows = [one(k) for k in ks]
+        else:
+            from concurrent.futures import ThreadPoolExecutor
+            with ThreadPoolExecutor(max_workers=min(concurrency, len(ks))) as pool:
+                rows = list(pool.map(one, ks))
     finally:
         cached.unpersist()
     schema = "k int, training_cost double, inertia double"
