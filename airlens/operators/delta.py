@@ -32,12 +32,14 @@ def _as_of(df: DataFrame, date: str, as_of) -> Column:
 
 def day_over_day(df: DataFrame, keys: Sequence[str], date: str = "date",
                  value: str = "AQI", as_of=None, out: str = "AQI_improvement",
-                 require_both_days: bool = False, ranked: bool = True) -> DataFrame:
-    """mean(value) on the day before ``as_of`` minus mean(value) on ``as_of``.
+                 require_both_days: bool = False, ranked: bool = True,
+                 previous=None) -> DataFrame:
+    """mean(value) on the ``previous`` day minus mean(value) on ``as_of``.
 
     Positive = the value went down (improved). ``as_of`` defaults to the
-    latest date in ``df``; 'yesterday' is the calendar day before it, even if
-    that day has no rows. Like the original, an entity seen on only one of
+    latest date in ``df``; ``previous`` defaults to the calendar day before
+    it ('yesterday'), even if that day has no rows; any earlier day can be
+    given instead (e.g. a week before). Like the original, an entity seen on only one of
     the two days scores +mean (yesterday only) or -mean (today only);
     ``require_both_days=True`` keeps only entities seen on both days.
 
@@ -48,7 +50,7 @@ def day_over_day(df: DataFrame, keys: Sequence[str], date: str = "date",
     keys = list(keys)
     d = F.col(date)
     today = _as_of(df, date, as_of)
-    yesterday = F.date_sub(today, 1)
+    yesterday = F.date_sub(today, 1) if previous is None else as_date(previous)
     two_days = df.where(d.isin(today, yesterday))
     per_key = two_days.groupBy(*keys).agg(
         F.avg(F.when(d == yesterday, F.col(value))).alias("_y"),

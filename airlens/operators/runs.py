@@ -72,6 +72,13 @@ def max_runs(with_streak: DataFrame, keys: Sequence[str], ranked: bool = True) -
     return res
 
 
+def streak_tables(df: DataFrame, keys: Sequence[str], date: str = "date", value: str = "AQI",
+                  limit: float = GOOD_INDEX_LIMIT, gap: str = "rows") -> tuple[DataFrame, DataFrame]:
+    """Readings -> (run series, longest run per entity, best first)."""
+    with_streak = runs(daily_flags(df, keys, date, value, limit), keys, date, gap=gap)
+    return with_streak, max_runs(with_streak, keys)
+
+
 def run_histogram(with_streak: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Number of good runs per run length (optionally per ``by``), sorted."""
     by = list(by)

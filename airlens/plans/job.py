@@ -49,6 +49,7 @@ class JobOptions:
     validate_first: bool = False
     require_both_days: bool = False
     as_of: str | None = None
+    previous: str | None = None          # comparison day (default: the day before as_of)
     top_countries: int = TOP_COUNTRIES
     top_regions: int = TOP_REGIONS
     training_partitions: int | None = None
@@ -125,6 +126,7 @@ def run(spark: SparkSession, o: JobOptions) -> dict[str, str]:
     def countries() -> None:
         with _Timer(tm, "countries"):
             improvement = delta.day_over_day(clean, ["country", "country_name"], as_of=as_of,
+                                             previous=o.previous,
                                              require_both_days=o.require_both_days)
             save("country_improvement", improvement)
             improvement = sinks.read_table(spark, written["country_improvement"])
@@ -158,7 +160,7 @@ def run(spark: SparkSession, o: JobOptions) -> dict[str, str]:
     with _Timer(tm, "regions_rank"):
         clustered = regions.assign_regions(clean, st["model"])
         cents = bounded_broadcast(sinks.read_table(spark, written["centroids"]), regions.MAX_CENTROIDS)
-        region_imp = (delta.day_over_day(clustered, ["cluster"], as_of=as_of,
+        region_imp = (delta.day_over_day(clustered, ["cluster"], as_of=as_of, previous=o.previous,
                                          require_both_days=o.require_both_days, ranked=False)
                       .join(cents, "cluster", "left")
                       .select("cluster", "AQI_improvement", "centroid_lat", "centroid_lon"))
@@ -223,6 +225,7 @@ def _parse(argv=None) -> JobOptions:
     p.add_argument("--validate-first", action="store_true")
     p.add_argument("--require-both-days", action="store_true")
     p.add_argument("--as-of")
+    p.add_argument("--previous", help="comparison day (default: the day before --as-of)")
     p.add_argument("--train-on", choices=["positions", "sensors"], default="positions",
                    help="K-Means training points: distinct positions or one mean per sensor")
     p.add_argument("--geometry", choices=["degrees", "sphere"], default="degrees",
@@ -232,7 +235,7 @@ def _parse(argv=None) -> JobOptions:
                       k=a.k, seed=a.seed, model_path=a.model_path, retrain=a.retrain,
                       elbow=a.elbow, maps=not a.no_maps, gap=a.gap, match=a.match,
                       dedupe_on=a.dedupe_on, validate_first=a.validate_first,
-                      require_both_days=a.require_both_days, as_of=a.as_of,
+                      require_both_days=a.require_both_days, as_of=a.as_of, previous=a.previous,
                       train_on=a.train_on, geometry=a.geometry)
 
 

@@ -50,3 +50,10 @@ def test_ties_break_on_key(spark):
     rows = [("b", D(2024, 1, 1), 5), ("a", D(2024, 1, 1), 5), ("c", D(2024, 1, 2), 1)]
     df = spark.createDataFrame(rows, "entity string, date date, AQI int")
     assert [r.entity for r in day_over_day(df, ["entity"]).collect()] == ["a", "b", "c"]
+
+
+def test_explicit_previous_day(readings):
+    # 2023-12-31 vs 2024-01-02: only E (previous) and A, C, D (today)
+    got = {r.entity: r.AQI_improvement
+           for r in day_over_day(readings, ["entity"], previous="2023-12-31").collect()}
+    assert got == {"E": 5.0, "A": -3.0, "C": -6.0, "D": -2.0}

@@ -78,3 +78,9 @@ def test_repartitioning_does_not_change_runs(readings):
     a = sorted(map(tuple, series(readings).collect()), key=str)
     b = sorted(map(tuple, series(readings.repartition(5)).collect()), key=str)
     assert a == b
+
+
+def test_streak_tables_pair(readings):
+    ws, mx = runs.streak_tables(readings, ["entity"])
+    assert ws.where("entity = 'A'").count() == 7
+    assert [(r.entity, r.max_streak) for r in mx.collect()] == [("A", 4), ("C", 1), ("B", 0)]
