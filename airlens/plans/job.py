@@ -216,6 +216,8 @@ def _parse(argv=None) -> JobOptions:
     p.add_argument("--model-path")
     p.add_argument("--retrain", action="store_true")
     p.add_argument("--elbow", action="store_true")
+    p.add_argument("--elbow-ks", default=",".join(map(str, ELBOW_KS)),
+                   help="comma-separated k values of the elbow sweep")
     p.add_argument("--no-maps", action="store_true")
     p.add_argument("--k", type=int, default=K_REGIONS)
     p.add_argument("--seed", type=int, default=K_SEED)
@@ -233,7 +235,8 @@ def _parse(argv=None) -> JobOptions:
     a = p.parse_args(argv)
     return JobOptions(out=a.out, readings=a.readings, codes=a.codes, tables=a.tables,
                       k=a.k, seed=a.seed, model_path=a.model_path, retrain=a.retrain,
-                      elbow=a.elbow, maps=not a.no_maps, gap=a.gap, match=a.match,
+                      elbow=a.elbow, elbow_ks=tuple(int(k) for k in a.elbow_ks.split(",") if k),
+                      maps=not a.no_maps, gap=a.gap, match=a.match,
                       dedupe_on=a.dedupe_on, validate_first=a.validate_first,
                       require_both_days=a.require_both_days, as_of=a.as_of, previous=a.previous,
                       train_on=a.train_on, geometry=a.geometry)

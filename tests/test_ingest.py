@@ -115,3 +115,19 @@ def test_dedupe_survivor_independent_of_partitioning(spark, folder):
     a = sorted(map(tuple, clean_readings(raw).collect()), key=str)
     b = sorted(map(tuple, clean_readings(raw.repartition(7)).collect()), key=str)
     assert a == b
+
+
+def test_empty_input_is_reported(spark, tmp_path):
+    from airlens.sources.json_readings import require_rows
+    (tmp_path / "empty").mkdir()
+    raw = read_readings(spark, str(tmp_path / "empty"))
+    with pytest.raises(InputError):
+        require_rows(extract_readings(raw), "readings")
+
+
+def test_job_cli_parses_options():
+    from airlens.plans.job import _parse
+    o = _parse(["--tables", "/x", "--out", "/y", "--elbow", "--elbow-ks", "2,4",
+                "--gap", "calendar", "--previous", "2024-01-01", "--geometry", "sphere"])
+    assert (o.tables, o.elbow, o.elbow_ks, o.gap, o.previous, o.geometry) == \
+        ("/x", True, (2, 4), "calendar", "2024-01-01", "sphere")
