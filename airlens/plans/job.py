@@ -183,6 +183,7 @@ def run(spark: SparkSession, o: JobOptions) -> dict[str, str]:
                 lambda: save("best_region_bins", runs.run_bins(with_streak, ["cluster"])
                              .join(F.broadcast(top), "cluster")),
                 lambda: save("streak_summary", runs.run_summary(with_streak, max_streaks)),
+                lambda: save("streak_axis", runs.overall_max_run(with_streak)),
             ]
             if o.maps:
                 tasks.append(lambda: save("streak_popups", present.streak_popups(cents, with_streak)))

@@ -51,7 +51,7 @@ def test_all_tables_written(ran):
     expected = {"readings", "profile", "country_improvement", "country_chart", "worst_today",
                 "centroids", "region_fit", "elbow", "region_improvement", "region_chart",
                 "streak_series", "max_streaks", "streak_distribution", "streak_by_region",
-                "best_region_bins", "streak_summary", "country_map", "region_markers",
+                "best_region_bins", "streak_summary", "streak_axis", "country_map", "region_markers",
                 "zone_points", "streak_popups"}
     assert expected <= set(written)
     for path in written.values():
