@@ -75,3 +75,29 @@ def test_day_over_day_matches_bruteforce(spark, rows, both):
     assert got.keys() == want.keys()
     for e in want:
         assert abs(got[e] - want[e]) < 1e-12
+
+
+readings_rows = st.lists(st.tuples(st.integers(0, 2),     # sensor
+                                   st.integers(0, 2),     # day
+                                   st.integers(0, 1),     # position
+                                   st.integers(0, 5),     # second of the day (ties on purpose)
+                                   st.integers(1, 50)),   # measure
+                         min_size=1, max_size=40)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=readings_rows)
+def test_dedupe_matches_bruteforce(spark, rows):
+    from airlens.operators.clean import dedupe_first
+    data = [(i, dt.datetime(2024, 1, 1 + d, 7, 0, s), sen, BASE + dt.timedelta(days=d), float(pos),
+             float(v)) for i, (sen, d, pos, s, v) in enumerate(rows)]
+    df = spark.createDataFrame(data, "id long, ts timestamp_ntz, sensor_id long, date date, "
+                                     "latitude double, P1 double")
+    want = {}
+    for rid, ts, sen, day, pos, v in data:
+        k = (sen, day, pos)
+        if k not in want or (ts, rid) < (want[k][0], want[k][1]):
+            want[k] = (ts, rid)
+    got = {(r.sensor_id, r.date, r.latitude): (r.ts, r.id)
+           for r in dedupe_first(df.repartition(3), key=("sensor_id", "date", "latitude")).collect()}
+    assert got == want
