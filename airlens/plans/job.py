@@ -156,19 +156,24 @@ def run(spark: SparkSession, o: JobOptions) -> dict[str, str]:
 
     together(countries, fit)
 
-    # 3b. score and rank regions
-    with _Timer(tm, "regions_rank"):
-        clustered = regions.assign_regions(clean, st["model"])
-        cents = bounded_broadcast(sinks.read_table(spark, written["centroids"]), regions.MAX_CENTROIDS)
-        region_imp = (delta.day_over_day(clustered, ["cluster"], as_of=as_of, previous=o.previous,
-                                         require_both_days=o.require_both_days, ranked=False)
-                      .join(cents, "cluster", "left")
-                      .select("cluster", "AQI_improvement", "centroid_lat", "centroid_lon"))
-        save("region_improvement", region_imp.orderBy(F.desc("AQI_improvement"), "cluster"))
-        region_imp = sinks.read_table(spark, written["region_improvement"])
-        save("region_chart", present.region_chart(region_imp, o.top_regions))
-
-    # 4. runs of good days per region, alongside the map tables that do not need them
+    # 3b. score and rank regions, alongside 4. the runs of good days per region
+    # (which need the model but not the ranking) and the zone-map tables
+    clustered = regions.assign_regions(clean, st["model"])
+    cents = bounded_broadcast(sinks.read_table(spark, written["centroids"]), regions.MAX_CENTROIDS)
+
+    def rank() -> None:
+        with _Timer(tm, "regions_rank"):
+            region_imp = (delta.day_over_day(clustered, ["cluster"], as_of=as_of, previous=o.previous,
+                                             require_both_days=o.require_both_days, ranked=False)
+                          .join(cents, "cluster", "left")
+                          .select("cluster", "AQI_improvement", "centroid_lat", "centroid_lon"))
+            save("region_improvement", region_imp.orderBy(F.desc("AQI_improvement"), "cluster"))
+            region_imp = sinks.read_table(spark, written["region_improvement"])
+            save("region_chart", present.region_chart(region_imp, o.top_regions))
+            if o.maps:
+                save("region_markers",
+                     present.region_markers(sinks.read_table(spark, written["region_chart"])))
+
     def streaks() -> None:
         with _Timer(tm, "streaks"):
             daily = runs.daily_flags(clustered, ["cluster"])
@@ -181,7 +186,7 @@ def run(spark: SparkSession, o: JobOptions) -> dict[str, str]:
                 lambda: save("streak_distribution", runs.run_histogram(with_streak)),
                 lambda: save("streak_by_region", runs.run_histogram(with_streak, ["cluster"])),
                 lambda: save("best_region_bins", runs.run_bins(with_streak, ["cluster"])
-                             .join(F.broadcast(top), "cluster")),
+                             .join(F.broadcast(top), "cluster")),     # one row
                 lambda: save("streak_summary", runs.run_summary(with_streak, max_streaks)),
                 lambda: save("streak_axis", runs.overall_max_run(with_streak)),
             ]
@@ -192,8 +197,6 @@ def run(spark: SparkSession, o: JobOptions) -> dict[str, str]:
     def maps() -> None:
         with _Timer(tm, "maps"):
             tasks = [
-                lambda: save("region_markers",
-                             present.region_markers(sinks.read_table(spark, written["region_chart"]))),
                 lambda: save("zone_points", present.zone_points(
                     regions.distinct_points(clustered, extra=["cluster"]), n_slots=o.k)),
                 lambda: save("zone_centroids", present.centroid_markers(cents)),
@@ -203,7 +206,7 @@ def run(spark: SparkSession, o: JobOptions) -> dict[str, str]:
                     codes, sinks.read_table(spark, written["worst_today"]))))
             together(*tasks)
 
-    together(streaks, maps) if o.maps else streaks()
+    together(rank, streaks, maps) if o.maps else together(rank, streaks)
     return written
 
 
