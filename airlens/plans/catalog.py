@@ -80,6 +80,11 @@ def q_readings_clean(spark, sf):
     return readings(spark, sf)
 
 
+def q_readings_from_json(spark, sf):
+    raw = tables.json_readings(spark, sf)
+    return ingest.build_clean(extract_readings(raw), tables.country_codes(spark, sf))
+
+
 def q_improve_by_country(spark, sf):
     return delta.day_over_day(readings(spark, sf), ["country", "country_name"])
 
@@ -293,6 +298,7 @@ def q_kmeans_elbow(spark, sf):
 
 QUERIES: dict[str, Query] = {
     "readings_clean": q_readings_clean,
+    "readings_from_json": q_readings_from_json,
     "improve_by_country": q_improve_by_country,
     "improve_by_sensor": q_improve_by_sensor,
     "improve_by_sensor_both_days": q_improve_by_sensor_both_days,

@@ -51,7 +51,7 @@ _DEDUP = """
     FROM {src}) WHERE rn = 1"""
 
 
-def _readings_cte(validate_first: bool = False) -> str:
+def _readings_cte(validate_first: bool = False, seconds: bool = False) -> str:
     if validate_first:
         steps = (f"valid AS (SELECT * FROM extracted WHERE {_VALID}),\n"
                  f"dedup AS ({_DEDUP.format(src='valid')}),\n"
@@ -59,7 +59,10 @@ def _readings_cte(validate_first: bool = False) -> str:
     else:
         steps = (f"dedup AS ({_DEDUP.format(src='extracted')}),\n"
                  f"kept AS (SELECT * FROM dedup WHERE {_VALID})")
-    return f"""WITH {EXTRACTED},
+    extracted = EXTRACTED.replace("SELECT e.event_id AS id, e.ts,",
+                                  "SELECT e.event_id AS id, date_trunc('second', e.ts) AS ts,") \
+        if seconds else EXTRACTED
+    return f"""WITH {extracted},
 {steps},
 banded AS (
   SELECT country, latitude, longitude, sensor_id, date,
@@ -173,6 +176,7 @@ def _ramp_channel(i: int) -> str:
 
 ORACLE: dict[str, str] = {
     "readings_clean": f"{READINGS} SELECT * FROM readings",
+    "readings_from_json": f"{_readings_cte(seconds=True)} SELECT * FROM readings",
     "improve_by_country": f"{READINGS}, {_improvement('readings', 'country, country_name')} "
                           "SELECT * FROM improvement",
     "improve_by_sensor": f"{READINGS}, {_improvement('readings', 'sensor_id')} SELECT * FROM improvement",

@@ -119,3 +119,13 @@ def nested_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.col("sensor_id").alias("id"),
                  F.struct(F.lit("SDS011").alias("name")).alias("sensor_type")).alias("sensor"),
         values.alias("sensordatavalues"))
+
+
+def json_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``nested_readings`` as JSON text, parsed back with the ``RAW`` schema:
+    the reading source as the batch ingest sees it (timestamps to the second)."""
+    from airlens.schemas import RAW
+
+    nested = nested_readings(spark, sf_dir).drop("date")
+    text = nested.select(F.to_json(F.struct(*nested.columns)).alias("line"))
+    return text.select(F.from_json("line", RAW).alias("r")).select("r.*")
