@@ -98,6 +98,8 @@ def run(spark: SparkSession, o: JobOptions) -> dict[str, str]:
 
     def save(name: str, df: DataFrame) -> None:
         path = f"{out}/{name}"
+        # thread-local: names the Spark jobs of this write in the event log
+        spark.sparkContext.setJobDescription(f"airlens: write {name}")
         sinks.write_table(df, path)
         written[name] = path
 
@@ -112,6 +114,7 @@ def run(spark: SparkSession, o: JobOptions) -> dict[str, str]:
 
     # 1. ingest -> curated readings (partitioned by day), read back
     with _Timer(tm, "ingest"):
+        spark.sparkContext.setJobDescription("airlens: ingest")
         clean, codes = _clean(spark, o)
         sinks.write_curated(clean, f"{out}/readings")
         written["readings"] = f"{out}/readings"
@@ -123,8 +126,9 @@ def run(spark: SparkSession, o: JobOptions) -> dict[str, str]:
 
     # 2. countries, alongside 3a. the region fit (both only read the curated table)
     def countries() -> None:
+        spark.sparkContext.setJobDescription("airlens: countries")
         with _Timer(tm, "countries"):
-            save("profile", spark.createDataFrame([prof], ingest.profile(clean).schema))
+            save("profile", spark.createDataFrame([prof], ingest.profile(clean).schema).coalesce(1))
             improvement = delta.day_over_day(clean, ["country", "country_name"], as_of=as_of,
                                              previous=o.previous,
                                              require_both_days=o.require_both_days)
@@ -134,6 +138,7 @@ def run(spark: SparkSession, o: JobOptions) -> dict[str, str]:
                      lambda: save("worst_today", delta.level_on_day(clean, ["country"], as_of=as_of)))
 
     def fit() -> None:
+        spark.sparkContext.setJobDescription("airlens: region fit")
         with _Timer(tm, "regions_fit"):
             per = "sensor_id" if o.train_on == "sensors" else None
             # pinned layout sized from the known row count (an upper bound on
@@ -162,6 +167,7 @@ def run(spark: SparkSession, o: JobOptions) -> dict[str, str]:
     cents = bounded_broadcast(sinks.read_table(spark, written["centroids"]), regions.MAX_CENTROIDS)
 
     def rank() -> None:
+        spark.sparkContext.setJobDescription("airlens: region rank")
         with _Timer(tm, "regions_rank"):
             region_imp = (delta.day_over_day(clustered, ["cluster"], as_of=as_of, previous=o.previous,
                                              require_both_days=o.require_both_days, ranked=False)
@@ -175,6 +181,7 @@ def run(spark: SparkSession, o: JobOptions) -> dict[str, str]:
                      present.region_markers(sinks.read_table(spark, written["region_chart"])))
 
     def streaks() -> None:
+        spark.sparkContext.setJobDescription("airlens: streaks")
         with _Timer(tm, "streaks"):
             daily = runs.daily_flags(clustered, ["cluster"])
             save("streak_series", runs.runs(daily, ["cluster"], gap=o.gap))
@@ -195,6 +202,7 @@ def run(spark: SparkSession, o: JobOptions) -> dict[str, str]:
             together(*tasks)
 
     def maps() -> None:
+        spark.sparkContext.setJobDescription("airlens: maps")
         with _Timer(tm, "maps"):
             tasks = [
                 lambda: save("zone_points", present.zone_points(
