@@ -240,6 +240,7 @@ def q_streak_bins(spark, sf):
 def q_best_region_bins(spark, sf):
     ws = _region_streaks(spark, sf)
     top = best(runs.max_runs(ws, ["cluster"], ranked=False), "max_streak", ["cluster"])
+    # ``top`` is one row (a limit), so its broadcast is bounded
     return runs.run_bins(ws, ["cluster"]).join(F.broadcast(top.select("cluster")), "cluster")
 
 

@@ -10,7 +10,7 @@ other. The role mapping of the tables is the one in ``airlens.sources.tables``.
 from __future__ import annotations
 
 from airlens.constants import (GOOD_INDEX_LIMIT, INDEX_PALETTE, K_REGIONS, NO_DATA_COLOUR,
-                               PM10_THRESHOLDS, PM25_THRESHOLDS, SAMPLE_POINTS,
+                               PM10_THRESHOLDS, PM25_THRESHOLDS, RAMP_COLOURS, SAMPLE_POINTS,
                                TOOLTIP_CENTROID, TOOLTIP_IMPROVEMENT, TOOLTIP_NO_STREAK,
                                TOOLTIP_STREAK, TOP_COUNTRIES, TOP_REGIONS)
 
@@ -167,7 +167,6 @@ binned AS (
 
 
 def _ramp_channel(i: int) -> str:
-    from airlens.constants import RAMP_COLOURS
     vals = [int(c.lstrip("#")[2 * i:2 * i + 2], 16) for c in RAMP_COLOURS]
     a, b, c = vals
     return (f"CASE WHEN seg = 0 THEN CAST(trunc({a}.0 + {b - a}.0 * u) AS INTEGER) "
