@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from airlens.schemas import CODES, RAW
 
-READINGS_GLOB = "sensors_*.json"
+# day files, plain or compressed (sensors_20240101.json, sensors_20240101.json.gz, ...)
+READINGS_GLOB = "sensors_*.json*"
 
 
 class InputError(RuntimeError):

@@ -131,3 +131,13 @@ def test_job_cli_parses_options():
                 "--gap", "calendar", "--previous", "2024-01-01", "--geometry", "sphere"])
     assert (o.tables, o.elbow, o.elbow_ks, o.gap, o.previous, o.geometry) == \
         ("/x", True, (2, 4), "calendar", "2024-01-01", "sphere")
+
+
+def test_compressed_day_files_are_read(spark, folder):
+    import gzip
+    text = (folder / "sensors_20240101.json").read_text()
+    (folder / "sensors_20240102.json.gz").write_bytes(gzip.compress(text.replace("2024-01-01", "2024-01-02").encode()))
+    raw = read_readings(spark, str(folder))
+    assert raw.count() == 32
+    days = {r.date for r in extract_readings(raw).select("date").distinct().collect() if r.date}
+    assert {str(d) for d in days} == {"2024-01-01", "2024-01-02"}
