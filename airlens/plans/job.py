@@ -240,6 +240,8 @@ def _parse(argv=None) -> JobOptions:
     p.add_argument("--require-both-days", action="store_true")
     p.add_argument("--as-of")
     p.add_argument("--previous", help="comparison day (default: the day before --as-of)")
+    p.add_argument("--concurrency", type=int, default=4,
+                   help="independent branches submitted side by side (1 = one after another)")
     p.add_argument("--train-on", choices=["positions", "sensors"], default="positions",
                    help="K-Means training points: distinct positions or one mean per sensor")
     p.add_argument("--geometry", choices=["degrees", "sphere"], default="degrees",
@@ -251,7 +253,7 @@ def _parse(argv=None) -> JobOptions:
                       maps=not a.no_maps, gap=a.gap, match=a.match,
                       dedupe_on=a.dedupe_on, validate_first=a.validate_first,
                       require_both_days=a.require_both_days, as_of=a.as_of, previous=a.previous,
-                      train_on=a.train_on, geometry=a.geometry)
+                      train_on=a.train_on, geometry=a.geometry, concurrency=a.concurrency)
 
 
 def main(argv=None) -> None:
