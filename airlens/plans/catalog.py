@@ -89,6 +89,13 @@ def q_improve_by_country(spark, sf):
     return delta.day_over_day(readings(spark, sf), ["country", "country_name"])
 
 
+def q_improve_by_type(spark, sf):
+    # the operators on another schema: events banded directly, one entity per event type
+    ev = tables.load(spark, sf, "events").select(
+        "event_type", F.to_date("ts").alias("day"), band("value", PM10_THRESHOLDS).alias("idx"))
+    return delta.day_over_day(ev, ["event_type"], date="day", value="idx", out="improvement")
+
+
 def q_improve_by_sensor(spark, sf):
     return delta.day_over_day(readings(spark, sf), ["sensor_id"])
 
@@ -301,6 +308,7 @@ QUERIES: dict[str, Query] = {
     "readings_clean": q_readings_clean,
     "readings_from_json": q_readings_from_json,
     "improve_by_country": q_improve_by_country,
+    "improve_by_type": q_improve_by_type,
     "improve_by_sensor": q_improve_by_sensor,
     "improve_by_sensor_both_days": q_improve_by_sensor_both_days,
     "worst_today": q_worst_today,

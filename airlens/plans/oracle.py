@@ -178,6 +178,16 @@ ORACLE: dict[str, str] = {
     "readings_from_json": f"{_readings_cte(seconds=True)} SELECT * FROM readings",
     "improve_by_country": f"{READINGS}, {_improvement('readings', 'country, country_name')} "
                           "SELECT * FROM improvement",
+    "improve_by_type": f"""WITH ev AS (
+  SELECT event_type, CAST(ts AS DATE) AS day, {_case('value', PM10_THRESHOLDS)} AS idx FROM events
+),
+d AS (SELECT max(day) AS t FROM ev),
+daily AS (
+  SELECT event_type, day, avg(idx) AS a FROM ev
+  WHERE day = (SELECT t FROM d) OR day = (SELECT t FROM d) - 1 GROUP BY event_type, day
+)
+SELECT event_type, sum(CASE WHEN day = (SELECT t FROM d) THEN -a ELSE a END) AS improvement
+FROM daily GROUP BY event_type""",
     "improve_by_sensor": f"{READINGS}, {_improvement('readings', 'sensor_id')} SELECT * FROM improvement",
     "improve_by_sensor_both_days": f"{READINGS}, {_improvement('readings', 'sensor_id', both=True)} "
                                    "SELECT * FROM improvement",
