@@ -7,7 +7,6 @@ import pytest
 
 from airlens.operators import delta, runs
 from airlens.plans import catalog
-from airlens.plans.oracle import ORACLE
 from tests.conftest import SF_SMALL
 
 
@@ -18,7 +17,7 @@ def formatted(df) -> str:
     return buf.getvalue()
 
 
-@pytest.mark.parametrize("name", sorted(ORACLE))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_no_python_udf(spark, name):
     p = formatted(catalog.QUERIES[name](spark, SF_SMALL))
     for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas"):
