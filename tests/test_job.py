@@ -82,3 +82,23 @@ def test_rerun_reuses_model(ran):
     b = spark.read.parquet(w2["centroids"]).orderBy("cluster").collect()
     assert a == b
     assert spark.read.parquet(w2["region_fit"]).first().training_cost is None
+
+
+def test_job_on_tables_equals_registered_queries(spark, tmp_path):
+    """The job (curated table, literal 'today') and the registered queries
+    (lazy pipeline, in-plan max(date)) give the same country results."""
+    from airlens.plans import catalog
+    from tests.conftest import SF_SMALL
+    opts = job.JobOptions(out=str(tmp_path / "out"), tables=SF_SMALL, k=5, maps=False)
+    written = job.run(spark, opts)
+
+    def rows(df, cols):
+        return sorted(map(tuple, df.select(*cols).collect()), key=str)
+
+    cols = ["country", "country_name", "AQI_improvement"]
+    assert rows(spark.read.parquet(written["country_improvement"]), cols) == \
+        rows(catalog.q_improve_by_country(spark, SF_SMALL), cols)
+    assert rows(spark.read.parquet(written["worst_today"]), ["country", "avg_AQI"]) == \
+        rows(catalog.q_worst_today(spark, SF_SMALL), ["country", "avg_AQI"])
+    assert rows(spark.read.parquet(written["profile"]), ["rows", "first_date", "last_date"]) == \
+        rows(catalog.q_date_profile(spark, SF_SMALL), ["rows", "first_date", "last_date"])
