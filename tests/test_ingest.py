@@ -141,3 +141,12 @@ def test_compressed_day_files_are_read(spark, folder):
     assert raw.count() == 32
     days = {r.date for r in extract_readings(raw).select("date").distinct().collect() if r.date}
     assert {str(d) for d in days} == {"2024-01-01", "2024-01-02"}
+
+
+def test_both_sources_produce_the_extracted_contract(spark, folder):
+    from airlens.schemas import EXTRACTED_COLUMNS
+    from airlens.sources import tables
+    from tests.conftest import SF_SMALL
+    assert tuple(extract_readings(read_readings(spark, str(folder))).columns) == EXTRACTED_COLUMNS
+    assert tuple(tables.extracted_readings(spark, SF_SMALL).columns) == EXTRACTED_COLUMNS
+    assert tuple(extract_readings(tables.json_readings(spark, SF_SMALL)).columns) == EXTRACTED_COLUMNS
