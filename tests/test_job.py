@@ -102,3 +102,16 @@ def test_job_on_tables_equals_registered_queries(spark, tmp_path):
         rows(catalog.q_worst_today(spark, SF_SMALL), ["country", "avg_AQI"])
     assert rows(spark.read.parquet(written["profile"]), ["rows", "first_date", "last_date"]) == \
         rows(catalog.q_date_profile(spark, SF_SMALL), ["rows", "first_date", "last_date"])
+
+
+def test_concurrency_does_not_change_results(spark, tmp_path):
+    from tests.conftest import SF_SMALL
+    outs = {}
+    for c in (1, 4):
+        opts = job.JobOptions(out=str(tmp_path / f"out{c}"), tables=SF_SMALL, k=5, concurrency=c)
+        outs[c] = job.run(spark, opts)
+    assert set(outs[1]) == set(outs[4])
+    for name in outs[1]:
+        a = spark.read.parquet(outs[1][name])
+        b = spark.read.parquet(outs[4][name])
+        assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str), name
