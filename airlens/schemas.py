@@ -28,6 +28,23 @@ RAW = T.StructType([
     T.StructField("sensordatavalues", T.ArrayType(VALUE_ENTRY)),
 ])
 
+# Only the fields the ingest uses. The JSON reader does not prune nested
+# fields by itself (its ReadSchema keeps every field of ``RAW``); reading with
+# this schema lets the parser skip the rest of each record.
+INGEST = T.StructType([
+    T.StructField("id", T.LongType()),
+    T.StructField("timestamp", T.StringType()),
+    T.StructField("location", T.StructType([
+        T.StructField("latitude", T.StringType()),
+        T.StructField("longitude", T.StringType()),
+        T.StructField("country", T.StringType()),
+    ])),
+    T.StructField("sensor", T.StructType([
+        T.StructField("id", T.LongType()),
+    ])),
+    T.StructField("sensordatavalues", T.ArrayType(VALUE_ENTRY)),
+])
+
 # The country dimension: one JSON array of objects.
 CODES = T.StructType([
     T.StructField("alpha2Code", T.StringType()),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from airlens.schemas import CODES, RAW
+from airlens.schemas import CODES, INGEST
 
 # day files, plain or compressed (sensors_20240101.json, sensors_20240101.json.gz, ...)
 READINGS_GLOB = "sensors_*.json*"
@@ -14,15 +14,18 @@ class InputError(RuntimeError):
     """A source path is missing or holds no usable data."""
 
 
-def read_readings(spark: SparkSession, path: str, glob: str | None = READINGS_GLOB) -> DataFrame:
-    """Scan a folder of JSON-lines readings with the explicit ``RAW`` schema.
+def read_readings(spark: SparkSession, path: str, glob: str | None = READINGS_GLOB,
+                  schema=INGEST) -> DataFrame:
+    """Scan a folder of JSON-lines readings with an explicit schema.
 
-    No inference pass; ``glob`` keeps other files in the folder (such as the
+    No inference pass. The default ``INGEST`` schema holds only the fields
+    the ingest uses, so the parser skips the others (pass ``RAW`` for every
+    field). ``glob`` keeps other files in the folder (such as the
     country-code array) out of the scan. Malformed lines give NULL fields and
     are dropped by extraction and cleaning. Raises ``InputError`` for a
     missing path (never exits the process).
     """
-    reader = spark.read.schema(RAW).option("mode", "PERMISSIVE")
+    reader = spark.read.schema(schema).option("mode", "PERMISSIVE")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     try:

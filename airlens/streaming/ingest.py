@@ -28,7 +28,7 @@ from pyspark.sql.streaming import StreamingQuery
 from airlens.operators.clean import DAY_KEY
 from airlens.operators.extract import extract_readings
 from airlens.plans.ingest import build_clean
-from airlens.schemas import RAW
+from airlens.schemas import INGEST
 from airlens.sources.json_readings import READINGS_GLOB, read_country_codes
 
 
@@ -39,7 +39,7 @@ MAX_DAYS_PER_BATCH = 100_000
 def stream_readings(spark: SparkSession, path: str, glob: str = READINGS_GLOB,
                     max_files_per_trigger: int | None = None) -> DataFrame:
     """A streaming DataFrame of raw readings from files landing in ``path``."""
-    reader = spark.readStream.schema(RAW).option("pathGlobFilter", glob)
+    reader = spark.readStream.schema(INGEST).option("pathGlobFilter", glob)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.json(path)
