@@ -118,7 +118,7 @@ def run(spark: SparkSession, o: JobOptions) -> dict[str, str]:
         clean, codes = _clean(spark, o)
         sinks.write_curated(clean, f"{out}/readings")
         written["readings"] = f"{out}/readings"
-        clean = sinks.read_table(spark, f"{out}/readings")
+        clean = sinks.read_curated(spark, f"{out}/readings")
         prof = ingest.profile(clean).first()          # one small aggregate
         if not prof["rows"]:
             raise InputError("no clean readings")

@@ -59,3 +59,15 @@ EXTRACTED_COLUMNS = ("id", "ts", "country", "latitude", "longitude",
 # Clean, banded, enriched readings.
 CLEAN_COLUMNS = ("country", "country_name", "latitude", "longitude",
                  "sensor_id", "date", "AQI")
+
+# The curated clean-readings table (partitioned by ``date``); read back with
+# this schema so the partition column's type is never inferred.
+CURATED = T.StructType([
+    T.StructField("country", T.StringType()),
+    T.StructField("country_name", T.StringType()),
+    T.StructField("latitude", T.DoubleType()),
+    T.StructField("longitude", T.DoubleType()),
+    T.StructField("sensor_id", T.LongType()),
+    T.StructField("AQI", T.IntegerType()),
+    T.StructField("date", T.DateType()),
+])

@@ -27,3 +27,9 @@ def write_curated(df: DataFrame, path: str, date: str = "date") -> None:
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
+
+
+def read_curated(spark: SparkSession, path: str) -> DataFrame:
+    """The curated readings with an explicit schema (no partition type inference)."""
+    from airlens.schemas import CLEAN_COLUMNS, CURATED
+    return spark.read.schema(CURATED).parquet(path).select(*CLEAN_COLUMNS)
