@@ -71,3 +71,16 @@ CURATED = T.StructType([
     T.StructField("AQI", T.IntegerType()),
     T.StructField("date", T.DateType()),
 ])
+
+# The streaming staging table: extracted readings partitioned by ``date``.
+STAGED = T.StructType([
+    T.StructField("id", T.LongType()),
+    T.StructField("ts", T.TimestampNTZType()),
+    T.StructField("country", T.StringType()),
+    T.StructField("latitude", T.DoubleType()),
+    T.StructField("longitude", T.DoubleType()),
+    T.StructField("sensor_id", T.LongType()),
+    T.StructField("P1", T.DoubleType()),
+    T.StructField("P2", T.DoubleType()),
+    T.StructField("date", T.DateType()),
+])

@@ -28,7 +28,7 @@ from pyspark.sql.streaming import StreamingQuery
 from airlens.operators.clean import DAY_KEY
 from airlens.operators.extract import extract_readings
 from airlens.plans.ingest import build_clean
-from airlens.schemas import INGEST
+from airlens.schemas import EXTRACTED_COLUMNS, INGEST, STAGED
 from airlens.sources.json_readings import READINGS_GLOB, read_country_codes
 
 
@@ -58,7 +58,8 @@ def _upsert_days(spark: SparkSession, batch: DataFrame, staging: str, curated: s
         raise ValueError(f"a batch touches more than {MAX_DAYS_PER_BATCH} days")
     if not touched:
         return
-    days = spark.read.parquet(staging).where(F.col("date").isin(touched))
+    days = (spark.read.schema(STAGED).parquet(staging)
+                 .where(F.col("date").isin(touched)).select(*EXTRACTED_COLUMNS))
     clean = build_clean(days, read_country_codes(spark, codes_path), key=key,
                         validate_first=validate_first)
     (clean.hint("rebalance", "date").sortWithinPartitions("date")
