@@ -41,7 +41,12 @@ def main() -> None:
     clean = spark.read.parquet(f"{scratch}/readings")
     model = regions.fit_regions(regions.training_points(clean), k=20, seed=42)
     clustered = regions.assign_regions(clean, model)
+    from airlens.plans import ingest
+    from airlens.sources import tables
+    tables.nested_readings(spark, sf).write.partitionBy("date").json(f"{scratch}/json")
     shapes = {
+        "ingest (JSON lines -> clean readings, no code table)": ingest.build_from_json(
+            spark, f"{scratch}/json", None, glob="*.json"),
         "ingest (driver tables -> clean readings)": catalog.readings(spark, sf),
         "curated write (REBALANCE by day)": catalog.readings(spark, sf).hint("rebalance", "date"),
         "day-over-day on the curated table, literal as_of": delta.day_over_day(
