@@ -16,6 +16,9 @@ from pyspark.sql import SparkSession
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # size coalesced partitions by the advisory size, not by the core count:
+    # fewer tiny tasks (the setting Spark recommends for busy clusters)
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a skewed join partition even when that costs one more shuffle
     # (e.g. a hot sensor in a sort-merge join whose output feeds the dedupe)

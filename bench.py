@@ -25,17 +25,16 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     scratch = tempfile.mkdtemp(prefix="run-", dir="/tmp")
 
-    from pyspark.sql import SparkSession
-    spark = (SparkSession.builder.master(f"local[{cpus}]")
-             .appName("airlens-bench")
-             .config("spark.ui.enabled", "false")
-             .config("spark.ui.showConsoleProgress", "false")
-             .config("spark.sql.shuffle.partitions", str(cpus))
-             .config("spark.sql.adaptive.enabled", "true")
-             .config("spark.sql.session.timeZone", "UTC")
-             .config("spark.driver.memory", "8g")
-             .config("spark.checkpoint.dir", f"{scratch}/checkpoints")
-             .getOrCreate())
+    from airlens.session import get_session
+    # the library's session defaults apply where these settings leave a key unset
+    spark = get_session("airlens-bench", master=f"local[{cpus}]", conf={
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+        "spark.sql.shuffle.partitions": str(cpus),
+        "spark.sql.session.timeZone": "UTC",
+        "spark.driver.memory": "8g",
+        "spark.checkpoint.dir": f"{scratch}/checkpoints",
+    })
     spark.sparkContext.setLogLevel("ERROR")
 
     from airlens.plans import catalog, job
