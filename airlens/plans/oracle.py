@@ -198,7 +198,7 @@ WHERE date = (SELECT max(date) FROM readings) GROUP BY country""",
 SELECT country, country_name, AQI_improvement,
        CASE WHEN AQI_improvement >= 0 THEN '#2ecc71' ELSE '#e74c3c' END AS colour,
        {_label('AQI_improvement', 2)} AS label
-FROM improvement ORDER BY AQI_improvement DESC, country LIMIT {TOP_COUNTRIES}""",
+FROM improvement ORDER BY AQI_improvement DESC NULLS LAST, country NULLS FIRST LIMIT {TOP_COUNTRIES}""",
     "country_map": f"""{READINGS},
 worst AS (SELECT country, avg(AQI) AS avg_AQI FROM readings
           WHERE date = (SELECT max(date) FROM readings) GROUP BY country),
@@ -270,13 +270,13 @@ SELECT CAST(i.cluster AS INTEGER) AS cluster, i.AQI_improvement,
        CASE WHEN i.AQI_improvement >= 0 THEN '#2ecc71' ELSE '#e74c3c' END AS colour,
        CAST(i.cluster AS VARCHAR) AS cluster_label
 FROM improvement i LEFT JOIN centroids c ON c.cluster = i.cluster
-ORDER BY i.AQI_improvement DESC, i.cluster LIMIT {TOP_REGIONS}""",
+ORDER BY i.AQI_improvement DESC NULLS LAST, i.cluster NULLS FIRST LIMIT {TOP_REGIONS}""",
     "region_markers": f"""{CLUSTERED}, {_improvement('clustered', 'cluster')},
 top AS (
   SELECT CAST(i.cluster AS INTEGER) AS cluster, i.AQI_improvement,
          round(c.centroid_lat, 9) AS centroid_lat, round(c.centroid_lon, 9) AS centroid_lon
   FROM improvement i LEFT JOIN centroids c ON c.cluster = i.cluster
-  ORDER BY i.AQI_improvement DESC, i.cluster LIMIT {TOP_REGIONS}
+  ORDER BY i.AQI_improvement DESC NULLS LAST, i.cluster NULLS FIRST LIMIT {TOP_REGIONS}
 ),
 placed AS (SELECT * FROM top WHERE centroid_lat IS NOT NULL AND centroid_lon IS NOT NULL),
 scaled AS (
@@ -329,7 +329,7 @@ FROM with_streak WHERE streak > 0 GROUP BY cluster, streak""",
                    "SELECT * FROM binned",
     "best_region_bins": f"""{CLUSTERED}, {_streaks('clustered', 'cluster')}, {_bins('cluster')},
 mx AS (SELECT cluster, max(streak) AS max_streak FROM with_streak GROUP BY cluster),
-top AS (SELECT cluster FROM mx ORDER BY max_streak DESC, cluster LIMIT 1)
+top AS (SELECT cluster FROM mx ORDER BY max_streak DESC NULLS LAST, cluster NULLS FIRST LIMIT 1)
 SELECT CAST(b.cluster AS INTEGER) AS cluster, b.streak, b.count FROM binned b JOIN top USING (cluster)""",
     "streak_tiers": f"""{CLUSTERED}, {_streaks('clustered', 'cluster')},
 hist AS (SELECT cluster, streak, count(*) AS cnt FROM with_streak WHERE streak > 0 GROUP BY cluster, streak),
