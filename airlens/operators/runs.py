@@ -38,29 +38,47 @@ def runs(daily: DataFrame, keys: Sequence[str], date: str = "date",
     every other row. ``gap="rows"`` counts observed rows (a missing day does
     not break a run, as in the original); ``gap="calendar"`` counts calendar
     days (a missing day ends the run).
+
+    ``grp`` is the island id of the classic gaps-and-islands form: the row
+    number within the entity minus the row number within (entity, flag) (in
+    calendar mode the day number minus the latter). Every window function
+    here uses the one spec (entity ORDER BY date): the row number within
+    (entity, flag) is a running count of the flag, and the position inside a
+    run is the row number minus a running max of run-start row numbers. So
+    each entity's days are sorted once, not once per window spec.
     """
     keys = list(keys)
     d, f = F.col(date), F.col(flag)
-    w_entity = Window.partitionBy(*keys).orderBy(date)
-    w_flag = Window.partitionBy(*keys, flag).orderBy(date)
+    w = Window.partitionBy(*keys).orderBy(date)
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     nxt = f"next_{flag}"
-    out = daily.withColumn(nxt, F.lead(flag, 1).over(w_entity))
+    out = (daily
+           .withColumn("_rn", F.row_number().over(w))
+           .withColumn(nxt, F.lead(flag, 1).over(w))
+           .withColumn("_prev", F.lag(flag, 1).over(w))
+           .withColumn("_rn_flag", F.when(f == 1, F.sum(f).over(upto))
+                                    .otherwise(F.sum(F.lit(1) - f).over(upto)).cast("int")))
     if gap == "rows":
-        out = out.withColumn("grp", F.row_number().over(w_entity) - F.row_number().over(w_flag))
+        out = out.withColumn("grp", F.col("_rn") - F.col("_rn_flag"))
+        starts = F.col("_prev").isNull() | (F.col("_prev") != f)
         continues = f == F.col(nxt)
     elif gap == "calendar":
         day_no = F.datediff(d, F.lit("1970-01-01").cast("date"))
-        out = (out.withColumn("grp", day_no - F.row_number().over(w_flag))
-                  .withColumn("_next_date", F.lead(date, 1).over(w_entity)))
+        out = (out.withColumn("grp", day_no - F.col("_rn_flag"))
+                  .withColumn("_prev_date", F.lag(date, 1).over(w))
+                  .withColumn("_next_date", F.lead(date, 1).over(w)))
+        starts = (F.col("_prev").isNull() | (F.col("_prev") != f)
+                  | (F.col("_prev_date") != F.date_sub(d, 1)))
         continues = (f == F.col(nxt)) & (F.col("_next_date") == F.date_add(d, 1))
     else:
         raise ValueError(f"gap must be 'rows' or 'calendar', not {gap!r}")
-    w_run = Window.partitionBy(*keys, flag, "grp").orderBy(date)
+    out = (out.withColumn("_start", F.when(starts, F.col("_rn")))
+              .withColumn("_pos", F.col("_rn") - F.max("_start").over(upto) + F.lit(1)))
     # Three-valued logic: on an entity's last row next is NULL, the condition
     # is NULL, and the row falls through to emit its run length.
-    streak = F.when((f == 0) | continues, F.lit(0)).otherwise(F.row_number().over(w_run))
-    out = out.withColumn("streak", streak)
-    return out.drop("_next_date")
+    streak = F.when((f == 0) | continues, F.lit(0)).otherwise(F.col("_pos")).cast("int")
+    return (out.withColumn("streak", streak)
+               .drop("_rn", "_prev", "_rn_flag", "_prev_date", "_next_date", "_start", "_pos"))
 
 
 def max_runs(with_streak: DataFrame, keys: Sequence[str], ranked: bool = True) -> DataFrame:

@@ -24,12 +24,16 @@ def test_no_python_udf(spark, name):
         assert node not in p, f"{name} runs Python: {node}"
 
 
-def test_runs_have_one_hash_exchange_and_no_range_exchange(spark):
+@pytest.mark.parametrize("gap", ["rows", "calendar"])
+def test_runs_sort_each_entity_once(spark, gap):
     daily = runs.daily_flags(catalog.readings(spark, SF_SMALL), ["sensor_id"])
-    p = formatted(runs.runs(daily, ["sensor_id"]))
+    p = formatted(runs.runs(daily, ["sensor_id"], gap=gap))
     assert "rangepartitioning" not in p
-    # the windows share one exchange on the entity key
-    assert p.count("hashpartitioning(sensor_id") >= 1
+    tree = p.split("\n\n")[0].split("\n")
+    above = tree[:next(i for i, line in enumerate(tree) if "Exchange" in line)]
+    # every window function shares one exchange on the entity and one sort
+    assert sum("Window (" in line for line in above) >= 1
+    assert sum("Sort (" in line for line in above) == 1
 
 
 def test_day_over_day_single_aggregate_shuffle(spark):
