@@ -42,6 +42,8 @@ def test_day_over_day_single_aggregate_shuffle(spark):
     res = delta.day_over_day(df, ["user_id"], as_of="2024-01-30", ranked=False)
     p = formatted(res)
     assert p.count("hashpartitioning(user_id") == 1
+    # conditional means keep fixed-width buffers: a hash aggregate, partial then final
+    assert "HashAggregate" in p and "SortAggregate" not in p and "partial_avg" in p
 
 
 def test_dimension_join_is_broadcast(spark):
