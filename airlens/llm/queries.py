@@ -4,17 +4,38 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from airlens.llm import jaccard_join
+from airlens.llm import jaccard_join, packing, token_counts, token_files
+from airlens.llm.shared import new_folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer(name: str) -> str:
+    """Place of a public tokenizer file, the same on every node."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = new_folder(spark, "token-files")
+    token_files.write_tokens(table(spark, sf_dir, "documents"), out, tokenizer("word_bpe_49k.json"), end_id=1)
+    return token_files.read_documents(spark, out)
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), limit=2048)
+
+
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_classes(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op7_ngram_jaccard_join,)}
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), end_id=2, size=1024)
+
+
+QUERIES = {f.__name__: f for f in (op1_token_files, op6_token_counts, op7_ngram_jaccard_join, op9_best_fit_packing)}
 
 ORACLE: dict[str, str] = {}
