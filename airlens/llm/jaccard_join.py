@@ -10,11 +10,13 @@ hashes). Two documents link when ``100 * |intersection| >= threshold * |union|``
    with the same prefix and size form one group, and an inverted list (a *run*)
    holds the groups of a prefix shingle; groups without a partner of fitting
    size in the run go, and equal runs count once.
-3. Groups expand to their distinct sets. Pairs are verified in rounds: first every set
+3. Groups expand to their distinct sets. Pairs are tested in rounds: first every set
    of a run against one hub of it; what a round links shares a label, and later
    rounds only test pairs of different labels, ending with every such pair. So a
    large family of copies costs about one test a member instead of all pairs, and
-   no link between different classes is lost.
+   no link between different classes is lost. A test first compares parity
+   bitmaps, which bound the symmetric difference from below; for the pairs that
+   may still link, the sets are made again from the texts and intersected.
 4. Components of the links are the classes.
 
 Nulls: a null text is empty. An empty set links with nothing, not even another
@@ -30,17 +32,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airlens.llm.components import components
-from airlens.llm.shared import columns, staged
+from airlens.llm.shared import columns, small_batches, staged
 from airlens.llm.words import U64, mix, shingle_sets
 
 HEAVY = 32          # a shingle of so many documents is ordered last; runs longer than this get hub rounds
 HEAVY_KEPT = 1 << 18  # at most so many frequent shingles are broadcast (12 bytes each)
 HUB_ROUNDS = 3      # hub rounds for long runs before the remaining pairs are tested
-FLUSH = 1 << 22     # shingles gathered in a task before they are sent on
-BITMAP = 8          # 64-bit words of a set's bitmap
+FLUSH = 1 << 21     # shingles gathered in a task before they are sent on
+BITMAP = 8          # 64-bit words of a set's short bitmap
 FILTER_BITS = 1 << 25  # bits of the filter that picks the texts whose sets are needed again
 
-_BLOB = "bucket int, tokens binary, counts binary, groups binary, sizes binary, extra binary"
+_BLOB = "bucket int, tokens binary, counts binary, groups binary, sizes binary, extra binary, maps binary"
 
 
 def _pack(values: np.ndarray, planes: int) -> bytes:
@@ -66,7 +68,7 @@ def _by_bucket(tokens: np.ndarray, bits: int, buckets: int) -> np.ndarray:
 
 def _blob_batch(rows: list[dict]) -> pa.RecordBatch:
     schema = pa.schema([("bucket", pa.int32())] + [(c, pa.binary()) for c in
-                                                   ("tokens", "counts", "groups", "sizes", "extra")])
+                                                   ("tokens", "counts", "groups", "sizes", "extra", "maps")])
     return pa.RecordBatch.from_pylist(rows, schema)
 
 
@@ -144,10 +146,49 @@ def _prefix(s: np.ndarray, threshold: int, heavy, df, cells) -> np.ndarray:
     return first
 
 
-def _bitmap(s: np.ndarray) -> bytes:
-    bits = np.zeros(64 * BITMAP, np.uint8)
-    bits[(s & U64(64 * BITMAP - 1)).astype(np.int64)] = 1
-    return np.packbits(bits).tobytes()
+def _parity(s: np.ndarray, bits: int) -> bytes:
+    """Bit k: whether an odd number of elements ends in k. Two maps differ in at most |A xor B| bits."""
+    odd = np.bincount((s & U64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def _wide(s: np.ndarray) -> bytes:
+    """A parity map of about one bit an element, a power of two."""
+    return _parity(s, max(256, 1 << int(len(s)).bit_length()))
+
+
+def _may_link(threshold: int):
+    """Of candidate pairs (a, b, na, nb, xa, xb) those whose maps leave a link possible."""
+    ones = np.array([bin(i).count("1") for i in range(256)], np.uint8)
+
+    def folded(x: bytes, size: int) -> np.ndarray:
+        return np.bitwise_xor.reduce(np.frombuffer(x, np.uint8).reshape(-1, size), axis=0)
+
+    def run(batches):
+        for batch in batches:
+            keep = []
+            for na, nb, xa, xb in zip(*(batch.column(k).to_pylist() for k in range(2, 6))):
+                size = min(len(xa), len(xb))
+                differ = int(ones[folded(xa, size) ^ folded(xb, size)].sum())
+                keep.append(differ * (100 + threshold) <= (100 - threshold) * (na + nb))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+    return run
+
+
+def _links(threshold: int):
+    """Of pairs (a, b, sa, sb) with packed sets those that link."""
+    def run(batches):
+        for batch in batches:
+            for one in small_batches([batch], 256):
+                keep, last, sa = [], None, None
+                for a, xa, xb in zip(*(one.column(k).to_pylist() for k in (0, 2, 3))):
+                    if a != last:
+                        last, sa = a, _unpack(xa, 6)
+                    sb = _unpack(xb, 6)
+                    both = len(np.intersect1d(sa, sb, assume_unique=True))
+                    keep.append(100 * both >= threshold * (len(sa) + len(sb) - both))
+                yield one.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+    return run
 
 
 def _set_id(s: np.ndarray, salt: int) -> int:
@@ -156,12 +197,12 @@ def _set_id(s: np.ndarray, salt: int) -> int:
 
 
 _MEMBER = np.dtype([("group", "<i8"), ("node", "<i8"), ("check", "<i8"), ("n", "<i8"),
-                    ("doc", "<i8"), ("known", "?"), ("bits", "V%d" % (8 * BITMAP))])
+                    ("doc", "<i8"), ("known", "?"), ("bits", "V%d" % (8 * BITMAP)), ("wide", "<i8")])
 
 
 def _prefix_lists(buckets: int, threshold: int, shared):
     """Per task: prefix shingles with their groups, in buckets, and a record of every document."""
-    def sent(tokens, groups, members):
+    def sent(tokens, groups, members, maps):
         rows = np.array(members, _MEMBER)
         where = (rows["group"].astype(U64) % U64(buckets)).astype(np.int64)
         if tokens:
@@ -177,6 +218,7 @@ def _prefix_lists(buckets: int, threshold: int, shared):
             if len(own):
                 row["extra"] = pa.compress(own.tobytes(), codec="zstd", asbytes=True)
                 row["counts"] = len(own).to_bytes(8, "little")
+                row["maps"] = b"".join(maps[k] for k in np.flatnonzero(where == b).tolist())
             if tokens and at[b + 1] > at[b]:
                 used, local = np.unique(index[at[b]:at[b + 1]], return_inverse=True)
                 row |= {"tokens": _pack(t[at[b]:at[b + 1]], 6), "sizes": sizes[used].astype("<i8").tobytes(),
@@ -188,7 +230,7 @@ def _prefix_lists(buckets: int, threshold: int, shared):
         heavy, df = shared.value
         cells = np.zeros(1 << 22, bool)
         cells[(heavy >> U64(18)).astype(np.int64)] = True
-        tokens, groups, members, n = [], {}, [], 0
+        tokens, groups, members, maps, n = [], {}, [], [], 0
         for batch in batches:
             ids = batch.column(0).to_pylist()
             for doc, s in zip(ids, shingle_sets(batch.column(1))):
@@ -200,26 +242,30 @@ def _prefix_lists(buckets: int, threshold: int, shared):
                         groups[group] = (first, len(s))
                         tokens.append(first)
                         n += len(first)
+                maps.append(_wide(s))
                 members.append((group, _set_id(s, 1), _set_id(s, 2), len(s), doc or 0, doc is not None,
-                                _bitmap(s)))
+                                _parity(s, 64 * BITMAP), len(maps[-1])))
                 if n >= FLUSH or len(members) >= FLUSH // 64:
-                    yield from sent(tokens, groups, members)
-                    tokens, groups, members, n = [], {}, [], 0
+                    yield from sent(tokens, groups, members, maps)
+                    tokens, groups, members, maps, n = [], {}, [], [], 0
         if members:
-            yield from sent(tokens, groups, members)
+            yield from sent(tokens, groups, members, maps)
     return run
 
 
-_FOUND = ("is_run boolean, run long, grp long, node long, check long, n long, doc long, bits array<long>")
+_FOUND = "is_run boolean, run long, grp long, node long, check long, n long, doc long, bits array<long>, wide binary"
 
 
 def _runs(table: pa.Table, threshold: int) -> pa.Table:
     """Of one bucket: distinct runs of two or more groups with a partner of fitting size; and its documents."""
-    token, group, size, members = [], [], [], []
-    for t, g, z, c, x in zip(*(table.column(k).to_pylist() for k in ("tokens", "groups", "sizes", "counts", "extra"))):
+    token, group, size, members, wide = [], [], [], [], []
+    for t, g, z, c, x, w in zip(*(table.column(k).to_pylist() for k in
+                                  ("tokens", "groups", "sizes", "counts", "extra", "maps"))):
         if x is not None:
             n = int.from_bytes(c, "little")
             members.append(np.frombuffer(pa.decompress(x, n * _MEMBER.itemsize, codec="zstd", asbytes=True), _MEMBER))
+            at = np.concatenate([[0], np.cumsum(members[-1]["wide"])]).tolist()
+            wide += [w[i:j] for i, j in zip(at[:-1], at[1:])]
         if t is not None:
             k = len(z) // 8
             token.append(_unpack(t, 6))
@@ -265,23 +311,23 @@ def _runs(table: pa.Table, threshold: int) -> pa.Table:
         "n": np.concatenate([n, m["n"]]).astype(np.int64),
         "doc": pa.concat_arrays([none(r), pa.array(m["doc"].astype(np.int64), mask=~m["known"])]),
         "bits": pa.concat_arrays([none(r, pa.list_(pa.int64())), lists]),
+        "wide": pa.concat_arrays([none(r, pa.binary()), pa.array(wide, pa.binary())]),
     })
 
 
 def _sets_of(shared):
-    """(node, set) of the documents whose id passes the filter."""
+    """(node, packed set) of the documents whose id passes the filter."""
     def run(batches):
         bits = shared.value
         for batch in batches:
             slot = _slots(batch.column(0))
             hit = pa.array((bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1)
-            some = batch.filter(hit)
-            if some.num_rows:
-                sets = list(shingle_sets(some.column(1)))
-                bounds = np.cumsum([0] + [len(s) for s in sets]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([_set_id(s, 1) for s in sets], pa.int64()),
-                    pa.ListArray.from_arrays(bounds, pa.array(np.concatenate(sets).astype(np.int64)))], ["node", "s"])
+            for some in small_batches([batch.filter(hit)], 256):
+                node, packed = [], []
+                for s in shingle_sets(some.column(1)):
+                    node.append(_set_id(s, 1))
+                    packed.append(_pack(s >> U64(16), 6))
+                yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(packed, pa.binary())], ["node", "s"])
     return run
 
 
@@ -310,39 +356,60 @@ def jaccard_classes(docs: DataFrame, id: str = "doc_id", text: str = "text", thr
     shared = spark.sparkContext.broadcast(heavy_shingles(docs, "text", buckets))
     found = staged(docs.mapInArrow(_prefix_lists(buckets, threshold, shared), _BLOB).groupBy("bucket")
                    .applyInArrow(lambda t: _runs(t, threshold), _FOUND), "runs")
-    members = found.where("not is_run").select("doc", "n", "node", "check", "grp", "bits")
+    members = found.where("not is_run").select("doc", "n", "node", "check", "grp", "bits", "wide")
     distinct = (members.where("n > 0").groupBy("node")
                 .agg(F.min("doc").alias("doc"), F.min("check").alias("low"), F.max("check").alias("high"),
-                     F.first("n").alias("n"), F.first("grp").alias("grp"), F.first("bits").alias("bits")))
-    distinct = staged(distinct.withColumn("n", F.expr(
-        "if(low = high, n, raise_error('two shingle sets share a 64-bit name: change the salt of _set_id'))"))
-        .drop("low", "high"), "nodes")
+                     F.min(F.struct("n", "grp", "bits", "wide")).alias("own")))
+    distinct = staged(distinct.select("node", "doc", F.expr(
+        "if(low = high, own.n, raise_error('two shingle sets share a 64-bit name: change the salt of _set_id'))")
+        .alias("n"), "own.grp", "own.bits", "own.wide"), "nodes")
 
     runs = found.where("is_run").select("run", "grp").distinct()
     sets = distinct.select("grp", "node", "n")
     within = distinct.groupBy("grp").agg(F.count("*").alias("k")).where("k > 1").select(F.col("grp").alias("run"), "grp")
     live = staged(runs.union(within).join(sets, "grp").select("run", "node", "n").distinct(), "lists")
-    picked = spark.sparkContext.broadcast(_id_filter(distinct.join(live.select("node").distinct(), "node")))
-    shingles = staged(docs.mapInArrow(_sets_of(picked), "node long, s array<long>")
-                      .join(live.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]), "sets")
 
     fits = f"100 * least(n, m) >= {threshold} * greatest(n, m)"
-    labels, tested = None, None
+    labels, tested, shingles = None, None, None
 
     def labelled(rows: DataFrame) -> DataFrame:
         if labels is None:
             return rows.withColumn("label", F.col("node"))
         return rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
-    def verified(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    def fetched(pairs: DataFrame) -> DataFrame:
+        """The sets of all nodes of the pairs; those not yet at hand are made from the texts."""
+        need = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        if shingles is not None:
+            need = need.join(shingles.select("node"), "node", "left_anti")
+        need = staged(distinct.join(need, "node", "left_semi").select("node", "doc"), "needed")
+        if shingles is not None and need.isEmpty():
+            return shingles
+        picked = spark.sparkContext.broadcast(_id_filter(need))
+        made = (docs.mapInArrow(_sets_of(picked), "node long, s binary").join(need, "node", "left_semi")
+                .dropDuplicates(["node"]))
+        made = staged(made, "sets", "none")
+        return made if shingles is None else shingles.union(made)
+
+    def tried(pairs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+        """(the pairs not tried before, those of them that link)."""
+        nonlocal shingles
         new = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        new = staged(new if tested is None else new.join(tested, ["a", "b"], "left_anti"), "pairs")
+        if tested is not None:
+            new = new.join(tested, ["a", "b"], "left_anti")
+        of = distinct.select("node", "n", "wide")
+        new = staged(new, "pairs")
+        maps = (new.join(of.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("wide").alias("xa")), "a")
+                .join(of.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("wide").alias("xb")), "b")
+                .select("a", "b", "na", "nb", "xa", "xb"))
+        maybe = staged(maps.mapInArrow(_may_link(threshold), "a long, b long"), "maybe")
+        if maybe.isEmpty():
+            return new, None
+        shingles = fetched(maybe)
         sa = shingles.select(F.col("node").alias("a"), F.col("s").alias("sa"))
         sb = shingles.select(F.col("node").alias("b"), F.col("s").alias("sb"))
-        both = F.size(F.array_intersect("sa", "sb"))
-        links = (new.join(sa, "a").join(sb, "b")
-                 .where(100 * both >= threshold * (F.size("sa") + F.size("sb") - both)).select("a", "b"))
-        return new, staged(links, "links")
+        both = maybe.join(sa, "a").join(sb, "b").select("a", "b", "sa", "sb")
+        return new, staged(both.mapInArrow(_links(threshold), "a long, b long"), "links")
 
     def relabelled(links: DataFrame) -> DataFrame:
         edges = links if labels is None else links.join(
@@ -383,9 +450,9 @@ def jaccard_classes(docs: DataFrame, id: str = "doc_id", text: str = "text", thr
             hubs = all_left if turn > 1 else hubs.where("false").union(all_left).union(
                 live.where(f"k > {HEAVY} and node <> hub.node and label <> hub.label")
                 .withColumn("m", F.col("hub.n")).where(fits).select(F.col("node").alias("a"), F.col("hub.node").alias("b")))
-        new, links = verified(hubs)
+        new, links = tried(hubs)
         tested = new if tested is None else tested.union(new)
-        if not links.isEmpty():
+        if links is not None and not links.isEmpty():
             labels = relabelled(links)
         live = live.select("run", "node", "n") if turn == 0 else \
             live.where("false" if turn > HUB_ROUNDS else f"k > {HEAVY}").select("run", "node", "n")

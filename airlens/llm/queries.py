@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from airlens.llm import jaccard_join, packing, token_counts, token_files
+from airlens.llm import jaccard_join, packing, quality, tiling, token_counts, token_files
 from airlens.llm.shared import new_folder
 
 
@@ -24,6 +24,15 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_documents(spark, out)
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score_quality(docs, quality.fit_quality(docs, table(spark, sf_dir, "labels")))
+
+
+def op5_benchmark_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tiling.benchmark_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), limit=2048)
 
@@ -36,6 +45,8 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), end_id=2, size=1024)
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op6_token_counts, op7_ngram_jaccard_join, op9_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (
+    op1_token_files, op2_quality_classifier, op5_benchmark_tiling, op6_token_counts, op7_ngram_jaccard_join,
+    op9_best_fit_packing)}
 
 ORACLE: dict[str, str] = {}
