@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from airlens.llm import jaccard_join, packing, quality, tiling, token_counts, token_files
+from airlens.llm import chat_format, html_text, jaccard_join, packing, quality, tiling, token_counts, token_files
 from airlens.llm.shared import new_folder
 
 
@@ -29,6 +29,17 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(docs, quality.fit_quality(docs, table(spark, sf_dir, "labels")))
 
 
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and conversation -1, whose texts hold the template's own control strings."""
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)],
+                                  "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(extra)
+    out = new_folder(spark, "conversations")
+    chat_format.format_conversations(rows).write.parquet(out)
+    return chat_format.read_digests(spark, out)
+
+
 def op5_benchmark_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiling.benchmark_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -45,8 +56,12 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), end_id=2, size=1024)
 
 
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_pages(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_token_files, op2_quality_classifier, op5_benchmark_tiling, op6_token_counts, op7_ngram_jaccard_join,
-    op9_best_fit_packing)}
+    op1_token_files, op2_quality_classifier, op3_chat_format, op5_benchmark_tiling, op6_token_counts, op7_ngram_jaccard_join,
+    op9_best_fit_packing, op10_html_text)}
 
 ORACLE: dict[str, str] = {}

@@ -26,8 +26,8 @@ WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ſ"
 _MARKS = "!-&(-/:-@\\[-`{-~"   # ASCII punctuation without the apostrophe of contractions
 _SPLIT = re.compile(f"([ \n]?)([{_LETTERS}]+)([{_MARKS}]*)")
-_ODD_SPACE = re.compile("[\\s᠎​﻿][ \n]")
-_SAFE_CUT = re.compile("(?<=[^\\s᠎​﻿])(?=[ \n])")
+_ODD_SPACE = re.compile("[\\s\u180e\u200b\ufeff][ \n]")
+_SAFE_CUT = re.compile("(?<=[^\\s\u180e\u200b\ufeff])(?=[ \n])")
 
 
 def pipeline_kind(spec: dict) -> str:

@@ -33,7 +33,7 @@ OVERLAP = 1 << 8    # characters that neighbouring chunks share at first
 TEXT_RUN = 1 << 20
 
 # a cut stands before the space; the character before it is white space under no definition
-_CUT = re.compile("(?<=[^\\s᠎​﻿])(?=[ \n][^\\s᠎​﻿])")
+_CUT = re.compile("(?<=[^\\s\u180e\u200b\ufeff])(?=[ \n][^\\s\u180e\u200b\ufeff])")
 
 Spans = tuple[np.ndarray, np.ndarray, np.ndarray]   # ids, first and last character of each token
 
