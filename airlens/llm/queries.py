@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from airlens.llm import chat_format, html_text, jaccard_join, packing, quality, tiling, token_counts, token_files
+from airlens.llm import chat_format, html_text, imatch, jaccard_join, packing, quality, tiling, token_counts, token_files
 from airlens.llm.shared import new_folder
 
 
@@ -52,6 +52,10 @@ def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_classes(table(spark, sf_dir, "documents"))
 
 
+def op8_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), end_id=2, size=1024)
 
@@ -62,6 +66,6 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_token_files, op2_quality_classifier, op3_chat_format, op5_benchmark_tiling, op6_token_counts, op7_ngram_jaccard_join,
-    op9_best_fit_packing, op10_html_text)}
+    op8_imatch_fingerprints, op9_best_fit_packing, op10_html_text)}
 
 ORACLE: dict[str, str] = {}
