@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from airlens.llm.shared import ascii_lower, columns, staged
 
 LOW, HIGH = 1 / 1000, 1 / 20   # band of document shares: idf from ln 20 to ln 1000
-SUBSETS = 20
+SUBSETS = 15                   # families of nested lexicons
 BROADCAST_TERMS = 1 << 20      # larger lexicons, or texts at the bucket edges, are joined by shuffle
 BROADCAST_BYTES = 32 << 20
 
@@ -44,21 +44,33 @@ def lexicon(docs: DataFrame, text: str = "text", low: float = LOW, high: float =
             .select("term"))
 
 
-def fingerprint(kept: Column, text_hash: Column) -> Column:
-    """The subset hashes of an array of distinct lexicon terms as one string."""
-    ordered = F.array_sort(kept)
+def depths(term: Column) -> Column:
+    """Per family the sparsest lexicon that holds the term (0 to 15: trailing zero bits of a hash), 4 bits each."""
+    packed = F.lit(0).cast("long")
+    for k in range(SUBSETS):
+        h = F.xxhash64(term, F.lit(k)).bitwiseAND(F.lit((1 << 15) - 1))
+        zeros = F.bit_count(F.bitwise_not(h).bitwiseAND(h - 1).bitwiseAND(F.lit((1 << 15) - 1)))
+        packed = packed.bitwiseOR(F.shiftleft(zeros.cast("long"), 4 * k))
+    return packed
 
-    def depth(k: int):
-        """The sparsest lexicon of family k that holds a term: the trailing zero bits of its hash."""
-        h = lambda t: F.xxhash64(t, F.lit(k)).bitwiseAND(F.lit((1 << 62) - 1))
-        return lambda t: F.bit_count(F.bitwise_not(h(t)).bitwiseAND(h(t) - 1))
 
+def _depth(packed: Column, k: int) -> Column:
+    return F.shiftright(packed, 4 * k).bitwiseAND(F.lit(15))
+
+
+def deepest(packed: Column, use: Column) -> list[Column]:
+    """Aggregates: per family the sparsest lexicon that holds any of a text's terms."""
+    return [F.max(F.when(use, _depth(packed, k))) for k in range(SUBSETS)]
+
+
+def fingerprint(ordered: Column, deepest_of: list[Column], text_hash: Column) -> Column:
+    """The hash of each family as one string; ``ordered`` holds structs (term, packed depths), sorted."""
     def chosen(k: int):
-        deepest = F.array_max(F.transform(ordered, depth(k)))
-        return F.filter(ordered, lambda t: depth(k)(t) == deepest)
+        return lambda x: _depth(x["packed"], k) == deepest_of[k]
 
-    parts = [F.lpad(F.hex(F.xxhash64(F.concat_ws(" ", chosen(k)))), 16, "0") for k in range(SUBSETS)]
-    return F.when(F.size(kept) == 0, F.concat(F.lit("text:"), F.hex(text_hash))).otherwise(F.concat_ws(":", *parts))
+    parts = [F.lpad(F.hex(F.xxhash64(F.concat_ws(" ", F.transform(F.filter(ordered, chosen(k)), lambda x: x["term"])))),
+                    16, "0") for k in range(SUBSETS)]
+    return F.when(F.size(ordered) == 0, F.concat(F.lit("text:"), F.hex(text_hash))).otherwise(F.concat_ws(":", *parts))
 
 
 def likeness(a: str, b: str) -> Column:
@@ -126,9 +138,9 @@ def fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Dat
     spark = docs.sparkSession
     one = columns(docs, id, text).select(F.col(f"`{id}`").cast("long").alias("doc"),
                                          F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
-    words = staged(lexicon(one), "lexicon")
+    words = staged(lexicon(one).withColumn("packed", depths(F.col("term"))), "lexicon")
     n_words = words.count()
-    words = words.union(spark.createDataFrame([("",)], "term string"))
+    words = words.union(spark.createDataFrame([("", None)], "term string, packed long"))
     if n_words <= BROADCAST_TERMS:
         words = F.broadcast(words)
 
@@ -144,15 +156,20 @@ def fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Dat
     each = rows.select("bucket", "row", "own", versions)
     each = each.select("bucket", "row", F.when(F.col("v.is_own"), F.col("own")).alias("own"), F.col("v.is_own").alias("is_own"),
                        F.explode(terms(F.col("v.said"))).alias("term"))
-    # the bucket comes first, so the rows stay where the sort by range left them
-    kept = (each.join(words, "term").groupBy("bucket", "row").agg(
+    # rows of a bucket stay in its partition, so this grouping moves nothing
+    in_own, in_edited = (F.col("term") != "") & F.col("is_own"), (F.col("term") != "") & ~F.col("is_own")
+    entry = F.struct("term", "packed")
+    kept = each.join(words, "term").groupBy("bucket", "row").agg(
         F.max(F.when((F.col("term") == "") & F.col("is_own"), F.col("own"))).alias("own"),
-        F.collect_list(F.when((F.col("term") != "") & F.col("is_own"), F.col("term"))).alias("terms"),
-        F.collect_list(F.when((F.col("term") != "") & ~F.col("is_own"), F.col("term"))).alias("edited_terms")))
-    found = staged(kept.select("own.*", "terms", "edited_terms").select(
-        "doc", "tie", "next_doc", "next_tie", "n_chars", "edited_sha256",
-        fingerprint(F.col("terms"), F.col("tie")).alias("fingerprint"),
-        fingerprint(F.col("edited_terms"), F.col("edited_tie")).alias("edited_fingerprint")), "fingerprints")
+        F.collect_list(F.when(in_own, entry)).alias("terms"), F.collect_list(F.when(in_edited, entry)).alias("edited_terms"),
+        *[m.alias(f"m{k}") for k, m in enumerate(deepest(F.col("packed"), in_own))],
+        *[m.alias(f"e{k}") for k, m in enumerate(deepest(F.col("packed"), in_edited))])
+    kept = kept.withColumn("terms", F.array_sort("terms")).withColumn("edited_terms", F.array_sort("edited_terms"))
+    own, edited = [F.col(f"m{k}") for k in range(SUBSETS)], [F.col(f"e{k}") for k in range(SUBSETS)]
+    found = staged(kept.select(
+        "own.doc", "own.tie", "own.next_doc", "own.next_tie", "own.n_chars", "own.edited_sha256",
+        fingerprint(F.col("terms"), own, F.col("own.tie")).alias("fingerprint"),
+        fingerprint(F.col("edited_terms"), edited, F.col("own.edited_tie")).alias("edited_fingerprint")), "fingerprints")
     # equal ids with equal texts have equal fingerprints: one row of them is enough to look up
     following = found.groupBy("doc", "tie").agg(F.min("fingerprint").alias("next_fingerprint"))
     joined = found.alias("f").join(following.alias("g"), F.col("f.next_doc").eqNullSafe(F.col("g.doc"))
