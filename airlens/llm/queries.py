@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from airlens.llm import chat_format, html_text, imatch, jaccard_join, packing, quality, tiling, token_counts, token_files
+from airlens.llm import attention_lm, chat_format, html_text, imatch, jaccard_join, packing, quality, tiling, token_counts, token_files
 from airlens.llm.shared import new_folder
 
 
@@ -40,6 +40,10 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.read_digests(spark, out)
 
 
+def op4_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attention_lm.score_texts(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+
+
 def op5_benchmark_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiling.benchmark_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -65,7 +69,7 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_token_files, op2_quality_classifier, op3_chat_format, op5_benchmark_tiling, op6_token_counts, op7_ngram_jaccard_join,
-    op8_imatch_fingerprints, op9_best_fit_packing, op10_html_text)}
+    op1_token_files, op2_quality_classifier, op3_chat_format, op4_attention_lm, op5_benchmark_tiling,
+    op6_token_counts, op7_ngram_jaccard_join, op8_imatch_fingerprints, op9_best_fit_packing, op10_html_text)}
 
 ORACLE: dict[str, str] = {}
