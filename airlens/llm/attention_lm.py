@@ -3,12 +3,13 @@
 Words are runs of bytes other than ASCII white space with A-Z lower-cased; a
 text's subword ids are those of its words in order, then one end. The model gives
 
-    p(next | before) = p(class | before) p(next | class)
+    p(next | before) = p(class | before) p(next | class, last)
 
-where the class scores add a table row of the last id (smoothed counts of the whole training part) and
-what one head of causal self-attention reads from the last ``2 * STRIDE`` ids at most. Classes are the most
-frequent ids, alone, and clusters of ids with similar successors. Embeddings are the leading components of
-the table. Attention weights are trained by Adam on windows at even distances in every chunk of training
+with a class score that adds the last id's row of a table to what one head of causal self-attention reads
+from the last ``2 * STRIDE`` ids at most, and ids within a class by their counts after the last id. The ``RANKS`` most
+frequent ids have rows and columns of their own in the tables, the others share one. Classes are the most
+frequent ids, alone, clusters of ids with similar successors, and the others. Tables are smoothed counts of all
+training text; embeddings are their leading components. Attention weights are trained by Adam on windows at even distances in every chunk of training
 text, and averaged over the chunks by their number of windows; so counts, classes and weights draw on the whole
 corpus, and what is gathered follows its size (bounded in width by the vocabulary).
 
@@ -37,12 +38,13 @@ from airlens.llm.words import U64, word_hashes
 CHUNK = 8 << 20     # bytes of text in a chunk
 WIDTH = 16          # of embeddings and the attention head
 ALONE = 96          # most frequent ids, each a class
-CLUSTERS = 32       # classes of the other ids
+CLUSTERS = 31       # classes of the other ranked ids; one more holds the rest
 STRIDE = 16         # ids scored by a window of twice as many
 STEPS, BATCH = 24, 64   # of Adam in each chunk and round, windows in each
-ROUNDS = 2
-SMOOTH = 8.0        # weight of the class shares in a table row
-BLOCKS = 48         # stretches of ids that count tables are summed in
+ROUNDS = 4
+RANKS = 2048        # most frequent ids with counts of their own
+SMOOTH, WITHIN = 4.0, 4.0   # weight of the overall shares in a row of classes, and of ids within a class
+BLOCKS = 48         # stretches of rows that the counts are summed in
 RATE = 0.01
 
 _CHUNKS = "chunk long, docs binary, words binary, train binary, index binary, sub binary, lengths binary"
@@ -171,21 +173,19 @@ def _read_chunk(row) -> tuple:
     return _unz(docs, _DOC), _unz(index, "<u4"), _unz(sub, "<u4"), _unz(lengths, "<u4")
 
 
-def _followers(class_of, n_ids: int, n_classes: int):
-    """Counts of (id, class of the next id) of the training texts of a task, in stretches of ids."""
+def _followers(rank_of, n_ids: int):
+    """Counts of (rank of an id, rank of the next) of the training texts of a task, in stretches of rows."""
     def run(batches):
-        total = None
+        total, n = None, RANKS + 1
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns)):
                 docs, index, sub, lengths = _read_chunk(row)
                 part, words = _training_part(docs, index)
                 before, target, _ = _sequence(part, sub, lengths, words, n_ids - 1)
-                if total is None:
-                    total = np.zeros(n_ids * n_classes, np.uint32)
-                slot, n = np.unique(before * n_classes + class_of.value[target], return_counts=True)
-                total[slot] += n.astype(np.uint32)
+                found = np.bincount(rank_of.value[before] * n + rank_of.value[target], minlength=n * n).astype(np.uint32)
+                total = found if total is None else total + found
         if total is not None:
-            for b, part in enumerate(np.array_split(total.reshape(n_ids, n_classes), BLOCKS)):
+            for b, part in enumerate(np.array_split(total.reshape(n, n), BLOCKS)):
                 if part.any():
                     yield pa.RecordBatch.from_pydict({"block": pa.array([b], pa.int32()), "counts": [_z(part)]})
     return run
@@ -197,16 +197,15 @@ def _sum_blocks(table: pa.Table) -> pa.Table:
                      "counts": pa.array([_z(np.minimum(total, (1 << 32) - 1).astype("<u4"))], pa.binary())})
 
 
-def _follower_table(chunks: DataFrame, class_of: np.ndarray, n_classes: int) -> np.ndarray:
-    """The counts of the whole corpus; ids times classes, whatever its size."""
-    spark, n_ids = chunks.sparkSession, len(class_of)
-    shared = spark.sparkContext.broadcast(class_of)
-    rows = (chunks.select("docs", "index", "sub", "lengths").mapInArrow(_followers(shared, n_ids, n_classes), "block int, counts binary")
+def _follower_table(chunks: DataFrame, rank_of: np.ndarray) -> np.ndarray:
+    """The counts of the whole corpus: RANKS + 1 rows and columns, whatever its size."""
+    shared = chunks.sparkSession.sparkContext.broadcast(rank_of)
+    rows = (chunks.select("docs", "index", "sub", "lengths").mapInArrow(_followers(shared, len(rank_of)), "block int, counts binary")
             .groupBy("block").applyInArrow(_sum_blocks, "block int, counts binary").toArrow())
-    blocks = np.array_split(np.zeros((n_ids, n_classes), np.uint32), BLOCKS)
+    blocks = np.array_split(np.zeros((RANKS + 1, RANKS + 1), np.uint32), BLOCKS)
     for b, x in zip(rows.column("block").to_pylist(), rows.column("counts").to_pylist()):
         blocks[b] = _unz(x, "<u4").reshape(blocks[b].shape)
-    return np.concatenate(blocks)
+    return np.concatenate(blocks).astype(np.float64)
 
 
 def _id_counts(n_ids: int):
@@ -223,52 +222,62 @@ def _id_counts(n_ids: int):
 
 
 def _profiles(table: np.ndarray) -> np.ndarray:
-    """Square roots of each id's shares of following classes, less their mean."""
+    """Square roots of each row's shares of following classes, less their mean."""
     n = table.sum(1, keepdims=True)
     x = np.sqrt((table + 1e-3) / (n + 1e-3 * table.shape[1])).astype(np.float32)
     weight = n / max(1.0, n.sum())
     return x - (x * weight).sum(0)
 
 
-def _classes(counts: np.ndarray, table: np.ndarray | None, clusters: int) -> np.ndarray:
-    """Class of each id: the most frequent alone; the others by similar followers (or, without a table, one)."""
-    order = np.argsort(-counts, kind="stable")
-    alone, others = order[:ALONE], np.sort(order[ALONE:])
-    out = np.full(len(counts), ALONE, np.int64)
-    out[alone] = np.arange(len(alone))
-    if table is None or clusters == 1:
-        return out
-    x, weight = _profiles(table)[others], np.sqrt(counts[others].astype(np.float64) + 1e-6)
+def _ranks(counts: np.ndarray) -> np.ndarray:
+    """Each id's place by frequency; RANKS for the others."""
+    out = np.full(len(counts), RANKS, np.int64)
+    top = np.argsort(-counts, kind="stable")[:RANKS]
+    out[top] = np.arange(len(top))
+    return out
+
+
+def _classes(table: np.ndarray) -> np.ndarray:
+    """Class of each rank: the first ALONE by themselves, others by similar followers, the last for the rest."""
+    out = np.arange(RANKS + 1)
+    x = _profiles(table @ np.eye(ALONE + 1)[np.minimum(out, ALONE)])[ALONE:RANKS]
+    weight = np.sqrt(table.sum(1)[ALONE:RANKS] + 1e-6)
     # centres begin at the most frequent of the others; weighted k-means, a few rounds
-    centre = x[np.argsort(-counts[others], kind="stable")[:clusters]]
+    centre = x[:CLUSTERS].copy()
     for _ in range(8):
         nearest = np.argmax(x @ centre.T - 0.5 * (centre ** 2).sum(1), axis=1)
-        mass = np.bincount(nearest, weight, minlength=len(centre))
-        for k in range(len(centre)):
-            if mass[k]:
-                own = nearest == k
-                centre[k] = (x[own] * weight[own, None]).sum(0) / mass[k]
-    out[others] = ALONE + nearest
+        for k in range(CLUSTERS):
+            own = nearest == k
+            if own.any():
+                centre[k] = (x[own] * weight[own, None]).sum(0) / weight[own].sum()
+    out[ALONE:RANKS] = ALONE + nearest
+    out[RANKS] = ALONE + CLUSTERS
     return out
 
 
-def _initial(table: np.ndarray, counts: np.ndarray, class_of: np.ndarray, n_classes: int) -> dict[str, np.ndarray]:
-    """Everything but the trained weights, from counts; weights at random from a fixed seed."""
-    n = counts.astype(np.float64)
-    in_class = np.bincount(class_of, n + 0.5, minlength=n_classes)
-    share = (np.bincount(class_of, n, minlength=n_classes) + 0.5) / (n.sum() + 0.5 * n_classes)
-    rows = (table + SMOOTH * share) / (table.sum(1, keepdims=True) + SMOOTH)
-    x = _profiles(table)
+def _tables(counts: np.ndarray, rank_of: np.ndarray, table: np.ndarray) -> dict[str, np.ndarray]:
+    """Everything but the trained weights, from counts; the weights at random from a fixed seed."""
+    class_of, n_classes = _classes(table), ALONE + CLUSTERS + 1
+    member = np.eye(n_classes)[class_of]
+    n_next = table.sum(0) + 0.5
+    n_class = n_next @ member
+    by_class = table @ member
+    rows = (by_class + SMOOTH * n_class / n_class.sum()) / (by_class.sum(1, keepdims=True) + SMOOTH)
+    within = (table + WITHIN * n_next / n_class[class_of]) / (by_class[:, class_of] + WITHIN)
+    rest = np.where(rank_of == RANKS, counts + 0.5, 0.0)
+    x = _profiles(by_class)
+    n = table.sum(1)
     _, vectors = np.linalg.eigh((x * np.sqrt(n + 1)[:, None]).T @ (x * np.sqrt(n + 1)[:, None]))
     embedding = x @ vectors[:, ::-1][:, :WIDTH]
     spread = np.sqrt(((embedding ** 2) * n[:, None]).sum(0) / max(1.0, n.sum())) + 1e-6
     r = np.random.default_rng(7)
     small = lambda *shape: (r.standard_normal(shape) * 0.1).astype(np.float32)
-    width = embedding.shape[1]
-    return {"rows": np.log(rows).astype(np.float32), "own": np.log((n + 0.5) / in_class[class_of]).astype(np.float32),
-            "embedding": (embedding / spread).astype(np.float32), "class_of": class_of,
-            "query": small(width, width), "key": small(width, width), "value": small(width, width) + np.eye(width, dtype=np.float32),
-            "out": small(width, n_classes) * 0.1, "bias": np.zeros(n_classes, np.float32),
+    return {"rank_of": rank_of, "class_of": class_of, "rows": np.log(rows).astype(np.float32),
+            "within": np.log(within).astype(np.float32), "embedding": (embedding / spread).astype(np.float32),
+            "rest": np.log(np.where(rest > 0, rest / max(rest.sum(), 0.5), 1.0)).astype(np.float32),
+            "query": small(WIDTH, WIDTH), "key": small(WIDTH, WIDTH),
+            "value": small(WIDTH, WIDTH) + np.eye(WIDTH, dtype=np.float32),
+            "out": small(WIDTH, n_classes) * 0.1, "bias": np.zeros(n_classes, np.float32),
             "near": np.zeros(2 * STRIDE, np.float32)}
 
 
@@ -296,6 +305,7 @@ def _train(m: dict, before: np.ndarray, target: np.ndarray, doc: np.ndarray) ->
     n_windows = max(0, len(target) // STRIDE - 1)
     if not n_windows:
         return {k: m[k] for k in TRAINED}, 0.0
+    before, target = m["rank_of"][before], m["rank_of"][target]
     use = min(n_windows * 4, STEPS * BATCH)
     at = (np.arange(use) * 0.6180339887 % 1.0 * n_windows).astype(np.int64) * STRIDE
     m = m | {k: m[k].copy() for k in TRAINED}
@@ -316,7 +326,7 @@ def _train(m: dict, before: np.ndarray, target: np.ndarray, doc: np.ndarray) ->
         da = d @ m["out"].T
         dp = da @ v.transpose(0, 2, 1)
         ds = p * (dp - (dp * p).sum(2, keepdims=True))
-        sum_of = lambda x, y: np.tensordot(x, y, ([0, 1], [0, 1]))
+        sum_of = lambda x, y: x.reshape(-1, x.shape[2]).T @ y.reshape(-1, y.shape[2])
         grad = {"out": sum_of(a, d), "bias": d.sum((0, 1)), "value": sum_of(e, p.transpose(0, 2, 1) @ da),
                 "query": sum_of(e[:, STRIDE:], ds @ k) * scale, "key": sum_of(e, ds.transpose(0, 2, 1) @ q) * scale,
                 "near": np.bincount(np.maximum(_FAR, 0).ravel(), (ds.sum(0) * (_FAR >= 0)).ravel(), minlength=2 * STRIDE)}
@@ -352,10 +362,8 @@ def fit_model(chunks: DataFrame, n_ids: int) -> dict[str, np.ndarray]:
             .groupBy("id").agg(F.sum("n").alias("n")).toArrow())
     counts = np.zeros(n_ids, np.int64)
     counts[rows.column("id").to_numpy()] = rows.column("n").to_numpy()
-    coarse = _classes(counts, None, 1)
-    class_of = _classes(counts, _follower_table(chunks, coarse, ALONE + 1), CLUSTERS)
-    n_classes = ALONE + CLUSTERS
-    m = _initial(_follower_table(chunks, class_of, n_classes), counts, class_of, n_classes)
+    rank_of = _ranks(counts)
+    m = _tables(counts, rank_of, _follower_table(chunks, rank_of))
     for _ in range(ROUNDS):
         shared = spark.sparkContext.broadcast(m)
         # a few thousand weights, summed over tasks
@@ -373,12 +381,12 @@ def fit_model(chunks: DataFrame, n_ids: int) -> dict[str, np.ndarray]:
 def log10_probabilities(m: dict, before: np.ndarray, target: np.ndarray, doc: np.ndarray) -> np.ndarray:
     """log10 p of every id of a sequence of documents; each is in the later half of exactly one window."""
     n = len(target)
+    last, following = m["rank_of"][before], m["rank_of"][target]
     blocks = -(-n // STRIDE)
     room = blocks * STRIDE - n
-    ids = np.concatenate([np.zeros(STRIDE, np.int64), before, np.zeros(room, np.int64)]).reshape(-1, STRIDE)
+    ids = np.concatenate([np.zeros(STRIDE, np.int64), last, np.zeros(room, np.int64)]).reshape(-1, STRIDE)
     own = np.concatenate([np.full(STRIDE, -1), doc, np.full(room, -2)]).reshape(-1, STRIDE)
-    want = np.concatenate([target, np.zeros(room, np.int64)]).reshape(-1, STRIDE)
-    kind = m["class_of"][want]
+    kind = np.concatenate([m["class_of"][following], np.zeros(room, np.int64)]).reshape(-1, STRIDE)
     out = np.empty((blocks, STRIDE), np.float32)
     for a in range(0, blocks, 128):
         z = min(a + 128, blocks)
@@ -391,8 +399,8 @@ def log10_probabilities(m: dict, before: np.ndarray, target: np.ndarray, doc: np
         picked = logits[np.arange(len(logits)), kind[a:z].ravel()]
         np.exp(logits, out=logits)      # rows are log shares and the rest is small: no overflow
         out[a:z] = (picked - np.log(logits.sum(1))).reshape(-1, STRIDE)
-    out += m["own"][want]
-    return out.ravel()[:n].astype(np.float64) / np.log(10)
+    found = out.ravel()[:n] + m["within"][last, following] + np.where(following == RANKS, m["rest"][target], 0)
+    return found.astype(np.float64) / np.log(10)
 
 
 def _score(shared, n_ids: int):
