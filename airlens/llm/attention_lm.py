@@ -269,11 +269,12 @@ def _tables(counts: np.ndarray, rank_of: np.ndarray, table: np.ndarray) -> dict[
     n = table.sum(1)
     _, vectors = np.linalg.eigh((x * np.sqrt(n + 1)[:, None]).T @ (x * np.sqrt(n + 1)[:, None]))
     embedding = x @ vectors[:, ::-1][:, :WIDTH]
-    spread = np.sqrt(((embedding ** 2) * n[:, None]).sum(0) / max(1.0, n.sum())) + 1e-6
+    spread = np.sqrt(((embedding ** 2) * n[:, None]).sum(0) / max(1.0, n.sum()))
+    embedding = np.clip(embedding / np.maximum(spread, 0.05 * spread.max(initial=0) + 1e-6), -4, 4)
     r = np.random.default_rng(7)
     small = lambda *shape: (r.standard_normal(shape) * 0.1).astype(np.float32)
-    return {"rank_of": rank_of, "class_of": class_of, "rows": np.log(rows).astype(np.float32),
-            "within": np.log(within).astype(np.float32), "embedding": (embedding / spread).astype(np.float32),
+    return {"rank_of": rank_of, "class_of": class_of, "rows": np.log(np.maximum(rows, 1e-30)).astype(np.float32),
+            "within": np.log(within).astype(np.float32), "embedding": embedding.astype(np.float32),
             "rest": np.log(np.where(rest > 0, rest / max(rest.sum(), 0.5), 1.0)).astype(np.float32),
             "query": small(WIDTH, WIDTH), "key": small(WIDTH, WIDTH),
             "value": small(WIDTH, WIDTH) + np.eye(WIDTH, dtype=np.float32),

@@ -91,8 +91,8 @@ def _range_bucket(value: Column, bounds: list[int]) -> Column:
     if nested is None:
         return F.lit(0)
     within = F.coalesce(F.size(F.filter(F.get(nested, below), lambda x: x < value)), F.lit(0))
-    return F.when(value.isNull(), -1).otherwise(
-        below * step + F.when(below < len(groups), F.greatest(within, F.lit(0))).otherwise(0))
+    return F.when(value.isNull(), -1).when(below < len(groups), below * step + F.greatest(within, F.lit(0))) \
+        .otherwise(len(bounds))
 
 
 def with_next(docs: DataFrame, buckets: int) -> DataFrame:
