@@ -8,24 +8,29 @@ another, because no token crosses the cut between them:
 * ``byte``: byte-level pieces, where a piece may take one leading space. A cut
   before a space or line feed is safe when the character before it is no white space.
 
-Words are looked up in a table that the worker fills by need; other pipelines
-encode whole texts. Tables are emptied beyond ``LIMIT`` words, so memory is bounded.
+In texts of Latin letters, digits, ASCII marks and single spaces or line feeds, words are
+cut further, into the pieces of the pipeline's own split. Pieces and words are
+looked up in a table that the worker fills by need; other pipelines encode whole
+texts. The table is emptied beyond ``LIMIT`` entries, so memory is bounded.
 """
 
 from __future__ import annotations
 
 import json
 import re
+from array import array
 
 import numpy as np
 
-LIMIT = 400_000
+LIMIT = 1_000_000
 
 # The parts of a tokenizer file for which the cuts above are proven.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ſ"
 _MARKS = "!-&(-/:-@\\[-`{-~"   # ASCII punctuation without the apostrophe of contractions
-_SPLIT = re.compile(f"([ \n]?)([{_LETTERS}]+)([{_MARKS}]*)")
+_PLAIN = re.compile(f"[{_LETTERS}{_MARKS}0-9 \n]*")
+_PIECES = {"word": re.compile(f"[{_LETTERS}]+|[0-9]|[{_MARKS}]+"),
+           "byte": re.compile(f" ?[{_LETTERS}]+| ?[0-9]+| ?[{_MARKS}]+|\n")}
 _ODD_SPACE = re.compile("[\\s\u180e\u200b\ufeff][ \n]")
 _SAFE_CUT = re.compile("(?<=[^\\s\u180e\u200b\ufeff])(?=[ \n])")
 
@@ -57,14 +62,16 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
-class _Slots(dict):
+class _Places(dict):
+    """Where the ids of a piece (str) or a word (bytes) are kept: start * 2**20 + number."""
+
     def __init__(self, add):
         super().__init__()
         self.add = add
 
-    def __missing__(self, word):
-        slot = self[word] = self.add(word)
-        return slot
+    def __missing__(self, key):
+        place = self[key] = self.add(key)
+        return place
 
 
 class Subwords:
@@ -79,88 +86,77 @@ class Subwords:
         self.vocab = max(self.tokenizer.get_vocab(with_added_tokens=True).values()) + 1
         self.limit = limit
         self._letters = _byte_letters()
+        self._special = [t["content"] for t in spec.get("added_tokens", [])]
         self._clear()
 
     def _clear(self) -> None:
-        self._slots, self._cores = _Slots(self._add), {}
-        self._flat = np.empty(1 << 16, np.uint32)
-        self._start = np.empty(1 << 14, np.int64)
-        self._length = np.empty(1 << 14, np.int64)
-        self._used = 0
+        self._places, self._flat, self._long = _Places(self._add), array("I"), False
 
     def _whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def _core(self, piece: str) -> list[int]:
-        """Ids of one piece that the pipeline leaves uncut (letters, or marks, with at most one leading space)."""
-        ids = self._cores.get(piece)
-        if ids is None:
-            shown = piece.encode().decode("latin-1").translate(self._letters)
-            ids = self._cores[piece] = [t.id for t in self.tokenizer.model.tokenize(shown)]
-        return ids
-
-    def _add(self, word: bytes) -> int:
-        text = word.decode()
-        m = _SPLIT.fullmatch(text)
-        if m is None:
-            ids = self._whole(text)
+    def _add(self, key: str | bytes) -> int:
+        if isinstance(key, bytes):
+            ids = self._whole(key.decode())
         else:
-            lead, core, marks = m.groups()
-            if self.kind == "word":
-                ids = self._core(core.lower())
-            elif lead == "\n":
-                ids = self._core("\n") + self._core(core)
-            else:
-                ids = self._core(lead + core)
-            if marks:
-                ids = ids + self._core(marks)
-        slot, end = len(self._slots), self._used + len(ids)
-        while end > len(self._flat):
-            self._flat = np.concatenate([self._flat, np.empty_like(self._flat)])
-        if slot >= len(self._start):
-            self._start = np.concatenate([self._start, np.empty_like(self._start)])
-            self._length = np.concatenate([self._length, np.empty_like(self._length)])
-        self._flat[self._used:end] = ids
-        self._start[slot], self._length[slot] = self._used, len(ids)
-        self._used = end
-        return slot
-
-    def _units(self, text: str) -> list[bytes]:
+            shown = key if key.isascii() and key.isalpha() else key.encode().decode("latin-1").translate(self._letters)
+            ids = [t.id for t in self.tokenizer.model.tokenize(shown)]
+        start = len(self._flat)
+        self._flat.extend(ids)
+        self._long |= len(ids) >= 1 << 20
+        return start << 20 | len(ids)
+
+    def _keys(self, text: str) -> list:
+        plain = _PLAIN.fullmatch(text) is not None and not any(t in text for t in self._special)
         if self.kind == "word":
-            return text.encode().split()
+            return _PIECES["word"].findall(text.lower()) if plain else text.encode().split()
         if "\0" in text or _ODD_SPACE.search(text):
-            units = [u.encode() for u in _SAFE_CUT.split(text)]
-        else:
-            units = text.encode().replace(b" ", b"\0 ").replace(b"\n", b"\0\n").split(b"\0")
-        return units if units[0] else units[1:]
+            return [u.encode() for u in _SAFE_CUT.split(text) if u]
+        if plain and not text.endswith(" "):
+            return _PIECES["byte"].findall(text)
+        return [u for u in text.encode().replace(b" ", b"\0 ").replace(b"\n", b"\0\n").split(b"\0") if u]
 
     def _look_up(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        if len(self._slots) > self.limit or len(self._cores) > self.limit:
+        if len(self._places) > self.limit:
             self._clear()
-        units, bounds = [], np.zeros(len(texts) + 1, np.int64)
+        keys, bounds = [], np.zeros(len(texts) + 1, np.int64)
         for i, text in enumerate(texts):
-            units += self._units(text)
-            bounds[i + 1] = len(units)
-        return np.fromiter(map(self._slots.__getitem__, units), np.int64, len(units)), bounds
+            keys += self._keys(text)
+            bounds[i + 1] = len(keys)
+        return np.fromiter(map(self._places.__getitem__, keys), np.int64, len(keys)), bounds
+
+    def _long_words(self) -> bool:
+        """Whether a single word has more ids than a place can tell; then texts are encoded whole."""
+        if self._long:
+            self._clear()
+            return True
+        return False
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, one after another; number of ids of each text)."""
         if self.kind == "other":
-            found = [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-            counts = np.array([len(x) for x in found], np.int64)
-            return np.array([i for x in found for i in x], np.uint32), counts
-        slot, bounds = self._look_up(texts)
-        length = self._length[slot]
+            return self._plain(texts)
+        place, bounds = self._look_up(texts)
+        if self._long_words():
+            return self._plain(texts)
+        length = place & 0xFFFFF
         ends = np.concatenate([[0], np.cumsum(length)])
-        at = np.repeat(self._start[slot] - ends[:-1], length) + np.arange(ends[-1])
-        return self._flat[at], ends[bounds[1:]] - ends[bounds[:-1]]
+        at = np.repeat((place >> 20) - ends[:-1], length) + np.arange(ends[-1])
+        # a copy, so that the store may grow again
+        return np.frombuffer(self._flat, np.uint32)[at] if len(at) else np.empty(0, np.uint32), ends[bounds[1:]] - ends[bounds[:-1]]
+
+    def _plain(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [self._whole(t) for t in texts]
+        return np.array([i for x in found for i in x], np.uint32), np.array([len(x) for x in found], np.int64)
 
     def count(self, texts: list[str]) -> np.ndarray:
         """Number of ids of each text."""
         if self.kind == "other":
-            return self.encode(texts)[1]
-        slot, bounds = self._look_up(texts)
-        ends = np.concatenate([[0], np.cumsum(self._length[slot])])
+            return self._plain(texts)[1]
+        place, bounds = self._look_up(texts)
+        if self._long_words():
+            return self._plain(texts)[1]
+        ends = np.concatenate([[0], np.cumsum(place & 0xFFFFF)])
         return ends[bounds[1:]] - ends[bounds[:-1]]
 
 
