@@ -21,12 +21,16 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of similar documents the one with the least id stays; equal rows of it stay once."""
-    classes = jaccard_join.jaccard_classes(docs)
-    gone = classes.where("component_id < doc_id or (component_id is null) <> (doc_id is null)") \
-        .select(F.col("doc_id").alias("gone")).distinct()
+    """Of each class of similar documents the one with the least id stays; equal rows of it stay once.
+
+    Documents without an id cannot be told apart by their class: they stay, once for each text.
+    """
+    gone = jaccard_join.jaccard_classes(docs).where("component_id < doc_id").select(F.col("doc_id").alias("gone")).distinct()
+    tie = "tie"
+    while tie in docs.columns:
+        tie += "_"
     return (docs.join(gone, docs.doc_id == gone.gone, "left_anti")
-            .withColumn("tie", F.xxhash64("text")).dropDuplicates(["doc_id", "tie"]).drop("tie"))
+            .withColumn(tie, F.xxhash64("text")).dropDuplicates(["doc_id", tie]).drop(tie))
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

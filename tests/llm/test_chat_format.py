@@ -62,7 +62,7 @@ def test_rewriting_templates_are_flagged(spark):
         """A template that moves a system text into the first user turn, as soon as there is one."""
         system = "".join(m["text"] for m in messages if m["role"] == "system")
         rest = [m for m in messages if m["role"] != "system"]
-        out = [] if rest else [f"({system})"]
+        out = [f"({system})"] if system and not rest else []
         for k, m in enumerate(rest):
             out.append(f"<{m['role']}>{system if not k else ''}{m['text']}</>")
         return "".join(out)
