@@ -32,6 +32,9 @@ WORSENED_COLOUR = "#e74c3c"
 RAMP_COLOURS = ("#e74c3c", "#f39c12", "#2ecc71")   # low, middle, high
 NO_DATA_COLOUR = "#ededed"
 FLAT_RANGE_COLOUR = "#808080"
+SCALE_RED = 255               # scaled colour: red falls from here to 0,
+SCALE_GREEN, SCALE_LOW = 200, 55   # green rises by this much from there,
+SCALE_LOW_BLUE = 0x55         # blue stays
 MARKER_RADIUS_MIN = 5
 MARKER_RADIUS_MAX = 20
 MARKER_RADIUS_SCALE = 8

@@ -23,8 +23,3 @@ def as_date(value) -> Column:
     if not isinstance(value, _dt.date):
         raise TypeError(f"not a date: {value!r}")
     return F.lit(value)
-
-
-def previous_day(value) -> Column:
-    """The calendar day before ``value``."""
-    return F.date_sub(as_date(value), 1)

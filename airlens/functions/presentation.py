@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from airlens.constants import (FLAT_RANGE_COLOUR, IMPROVED_COLOUR, INDEX_PALETTE,
                                MARKER_RADIUS_MAX, MARKER_RADIUS_MIN,
-                               MARKER_RADIUS_SCALE, RAMP_COLOURS,
+                               MARKER_RADIUS_SCALE, RAMP_COLOURS, SCALE_GREEN, SCALE_LOW, SCALE_LOW_BLUE, SCALE_RED,
                                STREAK_FULL_SATURATION, STREAK_TIER_GREEN,
                                STREAK_TIER_ORANGE, WORSENED_COLOUR)
 
@@ -35,10 +35,10 @@ def scaled_colour(value: Column | str, vmin, vmax) -> Column:
     """Min-max scaled red-to-green hex colour ``#rrgg55``; grey when the range is empty."""
     v, lo, hi = _col(value), _num(vmin), _num(vmax)
     norm = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.try_divide(v - lo, hi - lo)))
-    r = (F.lit(255) * (F.lit(1) - norm)).cast("int")
-    g = (F.lit(200) * norm + F.lit(55)).cast("int")
+    r = (F.lit(SCALE_RED) * (F.lit(1) - norm)).cast("int")
+    g = (F.lit(SCALE_GREEN) * norm + F.lit(SCALE_LOW)).cast("int")
     return F.when(hi == lo, F.lit(FLAT_RANGE_COLOUR)).otherwise(
-        F.format_string("#%02x%02x55", r, g))
+        F.format_string(f"#%02x%02x{SCALE_LOW_BLUE:02x}", r, g))
 
 
 def _channels(hex_colour: str) -> tuple[int, int, int]:
@@ -86,12 +86,12 @@ def sign_colour(value: Column | str) -> Column:
 def signed_label(value: Column | str, digits: int = 2) -> Column:
     """Signed fixed-point text, e.g. ``+0.28``.
 
-    Halves are rounded up on the binary value (floor(v*10^d + 0.5)), so the
-    text does not depend on how a formatter rounds ties.
+    Exact halves go to the even digit and a negative value keeps its sign when
+    it rounds to zero (``-0.00``), as in C and Python formatting.
     """
-    scale = float(10 ** digits)
-    rounded = F.floor(_col(value) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
-    return F.format_string(f"%+.{digits}f", rounded)
+    v = _col(value)
+    text = F.format_string(f"%.{digits}f", F.bround(F.abs(v), digits))
+    return F.when(v.isNotNull(), F.concat(F.when(v < 0, F.lit("-")).otherwise(F.lit("+")), text))
 
 
 def streak_tier(max_streak: Column | str) -> Column:

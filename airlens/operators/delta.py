@@ -20,14 +20,15 @@ def latest_date(df: DataFrame, date: str = "date") -> Column:
     return df.select(F.max(date)).scalar()
 
 
-def latest_date_value(df: DataFrame, date: str = "date"):
-    """max(date) fetched to the driver: one small aggregate. Use it once per
-    job so every analysis shares the same 'today' and pruning is static."""
-    return df.agg(F.max(date)).first()[0]
+def _daily(df: DataFrame, keys: Sequence[str], date: str, value: str) -> tuple[DataFrame, Column]:
+    """(one row per entity and day with the day's mean, the latest day), from one pass over ``df``.
 
-
-def _as_of(df: DataFrame, date: str, as_of) -> Column:
-    return latest_date(df, date) if as_of is None else as_date(as_of)
+    The latest day is a scalar subquery over the same small per-day aggregate. It reads all of
+    its columns, so its plan is the main one's and Spark reuses the exchange instead of
+    running the source again.
+    """
+    daily = df.groupBy(*keys, date).agg(F.avg(value).alias("_mean"))
+    return daily, daily.select(F.max(F.struct(date, "_mean", *keys)).getField(date)).scalar()
 
 
 def day_over_day(df: DataFrame, keys: Sequence[str], date: str = "date",
@@ -43,18 +44,25 @@ def day_over_day(df: DataFrame, keys: Sequence[str], date: str = "date",
     the two days scores +mean (yesterday only) or -mean (today only);
     ``require_both_days=True`` keeps only entities seen on both days.
 
-    One grouping on ``keys`` with two conditional means replaces the
-    original's (key, date) grouping followed by a signed sum: one shuffle
-    instead of two, and no self-join.
+    With ``as_of`` the two days are filtered (partitions are pruned) and one grouping
+    on ``keys`` with two conditional means replaces the original's (key, date) grouping
+    followed by a signed sum: one shuffle and no self-join. Without it, days are
+    averaged first and the latest day is found in that small table.
     """
     keys = list(keys)
     d = F.col(date)
-    today = _as_of(df, date, as_of)
+    if as_of is None:
+        source, today = _daily(df, keys, date, value)
+        value = "_mean"
+    else:
+        source, today = df, as_date(as_of)
     yesterday = F.date_sub(today, 1) if previous is None else as_date(previous)
-    two_days = df.where(d.isin(today, yesterday))
-    per_key = two_days.groupBy(*keys).agg(
+    if as_of is not None:
+        source = source.where(d.isin(today, yesterday))
+    per_key = source.groupBy(*keys).agg(
         F.avg(F.when(d == yesterday, F.col(value))).alias("_y"),
         F.avg(F.when(d == today, F.col(value))).alias("_t"))
+    per_key = per_key.where(F.col("_y").isNotNull() | F.col("_t").isNotNull())
     if require_both_days:
         per_key = per_key.where(F.col("_y").isNotNull() & F.col("_t").isNotNull())
     res = per_key.select(*keys, (F.coalesce(F.col("_y"), F.lit(0.0))
@@ -67,7 +75,10 @@ def level_on_day(df: DataFrame, keys: Sequence[str], date: str = "date",
                  ranked: bool = True) -> DataFrame:
     """mean(value) per entity on ``as_of`` (default: the latest date), worst first."""
     keys = list(keys)
-    today = _as_of(df, date, as_of)
-    res = (df.where(F.col(date) == today)
-             .groupBy(*keys).agg(F.avg(value).alias(out)))
+    if as_of is None:
+        daily, today = _daily(df, keys, date, value)
+        res = daily.groupBy(*keys).agg(F.max(F.when(F.col(date) == today, F.struct("_mean"))).alias("_level")) \
+            .where(F.col("_level").isNotNull()).select(*keys, F.col("_level._mean").alias(out))
+    else:
+        res = df.where(F.col(date) == as_date(as_of)).groupBy(*keys).agg(F.avg(value).alias(out))
     return rank_desc(res, out, keys) if ranked else res

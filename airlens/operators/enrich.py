@@ -5,10 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airlens.operators.joins import bounded_broadcast, checked_dimension
-
-# There are about 250 countries; a larger code table is not a country table.
-MAX_CODES = 10_000
+from airlens.operators.joins import unique_dimension
 
 
 def join_country_codes(df: DataFrame, codes: DataFrame | None,
@@ -24,8 +21,8 @@ def join_country_codes(df: DataFrame, codes: DataFrame | None,
     dim = codes.select(F.col("alpha2Code").alias("_alpha2"),
                        F.col("alpha3Code").alias("_alpha3"),
                        F.col("englishShortName").alias("_name"))
-    dim = checked_dimension(dim, "_alpha2", MAX_CODES) if check_unique \
-        else bounded_broadcast(dim, MAX_CODES)
+    if check_unique:
+        dim = unique_dimension(dim, "_alpha2")
     cols = []
     for c in df.columns:
         if c == country:

@@ -5,43 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension is broadcast only when it has at most this many rows.
-DEFAULT_BROADCAST_ROWS = 100_000
 
+def unique_dimension(df: DataFrame, key: str) -> DataFrame:
+    """``df`` with one row per non-NULL ``key``; a repeated key (it would fan out a left join) is an error.
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only if it has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows. Beyond the bound the plain
-    DataFrame is returned and the planner (with AQE's runtime statistics)
-    chooses a shuffle join.
+    The check is part of the plan: rows are grouped by the key and a count
+    above one raises when the row is used, so no job runs while a query is
+    built. How to join (broadcast or shuffle) is left to the planner, which
+    knows the size in bytes. NULL keys never match and are dropped.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def checked_dimension(df: DataFrame, key: str, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Assert ``key`` is unique and broadcast ``df`` if it has at most
-    ``max_rows`` rows, in one bounded pass over at most ``max_rows + 1`` rows.
-
-    A larger dimension is checked with a full aggregation and joined without
-    a broadcast hint.
-    """
-    head = df.limit(max_rows + 1)
-    # NULL keys never match an equi-join, so only non-NULL keys must be unique
-    n, keyed, distinct = head.agg(F.count("*"), F.count(F.col(key)),
-                                  F.count_distinct(F.col(key))).first()
-    if n <= max_rows:
-        if keyed != distinct:
-            raise ValueError(f"dimension key {key!r} is not unique")
-        return F.broadcast(df)
-    assert_unique(df, key)
-    return df
-
-
-def assert_unique(df: DataFrame, key: str) -> None:
-    """Raise if a non-NULL ``key`` repeats (it would fan out a left join)."""
-    dup = (df.where(F.col(key).isNotNull()).groupBy(key).count()
-             .where(F.col("count") > 1).limit(1).collect())
-    if dup:
-        raise ValueError(f"dimension key {key!r} is not unique: {dup[0][key]!r}")
+    others = [c for c in df.columns if c != key]
+    grouped = (df.where(F.col(key).isNotNull()).groupBy(key)
+               .agg(F.count("*").alias("_n"), *[F.first(c).alias(c) for c in others]))
+    once = F.when(F.col("_n") == 1, F.col(key)).otherwise(F.raise_error(
+        F.concat(F.lit(f"dimension key {key!r} is not unique: "), F.col(key).cast("string"))))
+    return grouped.select(once.cast(df.schema[key].dataType).alias(key), *others)

@@ -4,17 +4,19 @@ Two ways to give every reading a region:
 
 * ``assign_regions`` scores with a fitted ``PipelineModel`` (VectorAssembler
   + KMeans); MLlib broadcasts the k centres with the model.
-* ``nearest_centroid`` takes any centroid table (k rows, size checked) and
+* ``nearest_centroid`` takes any centroid table (k rows) and
   computes the arg-min in plain SQL functions: the centroid array is an
   in-plan scalar subquery (evaluated once, shipped to every task) and the
-  arg-min is a higher-order ``aggregate`` over it. No join, no cross product.
+  arg-min is the least (distance, id) over it. No join, no cross product.
   Ties go to the lowest region id.
 """
 
 from __future__ import annotations
 
 import math
+from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Iterable, Sequence
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
@@ -25,10 +27,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from airlens.constants import K_REGIONS, K_SEED
+from airlens.sources.paths import exists
 
 FEATURES = "geo_coordinates"
-# Upper bound on centroids shipped to every task by ``nearest_centroid``.
-MAX_CENTROIDS = 100_000
+# Partitions of the K-Means training set: one fixed number, because the k-means||
+# start (and so the model) depends on how the points fall into partitions.
+TRAINING_PARTITIONS = 32
 
 CENTROID_SCHEMA = T.StructType([
     T.StructField("cluster", T.IntegerType(), False),
@@ -58,30 +62,20 @@ def sensor_points(df: DataFrame, sensor: str = "sensor_id", lat: str = "latitude
 
 
 def training_points(df: DataFrame, lat: str = "latitude", lon: str = "longitude",
-                    partitions: int | None = None,
-                    points_per_partition: int = 1_000_000,
-                    per: str | None = None) -> DataFrame:
-    """Distinct points, hash-partitioned into a pinned number of partitions and
-    sorted within them.
-
-    K-Means (k-means|| initialisation) depends on how points fall into
-    partitions; pinning the layout makes the same seed give the same model
-    however the input files were split. Unless given, the number of
-    partitions follows the data: one per ``points_per_partition`` distinct
-    points, at most the session's shuffle partitions (a count of the distinct
-    points, far cheaper than the 20+ passes of the fit). The distinct runs
-    first (map-side combine), so the second shuffle moves distinct points only.
+                    partitions: int = TRAINING_PARTITIONS, per: str | None = None) -> DataFrame:
+    """Distinct points, hash-partitioned into ``partitions`` partitions and sorted within them.
+
+    The same points and seed give the same model whatever the input files, the
+    data size or the session's shuffle partitions. Raise ``partitions`` for
+    very many points; that is a different (equally good) model. The distinct
+    runs first (map-side combine), so the second shuffle moves distinct points only.
 
     ``per=None`` trains on distinct positions (the original behaviour);
-    ``per="sensor_id"`` trains on one mean position per sensor.
+    ``per="sensor_id"`` trains on one mean position per sensor, the choice
+    for large data: with jittered positions nearly every reading is distinct.
     """
     src = sensor_points(df, per, lat, lon) if per else df
-    points = distinct_points(src, lat, lon)
-    if partitions is None:
-        cap = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        n = points.count()
-        partitions = max(1, min(cap, -(-n // points_per_partition)))
-    return points.repartition(partitions, lat, lon).sortWithinPartitions(lat, lon)
+    return distinct_points(src, lat, lon).repartition(partitions, lat, lon).sortWithinPartitions(lat, lon)
 
 
 # Unit-sphere features (geometry="sphere"): distances without the pole and
@@ -122,7 +116,7 @@ def _matches(model: PipelineModel, k: int, seed: int, lat: str, lon: str, geomet
             return list(va.getInputCols()) == [lat, lon]
         statement = model.stages[0].getStatement()
         return f"radians({lat})" in statement and f"radians({lon})" in statement
-    except Exception:  # a foreign model: refit
+    except (AttributeError, IndexError):  # other stages: a foreign model
         return False
 
 
@@ -134,11 +128,24 @@ def fingerprint(points: DataFrame, lat: str = "latitude", lon: str = "longitude"
 
 
 def _stored_fingerprint(spark: SparkSession, model_path: str):
-    try:
-        row = spark.read.json(f"{model_path}/{FINGERPRINT_DIR}").first()
-        return (int(row["n"]), int(row["h"])) if row else None
-    except Exception:
+    path = f"{model_path}/{FINGERPRINT_DIR}"
+    if not exists(spark, path):
         return None
+    row = spark.read.schema("n long, h long").json(path).first()
+    return (int(row["n"]), int(row["h"])) if row else None
+
+
+@contextmanager
+def _cached(df: DataFrame):
+    """``df`` persisted for the block; a caller's own cache is left as it was."""
+    if df.storageLevel != StorageLevel.NONE:
+        yield df
+        return
+    df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield df
+    finally:
+        df.unpersist()
 
 
 def fit_regions(points: DataFrame, k: int = K_REGIONS, seed: int = K_SEED,
@@ -151,26 +158,22 @@ def fit_regions(points: DataFrame, k: int = K_REGIONS, seed: int = K_SEED,
     With ``model_path`` an existing model is reused only if it was fitted
     with the same k, seed, geometry and coordinate columns and, with
     ``check_data``, on the same set of points (a count + hash fingerprint
-    stored next to the model). Otherwise, or with ``retrain=True``, it is
-    refitted and overwritten. Works on any Hadoop file system (no local path
+    stored next to the model). If there is none, or it differs, or with
+    ``retrain=True``, it is refitted and overwritten; a model that cannot be
+    read is an error and stays as it is. Works on any Hadoop file system (no local path
     checks). ``geometry="sphere"`` clusters unit vectors instead of raw
     degrees; the model still takes latitude and longitude.
     """
     spark = points.sparkSession
     fp = fingerprint(points, lat, lon) if (model_path and check_data) else None
-    if model_path and not retrain:
-        try:
-            model = PipelineModel.load(model_path)
-            if _matches(model, k, seed, lat, lon, geometry) and (
-                    fp is None or _stored_fingerprint(spark, model_path) == fp):
-                return model
-        except Exception:
-            pass
-    cached = points.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    if model_path and not retrain and exists(spark, model_path):
+        # a storage fault surfaces here; it never leads to an overwrite
+        model = PipelineModel.load(model_path)
+        if _matches(model, k, seed, lat, lon, geometry) and (
+                fp is None or _stored_fingerprint(spark, model_path) == fp):
+            return model
+    with _cached(points) as cached:
         model = _pipeline(k, seed, lat, lon, max_iter, geometry).fit(cached)
-    finally:
-        cached.unpersist()
     if model_path:
         model.write().overwrite().save(model_path)
         if fp is not None:
@@ -216,41 +219,39 @@ def label_centroids(df: DataFrame, label: str, lat: str = "latitude",
 
 def nearest_centroid(df: DataFrame, centroids: DataFrame, lat: str = "latitude",
                      lon: str = "longitude", out: str = "cluster",
-                     distance: str | None = None,
-                     max_centroids: int = MAX_CENTROIDS) -> DataFrame:
+                     distance: str | None = None) -> DataFrame:
     """Add ``out`` = id of the nearest centroid (squared Euclidean distance on
     the coordinates; lowest id on ties), and optionally the squared distance.
+    A row with a NULL coordinate gets NULL for both.
 
-    ``centroids`` has (cluster, centroid_lat, centroid_lon). Their number is
-    checked first (reading at most ``max_centroids + 1`` rows); then they are
-    gathered into one sorted array by an in-plan scalar subquery, evaluated
-    once and shipped to every task.
+    ``centroids`` has (cluster, centroid_lat, centroid_lon). They are gathered
+    into one array by an in-plan scalar subquery, evaluated once and shipped to every
+    task. Each distance is computed once per row: call this on distinct positions.
     """
-    if centroids.limit(max_centroids + 1).count() > max_centroids:
-        raise ValueError(f"more than {max_centroids} centroids")
-    checked = centroids.select(
-        F.array_sort(F.collect_list(F.struct(
+    gathered = centroids.select(
+        F.collect_list(F.struct(
             F.col("cluster").cast("int").alias("id"),
             F.col("centroid_lat").cast("double").alias("cy"),
-            F.col("centroid_lon").cast("double").alias("cx")))).alias("_c")).scalar()
+            F.col("centroid_lon").cast("double").alias("cx"))).alias("_c")).scalar()
     y, x = F.col(lat).cast("double"), F.col(lon).cast("double")
-
-    def d2(c):
-        return (y - c["cy"]) * (y - c["cy"]) + (x - c["cx"]) * (x - c["cx"])
-
-    zero = F.struct(F.lit(None).cast("int").alias("id"), F.lit(None).cast("double").alias("d"))
-    arg_min = F.aggregate(
-        F.col("_centroids"), zero,
-        lambda acc, c: F.when(acc["d"].isNull() | (d2(c) < acc["d"]),
-                              F.struct(c["id"].alias("id"), d2(c).alias("d"))).otherwise(acc))
-    res = (df.withColumn("_centroids", checked)
-             .withColumn("_nearest", arg_min)
+    scored = F.transform(F.col("_centroids"), lambda c: F.struct(
+        ((y - c["cy"]) * (y - c["cy"]) + (x - c["cx"]) * (x - c["cx"])).alias("d"), c["id"].alias("id")))
+    placed = y.isNotNull() & x.isNotNull()
+    res = (df.withColumn("_centroids", gathered)
+             .withColumn("_nearest", F.when(placed, F.array_min(scored)))
              .withColumn(out, F.col("_nearest.id")))
     if distance:
         res = res.withColumn(distance, F.col("_nearest.d"))
     return res.drop("_centroids", "_nearest")
 
 
+def assign_positions(df: DataFrame, model: PipelineModel, lat: str = "latitude",
+                     lon: str = "longitude") -> DataFrame:
+    """``assign_regions`` with each distinct position scored once and joined back."""
+    where = assign_regions(distinct_points(df, lat, lon), model)
+    return df.join(where, [lat, lon]).select(*df.columns, "cluster")
+
+
 def inertia(df: DataFrame, centroids: DataFrame, lat: str = "latitude",
             lon: str = "longitude") -> DataFrame:
     """Within-cluster sum of squared distances of ``df``'s points to their
@@ -272,23 +273,18 @@ def elbow(spark: SparkSession, points: DataFrame, ks: Iterable[int], seed: int =
     The fits are independent, so up to ``concurrency`` of them are submitted
     from separate threads and Spark runs their jobs side by side.
     """
-    cached = points.persist(StorageLevel.MEMORY_AND_DISK)
+    ks = list(ks)
+    with _cached(points) as cached:
+        def one(k: int):
+            model = _pipeline(int(k), seed, lat, lon, max_iter).fit(cached)
+            cost = training_cost(model)
+            wss = inertia(cached, centroid_table(spark, model), lat, lon).first()["inertia"]
+            return int(k), float(cost) if cost is not None else None, float(wss)
 
-    def one(k: int):
-        model = _pipeline(int(k), seed, lat, lon, max_iter).fit(cached)
-        cost = training_cost(model)
-        wss = inertia(cached, centroid_table(spark, model), lat, lon).first()["inertia"]
-        return int(k), float(cost) if cost is not None else None, float(wss)
-
-    try:
-        ks = list(ks)
         if concurrency <= 1:
             rows = [one(k) for k in ks]
         else:
-            from concurrent.futures import ThreadPoolExecutor
             with ThreadPoolExecutor(max_workers=min(concurrency, len(ks))) as pool:
                 rows = list(pool.map(one, ks))
-    finally:
-        cached.unpersist()
     schema = "k int, training_cost double, inertia double"
     return spark.createDataFrame(rows, schema)

@@ -14,11 +14,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from airlens.constants import DEFAULT_MAX_STREAK, GOOD_INDEX_LIMIT
 from airlens.functions.presentation import streak_saturation, streak_tier
+from airlens.operators.ranking import best
 
 
 def daily_flags(df: DataFrame, keys: Sequence[str], date: str = "date",
@@ -97,26 +98,46 @@ def streak_tables(df: DataFrame, keys: Sequence[str], date: str = "date", value:
     return with_streak, max_runs(with_streak, keys)
 
 
+def _run_counts(with_streak: DataFrame, by: Sequence[str]) -> DataFrame:
+    return (with_streak.where(F.col("streak") > 0)
+            .groupBy(*by, "streak").agg(F.count("*").alias("count")))
+
+
 def run_histogram(with_streak: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Number of good runs per run length (optionally per ``by``), sorted."""
     by = list(by)
-    return (with_streak.where(F.col("streak") > 0)
-                       .groupBy(*by, "streak").agg(F.count("*").alias("count"))
-                       .orderBy(*by, "streak"))
+    return _run_counts(with_streak, by).orderBy(*by, "streak")
+
+
+def _filled(per_key: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Unit bins 0..``_max`` from (keys, _max, _counts: run length -> count)."""
+    return (per_key.select(*keys, "_counts", F.explode(F.sequence(F.lit(0), F.col("_max"))).alias("streak"))
+            .select(*keys, "streak", F.coalesce(F.try_element_at("_counts", F.col("streak")), F.lit(0))
+                    .cast("long").alias("count")))
+
+
+def _count_map() -> list[Column]:
+    entries = F.map_from_entries(F.collect_list(F.when(F.col("streak") > 0, F.struct("streak", "count"))))
+    return [F.max("streak").alias("_max"), entries.alias("_counts")]
 
 
 def run_bins(with_streak: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Zero-filled unit bins 0..max run length per entity: (keys, streak, count).
 
-    Entities without a good run have no bins (their histogram is empty).
+    Entities without a good run have no bins (their histogram is empty). The
+    counts of an entity become one map (at most one entry per run length), so
+    the runs are computed once.
     """
     keys = list(keys)
-    counts = (with_streak.where(F.col("streak") > 0)
-                         .groupBy(*keys, "streak").agg(F.count("*").alias("count")))
-    bins = (counts.groupBy(*keys).agg(F.max("streak").alias("_max"))
-                  .select(*keys, F.explode(F.sequence(F.lit(0), F.col("_max"))).alias("streak")))
-    return (bins.join(counts, [*keys, "streak"], "left")
-                .select(*keys, "streak", F.coalesce(F.col("count"), F.lit(0)).cast("long").alias("count")))
+    return _filled(_run_counts(with_streak, keys).groupBy(*keys).agg(*_count_map()), keys)
+
+
+def best_entity_bins(with_streak: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``run_bins`` of the entity with the longest run (ties: the smallest key), picked before binning."""
+    keys = list(keys)
+    counts = with_streak.groupBy(*keys, "streak").agg(F.count("*").alias("count"))
+    top = best(counts.groupBy(*keys).agg(*_count_map()), "_max", keys)
+    return _filled(top.where(F.col("_max") > 0), keys)
 
 
 def histogram_text(hist: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -132,18 +153,16 @@ def histogram_text(hist: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def run_tiers(universe: DataFrame, with_streak: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Every entity of ``universe`` (with or without runs): max run, tier,
+    """Every row of ``universe`` (one per entity, with or without runs) with max run, tier,
     saturation and histogram text. Entities without a good day are 'gray'."""
     keys = list(keys)
-    hist = run_histogram(with_streak, keys)
-    per = histogram_text(hist, keys)
-    return (universe.select(*keys).distinct()
-                    .join(per, keys, "left")
-                    .select(*keys,
-                            F.coalesce(F.col("max_streak"), F.lit(0)).alias("max_streak"),
-                            streak_tier(F.col("max_streak")).alias("tier"),
-                            streak_saturation(F.coalesce(F.col("max_streak"), F.lit(0))).alias("saturation"),
-                            F.coalesce(F.col("histogram"), F.lit("")).alias("histogram")))
+    per = histogram_text(_run_counts(with_streak, keys), keys)
+    longest = F.coalesce(F.col("max_streak"), F.lit(0))
+    return (universe.join(per, keys, "left")
+            .select(*universe.columns, longest.alias("max_streak"),
+                    streak_tier(F.col("max_streak")).alias("tier"),
+                    streak_saturation(longest).alias("saturation"),
+                    F.coalesce(F.col("histogram"), F.lit("")).alias("histogram")))
 
 
 def overall_max_run(with_streak: DataFrame, default: int = DEFAULT_MAX_STREAK) -> DataFrame:
@@ -152,14 +171,24 @@ def overall_max_run(with_streak: DataFrame, default: int = DEFAULT_MAX_STREAK) -
         F.coalesce(F.max("streak"), F.lit(default)).alias("max_streak_overall"))
 
 
-def run_summary(daily: DataFrame, max_streaks: DataFrame, date: str = "date") -> DataFrame:
+def run_summary(with_streak: DataFrame, keys: Sequence[str], date: str = "date") -> DataFrame:
     """One row: number of days, entities, mean of the max run, entities good on
-    every day, entities never good."""
-    n_days = daily.select(F.countDistinct(date)).scalar()
-    m = F.col("max_streak")
-    return max_streaks.agg(
-        n_days.cast("long").alias("n_days"),
-        F.count("*").alias("n_entities"),
-        F.avg(m).alias("mean_max_streak"),
-        F.count(F.when(m == n_days, 1)).alias("n_full_window"),
-        F.count(F.when(m == 0, 1)).alias("n_never_good"))
+    every day, entities never good.
+
+    One pass over the runs: grouping sets give a row per day and a row per
+    entity; entities are counted per max run (at most one value per day).
+    """
+    keys = list(keys)
+    rows = (with_streak.groupingSets([[F.col(k) for k in keys], [F.col(date)]], *keys, date)
+            .agg(F.max("streak").alias("m"), F.grouping(F.col(date)).alias("is_entity")))
+    m = F.when(F.col("is_entity") == 1, F.col("m"))
+    counts = rows.groupBy("is_entity", m.alias("m")).agg(F.count("*").alias("n"))
+    entity = F.col("is_entity") == 1
+    n = F.when(entity, F.col("n"))
+    one = counts.agg(F.coalesce(F.sum(F.when(~entity, F.col("n"))), F.lit(0)).alias("n_days"),
+                     F.coalesce(F.sum(n), F.lit(0)).alias("n_entities"),
+                     (F.sum(n * F.col("m")) / F.sum(n)).alias("mean_max_streak"),
+                     F.map_from_entries(F.collect_list(F.when(entity, F.struct("m", "n")))).alias("_by"))
+    of = lambda k: F.coalesce(F.try_element_at("_by", k), F.lit(0)).cast("long")
+    return one.select("n_days", "n_entities", "mean_max_streak",
+                      of(F.col("n_days").cast("int")).alias("n_full_window"), of(F.lit(0)).alias("n_never_good"))

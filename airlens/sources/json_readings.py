@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from airlens.schemas import CODES, INGEST
+from airlens.sources.paths import exists
 
 # day files, plain or compressed (sensors_20240101.json, sensors_20240101.json.gz, ...)
 READINGS_GLOB = "sensors_*.json*"
@@ -28,27 +29,19 @@ def read_readings(spark: SparkSession, path: str, glob: str | None = READINGS_GL
     reader = spark.read.schema(schema).option("mode", "PERMISSIVE")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    try:
-        return reader.json(path)
-    except Exception as exc:  # AnalysisException: path does not exist
-        raise InputError(f"cannot read readings from {path}: {exc}") from exc
+    if not any(c in path for c in "*?[{") and not exists(spark, path):
+        raise InputError(f"no readings at {path}")
+    return reader.json(path)
 
 
 def read_country_codes(spark: SparkSession, path: str | None) -> DataFrame | None:
-    """The multi-line JSON array of country codes, or ``None`` if absent (the
-    enrichment step then keeps the alpha2 code as the name)."""
-    if not path:
-        return None
-    try:
-        df = spark.read.schema(CODES).option("multiLine", True).json(path)
-        df.limit(1).count()   # surface a missing file here, not mid-job
-        return df
-    except Exception:
+    """The multi-line JSON array of country codes, or ``None`` if no path is
+    given or nothing is there (the enrichment step then keeps the alpha2 code
+    as the name). A file that cannot be read or parsed, or holds no code, is an error.
+    """
+    if not path or not exists(spark, path):
         return None
-
-
-def require_rows(df: DataFrame, what: str) -> DataFrame:
-    """Raise ``InputError`` if ``df`` is empty (reads at most one row)."""
-    if not df.limit(1).count():
-        raise InputError(f"no {what} found")
+    df = spark.read.schema(CODES).option("multiLine", True).option("mode", "FAILFAST").json(path)
+    if df.where("alpha2Code is not null").isEmpty():
+        raise InputError(f"no country code in {path}")
     return df

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 def write_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
@@ -33,6 +34,13 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def read_clustered(spark: SparkSession, path: str) -> DataFrame:
+    """The curated readings with their region."""
+    from airlens.schemas import CLEAN_COLUMNS, CURATED
+    schema = T.StructType([*CURATED.fields, T.StructField("cluster", T.IntegerType())])
+    return spark.read.schema(schema).parquet(path).select(*CLEAN_COLUMNS, "cluster")
+
+
 def read_curated(spark: SparkSession, path: str) -> DataFrame:
     """The curated readings with an explicit schema (no partition type inference)."""
     from airlens.schemas import CLEAN_COLUMNS, CURATED

@@ -16,15 +16,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airlens.operators.joins import bounded_broadcast
-
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
-          "events", "documents", "embeddings", "pages", "benchmark", "labels",
-          "conversations")
-
+from airlens.schemas import TABLES
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table with its known schema, so no footer is read while a query is built."""
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,9 +56,9 @@ def extracted_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def country_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The country-code dimension (alpha2Code, alpha3Code, englishShortName)
-    from ``nation`` and ``region`` (25 x 5 rows, bounded)."""
+    from ``nation`` and ``region``."""
     nation = load(spark, sf_dir, "nation")
-    region = bounded_broadcast(load(spark, sf_dir, "region").select("r_regionkey", "r_name"), 1000)
+    region = load(spark, sf_dir, "region").select("r_regionkey", "r_name")
     return (nation.join(region, nation.n_regionkey == region.r_regionkey, "left")
                   .select(F.col("n_nationkey").cast("string").alias("alpha2Code"),
                           F.col("n_name").alias("alpha3Code"),
@@ -95,7 +91,7 @@ def raw_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.col("event_type").alias("country"),
                  F.lit(None).cast("string").alias("city")).alias("location"),
         F.struct(F.col("user_id").alias("id"),
-                 F.struct(F.lit("SDS011").alias("name")).alias("sensor_type")).alias("sensor"),
+                 F.struct(F.lit(None).cast("string").alias("name")).alias("sensor_type")).alias("sensor"),
         values.alias("sensordatavalues"))
     text = ev.select(F.to_json(record).alias("line"))
     return text.select(F.from_json("line", RAW).alias("r")).select("r.*")
@@ -117,7 +113,7 @@ def nested_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.col("longitude").cast("string").alias("longitude"),
                  F.col("country"), F.lit(None).cast("string").alias("city")).alias("location"),
         F.struct(F.col("sensor_id").alias("id"),
-                 F.struct(F.lit("SDS011").alias("name")).alias("sensor_type")).alias("sensor"),
+                 F.struct(F.lit(None).cast("string").alias("name")).alias("sensor_type")).alias("sensor"),
         values.alias("sensordatavalues"))
 
 

@@ -101,41 +101,3 @@ def test_dedupe_matches_bruteforce(spark, rows):
     got = {(r.sensor_id, r.date, r.latitude): (r.ts, r.id)
            for r in dedupe_first(df.repartition(3), key=("sensor_id", "date", "latitude")).collect()}
     assert got == want
-
-
-finite = st.floats(min_value=-50, max_value=50, allow_nan=False, allow_infinity=False)
-
-
-@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
-@given(vals=st.lists(finite, min_size=1, max_size=20), lo=finite, span=st.floats(0, 20))
-def test_presentation_expressions_match_python(spark, vals, lo, span):
-    from pyspark.sql import functions as F
-
-    from airlens.constants import INDEX_PALETTE
-    from airlens.functions import presentation as P
-    hi = lo + span
-
-    def scaled(v):
-        if hi == lo:
-            return "#808080"
-        n = max(0.0, min(1.0, (v - lo) / (hi - lo)))
-        return f"#{int(255 * (1 - n)):02x}{int(200 * n + 55):02x}55"
-
-    def radius(v):
-        return max(5.0, min(20.0, abs(v) * 8))
-
-    def colour(v):
-        return INDEX_PALETTE[max(0, min(9, int(v) - 1))]
-
-    def tier(m):
-        return "gray" if m <= 0 else "green" if m >= 7 else "orange" if m >= 3 else "red"
-
-    df = spark.createDataFrame([(v, int(v)) for v in vals], "v double, m int")
-    rows = df.select("v", "m", P.scaled_colour("v", F.lit(lo), F.lit(hi)).alias("s"),
-                     P.marker_radius("v").alias("r"), P.index_colour("v").alias("c"),
-                     P.streak_tier("m").alias("t")).collect()
-    for r in rows:
-        assert r.s == scaled(r.v)
-        assert r.r == radius(r.v)
-        assert r.c == colour(r.v)
-        assert r.t == tier(r.m)

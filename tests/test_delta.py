@@ -2,7 +2,7 @@ import datetime as dt
 
 import pytest
 
-from airlens.operators.delta import day_over_day, latest_date_value, level_on_day
+from airlens.operators.delta import day_over_day, latest_date, level_on_day
 
 D = dt.date
 
@@ -41,7 +41,7 @@ def test_bad_date_literal_raises(readings):
 
 
 def test_latest_date_and_level(readings):
-    assert latest_date_value(readings) == D(2024, 1, 2)
+    assert readings.select(latest_date(readings)).first()[0] == D(2024, 1, 2)
     got = [(r.entity, r.avg_AQI) for r in level_on_day(readings, ["entity"]).collect()]
     assert got == [("C", 6.0), ("A", 3.0), ("D", 2.0)]
 

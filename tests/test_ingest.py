@@ -106,8 +106,8 @@ def test_missing_code_file_copies_code(spark, folder):
 def test_duplicate_dimension_key_is_rejected(spark, folder, tmp_path):
     bad = tmp_path / "dup_codes.json"
     bad.write_text(json.dumps(CODES + CODES[:1]))
-    with pytest.raises(ValueError):
-        ingest.build_from_json(spark, str(folder), str(bad))
+    with pytest.raises(Exception, match="not unique"):
+        ingest.build_from_json(spark, str(folder), str(bad)).collect()
 
 
 def test_dedupe_survivor_independent_of_partitioning(spark, folder):
@@ -117,18 +117,31 @@ def test_dedupe_survivor_independent_of_partitioning(spark, folder):
     assert a == b
 
 
-def test_empty_input_is_reported(spark, tmp_path):
-    from airlens.sources.json_readings import require_rows
-    (tmp_path / "empty").mkdir()
-    raw = read_readings(spark, str(tmp_path / "empty"))
+def test_missing_input_is_reported(spark, tmp_path):
     with pytest.raises(InputError):
-        require_rows(extract_readings(raw), "readings")
+        read_readings(spark, str(tmp_path / "nowhere"))
+
+
+def test_code_file_is_absent_or_right(spark, tmp_path):
+    from airlens.sources.json_readings import read_country_codes
+    assert read_country_codes(spark, None) is None
+    assert read_country_codes(spark, str(tmp_path / "nowhere.json")) is None
+    cut = tmp_path / "cut.json"
+    cut.write_text(json.dumps(CODES)[:-20])
+    with pytest.raises(Exception):
+        read_country_codes(spark, str(cut)).collect()
+    other = tmp_path / "other.json"
+    other.write_text('[{"name": "x"}]')
+    with pytest.raises(InputError):
+        read_country_codes(spark, str(other))
 
 
 def test_job_cli_parses_options():
     from airlens.plans.job import _parse
     o = _parse(["--tables", "/x", "--out", "/y", "--elbow", "--elbow-ks", "2,4",
-                "--gap", "calendar", "--previous", "2024-01-01", "--geometry", "sphere"])
+                "--gap", "calendar", "--previous", "2024-01-01", "--geometry", "sphere",
+                "--readings-glob", "*.json", "--top-regions", "7", "--top-countries", "4", "--training-partitions", "3"])
+    assert (o.readings_glob, o.top_regions, o.top_countries, o.training_partitions) == ("*.json", 7, 4, 3)
     assert (o.tables, o.elbow, o.elbow_ks, o.gap, o.previous, o.geometry) == \
         ("/x", True, (2, 4), "calendar", "2024-01-01", "sphere")
 

@@ -62,8 +62,6 @@ def test_date_filter_prunes_partitions(spark, tmp_path):
     clean = spark.read.parquet(str(tmp_path / "r"))
     p = formatted(delta.day_over_day(clean, ["country"], as_of="2024-01-30"))
     assert "PartitionFilters: [date#" in p and "IN (2024-01-30,2024-01-29)" in p
-    p2 = formatted(delta.day_over_day(clean, ["country"]))     # in-plan max(date): runtime pruning
-    assert "PartitionFilters: [date#" in p2 and "Subquery" in p2.split("PartitionFilters")[1].split("\n")[0]
 
 
 def test_scan_reads_only_needed_columns(spark):
@@ -137,3 +135,44 @@ def test_hot_sensor_join_partition_is_split(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def executed(df) -> str:
+    """The plan that ran, subqueries included."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", ["improve_by_country", "worst_today", "improve_by_sensor"])
+def test_latest_day_reuses_the_ingest(spark, name):
+    """The source runs once: the subquery that finds the latest day reuses the exchange of the per-day means."""
+    plan = executed(catalog.QUERIES[name](spark, SF_SMALL)).split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in plan
+
+
+@pytest.mark.parametrize("name", ["streak_bins", "best_region_bins", "streak_tiers", "streak_summary"])
+def test_runs_are_computed_once(spark, name):
+    p = formatted(catalog.QUERIES[name](spark, SF_SMALL))
+    assert p.count("events.parquet]") == 1
+    above = p.split("\n\n")[0]
+    assert "rangepartitioning" not in above
+
+
+@pytest.mark.parametrize("name", sorted(n for n in catalog.QUERIES if "kmeans" not in n))
+def test_no_job_while_a_query_is_built(spark, name):
+    group = f"build-{name}"
+    spark.sparkContext.setJobGroup(group, "building")
+    try:
+        catalog.QUERIES[name](spark, SF_SMALL)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    finally:
+        spark.sparkContext._jsc.sc().clearJobGroup()
+
+
+@pytest.mark.parametrize("name, columns", [
+    ("improve_by_country", ["AQI_improvement"]), ("improve_by_region", ["AQI_improvement"]),
+    ("kmeans_improve_by_region", ["AQI_improvement"]), ("worst_today", ["avg_AQI"]), ("top10_countries", ["AQI_improvement"]),
+    ("top_regions", ["AQI_improvement"]), ("streak_max_by_region", ["max_streak"]), ("streak_max_by_sensor", ["max_streak"])])
+def test_rankings_come_back_sorted(spark, name, columns):
+    rows = [tuple(r[c] for c in columns) for r in catalog.QUERIES[name](spark, SF_SMALL).collect()]
+    assert rows and rows == sorted(rows, reverse=True)

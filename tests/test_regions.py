@@ -29,9 +29,47 @@ def test_tie_goes_to_lowest_id(spark, two_centroids):
     assert regions.nearest_centroid(mid, two_centroids).first().cluster == 0
 
 
-def test_too_many_centroids_fails(spark, three_points, two_centroids):
-    with pytest.raises(ValueError):
-        regions.nearest_centroid(three_points, two_centroids, max_centroids=1)
+def test_null_coordinates_get_no_region(spark, two_centroids):
+    rows = spark.createDataFrame([(None, 1.0), (1.0, None), (1.0, 1.0)], "latitude double, longitude double")
+    got = regions.nearest_centroid(rows, two_centroids, distance="d")
+    assert sorted(((r.cluster, r.d) for r in got.collect()), key=str) == [(0, 2.0), (None, None), (None, None)]
+    more = rows.union(spark.createDataFrame([(5.0, 5.0), (5.0, 5.0), (9.0, 9.0)], rows.schema))
+    model = regions.fit_regions(regions.training_points(more), k=2)
+    assert regions.assign_positions(more, model).count() == 4
+
+
+def test_model_does_not_follow_session_or_layout(spark):
+    clean = catalog.readings(spark, SF_SMALL)
+    key, before = "spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions")
+    found = []
+    try:
+        for partitions, files in (("8", 1), ("3", 5), ("40", 2)):
+            spark.conf.set(key, partitions)
+            model = regions.fit_regions(regions.training_points(clean.repartition(files)), k=20, seed=42)
+            found.append(sorted(tuple(c) for c in model.stages[-1].clusterCenters()))
+    finally:
+        spark.conf.set(key, before)
+    assert found[0] == found[1] == found[2]
+    from airlens.plans.job import JobOptions
+    assert JobOptions(out="x").training_partitions == regions.TRAINING_PARTITIONS > 1
+
+
+def test_callers_cache_stays(spark, three_points):
+    points = regions.training_points(three_points).persist()
+    level = points.storageLevel
+    regions.fit_regions(points, k=2)
+    regions.elbow(spark, points, [2], concurrency=1)
+    assert points.storageLevel == level
+    points.unpersist()
+
+
+def test_unreadable_model_is_not_overwritten(spark, three_points, tmp_path):
+    path = tmp_path / "model"
+    (path / "metadata").mkdir(parents=True)
+    (path / "metadata" / "part-00000").write_text("broken")
+    with pytest.raises(Exception):
+        regions.fit_regions(regions.training_points(three_points), k=2, model_path=str(path))
+    assert (path / "metadata" / "part-00000").read_text() == "broken"
 
 
 def test_k_larger_than_points(spark, three_points):

@@ -59,8 +59,7 @@ def test_tiers_keep_every_entity(spark, readings):
 
 def test_summary_and_overall(readings):
     ws = series(readings)
-    s = runs.run_summary(runs.daily_flags(readings, ["entity"]),
-                         runs.max_runs(ws, ["entity"], ranked=False)).first()
+    s = runs.run_summary(ws, ["entity"]).first()
     assert (s.n_days, s.n_entities, s.n_full_window, s.n_never_good) == (7, 3, 0, 1)
     assert s.mean_max_streak == pytest.approx(5 / 3)
     assert runs.overall_max_run(ws).first()[0] == 4
