@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airlens.llm.shared import columns, crc_mod, document_runs, staged
+from airlens.llm.shared import columns, crc_mod, map_arrow, staged
 from airlens.llm.subwords import open_subwords
 from airlens.llm.words import U64, word_hashes
 
@@ -200,7 +200,7 @@ def _sum_blocks(table: pa.Table) -> pa.Table:
 def _follower_table(chunks: DataFrame, rank_of: np.ndarray) -> np.ndarray:
     """The counts of the whole corpus: RANKS + 1 rows and columns, whatever its size."""
     shared = chunks.sparkSession.sparkContext.broadcast(rank_of)
-    rows = (chunks.select("docs", "index", "sub", "lengths").mapInArrow(_followers(shared, len(rank_of)), "block int, counts binary")
+    rows = (chunks.select("docs", "index", "sub", "lengths").transform(map_arrow, _followers(shared, len(rank_of)), "block int, counts binary", 1)
             .groupBy("block").applyInArrow(_sum_blocks, "block int, counts binary").toArrow())
     blocks = np.array_split(np.zeros((RANKS + 1, RANKS + 1), np.uint32), BLOCKS)
     for b, x in zip(rows.column("block").to_pylist(), rows.column("counts").to_pylist()):
@@ -359,7 +359,7 @@ def _train_chunks(shared, n_ids: int):
 def fit_model(chunks: DataFrame, n_ids: int) -> dict[str, np.ndarray]:
     """The model from all training texts of the chunks; ``n_ids`` counts the end, which is the last id."""
     spark = chunks.sparkSession
-    rows = (chunks.select("docs", "train", "sub", "lengths").mapInArrow(_id_counts(n_ids), "id long, n long")
+    rows = (chunks.select("docs", "train", "sub", "lengths").transform(map_arrow, _id_counts(n_ids), "id long, n long", 1)
             .groupBy("id").agg(F.sum("n").alias("n")).toArrow())
     counts = np.zeros(n_ids, np.int64)
     counts[rows.column("id").to_numpy()] = rows.column("n").to_numpy()
@@ -368,7 +368,7 @@ def fit_model(chunks: DataFrame, n_ids: int) -> dict[str, np.ndarray]:
     for _ in range(ROUNDS):
         shared = spark.sparkContext.broadcast(m)
         # a few thousand weights, summed over tasks
-        got = (chunks.select("docs", "index", "sub", "lengths").mapInArrow(_train_chunks(shared, n_ids), "part int, x double, w double")
+        got = (chunks.select("docs", "index", "sub", "lengths").transform(map_arrow, _train_chunks(shared, n_ids), "part int, x double, w double", 1)
                .groupBy("part").agg((F.sum("x") / F.sum("w")).alias("x")).toArrow().sort_by("part"))
         if got.num_rows:
             flat, at = got.column("x").to_numpy().astype(np.float32), 0
@@ -437,11 +437,11 @@ def score_texts(docs: DataFrame, tokenizer: str, id: str = "doc_id", text: str =
     one = columns(docs, id, text).select(
         F.col(f"`{id}`").cast("long").alias("doc"),
         F.coalesce(crc_mod(F.col(f"`{id}`"), fold[0]) == fold[1], F.lit(False)).alias("held"), F.col(f"`{text}`").alias("text"))
-    chunks = staged(one.mapInArrow(_chunks(tokenizer), _CHUNKS), "chunks", "none")
+    chunks = staged(one.transform(map_arrow, _chunks(tokenizer), _CHUNKS), "chunks", "none")
     n_ids = open_subwords(tokenizer).vocab + 1
     buckets = max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    counts = staged(chunks.select("chunk", "words", "train").mapInArrow(
-        _word_parts(buckets), "bucket int, chunk long, words binary, train binary")
+    counts = staged(chunks.select("chunk", "words", "train").transform(map_arrow, 
+        _word_parts(buckets), "bucket int, chunk long, words binary, train binary", 1)
         .groupBy("bucket").applyInArrow(_sum_words, _COUNTS), "word-counts")
     n_docs = (one.where(~F.col("held")).count())
     total = counts.where("chunk is null").agg(F.sum("n"), F.sum("v")).first()
@@ -450,5 +450,5 @@ def score_texts(docs: DataFrame, tokenizer: str, id: str = "doc_id", text: str =
     of = counts.where("chunk is not null").groupBy("chunk").agg(F.collect_list(F.struct("bucket", "counts")).alias("found"))
     return (chunks.select("chunk", "docs", "index", "sub", "lengths").join(of, "chunk", "left")
             .select("docs", "index", "sub", "lengths", "found")
-            .mapInArrow(_score(shared, n_ids), "doc long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
-                                               "base_score double, score double").withColumnRenamed("doc", id))
+            .transform(map_arrow, _score(shared, n_ids), "doc long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
+                                               "base_score double, score double", 1).withColumnRenamed("doc", id))

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airlens.llm.shared import columns
+from airlens.llm.shared import columns, map_arrow
 
 WINDOW = 64
 _MARKER = "\ue000\ue001\ue000"
@@ -159,7 +159,7 @@ def format_conversations(conversations: DataFrame, template: Template = default_
         if out:
             yield _batch(out)
 
-    return ordered.select("conv", "part", "role", "text").mapInArrow(rows, _PIECES)
+    return ordered.select("conv", "part", "role", "text").transform(map_arrow, rows, _PIECES)
 
 
 def _batch(rows: list[dict]) -> pa.RecordBatch:
@@ -212,6 +212,6 @@ def read_digests(spark: SparkSession, path: str, conv: str = "conv_id") -> DataF
         if out:
             yield batch_of(out)
 
-    return ordered.mapInArrow(
+    return ordered.transform(map_arrow, 
         rows, "conv long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, "
               "rewrites_history boolean").withColumnRenamed("conv", conv)

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airlens.llm.shared import columns
+from airlens.llm.shared import columns, map_arrow
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)"
@@ -222,5 +222,5 @@ def extract_pages(pages: DataFrame, id: str = "page_id", url: str = "url", html:
     one = columns(pages, id, url, html)
     kind = one.schema[id].dataType.simpleString()
     return (one.select(F.col(f"`{id}`").alias("id"), F.col(f"`{url}`").alias("url"), F.col(f"`{html}`").alias("html"))
-            .mapInArrow(rows, f"id {kind}, url string, text string, n_chars long")
+            .transform(map_arrow, rows, f"id {kind}, url string, text string, n_chars long")
             .withColumnsRenamed({"id": id, "url": url}))

@@ -32,13 +32,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airlens.llm.components import components
-from airlens.llm.shared import columns, small_batches, staged
+from airlens.llm.shared import columns, map_arrow, small_batches, staged
 from airlens.llm.words import U64, mix, shingle_sets
 
 HEAVY = 32          # a shingle of so many documents is ordered last; runs longer than this get hub rounds
 HEAVY_KEPT = 1 << 18  # at most so many frequent shingles are broadcast (12 bytes each)
 HUB_ROUNDS = 3      # hub rounds for long runs before the remaining pairs are tested
-FLUSH = 1 << 21     # shingles gathered in a task before they are sent on
+FLUSH = 1 << 20     # shingles gathered in a task before they are sent on
 BITMAP = 8          # 64-bit words of a set's short bitmap
 FILTER_BITS = 1 << 25  # bits of the filter that picks the texts whose sets are needed again
 
@@ -117,7 +117,7 @@ def heavy_shingles(docs: DataFrame, text: str, buckets: int) -> tuple[np.ndarray
     At most HEAVY_KEPT come back, so the driver and the broadcast hold a few MB
     whatever the input; a shingle left out is merely ordered by its hash.
     """
-    blobs = columns(docs, text).mapInArrow(_count_shingles(buckets), _BLOB).select("bucket", "tokens", "counts")
+    blobs = columns(docs, text).transform(map_arrow, _count_shingles(buckets), _BLOB).select("bucket", "tokens", "counts")
     heavy = HEAVY
     top = (blobs.groupBy("bucket").applyInArrow(lambda t: _sum_by_token(t, heavy), "token long, df long")
            .orderBy(F.desc("df"), "token").limit(HEAVY_KEPT).toArrow())
@@ -354,7 +354,7 @@ def jaccard_classes(docs: DataFrame, id: str = "doc_id", text: str = "text", thr
     docs = columns(docs, id, text).select(F.col(f"`{id}`").cast("long").alias("doc"), F.col(f"`{text}`").alias("text"))
     buckets = max(16, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     shared = spark.sparkContext.broadcast(heavy_shingles(docs, "text", buckets))
-    found = staged(docs.mapInArrow(_prefix_lists(buckets, threshold, shared), _BLOB).groupBy("bucket")
+    found = staged(docs.transform(map_arrow, _prefix_lists(buckets, threshold, shared), _BLOB).groupBy("bucket")
                    .applyInArrow(lambda t: _runs(t, threshold), _FOUND), "runs")
     members = found.where("not is_run").select("doc", "n", "node", "check", "grp", "bits", "wide")
     distinct = (members.where("n > 0").groupBy("node")
@@ -386,7 +386,7 @@ def jaccard_classes(docs: DataFrame, id: str = "doc_id", text: str = "text", thr
         if shingles is not None and need.isEmpty():
             return shingles
         picked = spark.sparkContext.broadcast(_id_filter(need))
-        made = (docs.mapInArrow(_sets_of(picked), "node long, s binary").join(need, "node", "left_semi")
+        made = (docs.transform(map_arrow, _sets_of(picked), "node long, s binary").join(need, "node", "left_semi")
                 .dropDuplicates(["node"]))
         made = staged(made, "sets", "none")
         return made if shingles is None else shingles.union(made)
@@ -402,14 +402,14 @@ def jaccard_classes(docs: DataFrame, id: str = "doc_id", text: str = "text", thr
         maps = (new.join(of.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("wide").alias("xa")), "a")
                 .join(of.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("wide").alias("xb")), "b")
                 .select("a", "b", "na", "nb", "xa", "xb"))
-        maybe = staged(maps.mapInArrow(_may_link(threshold), "a long, b long"), "maybe")
+        maybe = staged(maps.transform(map_arrow, _may_link(threshold), "a long, b long"), "maybe")
         if maybe.isEmpty():
             return new, None
         shingles = fetched(maybe)
         sa = shingles.select(F.col("node").alias("a"), F.col("s").alias("sa"))
         sb = shingles.select(F.col("node").alias("b"), F.col("s").alias("sb"))
         both = maybe.join(sa, "a").join(sb, "b").select("a", "b", "sa", "sb")
-        return new, staged(both.mapInArrow(_links(threshold), "a long, b long"), "links")
+        return new, staged(both.transform(map_arrow, _links(threshold), "a long, b long"), "links")
 
     def relabelled(links: DataFrame) -> DataFrame:
         edges = links if labels is None else links.join(

@@ -21,13 +21,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airlens.llm.shared import columns, document_runs, staged
+from airlens.llm.shared import columns, document_runs, map_arrow, staged
 from airlens.llm.subwords import open_subwords
 from airlens.llm.words import mix
 
 OPEN_BINS = 512
 SHARE = 1 << 18
-TEXT_RUN = 1 << 20
+TEXT_RUN = 1 << 19
 
 _PIECES = "doc long, piece int, start long, length long, ids_crc32 long, deal long"
 _PACKED = "doc long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
@@ -111,7 +111,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, size: int = 102
     one = columns(docs, id, text).select(
         F.col(f"`{id}`").cast("long").alias("doc"), F.col(f"`{text}`").alias("text"),
         F.octet_length(F.col(f"`{text}`")).alias("size"))
-    pieces = staged(one.mapInArrow(_cut(tokenizer, end_id, size), _PIECES), "pieces")
+    pieces = staged(one.transform(map_arrow, _cut(tokenizer, end_id, size), _PIECES), "pieces")
     full, part = pieces.where(f"length = {size}"), pieces.where(f"length < {size}")
     shares = max(1, -(-part.count() // share))
     packed = (part.withColumn("share", F.col("deal") % shares).groupBy("share")

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airlens.llm.shared import columns, crc_mod, document_runs, text_buffers
+from airlens.llm.shared import columns, crc_mod, document_runs, map_arrow, text_buffers
 from airlens.llm.words import gram_hashes, word_hashes
 
 SAMPLE = 20_000   # most labelled rows that the trees are grown on
@@ -201,7 +201,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: st
                 [batch.column(0), batch.column(1), pa.array(list(x), pa.list_(pa.float64()))], ["doc", "y", "x"])
 
     found = (texts.join(F.broadcast(chosen), "doc").select("doc", "y", "text")
-             .mapInArrow(rows, "doc long, y int, x array<double>")
+             .transform(map_arrow, rows, "doc long, y int, x array<double>")
              .groupBy("doc").agg(F.min("y").alias("y"), F.min("x").alias("x")).toArrow().sort_by("doc"))
     x = found.column("x").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, len(STATISTICS))
     return fit_trees(x, found.column("y").to_numpy().astype(float))
@@ -223,7 +223,7 @@ def score_quality(docs: DataFrame, trees: Trees, id: str = "doc_id", text: str =
                 ["doc", "held_out", "score", "predicted"])
 
     kind = docs.schema[id].dataType.simpleString()
-    return one.mapInArrow(rows, f"doc {kind}, held_out boolean, score double, predicted int").withColumnRenamed("doc", id)
+    return one.transform(map_arrow, rows, f"doc {kind}, held_out boolean, score double, predicted int").withColumnRenamed("doc", id)
 
 
 def keep_good(docs: DataFrame, trees: Trees, text: str = "text") -> DataFrame:
@@ -234,4 +234,4 @@ def keep_good(docs: DataFrame, trees: Trees, text: str = "text") -> DataFrame:
         for batch in batches:
             yield batch.filter(pa.array(shared.value.score(statistics(batch.column(at))) >= 0.5))
 
-    return docs.mapInArrow(rows, docs.schema)
+    return docs.transform(map_arrow, rows, docs.schema)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # bytes of text handled at once by the vectorised helpers; bounds their memory
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -83,3 +84,23 @@ def small_batches(batches, rows: int = 512):
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+
+
+def release_memory() -> None:
+    """Give freed memory back to the system: Python workers live on from task to task."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):   # not the GNU C library
+        pass
+
+
+def map_arrow(df: DataFrame, run: Callable, schema, rows: int = 1024) -> DataFrame:
+    """``df.mapInArrow(run, schema)`` with batches of at most ``rows`` rows, and memory released after a task."""
+    def lean(batches):
+        try:
+            yield from run(small_batches(batches, rows))
+        finally:
+            release_memory()
+
+    return df.mapInArrow(lean, schema)

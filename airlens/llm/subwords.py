@@ -22,7 +22,7 @@ from array import array
 
 import numpy as np
 
-LIMIT = 1_000_000
+LIMIT = 500_000
 
 # The parts of a tokenizer file for which the cuts above are proven.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airlens.llm.shared import columns
+from airlens.llm.shared import columns, map_arrow
 from airlens.llm.words import U64, _powers, documents, gram_hashes
 
 LEAST = 5
@@ -201,7 +201,7 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id",
                 if out:
                     yield pa.RecordBatch.from_pylist(out, _arrow_pairs())
 
-        found = found.unionAll(one.mapInArrow(rows, _PAIRS))
+        found = found.unionAll(one.transform(map_arrow, rows, _PAIRS))
     return found.withColumnRenamed("doc", id).withColumnRenamed("item", item_id)
 
 
@@ -227,5 +227,5 @@ def without_benchmark(docs: DataFrame, benchmark: DataFrame, text: str = "text",
                                    None) is None for a, b in zip(bounds[:-1], bounds[1:])]
                 yield batch.filter(pa.array(clean, pa.bool_()))
 
-        docs = docs.mapInArrow(rows, docs.schema)
+        docs = docs.transform(map_arrow, rows, docs.schema)
     return docs

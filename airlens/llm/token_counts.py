@@ -24,13 +24,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airlens.llm.shared import columns, document_runs
+from airlens.llm.shared import columns, document_runs, map_arrow
 from airlens.llm.subwords import open_subwords
 
 HUGE = 1 << 15      # characters from which a text is encoded in chunks
 CHUNK = 1 << 14     # characters of a chunk
 OVERLAP = 1 << 8    # characters that neighbouring chunks share at first
-TEXT_RUN = 1 << 20
+TEXT_RUN = 1 << 19
 
 # a cut stands before the space; the character before it is white space under no definition
 _CUT = re.compile("(?<=[^\\s\u180e\u200b\ufeff])(?=[ \n][^\\s\u180e\u200b\ufeff])")
@@ -132,5 +132,5 @@ def token_counts(docs: DataFrame, tokenizer: str, id: str = "doc_id", text: str
     kind = docs.schema[id].dataType.simpleString()
     one = columns(docs, id, text).select(F.col(f"`{id}`").alias("doc"), F.col(f"`{text}`").alias("text"),
                                          F.octet_length(F.col(f"`{text}`")).alias("size"))
-    return one.mapInArrow(_count(tokenizer, limit, huge),
+    return one.transform(map_arrow, _count(tokenizer, limit, huge),
                           f"doc {kind}, n_bytes long, n_tokens long, over_limit boolean").withColumnRenamed("doc", id)

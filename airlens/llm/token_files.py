@@ -26,14 +26,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airlens.llm.shared import columns, document_runs, staged
+from airlens.llm.shared import columns, document_runs, map_arrow, staged
 from airlens.llm.subwords import open_subwords
 
 MAGIC = b"HUF1"
 BLOCK = 1 << 17   # ids after which a block ends with its document
 STEP = 128        # ids between two bit offsets
 MAX_BITS = 16     # longest code; raised where the vocabulary needs more
-TEXT_RUN = 1 << 20
+TEXT_RUN = 1 << 19
 
 _STAGE = "shard int, block int, first long, n_tokens long, docs binary, ids binary"
 _BLOCKS = "shard int, block int, first long, n_tokens long, payload binary"
@@ -206,15 +206,15 @@ def write_tokens(docs: DataFrame, out: str, tokenizer: str, end_id: int, id: str
     one = one.withColumn("size", F.octet_length("text")).withColumn("tie", F.xxhash64("text"))
     # the text's hash splits an id that very many rows share, and orders its rows
     ordered = one.repartitionByRange("doc", "tie").sortWithinPartitions("doc", "tie", "text")
-    parts = staged(ordered.select("doc", "text", "size").mapInArrow(_tokenise(tokenizer, end_id), _STAGE), "ids")
+    parts = staged(ordered.select("doc", "text", "size").transform(map_arrow, _tokenise(tokenizer, end_id), _STAGE), "ids")
     # one row per id of the vocabulary at most
-    counts = parts.select("ids", "n_tokens").mapInArrow(_count_ids, "id long, n long") \
+    counts = parts.select("ids", "n_tokens").transform(map_arrow, _count_ids, "id long, n long", 1) \
         .groupBy("id").agg(F.sum("n").alias("n")).toArrow()
     total = np.zeros(max(counts.column("id").to_pylist(), default=end_id) + 1, np.int64)
     total[counts.column("id").to_numpy()] = counts.column("n").to_numpy()
     lengths = code_lengths(total, max_bits)
     shared = spark.sparkContext.broadcast(lengths)
-    (parts.mapInArrow(_encode(shared), _BLOCKS).write.option("compression", "none").parquet(f"{out}/blocks"))
+    (parts.transform(map_arrow, _encode(shared), _BLOCKS, 1).write.option("compression", "none").parquet(f"{out}/blocks"))
     spark.createDataFrame([(bytearray(lengths.tobytes()),)], "lengths binary").coalesce(1) \
         .write.parquet(f"{out}/codes")
 
@@ -257,4 +257,4 @@ def read_documents(spark: SparkSession, out: str, id: str = "doc_id", ids: bool
                 data["ids"] = pa.ListArray.from_arrays(np.append(0, ends).astype(np.int32), pa.array(flat.astype(np.int32)))
             yield pa.RecordBatch.from_pydict(data)
 
-    return blocks.select("shard", "first", "payload").mapInArrow(rows, schema).withColumnRenamed("doc", id)
+    return blocks.select("shard", "first", "payload").transform(map_arrow, rows, schema, 1).withColumnRenamed("doc", id)
