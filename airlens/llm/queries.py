@@ -72,4 +72,55 @@ QUERIES = {f.__name__: f for f in (
     op1_token_files, op2_quality_classifier, op3_chat_format, op4_attention_lm, op5_benchmark_tiling,
     op6_token_counts, op7_ngram_jaccard_join, op8_imatch_fingerprints, op9_best_fit_packing, op10_html_text)}
 
-ORACLE: dict[str, str] = {}
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_ESCAPED = r"regexp_replace({}, '([\[<])(\\*)(/?(?:INST\]|s>))', '\1\2\\\3', 'g')"
+
+# DuckDB SQL of the operators that SQL can express, over whole tables
+ORACLE: dict[str, str] = {
+    "op3_chat_format": f"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, t, r, '</s>[INST] ok [/INST]' FROM (VALUES (0, 'user'), (1, 'assistant')) v(t, r)
+),
+e AS (
+  SELECT *, role = 'assistant' AS learned,
+         length({_ESCAPED.format("replace(replace(role, chr(92), chr(92) || chr(92)), chr(10), chr(92) || 'n')")})
+         + 1 + length({_ESCAPED.format("text")}) + CASE WHEN role = 'assistant' THEN 7 ELSE 13 END AS size
+  FROM c
+),
+g AS (
+  SELECT conv_id, count(*) AS n_turns,
+         string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS said,
+         string_agg(CASE WHEN learned THEN text ELSE '' END, '' ORDER BY turn, role, text) AS loss, sum(size) AS size
+  FROM e GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
+       CAST(size AS BIGINT) AS formatted_chars, false AS rewrites_history
+FROM g""",
+    "op7_ngram_jaccard_join": f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'),
+                                    '[^\x20\x09-\x0D]+') AS words FROM documents
+),
+s AS (
+  SELECT doc_id, CASE WHEN len(words) = 0 THEN []
+                      WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+                      ELSE list_distinct([array_to_string(words[i:i + 4], ' ') FOR i IN range(1, len(words) - 3)]) END AS own
+  FROM w
+),
+n AS (SELECT doc_id, CAST(len(own) AS BIGINT) AS n FROM s),
+u AS (SELECT doc_id, unnest(own) AS shingle FROM s),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k
+  FROM u a JOIN u b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL
+),
+links AS (
+  SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 75 * (x.n + y.n - k)
+),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM n UNION SELECT r.doc_id, e.b FROM reach r JOIN edges e ON e.a = r.other
+)
+SELECT r.doc_id, n.n AS n_shingles, min(r.other) AS component_id
+FROM reach r JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id, n.n""",
+}
