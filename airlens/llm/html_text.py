@@ -48,6 +48,7 @@ NOISE_NAMES = frozenset(
     "comment comments discussion respond replies cookie cookies consent notice notices alert popup modal overlay footer "
     "header masthead menu nav navbar navigation pagination pager related recommended share sharing social sidebar "
     "newsletter subscribe signup login search toolbar widget widgets".split())
+WHOLE = frozenset("html body main article".split())   # their classes tell of the page's layout, not of themselves
 # an opening tag closes these open elements, searched up to one of the bounds
 _P_ENDERS = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr "
@@ -75,7 +76,7 @@ class Block:
 def _is_noise(name: str, rest: str) -> bool:
     if name in NOISE_TAGS:
         return True
-    if "=" not in rest:
+    if "=" not in rest or name in WHOLE:
         return False
     for m in _MARKS.finditer(rest):
         words = re.split(r"[^a-z]+", (m[1] or m[2] or m[3] or "").lower())

@@ -20,6 +20,9 @@ CASES = [
     (f"<article><p>{LONG}</p><p>cut <", f"{LONG}\ncut <"),
     (f"<article><p>{LONG}</p><!-- never closed <p>x</p>", LONG),
     (f"<div><p>{LONG}</p><script>never closed <p>x", LONG),
+    (f"<body class='has-sidebar'><main class='with menu'><p>{LONG}</p></main><div class='sidebar'><p>{LONG}</p></div></body>", LONG),
+    (f"<article><p>{LONG}</p><div id=\"comments\"><h2>2 comments</h2><p>{LONG}</p></div><p>End.</p></article>", f"{LONG}\nEnd."),
+    (f"<div><article><h1>H</h1><p>{LONG}</p></article><section class=related><p>{LONG}</p></section></div>", f"H\n{LONG}"),
 ]
 
 
