@@ -35,13 +35,13 @@ from airlens.llm.shared import columns, crc_mod, map_arrow, staged
 from airlens.llm.subwords import open_subwords
 from airlens.llm.words import U64, word_hashes
 
-CHUNK = 8 << 20     # bytes of text in a chunk
+CHUNK = 4 << 20     # bytes of text in a chunk
 WIDTH = 16          # of embeddings and the attention head
 ALONE = 96          # most frequent ids, each a class
 CLUSTERS = 31       # classes of the other ranked ids; one more holds the rest
 STRIDE = 16         # ids scored by a window of twice as many
-STEPS, BATCH = 24, 64   # of Adam in each chunk and round, windows in each
-ROUNDS = 4
+STEPS, BATCH = 16, 64   # of Adam in each chunk and round, windows in each
+ROUNDS = 3
 RANKS = 2048        # most frequent ids with counts of their own
 SMOOTH, WITHIN = 4.0, 4.0   # weight of the overall shares in a row of classes, and of ids within a class
 BLOCKS = 48         # stretches of rows that the counts are summed in
@@ -83,7 +83,7 @@ def _chunks(path: str):
             all_index = place[np.concatenate(index)] if index else np.empty(0, np.uint32)
             of_train = np.repeat(~np.array(held, bool), [d[3] for d in docs])
             train = np.bincount(all_index[of_train], minlength=len(h)).astype("<u4")
-            flat, lengths = sub.encode([names[i].decode() for i in order.tolist()]) if names else (
+            flat, lengths = sub.encode_words([names[i].decode() for i in order.tolist()]) if names else (
                 np.empty(0, np.uint32), np.empty(0, np.int64))
             return pa.RecordBatch.from_pydict({
                 "chunk": [base + made], "docs": [_z(np.array(docs, _DOC))], "words": [h[order].tobytes()],
@@ -154,13 +154,13 @@ def _sequence(index: np.ndarray, sub: np.ndarray, lengths: np.ndarray, words: np
     cum = np.concatenate([[0], ends])
     bounds = np.concatenate([[0], np.cumsum(words)])
     last = cum[bounds[1:]]
-    target = np.insert(flat, last, end)
-    before = np.empty(len(target), np.int64)
+    target = np.insert(flat.astype(np.int32), last, end)
+    before = np.empty(len(target), np.int32)
     before[1:] = target[:-1]        # a document's first id follows an end: that of the document before
     if len(before):
         before[0] = end
     size = np.diff(cum[bounds]) + 1
-    return before, target.astype(np.int64), np.repeat(np.arange(len(words)), size)
+    return before, target, np.repeat(np.arange(len(words), dtype=np.int32), size)
 
 
 def _training_part(docs: np.ndarray, index: np.ndarray):
@@ -182,7 +182,7 @@ def _followers(rank_of, n_ids: int):
                 docs, index, sub, lengths = _read_chunk(row)
                 part, words = _training_part(docs, index)
                 before, target, _ = _sequence(part, sub, lengths, words, n_ids - 1)
-                found = np.bincount(rank_of.value[before] * n + rank_of.value[target], minlength=n * n).astype(np.uint32)
+                found = np.bincount(rank_of.value[before].astype(np.int64) * n + rank_of.value[target], minlength=n * n).astype(np.uint32)
                 total = found if total is None else total + found
         if total is not None:
             for b, part in enumerate(np.array_split(total.reshape(n, n), BLOCKS)):
@@ -231,7 +231,7 @@ def _profiles(table: np.ndarray) -> np.ndarray:
 
 def _ranks(counts: np.ndarray) -> np.ndarray:
     """Each id's place by frequency; RANKS for the others."""
-    out = np.full(len(counts), RANKS, np.int64)
+    out = np.full(len(counts), RANKS, np.int32)
     top = np.argsort(-counts, kind="stable")[:RANKS]
     out[top] = np.arange(len(top))
     return out
@@ -286,17 +286,23 @@ TRAINED = ("query", "key", "value", "out", "bias", "near")
 _FAR = np.arange(STRIDE)[:, None] + STRIDE - np.arange(2 * STRIDE)[None, :]   # how far a key is behind a query
 
 
+_HIDDEN = np.float32(-1e9)
+
+
+def _reach(m: dict) -> np.ndarray:
+    """What distance adds to a score; later ids are hidden."""
+    return np.where(_FAR >= 0, m["near"][np.maximum(_FAR, 0)], _HIDDEN).astype(np.float32)
+
+
 def _attend(m: dict, before: np.ndarray, doc: np.ndarray):
     """Attention of windows (n, 2 * STRIDE): of the later half to all earlier ids of the same document."""
     e = m["embedding"][before]
     q, k, v = e[:, STRIDE:] @ m["query"], e @ m["key"], e @ m["value"]
-    score = (q @ k.transpose(0, 2, 1)) * np.float32(WIDTH ** -0.5) + m["near"][np.maximum(_FAR, 0)]
-    score[:, _FAR < 0] = -1e9
+    score = (q @ k.transpose(0, 2, 1)) * np.float32(WIDTH ** -0.5) + _reach(m)
     other = doc[:, 0] != doc[:, -1]           # only windows over a document's edge need the document mask
     if other.any():
-        score[other] = np.where(doc[other][:, STRIDE:, None] == doc[other][:, None, :], score[other], -1e9)
-    score -= score.max(2, keepdims=True)
-    p = np.exp(score)
+        score[other] = np.where(doc[other][:, STRIDE:, None] == doc[other][:, None, :], score[other], _HIDDEN)
+    p = np.exp(np.minimum(score, 60))
     p /= p.sum(2, keepdims=True)
     return e, q, k, v, p, p @ v
 
@@ -385,20 +391,30 @@ def log10_probabilities(m: dict, before: np.ndarray, target: np.ndarray, doc: np
     last, following = m["rank_of"][before], m["rank_of"][target]
     blocks = -(-n // STRIDE)
     room = blocks * STRIDE - n
-    ids = np.concatenate([np.zeros(STRIDE, np.int64), last, np.zeros(room, np.int64)]).reshape(-1, STRIDE)
-    own = np.concatenate([np.full(STRIDE, -1), doc, np.full(room, -2)]).reshape(-1, STRIDE)
-    kind = np.concatenate([m["class_of"][following], np.zeros(room, np.int64)]).reshape(-1, STRIDE)
+    ids = np.concatenate([np.zeros(STRIDE, np.int32), last, np.zeros(room, np.int32)]).reshape(-1, STRIDE)
+    own = np.concatenate([np.full(STRIDE, -1, np.int32), doc, np.full(room, -2, np.int32)]).reshape(-1, STRIDE)
+    kind = np.concatenate([m["class_of"][following].astype(np.int32), np.zeros(room, np.int32)]).reshape(-1, STRIDE)
     out = np.empty((blocks, STRIDE), np.float32)
+    # what an id contributes as query, key and value, and its row of classes
+    query, key, value = (m["embedding"] @ m[x] for x in ("query", "key", "value"))
+    query *= np.float32(WIDTH ** -0.5)
+    rows, reach = m["rows"] + m["bias"], _reach(m)
     for a in range(0, blocks, 128):
         z = min(a + 128, blocks)
-        window = np.concatenate([ids[a:z], ids[a + 1:z + 1]], axis=1)
+        now, window = ids[a + 1:z + 1], np.concatenate([ids[a:z], ids[a + 1:z + 1]], axis=1)
+        score = query[now] @ key[window].transpose(0, 2, 1)
+        score += reach
         owner = np.concatenate([own[a:z], own[a + 1:z + 1]], axis=1)
-        attended = _attend(m, window, owner)[-1]
-        logits = m["rows"][ids[a + 1:z + 1].ravel()]
-        logits += attended.reshape(-1, WIDTH) @ m["out"]
-        logits += m["bias"]
+        other = owner[:, 0] != owner[:, -1]
+        if other.any():
+            score[other] = np.where(owner[other][:, STRIDE:, None] == owner[other][:, None, :], score[other], _HIDDEN)
+        np.minimum(score, 60, out=score)      # no overflow
+        np.exp(score, out=score)
+        read = (score @ value[window]).reshape(-1, WIDTH) / score.sum(2).reshape(-1, 1)
+        logits = rows[now.ravel()]
+        logits += read @ m["out"]
         picked = logits[np.arange(len(logits)), kind[a:z].ravel()]
-        np.exp(logits, out=logits)      # rows are log shares and the rest is small: no overflow
+        np.exp(logits, out=logits)            # rows are log shares and the rest is small
         out[a:z] = (picked - np.log(logits.sum(1))).reshape(-1, STRIDE)
     found = out.ravel()[:n] + m["within"][last, following] + np.where(following == RANKS, m["rest"][target], 0)
     return found.astype(np.float64) / np.log(10)

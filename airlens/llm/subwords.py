@@ -31,6 +31,8 @@ _MARKS = "!-&(-/:-@\\[-`{-~"   # ASCII punctuation without the apostrophe of con
 _PLAIN = re.compile(f"[{_LETTERS}{_MARKS}0-9 \n]*")
 _PIECES = {"word": re.compile(f"[{_LETTERS}]+|[0-9]|[{_MARKS}]+"),
            "byte": re.compile(f" ?[{_LETTERS}]+| ?[0-9]+| ?[{_MARKS}]+|\n")}
+_LINES = re.compile(_PIECES["word"].pattern + "|\n")
+_BREAK = 1 << 60      # the place of a line feed between words: no ids
 _ODD_SPACE = re.compile("[\\s\u180e\u200b\ufeff][ \n]")
 _SAFE_CUT = re.compile("(?<=[^\\s\u180e\u200b\ufeff])(?=[ \n])")
 
@@ -145,6 +147,28 @@ class Subwords:
         # a copy, so that the store may grow again
         return np.frombuffer(self._flat, np.uint32)[at] if len(at) else np.empty(0, np.uint32), ends[bounds[1:]] - ends[bounds[:-1]]
 
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """``encode`` for very many short texts without white space: the plain ones are cut in one go."""
+        if self.kind != "word":
+            return self.encode(words)
+        plain = np.array([_PLAIN.fullmatch(w) is not None and not any(t in w for t in self._special) for w in words], bool)
+        lengths = np.zeros(len(words), np.int64)
+        other, lengths[~plain] = self.encode([w for w, p in zip(words, plain) if not p])
+        if len(self._places) > self.limit:
+            self._clear()
+        self._places["\n"] = _BREAK
+        keys = _LINES.findall("\n".join([w for w, p in zip(words, plain) if p] + [""]).lower())
+        place = np.fromiter(map(self._places.__getitem__, keys), np.int64, len(keys))
+        size = place & 0xFFFFF
+        ends = np.concatenate([[0], np.cumsum(size)])
+        lengths[plain] = np.diff(ends[np.concatenate([[0], np.flatnonzero(place == _BREAK)])])
+        at = np.repeat((place >> 20) - ends[:-1], size) + np.arange(ends[-1])
+        out = np.empty(int(lengths.sum()), np.uint32)
+        of_plain = np.repeat(plain, lengths)
+        out[of_plain] = np.frombuffer(self._flat, np.uint32)[at] if len(at) else 0
+        out[~of_plain] = other
+        return out, lengths
+
     def _plain(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = [self._whole(t) for t in texts]
         return np.array([i for x in found for i in x], np.uint32), np.array([len(x) for x in found], np.int64)

@@ -38,6 +38,16 @@ def test_words_encode_like_whole_texts(path, rows):
         assert sub.count(some).tolist() == counts.tolist()
 
 
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_many_words_at_once(path, rows):
+    words = list({w for _, t in rows for w in (t or "").split()}) + ["a'b", "<|endoftext|>x", "é", "12ab", "x" * 300, "...", "e\u0301"]
+    sub = Subwords(path)
+    ids, counts = sub.encode_words(words)
+    ends = np.cumsum(counts)
+    assert [ids[e - n:e].tolist() for e, n in zip(ends, counts)] == ids_of(path, words)
+    assert sub.encode_words([])[1].tolist() == []
+
+
 def test_token_files(spark, docs, rows, tmp_path):
     out = str(tmp_path / "files")
     token_files.write_tokens(docs, out, WORD, end_id=1)
