@@ -8,6 +8,12 @@ from pyspark.sql import functions as F
 from airlens.llm.shared import staged
 
 
+def _follow(labels: DataFrame, pointers: DataFrame) -> DataFrame:
+    """Labels replaced by what they point to."""
+    on = pointers.select(F.col("node").alias("label"), F.col("label").alias("next"))
+    return labels.join(on, "label", "left").select("node", F.coalesce("next", "label").alias("label"))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, label) for every node of ``edges`` (columns a, b); label is the least node of its component.
 
@@ -21,19 +27,10 @@ def components(edges: DataFrame) -> DataFrame:
     left = staged(edges.where("a <> b").select("a", "b").distinct(), "edges")
     while not left.isEmpty():
         both = left.union(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        up = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")) \
-            .select("node", F.least("node", "m").alias("label"))
-        for _ in range(2):
-            up = staged(up, "pointers")
-            on = up.select(F.col("node").alias("label"), F.col("label").alias("next"))
-            up = up.join(on, "label", "left").select("node", F.coalesce("next", "label").alias("label"))
-        up = staged(up, "pointers")
-        if found is None:
-            found = up
-        else:
-            on = up.select(F.col("node").alias("label"), F.col("label").alias("next"))
-            found = staged(found.join(on, "label", "left")
-                           .select("node", F.coalesce("next", "label").alias("label")), "labels")
+        up = staged(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
+                    .select("node", F.least("node", "m").alias("label")), "pointers")
+        up = staged(_follow(_follow(up, up), up), "pointers")
+        found = up if found is None else staged(_follow(found, up), "labels")
         pa = up.select(F.col("node").alias("a"), F.col("label").alias("pa"))
         pb = up.select(F.col("node").alias("b"), F.col("label").alias("pb"))
         left = staged(left.join(pa, "a").join(pb, "b").where("pa <> pb")

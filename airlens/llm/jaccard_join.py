@@ -10,9 +10,10 @@ hashes). Two documents link when ``100 * |intersection| >= threshold * |union|``
    with the same prefix and size form one group, and an inverted list (a *run*)
    holds the groups of a prefix shingle; groups without a partner of fitting
    size in the run go, and equal runs count once.
-3. Groups expand to their distinct sets. Pairs are tested in rounds: first every set
-   of a run against one hub of it; what a round links shares a label, and later
-   rounds only test pairs of different labels, ending with every such pair. So a
+3. Groups expand to their distinct sets. Pairs are tested in three rounds: every set
+   of a run against one hub of it; then all pairs of a short run and a few more hubs of a
+   long one; then all pairs. What a round links shares a label, and later
+   rounds only test pairs of different labels. So a
    large family of copies costs about one test a member instead of all pairs, and
    no link between different classes is lost. A test first compares parity
    bitmaps, which bound the symmetric difference from below; for the pairs that
@@ -37,7 +38,7 @@ from airlens.llm.words import U64, mix, shingle_sets
 
 HEAVY = 32          # a shingle of so many documents is ordered last; runs longer than this get hub rounds
 HEAVY_KEPT = 1 << 18  # at most so many frequent shingles are broadcast (12 bytes each)
-HUB_ROUNDS = 3      # hub rounds for long runs before the remaining pairs are tested
+HUBS = 3            # hubs of a long run in the second round, before all its remaining pairs are tested
 FLUSH = 1 << 20     # shingles gathered in a task before they are sent on
 BITMAP = 8          # 64-bit words of a set's short bitmap
 FILTER_BITS = 1 << 25  # bits of the filter that picks the texts whose sets are needed again
@@ -392,24 +393,23 @@ def jaccard_classes(docs: DataFrame, id: str = "doc_id", text: str = "text", thr
         return made if shingles is None else shingles.union(made)
 
     def tried(pairs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-        """(the pairs not tried before, those of them that link)."""
+        """(the pairs intersected now, those of them that link); pairs that the maps rule out may come again."""
         nonlocal shingles
         new = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         if tested is not None:
             new = new.join(tested, ["a", "b"], "left_anti")
         of = distinct.select("node", "n", "wide")
-        new = staged(new, "pairs")
         maps = (new.join(of.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("wide").alias("xa")), "a")
                 .join(of.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("wide").alias("xb")), "b")
                 .select("a", "b", "na", "nb", "xa", "xb"))
         maybe = staged(maps.transform(map_arrow, _may_link(threshold), "a long, b long"), "maybe")
         if maybe.isEmpty():
-            return new, None
+            return maybe, None
         shingles = fetched(maybe)
         sa = shingles.select(F.col("node").alias("a"), F.col("s").alias("sa"))
         sb = shingles.select(F.col("node").alias("b"), F.col("s").alias("sb"))
         both = maybe.join(sa, "a").join(sb, "b").select("a", "b", "sa", "sb")
-        return new, staged(both.transform(map_arrow, _links(threshold), "a long, b long"), "links")
+        return maybe, staged(both.transform(map_arrow, _links(threshold), "a long, b long"), "links")
 
     def relabelled(links: DataFrame) -> DataFrame:
         edges = links if labels is None else links.join(
@@ -423,39 +423,35 @@ def jaccard_classes(docs: DataFrame, id: str = "doc_id", text: str = "text", thr
         old = labels.join(on, "label", "left").select("node", F.coalesce("next", "label").alias("label"))
         return staged(old.union(new.join(labels, "node", "left_anti")), "labels")
 
-    for turn in range(HUB_ROUNDS + 2):
+    for turn in range(3):
         rows = labelled(live)
+        picks = [f"min_by(struct(node, label, n), xxhash64(node, {k}))" for k in ([0] if turn == 0 else range(1, HUBS + 1))]
         per_run = rows.groupBy("run").agg(
             F.count("*").alias("k"), F.min("label").alias("low"), F.max("label").alias("high"),
-            F.expr(f"min_by(struct(node, label, n), xxhash64(node, {turn}))").alias("hub")).where("low <> high")
-        # short runs are done after one hub round and one round of all pairs left
-        rest = turn == 1 or turn == HUB_ROUNDS + 1
-        live_runs = rows.join(per_run, "run").select("run", "k", "node", "n", "label", "hub")
-        live = staged(live_runs, f"lists{turn}")
+            F.expr(f"array_distinct(array({', '.join(picks)}))").alias("hubs")).where("low <> high")
+        live = staged(rows.join(per_run, "run").select("run", "k", "node", "n", "label", "hubs"), "lists")
         if live.isEmpty():
             break
-        hubs = (live.where("node <> hub.node and label <> hub.label").withColumn("m", F.col("hub.n")).where(fits)
+        hubs = (live.where(f"k > {HEAVY}" if turn else "true").select("node", "n", "label", F.explode("hubs").alias("hub"))
+                .where("node <> hub.node and label <> hub.label").withColumn("m", F.col("hub.n")).where(fits)
                 .select(F.col("node").alias("a"), F.col("hub.node").alias("b")))
-        if rest:
-            whole = live if turn > 1 else live.where(f"k <= {HEAVY}")
-            bits = distinct.select("node", "bits")
-            left = whole.join(bits, "node").select("run", F.col("node").alias("a"), "n", F.col("label").alias("la"),
-                                                   F.col("bits").alias("xa"))
+        if turn:
+            # all pairs left: of short runs now, of long ones in the last round
+            whole = live if turn == 2 else live.where(f"k <= {HEAVY}")
+            left = whole.join(distinct.select("node", "bits"), "node").select(
+                "run", F.col("node").alias("a"), "n", F.col("label").alias("la"), F.col("bits").alias("xa"))
             right = left.select("run", F.col("a").alias("b"), F.col("n").alias("m"), F.col("la").alias("lb"),
                                 F.col("xa").alias("xb"))
             differ = " + ".join(f"bit_count(xa[{i}] ^ xb[{i}])" for i in range(BITMAP))
             # |A xor B| is at most (1-t)/(1+t) of |A|+|B| for a link, and at least the bits that differ
             all_left = (left.join(right, "run").where("a < b and la <> lb").where(fits)
                         .where(f"({differ}) * {100 + threshold} <= {100 - threshold} * (n + m)").select("a", "b"))
-            hubs = all_left if turn > 1 else hubs.where("false").union(all_left).union(
-                live.where(f"k > {HEAVY} and node <> hub.node and label <> hub.label")
-                .withColumn("m", F.col("hub.n")).where(fits).select(F.col("node").alias("a"), F.col("hub.node").alias("b")))
+            hubs = all_left if turn == 2 else hubs.union(all_left)
         new, links = tried(hubs)
         tested = new if tested is None else tested.union(new)
         if links is not None and not links.isEmpty():
             labels = relabelled(links)
-        live = live.select("run", "node", "n") if turn == 0 else \
-            live.where("false" if turn > HUB_ROUNDS else f"k > {HEAVY}").select("run", "node", "n")
+        live = live.where(f"k > {HEAVY}" if turn else "true").select("run", "node", "n")
 
     named = members.select("doc", "n", "node")
     if labels is not None:
