@@ -5,8 +5,9 @@ from the root. Per path the text length and the punctuation of its blocks are
 averaged; a block takes the two ratios of its path, both are smoothed over the
 neighbouring blocks, and their product (the fusion) is compared with a
 threshold from the page's own spread. Paths whose blocks pass select the content
-nodes, and the deepest element that holds most of the selected text is the
-article. Its blocks are the text, short ones included, save what
+nodes. The article is the <article> or <main> that holds nearly all of the selected text, else the lowest
+common ancestor of all selected blocks: never a list, table, quotation, section or paragraph, but what
+contains it, and a headline beside it belongs to it. Its blocks are the text, short ones included, save what
 an element marks as no part of it: navigation, headers, footers, asides, forms, scripts, styles, and
 elements whose class or id names an advert, a notice, a sidebar, a menu or reader comments.
 
@@ -49,6 +50,10 @@ NOISE_NAMES = frozenset(
     "header masthead menu nav navbar navigation pagination pager related recommended share sharing social sidebar "
     "newsletter subscribe signup login search toolbar widget widgets".split())
 WHOLE = frozenset("html body main article".split())   # their classes tell of the page's layout, not of themselves
+# parts of an article, never the whole of it
+PARTS = frozenset(
+    "p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table caption thead tbody tfoot tr td th blockquote pre figure figcaption "
+    "details summary section address".split())
 # an opening tag closes these open elements, searched up to one of the bounds
 _P_ENDERS = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr "
@@ -59,7 +64,7 @@ _CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "
            "tbody": ({"thead", "tbody", "tr", "td", "th"}, {"table"})}
 _P_BOUNDS = frozenset("table td th caption button object".split())
 
-MOST = 0.6        # share of the selected text that the article's element holds
+NEARLY = 0.9      # share of the selected text that an <article> or <main> holds to be the article
 SPREAD = 0.5      # the threshold is the mean less so many standard deviations of the fused ratios
 SMOOTH = np.array([0.05, 0.25, 0.4, 0.25, 0.05])
 
@@ -174,6 +179,40 @@ def _smoothed(x: np.ndarray) -> np.ndarray:
     return around / np.convolve(np.ones(len(x)), SMOOTH)[2:2 + len(x)]
 
 
+def _article(selected: list[Block], clean: list[Block]) -> int:
+    """The element that holds the article; 0 is the page."""
+    name = {e: n for b in clean for e, n in zip(b.path, b.names.split("/"))}
+    inside = defaultdict(int)
+    for b in selected:
+        for element in b.path:
+            inside[element] += len(b.text)
+    most = NEARLY * sum(len(b.text) for b in selected)
+    marked = [e for e, n in inside.items() if name[e] in ("article", "main") and n >= most]
+    if marked:
+        return min(marked)
+    above = list(selected[0].path)
+    for b in selected:
+        k = 0
+        while k < min(len(above), len(b.path)) and above[k] == b.path[k]:
+            k += 1
+        del above[k:]
+    while above and name[above[-1]] in PARTS:
+        above.pop()
+    held = [b for b in clean if above and above[-1] in b.path]
+    if held and len(held) < len(clean) and name[above[-1]] not in WHOLE and all(b.path[-1] == above[-1] for b in held):
+        above.pop()     # one element of bare text: its container is the article, so its headline and short blocks stay
+        while above and name[above[-1]] in PARTS:
+            above.pop()
+    first = min((b.path for b in clean if not above or above[-1] in b.path), default=())
+    if above and not any("h1" in b.names.split("/") for b in clean if above[-1] in b.path):
+        for b in clean:
+            beside = list(b.path[:-1])
+            if b.names.endswith("h1") and b.path < first and above[:len(beside)] == beside:
+                above = beside
+                break
+    return above[-1] if above else 0
+
+
 def content_blocks(found: list[Block]) -> list[Block]:
     """The blocks of the article."""
     clean = [b for b in found if not b.noise]
@@ -190,20 +229,7 @@ def content_blocks(found: list[Block]) -> list[Block]:
     fused = np.log1p(text) * np.log1p(1 + stops)
     chosen = fused >= fused.mean() - SPREAD * fused.std()
     paths = {b.names for b, c in zip(clean, chosen) if c}
-    inside, total = defaultdict(int), 0
-    for b in clean:
-        if b.names in paths:
-            total += len(b.text)
-            for element in b.path:
-                inside[element] += len(b.text)
-    # the deepest element with most of the selected text; blocks without an element belong to the page
-    root = max((e for e, n in inside.items() if n >= MOST * total), default=0)
-    holders = [b.path for b in clean if root in b.path]
-    if root and len(holders) == 1 and len(clean) > 1:
-        # one long block alone: its container is the article, so its headline and short blocks stay
-        path = holders[0]
-        above = path.index(root)
-        root = path[above - 1] if above else 0
+    root = _article([b for b in clean if b.names in paths], clean)
     return [b for b in clean if not root or root in b.path]
 
 

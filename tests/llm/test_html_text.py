@@ -31,6 +31,31 @@ def test_main_text(page, text):
     assert main_text(page) == text
 
 
+TEN = "".join(f"<li>{LONG}</li>" for _ in range(10))
+LINES = "\n".join([LONG] * 10)
+AROUND = "<div><a href='/'>Home</a></div>"
+
+WHOLE_ARTICLES = [
+    (f"<body>{AROUND}<div><h1>Head</h1><p>Intro, short.</p><ul>{TEN}</ul><p>{LONG}</p><p>End.</p></div></body>",
+     f"Head\nIntro, short.\n{LINES}\n{LONG}\nEnd."),
+    (f"<body>{AROUND}<div><h1>Head</h1><p>{LONG}</p><table>{TEN.replace('li>', 'td>').replace('<td>', '<tr><td>')}</table><p>End.</p></div>",
+     f"Head\n{LONG}\n{LINES}\nEnd."),
+    (f"<body>{AROUND}<div><h1>Head</h1><p>{LONG}</p><blockquote>{TEN.replace('li>', 'p>')}</blockquote><p>End.</p></div>",
+     f"Head\n{LONG}\n{LINES}\nEnd."),
+    (f"<body>{AROUND}<div><h1>Head</h1><section><p>{LONG}</p></section><section><h2>Two</h2>{TEN.replace('li>', 'p>')}</section>"
+     f"<section><p>Last, short.</p></section></div>", f"Head\n{LONG}\nTwo\n{LINES}\nLast, short."),
+    (f"<body>{AROUND}<div><h1>Head</h1><p>Be.</p><p>{LONG}<span class='ad'>Buy now!</span>{LONG}</p><p>End.</p></div>",
+     f"Head\nBe.\n{LONG}\n{LONG}\nEnd."),
+    (f"<body>{AROUND}<div><h1>Head</h1><div>{TEN.replace('li>', 'p>')}</div><p>End.</p></div>", f"Head\n{LINES}\nEnd."),
+    (f"<body>{AROUND}<article><h1>Head</h1><ul>{TEN}</ul><p>End.</p></article><div>Imprint</div>", f"Head\n{LINES}\nEnd."),
+]
+
+
+@pytest.mark.parametrize("page, text", WHOLE_ARTICLES)
+def test_an_article_is_more_than_its_largest_part(page, text):
+    assert main_text(page) == text
+
+
 def test_pages(spark):
     rows = [(k, None if k % 2 else f"u{k}", p, "clash") for k, (p, _) in enumerate(CASES)] + [(None, None, None, None)]
     rows += [rows[4], rows[4]]
