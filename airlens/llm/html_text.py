@@ -8,8 +8,11 @@ threshold from the page's own spread. Paths whose blocks pass select the content
 nodes. The article is the <article> or <main> that holds nearly all of the selected text, else the lowest
 common ancestor of all selected blocks: never a list, table, quotation, section or paragraph, but what
 contains it, and a headline beside it belongs to it. Its blocks are the text, short ones included, save what
-an element marks as no part of it: navigation, headers, footers, asides, forms, scripts, styles, and
-elements whose class or id names an advert, a notice, a sidebar, a menu or reader comments.
+an element marks as no part of it: navigation, headers and footers of the page, asides, forms, scripts, styles, and
+elements whose class, id or role is the name of an advert, a sidebar or reader comments. A name that may mean
+something else (``section-header``, ``related-work``, ``notice``; a footer inside an article) only makes its element
+doubtful: it never steers the choice of the article, and inside the article the element goes only if the ratios of
+its own paths are below the threshold too and it holds no headline.
 
 Character references are decoded, white space inside a block (a line break
 too) becomes one space, blocks are trimmed and joined by one line feed. A null or
@@ -35,20 +38,28 @@ from airlens.llm.shared import columns, map_arrow
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)(?:>|\Z)", re.S)
-_MARKS = re.compile(r"""(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _PUNCTUATION = re.compile(r"[.,;:!?…，。、；：！？]")
 
-RAW = frozenset("script style noscript template iframe object svg math title textarea xmp noembed noframes".split())
+RAW = frozenset("script style noscript template iframe svg title textarea xmp noembed noframes annotation annotation-xml".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span "
-    "strike strong sub sup time tt u var".split())
+    "strike strong sub sup time tt u var object "
+    "math semantics mrow mi mn mo ms mtext msup msub msubsup mfrac msqrt mroot mover munder munderover mstyle mspace mpadded "
+    "mphantom menclose merror mmultiscripts mprescripts none".split())
 NOISE_TAGS = frozenset("nav header footer aside form button select menu dialog head".split())
-NOISE_NAMES = frozenset(
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+FIRM_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion breadcrumb breadcrumbs "
-    "comment comments discussion respond replies cookie cookies consent notice notices alert popup modal overlay footer "
-    "header masthead menu nav navbar navigation pagination pager related recommended share sharing social sidebar "
-    "newsletter subscribe signup login search toolbar widget widgets".split())
+    "comment comments respond replies cookie cookies consent popup modal masthead nav navbar navigation pagination pager "
+    "sharing sidebar newsletter subscribe signup login toolbar".split())
+# also names of an article's own parts
+LOOSE_NAMES = frozenset(
+    "discussion notice notices alert overlay footer header menu related recommended share social search widget widgets".split())
+# words that add nothing to a firm name: ``ad-slot``, ``comment-list``
+ADDED = LOOSE_NAMES | frozenset(
+    "list box slot wrapper container area block inner outer top bottom left right bar form links buttons unit".split())
 WHOLE = frozenset("html body main article".split())   # their classes tell of the page's layout, not of themselves
 # parts of an article, never the whole of it
 PARTS = frozenset(
@@ -74,25 +85,34 @@ class Block:
     path: tuple[int, ...]       # numbers of the open block elements
     names: str                  # their tag names
     noise: bool
+    doubts: tuple[int, ...]     # numbers of the open elements of a doubtful name
+    plain: bool = False         # has text outside inline elements of a doubtful name
     parts: list[str] = field(default_factory=list)
     text: str = ""
 
 
-def _is_noise(name: str, rest: str) -> bool:
+def _noise(name: str, rest: str, within: bool) -> int:
+    """0: none, 1: doubtful, 2: noise. ``within`` tells whether the element is inside an article."""
     if name in NOISE_TAGS:
-        return True
-    if "=" not in rest or name in WHOLE:
-        return False
-    for m in _MARKS.finditer(rest):
-        words = re.split(r"[^a-z]+", (m[1] or m[2] or m[3] or "").lower())
-        if not NOISE_NAMES.isdisjoint(words):
-            return True
-    return False
+        return 2 if not within or name not in ("header", "footer") else int(name == "footer")
+    if "=" not in rest or name in WHOLE or name in HEADINGS:
+        return 0
+    out = 0
+    for m in _ATTRIBUTE.finditer(rest):
+        if m[1].lower() not in ("class", "id", "role"):
+            continue
+        for token in (m[2] or m[3] or m[4] or "").lower().split():
+            words = set(re.split(r"[^a-z]+", token)) - {""}
+            if not words.isdisjoint(FIRM_NAMES) and words <= FIRM_NAMES | ADDED:
+                return 2
+            if not (words.isdisjoint(FIRM_NAMES) and words.isdisjoint(LOOSE_NAMES)):
+                out = 1
+    return out
 
 
 def blocks(page: str) -> list[Block]:
     """The page's blocks with text, in order."""
-    stack: list[tuple[str, int, bool]] = []   # open elements: name, number, noise
+    stack: list[tuple[str, int, int]] = []   # open elements: name, number, noise
     out: list[Block] = []
     current: Block | None = None
     number = at = 0
@@ -103,17 +123,19 @@ def blocks(page: str) -> list[Block]:
             return
         if current is None:
             own = [s for s in stack if s[0] not in INLINE]
-            current = Block(tuple(s[1] for s in own), "/".join(s[0] for s in own), any(s[2] for s in stack))
+            current = Block(tuple(s[1] for s in own), "/".join(s[0] for s in own), any(s[2] == 2 for s in stack),
+                            tuple(s[1] for s in own if s[2] == 1))
             out.append(current)
-        elif current.noise != (bool(stack) and any(s[2] for s in stack)):
+        elif current.noise != any(s[2] == 2 for s in stack):
             current = None
             add(text)
             return
         current.parts.append(text)
+        current.plain = current.plain or bool(text.strip()) and not any(s[2] == 1 and s[0] in INLINE for s in stack)
 
     def close(k: int) -> None:
         nonlocal current
-        if any(s[0] not in INLINE or s[2] for s in stack[k:]):
+        if any(s[0] not in INLINE or s[2] == 2 for s in stack[k:]):
             current = None
         del stack[k:]
 
@@ -162,14 +184,16 @@ def blocks(page: str) -> list[Block]:
             close_open({"p"}, _P_BOUNDS)
         if name in _CLOSES:
             close_open(*_CLOSES[name])
-        noise = _is_noise(name, m["rest"])
-        if name not in INLINE or noise:
+        noise = _noise(name, m["rest"], any(s[0] in ("article", "main") for s in stack))
+        if name not in INLINE or noise == 2:
             current = None
         if m["rest"].endswith("/") and name not in INLINE and name not in _P_ENDERS:
             continue
         number += 1
         stack.append((name, number, noise))
-    for b in out:
+    for k, b in enumerate(out):
+        if not b.plain:
+            b.doubts += (-k - 1,)     # all its text is in inline elements of a doubtful name
         b.text = " ".join(entities.unescape("".join(b.parts)).split())
     return [b for b in out if b.text]
 
@@ -215,22 +239,36 @@ def _article(selected: list[Block], clean: list[Block]) -> int:
 
 def content_blocks(found: list[Block]) -> list[Block]:
     """The blocks of the article."""
-    clean = [b for b in found if not b.noise]
-    if not clean:
+    rest = [b for b in found if not b.noise]
+    if not rest:
         return []
+    held = defaultdict(int)
+    for b in rest:
+        for element in b.doubts:
+            held[element] += len(b.text)
+    # an element with most of the page's text has its name from the page's layout
+    layout = {e for e, n in held.items() if 2 * n > sum(len(b.text) for b in rest)}
+    doubt = [next((e for e in b.doubts if e not in layout), 0) for b in rest]
+    clean = [b for b, d in zip(rest, doubt) if not d]
     # ratios per path over the page, noise included: a path used for menus and text alike has a low ratio
     size, marks, times = defaultdict(int), defaultdict(int), defaultdict(int)
     for b in found:
         size[b.names] += len(b.text)
         marks[b.names] += len(_PUNCTUATION.findall(b.text))
         times[b.names] += 1
-    text = _smoothed(np.array([size[b.names] / times[b.names] for b in clean]))
-    stops = _smoothed(np.array([marks[b.names] / times[b.names] for b in clean]))
-    fused = np.log1p(text) * np.log1p(1 + stops)
-    chosen = fused >= fused.mean() - SPREAD * fused.std()
-    paths = {b.names for b, c in zip(clean, chosen) if c}
-    root = _article([b for b in clean if b.names in paths], clean)
-    return [b for b in clean if not root or root in b.path]
+    text = np.array([size[b.names] / times[b.names] for b in rest])
+    stops = np.array([marks[b.names] / times[b.names] for b in rest])
+    fused = np.log1p(_smoothed(text)) * np.log1p(1 + _smoothed(stops))
+    least = fused.mean() - SPREAD * fused.std()
+    paths = {b.names for b, x, d in zip(rest, fused, doubt) if x >= least and not d}
+    root = _article([b for b in clean if b.names in paths] or clean, clean) if clean else 0
+    # a doubtful element is judged as a whole, by the ratios of its own paths
+    own, parts = np.log1p(text) * np.log1p(1 + stops) >= least, defaultdict(list)
+    for b, d, good in zip(rest, doubt, own):
+        parts[d].append((b.names.split("/"), bool(good)))
+    kept = {d for d, x in parts.items() if not d or any(good or "h1" in names for names, good in x)
+            or all(not HEADINGS.isdisjoint(names) for names, _ in x)}
+    return [b for b, d in zip(rest, doubt) if d in kept and (not root or root in b.path)]
 
 
 def main_text(page: str | None) -> str:

@@ -56,6 +56,26 @@ def test_an_article_is_more_than_its_largest_part(page, text):
     assert main_text(page) == text
 
 
+OWN_PARTS = [
+    (f"<article><h1 class='post-header'>Head</h1><p>{LONG}</p><h2 class=section-header>Two</h2><p data-id='x menu'>{LONG}</p></article>",
+     f"Head\n{LONG}\nTwo\n{LONG}"),
+    (f"<article><header><h1>Head</h1></header><p>{LONG}</p><section id='related-work'><h2>Related work</h2><p>{LONG}</p></section>"
+     f"<p class='notice'>{LONG}</p></article>", f"Head\n{LONG}\nRelated work\n{LONG}\n{LONG}"),
+    (f"<article><div class='section-header'><h2>Head</h2></div><p>{LONG}</p><div class='share-buttons'><i>Share</i> Post</div>"
+     f"<p>{LONG} <span class='search-term'>found</span> on.</p></article>", f"Head\n{LONG}\n{LONG} found on."),
+    (f"<article><p>{LONG} <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds.</p><p><object data='a'>{LONG}</object></p></article>",
+     f"{LONG} x=2 holds.\n{LONG}"),
+    (f"<body><div class='page-with-menu'><h1>Head</h1><p>{LONG}</p><p>{LONG}</p></div><p>Imprint</p></body>", f"Head\n{LONG}\n{LONG}"),
+    (f"<article><p>{LONG}</p><div class='ad-slot'><p>{LONG}</p></div><ul class='comment-list'><li>{LONG}</ul><p>{LONG}</p></article>",
+     f"{LONG}\n{LONG}"),
+]
+
+
+@pytest.mark.parametrize("page, text", OWN_PARTS)
+def test_names_alone_do_not_drop_parts_of_an_article(page, text):
+    assert main_text(page) == text
+
+
 def test_pages(spark):
     rows = [(k, None if k % 2 else f"u{k}", p, "clash") for k, (p, _) in enumerate(CASES)] + [(None, None, None, None)]
     rows += [rows[4], rows[4]]
