@@ -338,7 +338,7 @@ def _slots(ids: pa.Array) -> np.ndarray:
 
 def _id_filter(ids: DataFrame) -> np.ndarray:
     """Bits of the ids modulo FILTER_BITS: bounded, whatever their number; the exact join follows."""
-    words = (ids.select((F.col("doc").bitwiseAND(FILTER_BITS - 1)).alias("slot"))
+    words = (ids.select((F.coalesce("doc", F.lit(0)).bitwiseAND(FILTER_BITS - 1)).alias("slot"))   # null as in _slots
              .groupBy((F.shiftright("slot", 5)).alias("w"))
              .agg(F.expr("bit_or(shiftleft(1L, cast(slot & 31 as int)))").alias("v")).toArrow())
     out = np.zeros(FILTER_BITS // 32, np.uint32)

@@ -42,6 +42,14 @@ def test_equals_all_pairs(docs, rows, monkeypatch, heavy):
     assert got == brute(rows)
 
 
+def test_near_copies_without_an_id(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    other = " ".join(f"v{i}" for i in range(60))
+    rows = [(7, text), (None, text + " end"), (None, "start " + text), (None, other), (None, other + " end"), (9, "a b c d e f")]
+    got = jaccard_join.jaccard_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, got), key=str) == brute(rows)
+
+
 def test_empty_table(no_docs):
     assert jaccard_join.jaccard_classes(no_docs).count() == 0
 
