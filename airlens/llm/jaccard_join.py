@@ -39,6 +39,8 @@ from airlens.llm.words import U64, mix, shingle_sets
 HEAVY = 32          # a shingle of so many documents is ordered last; runs longer than this get hub rounds
 HEAVY_KEPT = 1 << 18  # at most so many frequent shingles are broadcast (12 bytes each)
 HUBS = 3            # hubs of a long run in the second round, before all its remaining pairs are tested
+PART = 256          # of the sets of a run in the last round; each pair of parts is a join key of its own
+MEMBERS = 1024      # records of documents in one row
 FLUSH = 1 << 20     # shingles gathered in a task before they are sent on
 BITMAP = 8          # 64-bit words of a set's short bitmap
 FILTER_BITS = 1 << 25  # bits of the filter that picks the texts whose sets are needed again
@@ -202,10 +204,12 @@ _MEMBER = np.dtype([("group", "<i8"), ("node", "<i8"), ("check", "<i8"), ("n", "
 
 
 def _prefix_lists(buckets: int, threshold: int, shared):
-    """Per task: prefix shingles with their groups, in buckets, and a record of every document."""
+    """Per task: prefix shingles with their groups, in buckets, and a record of every document, in no bucket."""
     def sent(tokens, groups, members, maps):
-        rows = np.array(members, _MEMBER)
-        where = (rows["group"].astype(U64) % U64(buckets)).astype(np.int64)
+        for at in range(0, len(members), MEMBERS):
+            rows = np.array(members[at:at + MEMBERS], _MEMBER)
+            yield _blob_batch([{"extra": pa.compress(rows.tobytes(), codec="zstd", asbytes=True),
+                                "counts": len(rows).to_bytes(8, "little"), "maps": b"".join(maps[at:at + MEMBERS])}])
         if tokens:
             sizes = np.fromiter((g[1] for g in groups.values()), np.int64, len(groups))
             names = np.fromiter(groups.keys(), np.int64, len(groups))
@@ -214,18 +218,12 @@ def _prefix_lists(buckets: int, threshold: int, shared):
             order = np.argsort(t, kind="stable")
             t, index = t[order], index[order]
             at = _by_bucket(t, 48, buckets)
-        for b in range(buckets):
-            row, own = {"bucket": b}, rows[where == b]
-            if len(own):
-                row["extra"] = pa.compress(own.tobytes(), codec="zstd", asbytes=True)
-                row["counts"] = len(own).to_bytes(8, "little")
-                row["maps"] = b"".join(maps[k] for k in np.flatnonzero(where == b).tolist())
-            if tokens and at[b + 1] > at[b]:
-                used, local = np.unique(index[at[b]:at[b + 1]], return_inverse=True)
-                row |= {"tokens": _pack(t[at[b]:at[b + 1]], 6), "sizes": sizes[used].astype("<i8").tobytes(),
-                        "groups": names[used].astype("<i8").tobytes() + local.astype("<u4").tobytes()}
-            if len(row) > 1:
-                yield _blob_batch([row])
+            for b in range(buckets):
+                if at[b + 1] > at[b]:
+                    used, local = np.unique(index[at[b]:at[b + 1]], return_inverse=True)
+                    yield _blob_batch([{"bucket": b, "tokens": _pack(t[at[b]:at[b + 1]], 6),
+                                        "sizes": sizes[used].astype("<i8").tobytes(),
+                                        "groups": names[used].astype("<i8").tobytes() + local.astype("<u4").tobytes()}])
 
     def run(batches):
         heavy, df = shared.value
@@ -254,26 +252,34 @@ def _prefix_lists(buckets: int, threshold: int, shared):
     return run
 
 
-_FOUND = "is_run boolean, run long, grp long, node long, check long, n long, doc long, bits array<long>, wide binary"
+_RECORDS = "doc long, n long, node long, check long, grp long, bits array<long>, wide binary"
+
+
+def _records(batches):
+    """The records of documents, a row each."""
+    for batch in small_batches(batches, 1):
+        m = np.frombuffer(pa.decompress(batch.column(0)[0].as_py(), int.from_bytes(batch.column(1)[0].as_py(), "little")
+                                        * _MEMBER.itemsize, codec="zstd", asbytes=True), _MEMBER)
+        wide, at = batch.column(2)[0].as_py(), np.concatenate([[0], np.cumsum(m["wide"])]).tolist()
+        bits = np.frombuffer(m["bits"].tobytes(), "<i8")
+        yield pa.RecordBatch.from_arrays([
+            pa.array(m["doc"].astype(np.int64), mask=~m["known"]), pa.array(m["n"].astype(np.int64)),
+            pa.array(m["node"].astype(np.int64)), pa.array(m["check"].astype(np.int64)), pa.array(m["group"].astype(np.int64)),
+            pa.ListArray.from_arrays(np.arange(0, BITMAP * len(m) + 1, BITMAP, dtype=np.int32), pa.array(bits)),
+            pa.array([wide[i:j] for i, j in zip(at[:-1], at[1:])], pa.binary())],
+            ["doc", "n", "node", "check", "grp", "bits", "wide"])
 
 
 def _runs(table: pa.Table, threshold: int) -> pa.Table:
-    """Of one bucket: distinct runs of two or more groups with a partner of fitting size; and its documents."""
-    token, group, size, members, wide = [], [], [], [], []
-    for t, g, z, c, x, w in zip(*(table.column(k).to_pylist() for k in
-                                  ("tokens", "groups", "sizes", "counts", "extra", "maps"))):
-        if x is not None:
-            n = int.from_bytes(c, "little")
-            members.append(np.frombuffer(pa.decompress(x, n * _MEMBER.itemsize, codec="zstd", asbytes=True), _MEMBER))
-            at = np.concatenate([[0], np.cumsum(members[-1]["wide"])]).tolist()
-            wide += [w[i:j] for i, j in zip(at[:-1], at[1:])]
-        if t is not None:
-            k = len(z) // 8
-            token.append(_unpack(t, 6))
-            local = np.frombuffer(g, "<u4", offset=8 * k)
-            group.append(np.frombuffer(g, "<i8", k)[local])
-            size.append(np.frombuffer(z, "<i8")[local])
-    run = grp = n = np.empty(0, np.int64)
+    """Of one bucket: distinct runs of two or more groups with a partner of fitting size."""
+    token, group, size = [], [], []
+    for t, g, z in zip(*(table.column(k).to_pylist() for k in ("tokens", "groups", "sizes"))):
+        k = len(z) // 8
+        token.append(_unpack(t, 6))
+        local = np.frombuffer(g, "<u4", offset=8 * k)
+        group.append(np.frombuffer(g, "<i8", k)[local])
+        size.append(np.frombuffer(z, "<i8")[local])
+    run = grp = np.empty(0, np.int64)
     if token:
         t, g, z = np.concatenate(token), np.concatenate(group), np.concatenate(size)
         order = np.argsort(t, kind="stable")
@@ -297,23 +303,20 @@ def _runs(table: pa.Table, threshold: int) -> pa.Table:
             chosen = np.zeros(len(first), bool)
             chosen[once] = True
             rows = np.repeat(chosen, length)
-            run, grp, n = np.repeat(name, length)[rows].astype(np.int64), g[rows], z[rows]
-    m = np.concatenate(members) if members else np.empty(0, _MEMBER)
-    r, k = len(run), len(m)
-    bits = np.frombuffer(m["bits"].tobytes(), "<i8")
-    none = lambda j, kind=pa.int64(): pa.nulls(j, kind)
-    lists = pa.ListArray.from_arrays(np.arange(0, BITMAP * k + 1, BITMAP, dtype=np.int32), pa.array(bits))
-    return pa.table({
-        "is_run": np.repeat([True, False], [r, k]),
-        "run": pa.concat_arrays([pa.array(run, pa.int64()), none(k)]),
-        "grp": np.concatenate([grp, m["group"]]).astype(np.int64),
-        "node": pa.concat_arrays([none(r), pa.array(m["node"].astype(np.int64))]),
-        "check": pa.concat_arrays([none(r), pa.array(m["check"].astype(np.int64))]),
-        "n": np.concatenate([n, m["n"]]).astype(np.int64),
-        "doc": pa.concat_arrays([none(r), pa.array(m["doc"].astype(np.int64), mask=~m["known"])]),
-        "bits": pa.concat_arrays([none(r, pa.list_(pa.int64())), lists]),
-        "wide": pa.concat_arrays([none(r, pa.binary()), pa.array(wide, pa.binary())]),
-    })
+            run, grp = np.repeat(name, length)[rows].astype(np.int64), g[rows].astype(np.int64)
+    return pa.table({"run": run, "grp": grp})
+
+
+def _all_pairs(rows: DataFrame) -> DataFrame:
+    """Each pair of rows (run, k: rows of the run, a, n, la, xa) of a run once, the second as b, m, lb, xb.
+
+    A run's rows are dealt to parts of about PART, and each pair of parts meets under a key of its own.
+    """
+    rows = rows.withColumn("parts", F.ceil(F.col("k") / PART)).withColumn("part", F.expr("pmod(xxhash64(a, 17), parts)"))
+    left = rows.select("run", F.col("part").alias("p"), F.expr("explode(sequence(part, parts - 1))").alias("q"), "a", "n", "la", "xa")
+    right = rows.select("run", F.expr("explode(sequence(0, part))").alias("p"), F.col("part").alias("q"),
+                        F.col("a").alias("b"), F.col("n").alias("m"), F.col("la").alias("lb"), F.col("xa").alias("xb"))
+    return left.join(right, ["run", "p", "q"]).where("p < q or a < b")
 
 
 def _sets_of(shared):
@@ -355,9 +358,11 @@ def jaccard_classes(docs: DataFrame, id: str = "doc_id", text: str = "text", thr
     docs = columns(docs, id, text).select(F.col(f"`{id}`").cast("long").alias("doc"), F.col(f"`{text}`").alias("text"))
     buckets = max(16, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     shared = spark.sparkContext.broadcast(heavy_shingles(docs, "text", buckets))
-    found = staged(docs.transform(map_arrow, _prefix_lists(buckets, threshold, shared), _BLOB).groupBy("bucket")
-                   .applyInArrow(lambda t: _runs(t, threshold), _FOUND), "runs")
-    members = found.where("not is_run").select("doc", "n", "node", "check", "grp", "bits", "wide")
+    # records pass by the buckets: a group with a third of all documents would be one task's
+    lists = staged(docs.transform(map_arrow, _prefix_lists(buckets, threshold, shared), _BLOB), "prefixes")
+    members = lists.where("bucket is null").select("extra", "counts", "maps").transform(map_arrow, _records, _RECORDS)
+    runs = staged(lists.where("bucket is not null").select("bucket", "tokens", "groups", "sizes").groupBy("bucket")
+                  .applyInArrow(lambda t: _runs(t, threshold), "run long, grp long"), "runs")
     distinct = (members.where("n > 0").groupBy("node")
                 .agg(F.min("doc").alias("doc"), F.min("check").alias("low"), F.max("check").alias("high"),
                      F.min(F.struct("n", "grp", "bits", "wide")).alias("own")))
@@ -365,7 +370,7 @@ def jaccard_classes(docs: DataFrame, id: str = "doc_id", text: str = "text", thr
         "if(low = high, own.n, raise_error('two shingle sets share a 64-bit name: change the salt of _set_id'))")
         .alias("n"), "own.grp", "own.bits", "own.wide"), "nodes")
 
-    runs = found.where("is_run").select("run", "grp").distinct()
+    runs = runs.distinct()
     sets = distinct.select("grp", "node", "n")
     within = distinct.groupBy("grp").agg(F.count("*").alias("k")).where("k > 1").select(F.col("grp").alias("run"), "grp")
     live = staged(runs.union(within).join(sets, "grp").select("run", "node", "n").distinct(), "lists")
@@ -439,12 +444,10 @@ def jaccard_classes(docs: DataFrame, id: str = "doc_id", text: str = "text", thr
             # all pairs left: of short runs now, of long ones in the last round
             whole = live if turn == 2 else live.where(f"k <= {HEAVY}")
             left = whole.join(distinct.select("node", "bits"), "node").select(
-                "run", F.col("node").alias("a"), "n", F.col("label").alias("la"), F.col("bits").alias("xa"))
-            right = left.select("run", F.col("a").alias("b"), F.col("n").alias("m"), F.col("la").alias("lb"),
-                                F.col("xa").alias("xb"))
+                "run", "k", F.col("node").alias("a"), "n", F.col("label").alias("la"), F.col("bits").alias("xa"))
             differ = " + ".join(f"bit_count(xa[{i}] ^ xb[{i}])" for i in range(BITMAP))
             # |A xor B| is at most (1-t)/(1+t) of |A|+|B| for a link, and at least the bits that differ
-            all_left = (left.join(right, "run").where("a < b and la <> lb").where(fits)
+            all_left = (_all_pairs(left).where("la <> lb").where(fits)
                         .where(f"({differ}) * {100 + threshold} <= {100 - threshold} * (n + m)").select("a", "b"))
             hubs = all_left if turn == 2 else hubs.union(all_left)
         new, links = tried(hubs)

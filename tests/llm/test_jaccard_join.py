@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from airlens.llm import jaccard_join
@@ -50,6 +51,33 @@ def test_near_copies_without_an_id(spark):
     assert sorted(map(tuple, got), key=str) == brute(rows)
 
 
+def test_no_task_gets_all_copies(monkeypatch):
+    """Records of documents are in rows of bounded size outside the buckets, however many share a group."""
+    class Shared:
+        value = np.zeros(1, np.uint64), np.zeros(1, np.int64)
+
+    monkeypatch.setattr(jaccard_join, "MEMBERS", 16)
+    texts = ["one two three four five six seven"] * 100 + [None] * 60
+    batch = pa.RecordBatch.from_pydict({"doc": list(range(160)), "text": pa.array(texts, pa.string())})
+    out = [r for b in jaccard_join._prefix_lists(8, 75, Shared)([batch]) for r in b.to_pylist()]
+    own = [r for r in out if r["extra"] is not None]
+    assert own and all(r["bucket"] is None and int.from_bytes(r["counts"], "little") <= 16 for r in own)
+    rows = pa.RecordBatch.from_pylist([{k: r[k] for k in ("extra", "counts", "maps")} for r in own],
+                                      pa.schema([(k, pa.binary()) for k in ("extra", "counts", "maps")]))
+    back = [r for b in jaccard_join._records([rows]) for r in b.to_pylist()]
+    assert [r["doc"] for r in back] == list(range(160)) and [r["n"] for r in back] == [3] * 100 + [0] * 60
+
+
+def test_pairs_of_a_long_run_are_dealt(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "PART", 5)
+    rows = spark.createDataFrame([(run, k, a, 1, a, a) for run, k in ((1, 40), (2, 3)) for a in range(k)],
+                                 "run long, k long, a long, n long, la long, xa long")
+    got = jaccard_join._all_pairs(rows).select("run", "p", "q", "a", "b").collect()
+    assert sorted((r.run, min(r.a, r.b), max(r.a, r.b)) for r in got) == \
+        sorted((run, a, b) for run, k in ((1, 40), (2, 3)) for b in range(k) for a in range(b))
+    assert len({(r.p, r.q) for r in got if r.run == 1}) > 20
+
+
 def test_empty_table(no_docs):
     assert jaccard_join.jaccard_classes(no_docs).count() == 0
 
