@@ -9,8 +9,8 @@ with a class score that adds the last id's row of a table to what one head of ca
 from the last ``2 * STRIDE`` ids at most, and ids within a class by their counts after the last id. The ``RANKS`` most
 frequent ids have rows and columns of their own in the tables, the others share one. Classes are the most
 frequent ids, alone, clusters of ids with similar successors, and the others. Tables are smoothed counts of all
-training text; embeddings are their leading components. Attention weights are trained by Adam on windows at even distances in every chunk of training
-text, and averaged over the chunks by their number of windows; so counts, classes and weights draw on the whole
+training text; embeddings are their leading components. Attention weights are trained by Adam on all windows of every chunk of training
+text, a third of them in each of three rounds, and averaged over the chunks by their true number of windows; so counts, classes and weights draw on the whole
 corpus, and what is gathered follows its size (bounded in width by the vocabulary).
 
 Windows overlap by half: the later half of each is scored, so every id is scored once, with ``STRIDE`` to
@@ -40,7 +40,7 @@ WIDTH = 16          # of embeddings and the attention head
 ALONE = 96          # most frequent ids, each a class
 CLUSTERS = 31       # classes of the other ranked ids; one more holds the rest
 STRIDE = 16         # ids scored by a window of twice as many
-STEPS, BATCH = 16, 64   # of Adam in each chunk and round, windows in each
+STEPS, BATCH = 16, 64   # least steps of Adam in each chunk and round (windows of short chunks come again), windows in each
 ROUNDS = 3
 RANKS = 2048        # most frequent ids with counts of their own
 SMOOTH, WITHIN = 4.0, 4.0   # weight of the overall shares in a row of classes, and of ids within a class
@@ -307,14 +307,26 @@ def _attend(m: dict, before: np.ndarray, doc: np.ndarray):
     return e, q, k, v, p, p @ v
 
 
-def _train(m: dict, before: np.ndarray, target: np.ndarray, doc: np.ndarray) -> tuple[dict, float]:
-    """Adam over windows at even distances of one chunk; returns the weights and the number of windows."""
-    n_windows = max(0, len(target) // STRIDE - 1)
+def _n_windows(target: np.ndarray) -> int:
+    return max(0, len(target) // STRIDE - 1)
+
+
+def _windows(n_windows: int, turn: int) -> np.ndarray:
+    """The windows of a round, mixed; the ROUNDS rounds cover all. Short chunks take theirs up to four times a round."""
+    mixed = np.argsort(np.arange(n_windows) * 0.6180339887 % 1.0, kind="stable")
+    share = -(-n_windows // ROUNDS)
+    use = max(share, min(n_windows * 4, STEPS * BATCH))
+    return mixed[(turn * share + np.arange(use)) % n_windows]
+
+
+def _train(m: dict, before: np.ndarray, target: np.ndarray, doc: np.ndarray, turn: int = 0) -> tuple[dict, float]:
+    """Adam over a round's windows of one chunk; returns the weights and the number of windows taken."""
+    n_windows = _n_windows(target)
     if not n_windows:
         return {k: m[k] for k in TRAINED}, 0.0
     before, target = m["rank_of"][before], m["rank_of"][target]
-    use = min(n_windows * 4, STEPS * BATCH)
-    at = (np.arange(use) * 0.6180339887 % 1.0 * n_windows).astype(np.int64) * STRIDE
+    at = _windows(n_windows, turn) * STRIDE
+    use = len(at)
     m = m | {k: m[k].copy() for k in TRAINED}
     first = {k: np.zeros_like(m[k]) for k in TRAINED}
     second = {k: np.zeros_like(m[k]) for k in TRAINED}
@@ -346,14 +358,16 @@ def _train(m: dict, before: np.ndarray, target: np.ndarray, doc: np.ndarray) ->
     return {k: m[k] for k in TRAINED}, float(use)
 
 
-def _train_chunks(shared, n_ids: int):
+def _train_chunks(shared, n_ids: int, turn: int):
     def run(batches):
         total, weight = None, 0.0
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns)):
                 docs, index, sub, lengths = _read_chunk(row)
                 part, words = _training_part(docs, index)
-                got, w = _train(shared.value, *_sequence(part, sub, lengths, words, n_ids - 1))
+                before, target, doc = _sequence(part, sub, lengths, words, n_ids - 1)
+                got, _ = _train(shared.value, before, target, doc, turn)
+                w = float(_n_windows(target))
                 flat = np.concatenate([got[k].ravel() for k in TRAINED]).astype(np.float64) * w
                 total, weight = flat if total is None else total + flat, weight + w
         if weight:
@@ -371,10 +385,10 @@ def fit_model(chunks: DataFrame, n_ids: int) -> dict[str, np.ndarray]:
     counts[rows.column("id").to_numpy()] = rows.column("n").to_numpy()
     rank_of = _ranks(counts)
     m = _tables(counts, rank_of, _follower_table(chunks, rank_of))
-    for _ in range(ROUNDS):
+    for turn in range(ROUNDS):
         shared = spark.sparkContext.broadcast(m)
         # a few thousand weights, summed over tasks
-        got = (chunks.select("docs", "index", "sub", "lengths").transform(map_arrow, _train_chunks(shared, n_ids), "part int, x double, w double", 1)
+        got = (chunks.select("docs", "index", "sub", "lengths").transform(map_arrow, _train_chunks(shared, n_ids, turn), "part int, x double, w double", 1)
                .groupBy("part").agg((F.sum("x") / F.sum("w")).alias("x")).toArrow().sort_by("part"))
         if got.num_rows:
             flat, at = got.column("x").to_numpy().astype(np.float32), 0

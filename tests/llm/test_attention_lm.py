@@ -104,6 +104,27 @@ def test_gradients(model):
     assert -L.log10_probabilities(m, before, target, doc).mean() < loss - 0.05
 
 
+@pytest.mark.parametrize("n", [1, 5, 499, 3000, 50_001])
+def test_rounds_train_on_all_windows(n):
+    rounds = [L._windows(n, turn) for turn in range(L.ROUNDS)]
+    assert set(np.concatenate(rounds).tolist()) == set(range(n))
+    assert all(len(x) == max(-(-n // L.ROUNDS), min(4 * n, L.STEPS * L.BATCH)) for x in rounds)
+
+
+def test_chunks_count_by_their_windows(model):
+    m, n = model
+    for ids in (400, 40_000):
+        docs = np.array([(1, True, False, ids)], L._DOC)
+        row = [L._z(docs), L._z(np.zeros(ids, "<u4")), L._z(np.array([3], "<u4")), L._z(np.array([1], "<u4"))]
+        batch = L.pa.RecordBatch.from_arrays([L.pa.array([x], L.pa.binary()) for x in row], ["docs", "index", "sub", "lengths"])
+
+        class Shared:
+            value = m
+
+        out = next(L._train_chunks(Shared, n, 1)([batch]))
+        assert out.column("w")[0].as_py() == (ids + 1) // L.STRIDE - 1
+
+
 def test_beats_the_base_on_held_out_texts(spark):
     from airlens.llm.queries import op4_attention_lm
     got = op4_attention_lm(spark, "/root/testdata/sf0.1").where("held_out").selectExpr("sum(score) s", "sum(base_score) b").first()
