@@ -200,7 +200,7 @@ def _set_id(s: np.ndarray, salt: int) -> int:
 
 
 _MEMBER = np.dtype([("group", "<i8"), ("node", "<i8"), ("check", "<i8"), ("n", "<i8"),
-                    ("doc", "<i8"), ("known", "?"), ("bits", "V%d" % (8 * BITMAP)), ("wide", "<i8")])
+                    ("doc", "<i8"), ("known", "?"), ("tie", "<i8"), ("bits", "V%d" % (8 * BITMAP)), ("wide", "<i8")])
 
 
 def _prefix_lists(buckets: int, threshold: int, shared):
@@ -232,7 +232,7 @@ def _prefix_lists(buckets: int, threshold: int, shared):
         tokens, groups, members, maps, n = [], {}, [], [], 0
         for batch in batches:
             ids = batch.column(0).to_pylist()
-            for doc, s in zip(ids, shingle_sets(batch.column(1))):
+            for doc, tie, s in zip(ids, batch.column(2).to_pylist(), shingle_sets(batch.column(1))):
                 group = 0
                 if len(s):
                     first = _prefix(s, threshold, heavy, df, cells)
@@ -242,7 +242,7 @@ def _prefix_lists(buckets: int, threshold: int, shared):
                         tokens.append(first)
                         n += len(first)
                 maps.append(_wide(s))
-                members.append((group, _set_id(s, 1), _set_id(s, 2), len(s), doc or 0, doc is not None,
+                members.append((group, _set_id(s, 1), _set_id(s, 2), len(s), doc or 0, doc is not None, tie,
                                 _parity(s, 64 * BITMAP), len(maps[-1])))
                 if n >= FLUSH or len(members) >= FLUSH // 64:
                     yield from sent(tokens, groups, members, maps)
@@ -252,7 +252,7 @@ def _prefix_lists(buckets: int, threshold: int, shared):
     return run
 
 
-_RECORDS = "doc long, n long, node long, check long, grp long, bits array<long>, wide binary"
+_RECORDS = "doc long, tie long, n long, node long, check long, grp long, bits array<long>, wide binary"
 
 
 def _records(batches):
@@ -263,11 +263,11 @@ def _records(batches):
         wide, at = batch.column(2)[0].as_py(), np.concatenate([[0], np.cumsum(m["wide"])]).tolist()
         bits = np.frombuffer(m["bits"].tobytes(), "<i8")
         yield pa.RecordBatch.from_arrays([
-            pa.array(m["doc"].astype(np.int64), mask=~m["known"]), pa.array(m["n"].astype(np.int64)),
+            pa.array(m["doc"].astype(np.int64), mask=~m["known"]), pa.array(m["tie"].astype(np.int64)), pa.array(m["n"].astype(np.int64)),
             pa.array(m["node"].astype(np.int64)), pa.array(m["check"].astype(np.int64)), pa.array(m["group"].astype(np.int64)),
             pa.ListArray.from_arrays(np.arange(0, BITMAP * len(m) + 1, BITMAP, dtype=np.int32), pa.array(bits)),
             pa.array([wide[i:j] for i, j in zip(at[:-1], at[1:])], pa.binary())],
-            ["doc", "n", "node", "check", "grp", "bits", "wide"])
+            ["doc", "tie", "n", "node", "check", "grp", "bits", "wide"])
 
 
 def _runs(table: pa.Table, threshold: int) -> pa.Table:
@@ -354,8 +354,24 @@ def jaccard_classes(docs: DataFrame, id: str = "doc_id", text: str = "text", thr
 
     ``threshold`` is the least Jaccard similarity of a link in per cent. The id is a long.
     """
+    return _classes(docs, id, text, threshold).select(
+        F.col("doc").alias(id), F.col("n").alias("n_shingles"),
+        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc")).alias("component_id"))
+
+
+def later_copies(docs: DataFrame, id: str = "doc_id", text: str = "text", threshold: int = 75) -> DataFrame:
+    """(doc, tie) of the documents of a class but its first by id (null last), then ``tie``, the xxhash64 of the text."""
+    rows = staged(_classes(docs, id, text, threshold).where("n > 0").select(
+        F.struct(F.col("doc").isNull().alias("unknown"), "doc", "tie").alias("own"), "label"), "classes")
+    first = rows.groupBy("label").agg(F.min("own").alias("first"))
+    return rows.join(first, "label").where("own > first").select("own.doc", "own.tie").distinct()
+
+
+def _classes(docs: DataFrame, id: str, text: str, threshold: int) -> DataFrame:
+    """One row per document: doc, tie, n, label (of its class), component_id."""
     spark = docs.sparkSession
-    docs = columns(docs, id, text).select(F.col(f"`{id}`").cast("long").alias("doc"), F.col(f"`{text}`").alias("text"))
+    docs = columns(docs, id, text).select(F.col(f"`{id}`").cast("long").alias("doc"), F.col(f"`{text}`").alias("text"),
+                                          F.xxhash64(F.col(f"`{text}`")).alias("tie"))
     buckets = max(16, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     shared = spark.sparkContext.broadcast(heavy_shingles(docs, "text", buckets))
     # records pass by the buckets: a group with a third of all documents would be one task's
@@ -456,14 +472,12 @@ def jaccard_classes(docs: DataFrame, id: str = "doc_id", text: str = "text", thr
             labels = relabelled(links)
         live = live.where(f"k > {HEAVY}" if turn else "true").select("run", "node", "n")
 
-    named = members.select("doc", "n", "node")
+    named = members.select("doc", "tie", "n", "node")
     if labels is not None:
         # a hot node (many equal sets) is one row of the table of classes; its documents join it
         of = distinct.select("node", "doc").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
         least = of.groupBy("label").agg(F.min("doc").alias("component_id"))
-        of = of.join(least, "label").select("node", "component_id")
+        of = of.join(least, "label").select("node", "label", "component_id")
     else:
-        of = distinct.select("node", F.col("doc").alias("component_id"))
-    return (named.join(of, "node", "left")
-            .select(F.col("doc").alias(id), F.col("n").alias("n_shingles"),
-                    F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc")).alias("component_id")))
+        of = distinct.select("node", F.col("node").alias("label"), F.col("doc").alias("component_id"))
+    return named.join(of, "node", "left").select("doc", "tie", "n", "label", "component_id")

@@ -21,16 +21,23 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of similar documents the one with the least id stays; equal rows of it stay once.
+    """Of each class of similar documents the one with the least id stays, once; of equal ids, the least text hash.
 
-    Documents without an id cannot be told apart by their class: they stay, once for each text.
+    Rows are told apart by id and text. A document without an id stays only if its class has no id; texts
+    without words stay, once for each id and text.
     """
-    gone = jaccard_join.jaccard_classes(docs).where("component_id < doc_id").select(F.col("doc_id").alias("gone")).distinct()
-    tie = "tie"
-    while tie in docs.columns:
-        tie += "_"
-    return (docs.join(gone, docs.doc_id == gone.gone, "left_anti")
-            .withColumn(tie, F.xxhash64("text")).dropDuplicates(["doc_id", tie]).drop(tie))
+    gone = jaccard_join.later_copies(docs)
+    tie, key, unknown = "tie", "key", "unknown"
+    while {tie, key, unknown} & set(docs.columns):
+        tie, key, unknown = tie + "_", key + "_", unknown + "_"
+    names = [key, unknown, tie]
+
+    def named(rows: DataFrame, id, text_hash) -> DataFrame:
+        return rows.withColumns({key: F.coalesce(id.cast("long"), F.lit(0)), unknown: id.isNull(), tie: text_hash})
+
+    gone = named(gone.select("doc", F.col("tie").alias("hash")), F.col("doc"), F.col("hash")).select(*names)
+    return named(docs, F.col("doc_id"), F.xxhash64("text")).dropDuplicates(names).join(gone, names, "left_anti") \
+        .select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

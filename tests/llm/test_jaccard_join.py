@@ -58,7 +58,7 @@ def test_no_task_gets_all_copies(monkeypatch):
 
     monkeypatch.setattr(jaccard_join, "MEMBERS", 16)
     texts = ["one two three four five six seven"] * 100 + [None] * 60
-    batch = pa.RecordBatch.from_pydict({"doc": list(range(160)), "text": pa.array(texts, pa.string())})
+    batch = pa.RecordBatch.from_pydict({"doc": list(range(160)), "text": pa.array(texts, pa.string()), "tie": [0] * 160})
     out = [r for b in jaccard_join._prefix_lists(8, 75, Shared)([batch]) for r in b.to_pylist()]
     own = [r for r in out if r["extra"] is not None]
     assert own and all(r["bucket"] is None and int.from_bytes(r["counts"], "little") <= 16 for r in own)

@@ -44,6 +44,17 @@ def test_near_copies_of_odd_rows(spark, docs, rows):
     assert len(texts) == len(set(texts))
 
 
+def test_rows_are_told_apart_by_id_and_text(spark):
+    """A repeated id keeps its unique text; of near copies without an id one stays at most."""
+    text, other, third = (" ".join(f"{x}{i}" for i in range(60)) for x in "wvu")
+    rows = [(1, text), (5, text + " end"), (5, other), (5, other), (None, "start " + text), (None, third), (None, third + " end"),
+            (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(r) for r in corpus_pipeline.drop_near_copies(spark, docs, SF_SMALL).collect()]
+    assert len(got) == 4 and {(1, text), (5, other), (None, "")} < set(got)
+    assert len({(None, third), (None, third + " end")} & set(got)) == 1
+
+
 def test_run_is_the_stages(spark, stages):
     got = corpus_pipeline.run(spark, SF_SMALL)
     assert sorted((r.doc_id, r.piece, r.ids_crc32) for r in got.collect()) == \
