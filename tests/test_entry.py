@@ -1,6 +1,10 @@
 """The driver contract in __spark_entry__.py."""
 
+import os
 import re
+import shutil
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import DataFrame
@@ -35,3 +39,18 @@ def test_every_query_runs(spark, name):
     df = entry_module.queries()[name](spark, SF_SMALL)
     assert isinstance(df, DataFrame)
     df.limit(1).collect()
+
+
+@pytest.mark.parametrize("left", [None, "airlens/llm/__pycache__"])
+def test_entry_without_the_text_operators(tmp_path, left):
+    """Also where only the folder of the text operators is left, without its files."""
+    root = os.path.dirname(os.path.abspath(entry_module.__file__))
+    shutil.copytree(f"{root}/airlens", tmp_path / "airlens", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(f"{root}/__spark_entry__.py", tmp_path)
+    if left:
+        (tmp_path / left).mkdir(parents=True)
+    said = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(*e.queries()); print(*e.oracle_sql())"],
+                          cwd=tmp_path, env=os.environ | {"PYTHONPATH": ""}, capture_output=True, text=True, check=True)
+    found, sql = (line.split() for line in said.stdout.splitlines())
+    assert set(sql) <= set(found)
+    assert found == [k for k in entry_module.queries() if not is_llm(k)]
