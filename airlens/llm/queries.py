@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from airlens.llm import attention_lm, chat_format, html_text, imatch, jaccard_join, packing, quality, tiling, token_counts, token_files
+from airlens.llm import attention_lm, chat_format, html_text, imatch, infill, jaccard_join, packing, quality, tiling, token_counts, token_files
 from airlens.llm.shared import new_folder
 
 
@@ -68,9 +69,17 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the transformed texts and of the texts rebuilt from them."""
+    made = infill.fill_in_middle(table(spark, sf_dir, "documents"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(infill.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_files, op2_quality_classifier, op3_chat_format, op4_attention_lm, op5_benchmark_tiling,
-    op6_token_counts, op7_ngram_jaccard_join, op8_imatch_fingerprints, op9_best_fit_packing, op10_html_text)}
+    op6_token_counts, op7_ngram_jaccard_join, op8_imatch_fingerprints, op9_best_fit_packing, op10_html_text,
+    op12_fill_in_middle)}
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _ESCAPED = r"regexp_replace({}, '([\[<])(\\*)(/?(?:INST\]|s>))', '\1\2\\\3', 'g')"
@@ -97,6 +106,28 @@ g AS (
 SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
        CAST(size AS BIGINT) AS formatted_chars, false AS rewrites_history
 FROM g""",
+    "op12_fill_in_middle": """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n,
+         sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS digest FROM documents
+),
+h AS (
+  SELECT *, CAST('0x' || digest[1:8] AS BIGINT) % (n + 1) AS a, CAST('0x' || digest[9:16] AS BIGINT) % (n + 1) AS b,
+         CAST('0x' || digest[17:24] AS BIGINT) % 100 AS h3, CAST('0x' || digest[25:32] AS BIGINT) % 100 AS h4 FROM d
+),
+c AS (
+  SELECT *, CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 >= 90 THEN 'plain'
+                 WHEN h4 < 20 THEN 'spm' ELSE 'psm' END AS form, least(a, b) AS low, greatest(a, b) AS high FROM h
+),
+p AS (
+  SELECT *, substring(text, 1, low) AS prefix, substring(text, low + 1, high - low) AS middle, substring(text, high + 1) AS suffix FROM c
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN low END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN high - low END AS middle_chars,
+       sha256(CASE form WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle ELSE text END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM p""",
     "op7_ngram_jaccard_join": f"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'),
