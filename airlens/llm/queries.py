@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airlens.llm import attention_lm, chat_format, html_text, imatch, infill, jaccard_join, packing, quality, tiling, token_counts, token_files
+from airlens.llm import attention_lm, bpe, chat_format, html_text, imatch, infill, jaccard_join, packing, quality, tiling, token_counts, token_files
 from airlens.llm.shared import new_folder
 
 
@@ -69,6 +69,15 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op11_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the ids of every text and of the text decoded from them."""
+    path = tokenizer("word_bpe_49k.json")
+    coded = bpe.decode_ids(bpe.encode_texts(table(spark, sf_dir, "documents"), path), path)
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the transformed texts and of the texts rebuilt from them."""
     made = infill.fill_in_middle(table(spark, sf_dir, "documents"))
@@ -79,7 +88,7 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_token_files, op2_quality_classifier, op3_chat_format, op4_attention_lm, op5_benchmark_tiling,
     op6_token_counts, op7_ngram_jaccard_join, op8_imatch_fingerprints, op9_best_fit_packing, op10_html_text,
-    op12_fill_in_middle)}
+    op11_bpe_round_trip, op12_fill_in_middle)}
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _ESCAPED = r"regexp_replace({}, '([\[<])(\\*)(/?(?:INST\]|s>))', '\1\2\\\3', 'g')"
