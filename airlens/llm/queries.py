@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airlens.llm import attention_lm, bpe, chat_format, html_text, imatch, infill, jaccard_join, packing, quality, tiling, token_counts, token_files
+from airlens.llm import attention_lm, bpe, chat_format, html_text, imatch, infill, jaccard_join, packing, quality, tiling, token_counts, token_files, whitening
 from airlens.llm.shared import new_folder
 
 
@@ -85,10 +85,14 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(infill.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
 
 
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), count=16)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_files, op2_quality_classifier, op3_chat_format, op4_attention_lm, op5_benchmark_tiling,
     op6_token_counts, op7_ngram_jaccard_join, op8_imatch_fingerprints, op9_best_fit_packing, op10_html_text,
-    op11_bpe_round_trip, op12_fill_in_middle)}
+    op11_bpe_round_trip, op12_fill_in_middle, op13_embedding_whitening)}
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _ESCAPED = r"regexp_replace({}, '([\[<])(\\*)(/?(?:INST\]|s>))', '\1\2\\\3', 'g')"
