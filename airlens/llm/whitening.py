@@ -78,7 +78,7 @@ def secular_roots(d: np.ndarray, z2: np.ndarray, rho: float) -> tuple[np.ndarray
         with np.errstate(all="ignore"):
             root = np.sqrt(np.maximum(a * a - 4 * b * c, 0))
             new = t + np.where(a <= 0, (a - root) / (2 * c), 2 * b / (a + root))
-        new = np.where((new >= low[some]) & (new <= high[some]), new, (low[some] + high[some]) / 2)
+        new = np.where(((new > low[some]) & (new < high[some])) | (new == t), new, (low[some] + high[some]) / 2)
         tau[some] = new
         # convergence is quadratic: the step after one of a relative 1e-9 would be lost in rounding
         some = some[(np.abs(new - t) > 1e-9 * np.abs(new)) & (high[some] - low[some] > EPS * np.abs(high[some]))]
