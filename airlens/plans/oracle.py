@@ -368,3 +368,6 @@ SELECT CAST(coalesce(max(streak), 22) AS INTEGER) AS max_streak_overall FROM wit
 }
 ORACLE["nested_extract_sql"] = ORACLE["nested_extract"]
 ORACLE["top3_regions"] = ORACLE["top_regions"].replace(f"LIMIT {TOP_REGIONS}", "LIMIT 3")
+# the same results from tables that the library has stored
+ORACLE["curated_improve_by_country"] = ORACLE["improve_by_country"]
+ORACLE["curated_worst_today"] = ORACLE["worst_today"]

@@ -60,6 +60,9 @@ EXTRACTED_COLUMNS = ("id", "ts", "country", "latitude", "longitude",
 CLEAN_COLUMNS = ("country", "country_name", "latitude", "longitude",
                  "sensor_id", "date", "AQI")
 
+# Column metadata of a partition column: a filter on it chooses folders, its values cost no data.
+PARTITION_MARK = "airlens.partition"
+
 # The curated clean-readings table (partitioned by ``date``); read back with
 # this schema so the partition column's type is never inferred.
 CURATED = T.StructType([

@@ -1,7 +1,10 @@
-"""Whether a path exists, and replacing one folder by another, on any Hadoop file system."""
+"""Whether a path exists, its folders, and replacing one folder by another, on any Hadoop file system."""
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -15,6 +18,25 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(where)
 
 
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly under ``path``, from one listing."""
+    fs, where = _open(spark, path)
+    if not fs.exists(where):
+        return []
+    return [s.getPath().getName() for s in fs.listStatus(where) if s.isDirectory()]
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder that driver and executors see, under ``spark.checkpoint.dir``; a local one only where unset (tests)."""
+    top = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not top:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is unset: name a shared folder")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
+        top = spark.sparkContext.getCheckpointDir()
+    return f"{top.rstrip('/')}/airlens/{name}-{uuid.uuid4().hex}"
+
+
 def replace_folder(spark: SparkSession, new: str, old: str) -> None:
     """Put the finished folder ``new`` in the place of ``old``."""
     fs, source = _open(spark, new)

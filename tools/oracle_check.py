@@ -16,10 +16,12 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import duckdb  # noqa: E402
 
-from airlens.plans.catalog import QUERIES
+from airlens.plans import catalog, stored  # noqa: E402
 from airlens.plans.oracle import ORACLE  # noqa: E402
 from airlens.sources.tables import TABLES  # noqa: E402
 
+QUERIES = catalog.QUERIES | stored.QUERIES
+
 
 def norm(v):
     if isinstance(v, float) and math.isnan(v):
