@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +36,27 @@ def dedupe_first(df: DataFrame, key: Sequence[str] = DAY_KEY,
               .select(*df.columns))
 
 
+def _reduced(flat: DataFrame, key: Sequence[str], order: Sequence[str], by: str) -> DataFrame:
+    """``flat`` reduced to the one row per own part of ``key`` that can win after any join on ``by``."""
+    own = [c for c in key if c in flat.columns]
+    if by not in own:
+        raise ValueError(f"rows can only be reduced below a join on a column of the dedupe key, not on {by!r}")
+    return dedupe_first(flat, own, order)
+
+
+def dedupe_before_join(flat: DataFrame, locate: Callable[[DataFrame], DataFrame], key: Sequence[str] = DAY_KEY,
+                       order: Sequence[str] = ("ts", "id"), by: str = "sensor_id") -> DataFrame:
+    """``dedupe_first(locate(flat), key, order)`` with most of the work below the join (eager aggregation).
+
+    ``locate`` joins ``flat`` to dimensions on ``by`` alone, a column of the key, so every
+    row of an entity meets the same dimension rows, however many: whatever position of a key they
+    bring, the first row of the entity's own part of the key (sensor and day) wins there. That
+    part is reduced first, map-side, so an entity with a third of all rows enters the join as one row a
+    day; the dedupe above settles repeated dimension rows and only sees what is left.
+    """
+    return dedupe_first(locate(_reduced(flat, key, order, by)), key, order)
+
+
 def drop_incomplete(df: DataFrame, columns: Sequence[str] = REQUIRED) -> DataFrame:
     """Drop rows with a NULL in any of ``columns``."""
     return df.dropna(subset=list(columns))
@@ -63,3 +84,16 @@ def clean_readings(df: DataFrame, key: Sequence[str] = DAY_KEY,
     if validate_first:
         return dedupe_first(within_bounds(drop_incomplete(df, required), bounds), key)
     return within_bounds(drop_incomplete(dedupe_first(df, key), required), bounds)
+
+
+def clean_before_join(flat: DataFrame, locate: Callable[[DataFrame], DataFrame], key: Sequence[str] = DAY_KEY,
+                      validate_first: bool = False, required: Sequence[str] = REQUIRED,
+                      bounds: Mapping[str, tuple[float, float]] = BOUNDS, by: str = "sensor_id") -> DataFrame:
+    """``clean_readings(locate(flat), ...)`` with the dedupe reduced below the join (see ``dedupe_before_join``).
+
+    With ``validate_first`` the columns at hand are checked below the join too; what the
+    dimensions bring is the same for all rows of an entity, so checking it later changes no winner.
+    """
+    if validate_first:
+        flat = within_bounds(drop_incomplete(flat, [c for c in required if c in flat.columns]), bounds)
+    return clean_readings(locate(_reduced(flat, key, ("ts", "id"), by)), key, validate_first, required, bounds)

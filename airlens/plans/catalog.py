@@ -19,7 +19,7 @@ from airlens.constants import (ELBOW_KS, K_REGIONS, K_SEED, PM10_THRESHOLDS, PM2
                                TOP_COUNTRIES, TOP_REGIONS)
 from airlens.functions.bands import band, composite_index
 from airlens.operators import delta, regions, runs
-from airlens.operators.clean import TIMESTAMP_KEY, dedupe_first
+from airlens.operators.clean import TIMESTAMP_KEY, dedupe_before_join
 from airlens.operators.extract import extract_readings, extract_readings_sql
 from airlens.operators.ranking import rank_desc
 from airlens.plans import ingest, present
@@ -35,7 +35,7 @@ DISTANCE_DIGITS = 12
 
 def readings(spark: SparkSession, sf: str) -> DataFrame:
     """Clean readings (Q0) from the driver tables."""
-    return ingest.build_clean(tables.extracted_readings(spark, sf), tables.country_codes(spark, sf))
+    return ingest.build_from_tables(spark, sf)
 
 
 def label_centroids(spark: SparkSession, sf: str) -> DataFrame:
@@ -108,17 +108,20 @@ def q_country_map(spark, sf):
     return present.country_map(tables.country_codes(spark, sf), q_worst_today(spark, sf))
 
 
+def _deduped(spark, sf, **kw):
+    return dedupe_before_join(tables.event_readings(spark, sf), lambda df: tables.locate(df, sf), **kw)
+
+
 def q_dedup_first(spark, sf):
-    return dedupe_first(tables.extracted_readings(spark, sf))
+    return _deduped(spark, sf)
 
 
 def q_dedup_by_timestamp(spark, sf):
-    return dedupe_first(tables.extracted_readings(spark, sf), key=TIMESTAMP_KEY)
+    return _deduped(spark, sf, key=TIMESTAMP_KEY)
 
 
 def q_clean_validate_first(spark, sf):
-    return ingest.build_clean(tables.extracted_readings(spark, sf),
-                              tables.country_codes(spark, sf), validate_first=True)
+    return ingest.build_from_tables(spark, sf, validate_first=True)
 
 
 def q_band_pair(spark, sf):

@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airlens.functions.bands import pm_index
-from airlens.operators.clean import DAY_KEY, clean_readings
+from airlens.operators.clean import DAY_KEY, clean_before_join, clean_readings
 from airlens.operators.enrich import join_country_codes
 from airlens.operators.extract import extract_readings
 from airlens.schemas import CLEAN_COLUMNS
+from airlens.sources import tables
 from airlens.sources.json_readings import READINGS_GLOB, read_country_codes, read_readings
 
 
@@ -24,10 +25,20 @@ def build_clean(extracted: DataFrame, codes: DataFrame | None,
                 key: Sequence[str] = DAY_KEY, validate_first: bool = False) -> DataFrame:
     """Clean readings (country, country_name, latitude, longitude, sensor_id,
     date, AQI) from flat extracted readings."""
-    cleaned = clean_readings(extracted, key=key, validate_first=validate_first)
-    banded = add_index(cleaned)
-    enriched = join_country_codes(banded, codes)
-    return enriched.select(*CLEAN_COLUMNS)
+    return _finished(clean_readings(extracted, key=key, validate_first=validate_first), codes)
+
+
+def _finished(cleaned: DataFrame, codes: DataFrame | None) -> DataFrame:
+    return join_country_codes(add_index(cleaned), codes).select(*CLEAN_COLUMNS)
+
+
+def build_from_tables(spark: SparkSession, sf_dir: str, key: Sequence[str] = DAY_KEY,
+                      validate_first: bool = False) -> DataFrame:
+    """The whole ingest from the driver's tables: events are reduced to one row per sensor and day (or instant)
+    before they are joined to positions and countries."""
+    cleaned = clean_before_join(tables.event_readings(spark, sf_dir), lambda df: tables.locate(df, sf_dir),
+                                key=key, validate_first=validate_first)
+    return _finished(cleaned, tables.country_codes(spark, sf_dir))
 
 
 def build_from_json(spark: SparkSession, readings_path: str, codes_path: str | None,

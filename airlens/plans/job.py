@@ -74,10 +74,7 @@ class _Timer:
 def _clean(spark: SparkSession, o: JobOptions) -> tuple[DataFrame, DataFrame | None]:
     key = DAY_KEY if o.dedupe_on == "day" else TIMESTAMP_KEY
     if o.tables:
-        codes = tables.country_codes(spark, o.tables)
-        clean = ingest.build_clean(tables.extracted_readings(spark, o.tables), codes,
-                                   key=key, validate_first=o.validate_first)
-        return clean, codes
+        return ingest.build_from_tables(spark, o.tables, key, o.validate_first), tables.country_codes(spark, o.tables)
     codes = read_country_codes(spark, o.codes)
     clean = ingest.build_from_json(spark, o.readings, o.codes, match=o.match, key=key,
                                    validate_first=o.validate_first, glob=o.readings_glob)

@@ -16,7 +16,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airlens.schemas import TABLES
+from airlens.schemas import EXTRACTED_COLUMNS, TABLES
+
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table with its known schema, so no footer is read while a query is built."""
@@ -31,27 +32,35 @@ def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.get(F.col("embedding"), 1).cast("double").alias("longitude"))
 
 
-def extracted_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flat readings (id, ts, country, latitude, longitude, sensor_id, date, P1, P2).
+def event_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the events alone tell of a reading (id, ts, sensor_id, date, P1, P2)."""
+    return load(spark, sf_dir, "events").select(
+        F.col("event_id").alias("id"), "ts", F.col("user_id").alias("sensor_id"), F.to_date("ts").alias("date"),
+        F.col("value").alias("P1"), F.get_json_object("props", "$.k").try_cast("double").alias("P2"))
+
+
+def locate(readings: DataFrame, sf_dir: str) -> DataFrame:
+    """Readings with the position and country of their sensor, in the order of ``EXTRACTED_COLUMNS``.
 
     Joins to ``embeddings`` and ``customer`` are left joins: a sensor without
     a position or a country keeps NULLs and is dropped by cleaning. Both
     tables grow with the data, so no broadcast is forced; the planner and AQE
     pick the strategy from their sizes.
     """
-    ev = load(spark, sf_dir, "events")
-    pos = positions(spark, sf_dir).select(F.col("vec_id"), "latitude", "longitude")
-    cust = load(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    return (ev.join(pos, ev.user_id == pos.vec_id, "left")
-              .join(cust, ev.user_id == cust.c_custkey, "left")
-              .select(F.col("event_id").alias("id"),
-                      F.col("ts"),
-                      F.col("c_nationkey").cast("string").alias("country"),
-                      F.col("latitude"), F.col("longitude"),
-                      F.col("user_id").alias("sensor_id"),
-                      F.to_date("ts").alias("date"),
-                      F.col("value").alias("P1"),
-                      F.get_json_object("props", "$.k").try_cast("double").alias("P2")))
+    spark = readings.sparkSession
+    pos = positions(spark, sf_dir).select("vec_id", "latitude", "longitude")
+    cust = load(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").cast("string").alias("country"))
+    return (readings.join(pos, readings.sensor_id == pos.vec_id, "left")
+                    .join(cust, readings.sensor_id == cust.c_custkey, "left").select(*EXTRACTED_COLUMNS))
+
+
+def extracted_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flat readings (id, ts, country, latitude, longitude, sensor_id, date, P1, P2), every event located.
+
+    To dedupe or clean them, ``clean.dedupe_before_join`` and ``clean.clean_before_join`` take
+    ``event_readings`` and ``locate`` instead: they join one row per sensor and day.
+    """
+    return locate(event_readings(spark, sf_dir), sf_dir)
 
 
 def country_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
