@@ -22,7 +22,7 @@ from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,9 +30,14 @@ from airlens.constants import K_REGIONS, K_SEED
 from airlens.sources.paths import exists
 
 FEATURES = "geo_coordinates"
-# Partitions of the K-Means training set: one fixed number, because the k-means||
+# Partitions of a K-Means training set of ordinary size: a fixed number, because the k-means||
 # start (and so the model) depends on how the points fall into partitions.
-TRAINING_PARTITIONS = 32
+TRAINING_PARTITIONS = 8
+# Weighted training: cells along the longer side of the points' bounding box.
+TRAINING_GRID = 1024
+# Points of a task: the most, and the fewest that are worth a task of their own.
+POINTS_PER_TASK, FEWEST_PER_TASK = 1 << 15, 1 << 12
+WEIGHT = "weight"
 
 CENTROID_SCHEMA = T.StructType([
     T.StructField("cluster", T.IntegerType(), False),
@@ -78,6 +83,42 @@ def training_points(df: DataFrame, lat: str = "latitude", lon: str = "longitude"
     return distinct_points(src, lat, lon).repartition(partitions, lat, lon).sortWithinPartitions(lat, lon)
 
 
+def weighted_points(df: DataFrame, lat: str = "latitude", lon: str = "longitude", grid: int = TRAINING_GRID,
+                    per: str | None = None) -> DataFrame:
+    """Distinct points reduced to grid cells: (lat, lon, weight) with each cell's mean position and number of points.
+
+    The longer side of the bounding box has ``grid`` cells, so there are at most ``grid`` squared rows
+    whatever the number of points, and every pass of the fit costs that much at most. A cell's mean is exact
+    for centres (only points of cells on the border of two regions can move with their cell), so with cells
+    much smaller than a region the inertia is that of the unreduced fit. ``per`` as in ``training_points``.
+    Means are rounded to 1e-9 so that the order of summation does not show.
+    """
+    src = distinct_points(sensor_points(df, per, lat, lon) if per else df, lat, lon)
+    y, x = F.col(lat).cast("double"), F.col(lon).cast("double")
+    box = df.agg(F.min(y).alias("y"), F.min(x).alias("x"), F.greatest(F.max(y) - F.min(y), F.max(x) - F.min(x)).alias("side"))
+    side = F.when(F.col("_box.side") > 0, F.col("_box.side")).otherwise(1.0)
+
+    def index(value, low):
+        # sensor means may lie outside by rounding
+        return F.greatest(F.least(F.floor((value - low) / side * grid), F.lit(grid - 1)), F.lit(0))
+
+    cells = (src.withColumn("_box", box.select(F.struct("y", "x", "side")).scalar())
+             .groupBy(index(y, F.col("_box.y")).alias("_iy"), index(x, F.col("_box.x")).alias("_ix"))
+             .agg(F.count("*").alias(WEIGHT), *[F.when(F.count("*") == 1, F.min(v)).otherwise(F.round(F.avg(v), 9)).alias(name)
+                                                for v, name in ((y, lat), (x, lon))]))
+    return cells.select(lat, lon, F.col(WEIGHT).cast("double").alias(WEIGHT))
+
+
+def laid_out(points: DataFrame, n: int, lat: str = "latitude", lon: str = "longitude", tasks: int = 1) -> DataFrame:
+    """``n`` training points hash-partitioned by position and sorted within: ``tasks`` partitions, fewer where a
+    task would have less than ``FEWEST_PER_TASK`` points, more where it would have over ``POINTS_PER_TASK``.
+
+    The layout follows from the points alone: input files and session settings do not change the model.
+    """
+    tasks = max(1, min(tasks, -(-n // FEWEST_PER_TASK)), -(-n // POINTS_PER_TASK))
+    return points.repartition(tasks, lat, lon).sortWithinPartitions(lat, lon)
+
+
 # Unit-sphere features (geometry="sphere"): distances without the pole and
 # antimeridian distortion of raw degrees.
 SPHERE_COLS = ("_ux", "_uy", "_uz")
@@ -85,8 +126,10 @@ FINGERPRINT_DIR = "airlens_fingerprint"
 
 
 def _pipeline(k: int, seed: int, lat: str, lon: str, max_iter: int | None,
-              geometry: str = "degrees") -> Pipeline:
+              geometry: str = "degrees", weight: str | None = None) -> Pipeline:
     km = KMeans(k=k, seed=seed, featuresCol=FEATURES, predictionCol="cluster")
+    if weight:
+        km = km.setWeightCol(weight)
     if max_iter is not None:
         km = km.setMaxIter(max_iter)
     if geometry == "degrees":
@@ -107,11 +150,13 @@ def geometry_of(model: PipelineModel) -> str:
     return "sphere" if len(model.stages) == 3 else "degrees"
 
 
-def _matches(model: PipelineModel, k: int, seed: int, lat: str, lon: str, geometry: str) -> bool:
+def _matches(model: PipelineModel, k: int, seed: int, lat: str, lon: str, geometry: str, weight: str | None) -> bool:
     try:
         va, km = model.stages[-2], model.stages[-1]
         if geometry_of(model) != geometry or km.getK() != k or km.getSeed() != seed:
             return False
+        if (km.getWeightCol() if km.isDefined("weightCol") else None) != weight:
+            return False
         if geometry == "degrees":
             return list(va.getInputCols()) == [lat, lon]
         statement = model.stages[0].getStatement()
@@ -120,10 +165,11 @@ def _matches(model: PipelineModel, k: int, seed: int, lat: str, lon: str, geomet
         return False
 
 
-def fingerprint(points: DataFrame, lat: str = "latitude", lon: str = "longitude") -> tuple[int, int]:
+def fingerprint(points: DataFrame, lat: str = "latitude", lon: str = "longitude",
+                weight: str | None = None) -> tuple[int, int]:
     """(number of points, xor of their 64-bit hashes): equal for the same set
-    of distinct points however they are partitioned or ordered."""
-    n, h = points.agg(F.count("*"), F.bit_xor(F.xxhash64(lat, lon))).first()
+    of distinct (weighted) points however they are partitioned or ordered."""
+    n, h = points.agg(F.count("*"), F.bit_xor(F.xxhash64(lat, lon, *([weight] if weight else [])))).first()
     return int(n), int(h or 0)
 
 
@@ -152,8 +198,9 @@ def fit_regions(points: DataFrame, k: int = K_REGIONS, seed: int = K_SEED,
                 lat: str = "latitude", lon: str = "longitude",
                 max_iter: int | None = None, model_path: str | None = None,
                 retrain: bool = False, geometry: str = "degrees",
-                check_data: bool = True) -> PipelineModel:
-    """Fit (or load) the region model on ``points`` (see ``training_points``).
+                check_data: bool = True, weight: str | None = None) -> PipelineModel:
+    """Fit (or load) the region model on ``points`` (see ``training_points``), or with the column
+    ``weight`` on weighted ones (see ``weighted_points``).
 
     With ``model_path`` an existing model is reused only if it was fitted
     with the same k, seed, geometry and coordinate columns and, with
@@ -165,15 +212,15 @@ def fit_regions(points: DataFrame, k: int = K_REGIONS, seed: int = K_SEED,
     degrees; the model still takes latitude and longitude.
     """
     spark = points.sparkSession
-    fp = fingerprint(points, lat, lon) if (model_path and check_data) else None
+    fp = fingerprint(points, lat, lon, weight) if (model_path and check_data) else None
     if model_path and not retrain and exists(spark, model_path):
         # a storage fault surfaces here; it never leads to an overwrite
         model = PipelineModel.load(model_path)
-        if _matches(model, k, seed, lat, lon, geometry) and (
+        if _matches(model, k, seed, lat, lon, geometry, weight) and (
                 fp is None or _stored_fingerprint(spark, model_path) == fp):
             return model
     with _cached(points) as cached:
-        model = _pipeline(k, seed, lat, lon, max_iter, geometry).fit(cached)
+        model = _pipeline(k, seed, lat, lon, max_iter, geometry, weight).fit(cached)
     if model_path:
         model.write().overwrite().save(model_path)
         if fp is not None:
@@ -252,39 +299,71 @@ def assign_positions(df: DataFrame, model: PipelineModel, lat: str = "latitude",
     return df.join(where, [lat, lon]).select(*df.columns, "cluster")
 
 
+def _exact_sum(value: Column) -> Column:
+    """Sum of doubles as decimals of 16 places: the order of tasks does not show in the last digits."""
+    return F.sum(value.cast("decimal(38,16)")).cast("double")
+
+
 def inertia(df: DataFrame, centroids: DataFrame, lat: str = "latitude",
-            lon: str = "longitude") -> DataFrame:
+            lon: str = "longitude", weight: str | None = None) -> DataFrame:
     """Within-cluster sum of squared distances of ``df``'s points to their
     nearest centroid, computed from the data (one row: n_points, inertia).
 
     This is not the fit summary's cost, which belongs to the centres before
     the last update; report both under different names.
     """
-    scored = nearest_centroid(df.select(lat, lon).dropna(), centroids, lat, lon, distance="_d2")
-    return scored.agg(F.count("*").alias("n_points"), F.sum("_d2").alias("inertia"))
+    own = [lat, lon, *([weight] if weight else [])]
+    scored = nearest_centroid(df.select(*own).dropna(), centroids, lat, lon, distance="_d2")
+    return scored.agg(F.count("*").alias("n_points"), _exact_sum(F.col("_d2") * F.col(weight) if weight else F.col("_d2")).alias("inertia"))
+
+
+def inertias(df: DataFrame, centres: DataFrame, ks: Sequence[int], lat: str = "latitude", lon: str = "longitude",
+             weight: str | None = None) -> DataFrame:
+    """(k, n_points, inertia) of several centre sets from one scan of the points.
+
+    ``centres`` has (k, centroid_lat, centroid_lon); each set is gathered into an array by an in-plan scalar
+    subquery and every k is one sum of the same aggregation. A set without centres has inertia null.
+    """
+    ks = list(ks)
+    y, x = F.col(lat).cast("double"), F.col(lon).cast("double")
+    w = F.col(weight) if weight else F.lit(1.0)
+    points = df.dropna(subset=[lat, lon])
+    for i, k in enumerate(ks):
+        own = centres.where(F.col("k") == k).select(F.collect_list(F.struct(
+            F.col("centroid_lat").cast("double").alias("cy"), F.col("centroid_lon").cast("double").alias("cx"))))
+        points = points.withColumn(f"_set{i}", own.scalar())
+
+    def squared(i: int):
+        return F.array_min(F.transform(f"_set{i}", lambda c: (y - c["cy"]) * (y - c["cy"]) + (x - c["cx"]) * (x - c["cx"])))
+
+    sums = points.agg(F.count("*").alias("n_points"), *[_exact_sum(squared(i) * w).alias(f"_{i}") for i in range(len(ks))])
+    each = F.array(*[F.struct(F.lit(int(k)).alias("k"), F.col(f"_{i}").alias("inertia")) for i, k in enumerate(ks)])
+    return sums.select("n_points", F.explode(each).alias("_of")).select("_of.k", "n_points", "_of.inertia")
 
 
 def elbow(spark: SparkSession, points: DataFrame, ks: Iterable[int], seed: int = K_SEED,
           lat: str = "latitude", lon: str = "longitude",
-          max_iter: int | None = None, concurrency: int = 4) -> DataFrame:
+          max_iter: int | None = None, concurrency: int = 4, weight: str | None = None) -> DataFrame:
     """(k, training_cost, inertia) for each k: one fit per k on the same
-    persisted training set; inertia is recomputed from the data.
+    persisted training set; the inertia of all models is recomputed from the data in one scan.
 
     The fits are independent, so up to ``concurrency`` of them are submitted
     from separate threads and Spark runs their jobs side by side.
     """
-    ks = list(ks)
+    ks = [int(k) for k in ks]
     with _cached(points) as cached:
         def one(k: int):
-            model = _pipeline(int(k), seed, lat, lon, max_iter).fit(cached)
+            model = _pipeline(k, seed, lat, lon, max_iter, weight=weight).fit(cached)
             cost = training_cost(model)
-            wss = inertia(cached, centroid_table(spark, model), lat, lon).first()["inertia"]
-            return int(k), float(cost) if cost is not None else None, float(wss)
+            return float(cost) if cost is not None else None, [c.tolist() for c in model.stages[-1].clusterCenters()]
 
         if concurrency <= 1:
-            rows = [one(k) for k in ks]
+            fits = [one(k) for k in ks]
         else:
             with ThreadPoolExecutor(max_workers=min(concurrency, len(ks))) as pool:
-                rows = list(pool.map(one, ks))
-    schema = "k int, training_cost double, inertia double"
-    return spark.createDataFrame(rows, schema)
+                fits = list(pool.map(one, ks))
+        centres = spark.createDataFrame([(k, *c) for k, (_, own) in zip(ks, fits) for c in own],
+                                        "k int, centroid_lat double, centroid_lon double")
+        wss = {r["k"]: r["inertia"] for r in inertias(cached, centres, ks, lat, lon, weight).collect()}   # a row per k
+    rows = [(k, cost, float(wss[k])) for k, (cost, _) in zip(ks, fits)]
+    return spark.createDataFrame(rows, "k int, training_cost double, inertia double")

@@ -272,6 +272,8 @@ def q_overall_max_streak(spark, sf):
 
 CHECK_K = 20
 CHECK_KS = (5, 10, 20)
+CHECK_GRID = 16
+ELBOW_SETS = (2, 3, 5)
 
 
 def q_kmeans_check(spark, sf):
@@ -297,6 +299,20 @@ def q_kmeans_elbow_check(spark, sf):
                         F.coalesce(F.col("inertia") < before, F.lit(True)).alias("falls"))
 
 
+def q_training_cells(spark, sf):
+    """The weighted points that a K-Means fit trains on: distinct positions reduced to a grid of 16 cells a side."""
+    cells = regions.weighted_points(tables.positions(spark, sf), grid=CHECK_GRID)
+    return _round(cells, ["latitude", "longitude"], CENTROID_DIGITS)
+
+
+def q_elbow_inertia(spark, sf):
+    """Inertia of several centre sets (means of the labels modulo k) over all positions, from one scan."""
+    pts = tables.positions(spark, sf)
+    sets = pts.select(F.explode(F.array(*map(F.lit, ELBOW_SETS))).alias("k"), "label", "latitude", "longitude") \
+        .groupBy("k", F.expr("pmod(label, k)").alias("part")).agg(F.avg("latitude").alias("centroid_lat"), F.avg("longitude").alias("centroid_lon"))
+    return _round(regions.inertias(pts, sets, ELBOW_SETS), ["inertia"], CENTROID_DIGITS)
+
+
 # the models themselves (checked by properties in the tests)
 
 def q_kmeans_centroids(spark, sf):
@@ -380,6 +396,8 @@ QUERIES: dict[str, Query] = {
     "zone_sample": q_zone_sample,
     "kmeans_check": q_kmeans_check,
     "kmeans_elbow_check": q_kmeans_elbow_check,
+    "training_cells": q_training_cells,
+    "elbow_inertia": q_elbow_inertia,
     "kmeans_centroids": q_kmeans_centroids,
     "kmeans_improve_by_region": q_kmeans_improve_by_region,
     "kmeans_streak_max": q_kmeans_streak_max,

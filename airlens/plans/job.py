@@ -54,7 +54,8 @@ class JobOptions:
     top_countries: int = TOP_COUNTRIES
     top_regions: int = TOP_REGIONS
     training_partitions: int = regions.TRAINING_PARTITIONS
-    train_on: str = "positions"          # "positions" (original) or "sensors"
+    train_on: str = "positions"          # "positions" (original), "sensors" or "cells" (weighted grid)
+    grid: int = regions.TRAINING_GRID    # cells along the longer side, for train_on="cells"
     geometry: str = "degrees"            # "degrees" (original) or "sphere"
     concurrency: int = 4                 # independent branches submitted side by side
     timings: dict[str, float] = field(default_factory=dict)
@@ -139,25 +140,30 @@ def run(spark: SparkSession, o: JobOptions) -> dict[str, str]:
     def fit() -> None:
         spark.sparkContext.setJobDescription("airlens: region fit")
         with _Timer(tm, "regions_fit"):
-            per = "sensor_id" if o.train_on == "sensors" else None
+            weight = regions.WEIGHT if o.train_on == "cells" else None
+            if weight:
+                source = regions.weighted_points(clean, grid=o.grid)
+            else:
+                source = regions.distinct_points(regions.sensor_points(clean) if o.train_on == "sensors" else clean)
+            source = source.persist(StorageLevel.MEMORY_AND_DISK)
             # read by the fingerprint, the fit, the inertia and the elbow
-            points = regions.training_points(clean, partitions=o.training_partitions, per=per) \
-                .persist(StorageLevel.MEMORY_AND_DISK)
+            points = regions.laid_out(source, source.count(), tasks=o.training_partitions).persist(StorageLevel.MEMORY_AND_DISK)
             model = regions.fit_regions(points, k=o.k, seed=o.seed, model_path=o.model_path,
-                                        retrain=o.retrain, geometry=o.geometry)
+                                        retrain=o.retrain, geometry=o.geometry, weight=weight)
             centroids = regions.centroid_table(spark, model)
             save("centroids", centroids)
             cost = regions.training_cost(model)
-            fit_row = regions.inertia(points, centroids).withColumn(
+            fit_row = regions.inertia(points, centroids, weight=weight).withColumn(
                 "training_cost", F.lit(cost).cast("double"))
             tasks = [lambda: save("region_fit", fit_row)]
             if o.elbow:
-                tasks.append(lambda: save("elbow", regions.elbow(spark, points, o.elbow_ks, seed=o.seed)))
+                tasks.append(lambda: save("elbow", regions.elbow(spark, points, o.elbow_ks, seed=o.seed, weight=weight)))
             # every position is scored once; all later branches read this table
             tasks.append(lambda: sinks.write_curated(regions.assign_positions(clean, model), f"{out}/clustered"))
             together(*tasks)
             written["clustered"] = f"{out}/clustered"
             points.unpersist()
+            source.unpersist()
 
     together(countries, fit)
 
@@ -238,13 +244,15 @@ def _parse(argv=None) -> JobOptions:
     p.add_argument("--top-countries", type=int, default=TOP_COUNTRIES)
     p.add_argument("--top-regions", type=int, default=TOP_REGIONS)
     p.add_argument("--training-partitions", type=int, default=regions.TRAINING_PARTITIONS,
-                   help="partitions of the K-Means training set (part of the model's definition, like the seed)")
+                   help="partitions of a K-Means training set of ordinary size (part of the model's definition, like the seed)")
+    p.add_argument("--grid", type=int, default=regions.TRAINING_GRID,
+                   help="cells along the longer side of the positions' bounding box, for --train-on cells")
     p.add_argument("--as-of")
     p.add_argument("--previous", help="comparison day (default: the day before --as-of)")
     p.add_argument("--concurrency", type=int, default=4,
                    help="independent branches submitted side by side (1 = one after another)")
-    p.add_argument("--train-on", choices=["positions", "sensors"], default="positions",
-                   help="K-Means training points: distinct positions or one mean per sensor")
+    p.add_argument("--train-on", choices=["positions", "sensors", "cells"], default="positions",
+                   help="K-Means training points: distinct positions, one mean per sensor, or weighted grid cells")
     p.add_argument("--geometry", choices=["degrees", "sphere"], default="degrees",
                    help="K-Means distance: raw degrees or unit-sphere vectors")
     a = p.parse_args(argv)
@@ -255,7 +263,7 @@ def _parse(argv=None) -> JobOptions:
                       dedupe_on=a.dedupe_on, validate_first=a.validate_first,
                       require_both_days=a.require_both_days, as_of=a.as_of, previous=a.previous,
                       readings_glob=a.readings_glob, top_countries=a.top_countries, top_regions=a.top_regions,
-                      training_partitions=a.training_partitions, train_on=a.train_on, geometry=a.geometry, concurrency=a.concurrency)
+                      training_partitions=a.training_partitions, train_on=a.train_on, grid=a.grid, geometry=a.geometry, concurrency=a.concurrency)
 
 
 def main(argv=None) -> None:

@@ -312,6 +312,25 @@ SELECT count(*) AS n_points, 0::BIGINT AS n_unassigned, 0::BIGINT AS n_mismatche
 FROM (SELECT DISTINCT latitude, longitude FROM readings)""",
     "kmeans_elbow_check": "SELECT CAST(k AS INTEGER) AS k, true AS within_cost, true AS falls "
                           "FROM (VALUES (5), (10), (20)) t(k)",
+    "training_cells": """
+WITH p AS (SELECT DISTINCT CAST(embedding[1] AS DOUBLE) AS y, CAST(embedding[2] AS DOUBLE) AS x FROM embeddings),
+own AS (SELECT * FROM p WHERE y IS NOT NULL AND x IS NOT NULL),
+box AS (SELECT min(y) AS y0, min(x) AS x0, greatest(max(y) - min(y), max(x) - min(x)) AS side FROM own),
+cell AS (
+  SELECT y, x, greatest(least(floor((y - y0) / CASE WHEN side > 0 THEN side ELSE 1.0 END * 16), 15), 0) AS iy,
+         greatest(least(floor((x - x0) / CASE WHEN side > 0 THEN side ELSE 1.0 END * 16), 15), 0) AS ix FROM own, box
+)
+SELECT round(CASE WHEN count(*) = 1 THEN min(y) ELSE round(avg(y), 9) END, 9) AS latitude,
+       round(CASE WHEN count(*) = 1 THEN min(x) ELSE round(avg(x), 9) END, 9) AS longitude, CAST(count(*) AS DOUBLE) AS weight
+FROM cell GROUP BY iy, ix""",
+    "elbow_inertia": """
+WITH p AS (SELECT label, CAST(embedding[1] AS DOUBLE) AS y, CAST(embedding[2] AS DOUBLE) AS x FROM embeddings),
+c AS (SELECT k, avg(y) AS cy, avg(x) AS cx FROM p, (VALUES (2), (3), (5)) t(k) GROUP BY k, ((label % k) + k) % k),
+d AS (
+  SELECT k, p.y, p.x, p.rowid AS i, min((p.y - cy) * (p.y - cy) + (p.x - cx) * (p.x - cx)) AS d2
+  FROM (SELECT *, row_number() OVER () AS rowid FROM p WHERE y IS NOT NULL AND x IS NOT NULL) p, c GROUP BY ALL
+)
+SELECT CAST(k AS INTEGER) AS k, count(*) AS n_points, round(sum(d2), 9) AS inertia FROM d GROUP BY k""",
     "zone_centroids": f"""WITH {CENTROIDS}
 SELECT CAST(cluster AS INTEGER) AS cluster, round(centroid_lat, 9) AS centroid_lat,
        round(centroid_lon, 9) AS centroid_lon, printf('{TOOLTIP_CENTROID}', CAST(cluster AS VARCHAR)) AS tooltip

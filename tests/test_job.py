@@ -139,3 +139,15 @@ def test_empty_input_keeps_the_last_table(spark, tmp_path):
     with pytest.raises(InputError):
         run(empty)
     assert spark.read.parquet(written["readings"]).count() == N_ROWS
+
+
+def test_training_on_cells(spark, tmp_path):
+    src = tmp_path / "src"
+    src.mkdir()
+    write_table(src)
+    opts = job.JobOptions(out=str(tmp_path / "out"), readings=str(src), k=3, maps=False, train_on="cells", grid=8,
+                          elbow=True, elbow_ks=(2, 3), model_path=str(tmp_path / "model"))
+    written = job.run(spark, opts)
+    assert 2 <= spark.read.parquet(written["centroids"]).count() <= 3      # as the start finds them
+    assert [r.inertia > 0 for r in spark.read.parquet(written["elbow"]).collect()] == [True, True]
+    assert spark.read.parquet(written["clustered"]).where("cluster is null").count() == 0
