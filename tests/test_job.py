@@ -145,7 +145,7 @@ def test_training_on_cells(spark, tmp_path):
     src = tmp_path / "src"
     src.mkdir()
     write_table(src)
-    opts = job.JobOptions(out=str(tmp_path / "out"), readings=str(src), k=3, maps=False, train_on="cells", grid=8,
+    opts = job.JobOptions(out=str(tmp_path / "out"), readings=str(src), k=3, maps=False, train_on="cells", grid=64,
                           elbow=True, elbow_ks=(2, 3), model_path=str(tmp_path / "model"))
     written = job.run(spark, opts)
     assert 2 <= spark.read.parquet(written["centroids"]).count() <= 3      # as the start finds them
