@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from airlens.constants import (ELBOW_KS, K_REGIONS, K_SEED, PM10_THRESHOLDS, PM25_THRESHOLDS,
                                TOP_COUNTRIES, TOP_REGIONS)
 from airlens.functions.bands import band, composite_index
-from airlens.operators import delta, regions, runs
+from airlens.operators import delta, regions, run_state, runs
 from airlens.operators.clean import TIMESTAMP_KEY, dedupe_before_join
 from airlens.operators.extract import extract_readings, extract_readings_sql
 from airlens.operators.ranking import rank_desc
@@ -239,6 +239,16 @@ def q_streak_max_calendar_by_region(spark, sf):
     return runs.max_runs(_region_streaks(spark, sf, gap="calendar"), ["cluster"])
 
 
+def q_streak_max_from_summaries(spark, sf):
+    """Longest runs from summaries merged span by span, without a sort of any sensor's history."""
+    return run_state.max_runs(run_state.run_summaries(_sensor_daily(spark, sf), ["sensor_id"]), ["sensor_id"])
+
+
+def q_streak_max_calendar_from_summaries(spark, sf):
+    daily = runs.daily_flags(clustered(spark, sf), ["cluster"])
+    return run_state.max_runs(run_state.run_summaries(daily, ["cluster"], gap="calendar"), ["cluster"])
+
+
 def q_streak_hist(spark, sf):
     return runs.run_histogram(_sensor_streaks(spark, sf))
 
@@ -384,6 +394,8 @@ QUERIES: dict[str, Query] = {
     "streak_max_by_sensor": q_streak_max_by_sensor,
     "streak_max_calendar": q_streak_max_calendar,
     "streak_max_calendar_by_region": q_streak_max_calendar_by_region,
+    "streak_max_from_summaries": q_streak_max_from_summaries,
+    "streak_max_calendar_from_summaries": q_streak_max_calendar_from_summaries,
     "streak_hist": q_streak_hist,
     "streak_hist_by_region": q_streak_hist_by_region,
     "streak_bins": q_streak_bins,

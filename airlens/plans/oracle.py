@@ -390,3 +390,6 @@ ORACLE["top3_regions"] = ORACLE["top_regions"].replace(f"LIMIT {TOP_REGIONS}", "
 # the same results from tables that the library has stored
 ORACLE["curated_improve_by_country"] = ORACLE["improve_by_country"]
 ORACLE["curated_worst_today"] = ORACLE["worst_today"]
+ORACLE["streak_max_updated"] = ORACLE["streak_max_from_summaries"] = ORACLE["streak_max_by_sensor"]
+ORACLE["streak_max_calendar_updated"] = ORACLE["streak_max_calendar"]
+ORACLE["streak_max_calendar_from_summaries"] = ORACLE["streak_max_calendar_by_region"]

@@ -7,8 +7,9 @@ built and then runs on what is stored, as a user of the batch job would the next
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from airlens.operators import delta
+from airlens.operators import delta, run_state, runs
 from airlens.plans import catalog
 from airlens.sources import sinks
 from airlens.sources.paths import shared_folder
@@ -32,7 +33,28 @@ def q_curated_worst_today(spark: SparkSession, sf: str) -> DataFrame:
     return delta.level_on_day(sinks.read_curated(spark, curated(spark, sf)), ["country"])
 
 
+def _streaks_by_update(spark: SparkSession, sf: str, gap: str) -> DataFrame:
+    """Summaries of all days but the last are stored; the last day is merged into them."""
+    path = curated(spark, sf)
+    clean, today = sinks.read_curated(spark, path), sinks.latest_day(spark, path)
+    history = clean.where(F.col("date") < F.lit(today)) if today else clean
+    state = shared_folder(spark, "run-state")
+    run_state.run_summaries(runs.daily_flags(history, ["sensor_id"]), ["sensor_id"], gap=gap).write.parquet(state)
+    new = runs.daily_flags(clean.where(F.col("date") == F.lit(today)), ["sensor_id"])
+    return run_state.max_runs(run_state.advance(spark.read.parquet(state), new, ["sensor_id"], gap=gap), ["sensor_id"])
+
+
+def q_streak_max_updated(spark: SparkSession, sf: str) -> DataFrame:
+    return _streaks_by_update(spark, sf, "rows")
+
+
+def q_streak_max_calendar_updated(spark: SparkSession, sf: str) -> DataFrame:
+    return _streaks_by_update(spark, sf, "calendar")
+
+
 QUERIES = {
+    "streak_max_updated": q_streak_max_updated,
+    "streak_max_calendar_updated": q_streak_max_calendar_updated,
     "curated_improve_by_country": q_curated_improve_by_country,
     "curated_worst_today": q_curated_worst_today,
 }
