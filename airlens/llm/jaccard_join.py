@@ -8,14 +8,18 @@ hashes). Two documents link when ``100 * |intersection| >= threshold * |union|``
    first. The order only steers the work; any order gives the same links.
 2. Linked sets share a shingle among their first ``n - ceil(t n) + 1``. Documents
    with the same prefix and size form one group, and an inverted list (a *run*)
-   holds the groups of a prefix shingle; groups without a partner of fitting
-   size in the run go, and equal runs count once.
-3. Groups expand to their distinct sets. Pairs are tested in three rounds: every set
-   of a run against one hub of it; then all pairs of a short run and a few more hubs of a
-   long one; then all pairs. What a round links shares a label, and later
-   rounds only test pairs of different labels. So a
-   large family of copies costs about one test a member instead of all pairs, and
-   no link between different classes is lost. A test first compares parity
+   holds the groups of a prefix shingle with the shingle's place in their prefix;
+   groups without a partner of fitting size in the run, or with too little left from that
+   place on for any partner, go, and equal runs count once.
+3. Pairs are tested in three rounds: every set of a run against one hub of it;
+   then all pairs of a short run and a few more hubs of a long one; then all
+   pairs. What a round links shares a label, and later rounds only test pairs of
+   different labels. So a large family of copies costs about one test a
+   member instead of all pairs, and no link between different classes is lost.
+   All pairs are pairs of *groups* first: they must fit in size and place (what is
+   left of both sets from their first common shingle on holds all they share),
+   each counts once however many runs it is in, and only then members are expanded.
+   A test of two sets first compares parity
    bitmaps, which bound the symmetric difference from below; for the pairs that
    may still link, the sets are made again from the texts and intersected.
 4. Components of the links are the classes.
@@ -38,7 +42,7 @@ from airlens.llm.words import U64, mix, shingle_sets
 
 HEAVY = 32          # a shingle of so many documents is ordered last; runs longer than this get hub rounds
 HEAVY_KEPT = 1 << 18  # at most so many frequent shingles are broadcast (12 bytes each)
-HUBS = 3            # hubs of a long run in the second round, before all its remaining pairs are tested
+HUBS = 8            # hubs of a long run in the second round, before all its remaining pairs are tested
 PART = 256          # of the sets of a run in the last round; each pair of parts is a join key of its own
 MEMBERS = 1024      # records of documents in one row
 FLUSH = 1 << 20     # shingles gathered in a task before they are sent on
@@ -214,16 +218,18 @@ def _prefix_lists(buckets: int, threshold: int, shared):
             sizes = np.fromiter((g[1] for g in groups.values()), np.int64, len(groups))
             names = np.fromiter(groups.keys(), np.int64, len(groups))
             index = np.repeat(np.arange(len(tokens)), [len(t) for t in tokens]).astype("<u4")
+            place = np.concatenate([np.arange(len(t)) for t in tokens])
             t = np.concatenate(tokens) >> U64(16)
             order = np.argsort(t, kind="stable")
-            t, index = t[order], index[order]
+            t, index, place = t[order], index[order], place[order].astype("<u4")
             at = _by_bucket(t, 48, buckets)
             for b in range(buckets):
                 if at[b + 1] > at[b]:
                     used, local = np.unique(index[at[b]:at[b + 1]], return_inverse=True)
                     yield _blob_batch([{"bucket": b, "tokens": _pack(t[at[b]:at[b + 1]], 6),
                                         "sizes": sizes[used].astype("<i8").tobytes(),
-                                        "groups": names[used].astype("<i8").tobytes() + local.astype("<u4").tobytes()}])
+                                        "groups": names[used].astype("<i8").tobytes() + local.astype("<u4").tobytes(),
+                                        "maps": pa.compress(place[at[b]:at[b + 1]].tobytes(), codec="zstd", asbytes=True)}])
 
     def run(batches):
         heavy, df = shared.value
@@ -271,40 +277,49 @@ def _records(batches):
 
 
 def _runs(table: pa.Table, threshold: int) -> pa.Table:
-    """Of one bucket: distinct runs of two or more groups with a partner of fitting size."""
-    token, group, size = [], [], []
-    for t, g, z in zip(*(table.column(k).to_pylist() for k in ("tokens", "groups", "sizes"))):
+    """Of one bucket: distinct runs of two or more groups with a partner of fitting size.
+
+    ``place`` is where the run's shingle stands in the group's prefix, the first of them where equal runs are one.
+    """
+    token, group, size, place = [], [], [], []
+    for t, g, z, p in zip(*(table.column(k).to_pylist() for k in ("tokens", "groups", "sizes", "maps"))):
         k = len(z) // 8
         token.append(_unpack(t, 6))
         local = np.frombuffer(g, "<u4", offset=8 * k)
         group.append(np.frombuffer(g, "<i8", k)[local])
         size.append(np.frombuffer(z, "<i8")[local])
-    run = grp = np.empty(0, np.int64)
+        place.append(np.frombuffer(pa.decompress(p, 4 * len(local), codec="zstd", asbytes=True), "<u4").astype(np.int64))
+    run = grp = first_place = np.empty(0, np.int64)
     if token:
-        t, g, z = np.concatenate(token), np.concatenate(group), np.concatenate(size)
+        t, g, z, p = map(np.concatenate, (token, group, size, place))
         order = np.argsort(t, kind="stable")
-        t, g, z = t[order], g[order], z[order]
+        t, g, z, p = t[order], g[order], z[order], p[order]
         again = np.append(False, t[1:] == t[:-1])
         keep = again | np.append(again[1:], False)
-        t, g, z = t[keep], g[keep], z[keep]
+        t, g, z, p = t[keep], g[keep], z[keep], p[keep]
         order = np.lexsort((g, z, t))
-        t, g, z = t[order], g[order], z[order]
+        t, g, z, p = t[order], g[order], z[order], p[order]
         keep = np.append(True, (t[1:] != t[:-1]) | (g[1:] != g[:-1]))[:len(t)]
-        t, g, z = t[keep], g[keep], z[keep]
+        t, g, z, p = t[keep], g[keep], z[keep], p[keep]
+        if len(t):
+            # what is left from here on must reach the overlap with the smallest set that may fit
+            first = np.flatnonzero(np.append(True, t[1:] != t[:-1]))
+            smallest = np.repeat(z[first], np.diff(np.append(first, len(t))))
+            keep = (100 + threshold) * (z - p) >= threshold * (z + np.maximum(smallest, -(-threshold * z // 100)))
+            t, g, z, p = t[keep], g[keep], z[keep], p[keep]
         near = (t[1:] == t[:-1]) & (100 * z[:-1] >= threshold * z[1:])  # neighbours by size
         keep = (np.append(False, near) | np.append(near, False))[:len(t)]
-        t, g, z = t[keep], g[keep], z[keep]
+        t, g, p = t[keep], g[keep], p[keep]
         if len(t):
             first = np.flatnonzero(np.append(True, t[1:] != t[:-1]))
             with np.errstate(over="ignore"):
                 name = mix(np.add.reduceat(mix(g.astype(U64)), first))
-            length = np.diff(np.append(first, len(t)))
-            _, once = np.unique(name, return_index=True)
-            chosen = np.zeros(len(first), bool)
-            chosen[once] = True
-            rows = np.repeat(chosen, length)
-            run, grp = np.repeat(name, length)[rows].astype(np.int64), g[rows].astype(np.int64)
-    return pa.table({"run": run, "grp": grp})
+            name = np.repeat(name, np.diff(np.append(first, len(t))))
+            order = np.lexsort((p, g, name))
+            name, g, p = name[order], g[order], p[order]
+            once = np.append(True, (name[1:] != name[:-1]) | (g[1:] != g[:-1]))
+            run, grp, first_place = name[once].astype(np.int64), g[once], p[once].astype(np.int64)
+    return pa.table({"run": run, "grp": grp, "place": first_place})
 
 
 def _all_pairs(rows: DataFrame) -> DataFrame:
@@ -319,6 +334,22 @@ def _all_pairs(rows: DataFrame) -> DataFrame:
     return left.join(right, ["run", "p", "q"]).where("p < q or a < b")
 
 
+def _expanded(pairs: DataFrame, members: DataFrame) -> DataFrame:
+    """Pairs of groups (a, b; a group's own pairs where a = b) as pairs of their sets with different labels.
+
+    ``members`` has grp, parts, part, node, n, label, bits; a large group lies in parts, each with a join key of its own.
+    """
+    parts = members.select("grp", "parts").distinct()
+    for side in ("a", "b"):
+        other = "b" if side == "a" else "a"
+        keep = [other] if side == "a" else [c for c in pairs.columns if c not in ("a", "b")] + [other]
+        own = members.select("grp", "part", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "n", "label", "bits")])
+        pairs = (pairs.join(parts, pairs[side] == parts["grp"]).drop("grp").withColumn("part", F.expr("explode(sequence(0, parts - 1))"))
+                 .withColumnRenamed(side, "grp").join(own, ["grp", "part"])
+                 .select(F.col("grp").alias(side), *keep, *[f"{c}_{side}" for c in ("node", "n", "label", "bits")]))
+    return pairs.where("label_a <> label_b and (a <> b or node_a < node_b)")
+
+
 def _sets_of(shared):
     """(node, packed set) of the documents whose id passes the filter."""
     def run(batches):
@@ -377,8 +408,8 @@ def _classes(docs: DataFrame, id: str, text: str, threshold: int) -> DataFrame:
     # records pass by the buckets: a group with a third of all documents would be one task's
     lists = staged(docs.transform(map_arrow, _prefix_lists(buckets, threshold, shared), _BLOB), "prefixes")
     members = lists.where("bucket is null").select("extra", "counts", "maps").transform(map_arrow, _records, _RECORDS)
-    runs = staged(lists.where("bucket is not null").select("bucket", "tokens", "groups", "sizes").groupBy("bucket")
-                  .applyInArrow(lambda t: _runs(t, threshold), "run long, grp long"), "runs")
+    runs = staged(lists.where("bucket is not null").select("bucket", "tokens", "groups", "sizes", "maps").groupBy("bucket")
+                  .applyInArrow(lambda t: _runs(t, threshold), "run long, grp long, place long"), "runs")
     distinct = (members.where("n > 0").groupBy("node")
                 .agg(F.min("doc").alias("doc"), F.min("check").alias("low"), F.max("check").alias("high"),
                      F.min(F.struct("n", "grp", "bits", "wide")).alias("own")))
@@ -386,12 +417,18 @@ def _classes(docs: DataFrame, id: str, text: str, threshold: int) -> DataFrame:
         "if(low = high, own.n, raise_error('two shingle sets share a 64-bit name: change the salt of _set_id'))")
         .alias("n"), "own.grp", "own.bits", "own.wide"), "nodes")
 
-    runs = runs.distinct()
+    runs = runs.groupBy("run", "grp").agg(F.min("place").alias("place"))
     sets = distinct.select("grp", "node", "n")
-    within = distinct.groupBy("grp").agg(F.count("*").alias("k")).where("k > 1").select(F.col("grp").alias("run"), "grp")
-    live = staged(runs.union(within).join(sets, "grp").select("run", "node", "n").distinct(), "lists")
+    within = distinct.groupBy("grp").agg(F.count("*").alias("k")).where("k > 1").select(
+        F.col("grp").alias("run"), "grp", F.lit(0).cast("long").alias("place"))
+    live = staged(runs.union(within).groupBy("run", "grp").agg(F.min("place").alias("place")).join(sets, "grp")
+                  .select("run", "grp", "place", "node", "n"), "lists")
+
+    # sizes, and what is left from the common shingle on: all they can share if it is their first
+    def fits(place: str, place_too: str) -> str:
+        return (f"100 * least(n, m) >= {threshold} * greatest(n, m) and "
+                f"{100 + threshold} * least(n - {place}, m - {place_too}) >= {threshold} * (n + m)")
 
-    fits = f"100 * least(n, m) >= {threshold} * greatest(n, m)"
     labels, tested, shingles = None, None, None
 
     def labelled(rows: DataFrame) -> DataFrame:
@@ -446,31 +483,42 @@ def _classes(docs: DataFrame, id: str, text: str, threshold: int) -> DataFrame:
 
     for turn in range(3):
         rows = labelled(live)
-        picks = [f"min_by(struct(node, label, n), xxhash64(node, {k}))" for k in ([0] if turn == 0 else range(1, HUBS + 1))]
+        picks = [f"min_by(struct(node, label, n, place), xxhash64(node, {k}))" for k in ([0] if turn == 0 else range(1, HUBS + 1))]
         per_run = rows.groupBy("run").agg(
             F.count("*").alias("k"), F.min("label").alias("low"), F.max("label").alias("high"),
-            F.expr(f"array_distinct(array({', '.join(picks)}))").alias("hubs")).where("low <> high")
-        live = staged(rows.join(per_run, "run").select("run", "k", "node", "n", "label", "hubs"), "lists")
+            F.expr(f"array_distinct(array({', '.join(picks)}))").alias("hubs")).where("low <> high").drop("low", "high")
+        live = staged(rows.join(per_run, "run").select("run", "k", "grp", "place", "node", "n", "label", "hubs"), "lists")
         if live.isEmpty():
             break
-        hubs = (live.where(f"k > {HEAVY}" if turn else "true").select("node", "n", "label", F.explode("hubs").alias("hub"))
-                .where("node <> hub.node and label <> hub.label").withColumn("m", F.col("hub.n")).where(fits)
+        hubs = (live.where(f"k > {HEAVY}" if turn else "true").select("node", "n", "label", "place", F.explode("hubs").alias("hub"))
+                .where("node <> hub.node and label <> hub.label")
+                .withColumn("m", F.col("hub.n")).where(fits("place", "hub.place"))
                 .select(F.col("node").alias("a"), F.col("hub.node").alias("b")))
         if turn:
-            # all pairs left: of short runs now, of long ones in the last round
+            # all pairs left: of short runs now, of long ones in the last round; groups first
             whole = live if turn == 2 else live.where(f"k <= {HEAVY}")
-            left = whole.join(distinct.select("node", "bits"), "node").select(
-                "run", "k", F.col("node").alias("a"), "n", F.col("label").alias("la"), F.col("bits").alias("xa"))
-            differ = " + ".join(f"bit_count(xa[{i}] ^ xb[{i}])" for i in range(BITMAP))
+            differ = " + ".join(f"bit_count({{0}}[{i}] ^ {{1}}[{i}])" for i in range(BITMAP))
             # |A xor B| is at most (1-t)/(1+t) of |A|+|B| for a link, and at least the bits that differ
-            all_left = (_all_pairs(left).where("la <> lb").where(fits)
-                        .where(f"({differ}) * {100 + threshold} <= {100 - threshold} * (n + m)").select("a", "b"))
+            near = f"({differ}) * {100 + threshold} <= {100 - threshold} * ({{2}} + {{3}})"
+            # the place in the prefix, and the map of a group's only set (most groups have one)
+            groups = whole.join(distinct.select("node", "bits"), "node").groupBy("run", F.col("grp").alias("a")).agg(
+                *[F.first(c).alias(c) for c in ("k", "n")], F.struct(F.min("label").alias("low"), F.max("label").alias("high")).alias("la"),
+                F.struct(F.first("place").alias("place"), F.expr("if(min(node) = max(node), first(bits), null)").alias("bits")).alias("xa"))
+            several = groups.where("la.low <> la.high").select("a", F.col("a").alias("b"))
+            pairs = (_all_pairs(groups).where("la <> lb or la.low <> la.high").where(fits("xa.place", "xb.place"))
+                     .where(f"coalesce({near.format('xa.bits', 'xb.bits', 'n', 'm')}, true)")
+                     .select("a", "b").union(several).distinct())
+            of = distinct.join(labelled(distinct.select("node")), "node")
+            sizes = distinct.groupBy("grp").agg(F.ceil(F.count("*") / PART).alias("parts"))
+            own = of.join(sizes, "grp").withColumn("part", F.expr("pmod(xxhash64(node, 19), parts)"))
+            all_left = (_expanded(staged(pairs, "group-pairs"), own).where(near.format("bits_a", "bits_b", "n_a", "n_b"))
+                        .select(F.col("node_a").alias("a"), F.col("node_b").alias("b")))
             hubs = all_left if turn == 2 else hubs.union(all_left)
         new, links = tried(hubs)
         tested = new if tested is None else tested.union(new)
         if links is not None and not links.isEmpty():
             labels = relabelled(links)
-        live = live.where(f"k > {HEAVY}" if turn else "true").select("run", "node", "n")
+        live = live.where(f"k > {HEAVY}" if turn else "true").select("run", "grp", "place", "node", "n")
 
     named = members.select("doc", "tie", "n", "node")
     if labels is not None:
