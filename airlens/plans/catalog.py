@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from airlens.constants import (ELBOW_KS, K_REGIONS, K_SEED, PM10_THRESHOLDS, PM25_THRESHOLDS,
                                TOP_COUNTRIES, TOP_REGIONS)
 from airlens.functions.bands import band, composite_index
-from airlens.operators import delta, regions, run_state, runs
+from airlens.operators import cell_index, delta, regions, run_state, runs
 from airlens.operators.clean import TIMESTAMP_KEY, dedupe_before_join
 from airlens.operators.extract import extract_readings, extract_readings_sql
 from airlens.operators.ranking import rank_desc
@@ -29,6 +29,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 CENTROID_DIGITS = 9
 DISTANCE_DIGITS = 12
+MANY = 200
 
 
 # ---------------------------------------------------------------- building blocks
@@ -159,6 +160,21 @@ def q_nearest_centroid(spark, sf):
     return _round(res.select("vec_id", "cluster", "d2"), ["d2"], DISTANCE_DIGITS)
 
 
+def q_nearest_centroid_cells(spark, sf):
+    pts = tables.positions(spark, sf).select("vec_id", "latitude", "longitude")
+    res = cell_index.nearest_by_cells(pts, label_centroids(spark, sf), 3, distance="d2")
+    return _round(res.select("vec_id", "cluster", "d2"), ["d2"], DISTANCE_DIGITS)
+
+
+def q_nearest_of_many(spark, sf):
+    """The nearest of many centres (the mean position of each residue of vec_id), by the cells of a grid."""
+    pts = tables.positions(spark, sf).select("vec_id", "latitude", "longitude")
+    centres = regions.label_centroids(pts.withColumn("part", F.expr(f"pmod(vec_id, {MANY})")), "part")
+    centres = _round(centres, ["centroid_lat", "centroid_lon"], CENTROID_DIGITS)
+    res = cell_index.nearest_by_cells(pts, centres, cell_index.levels_for(MANY), distance="d2")
+    return _round(res.select("vec_id", "cluster", "d2"), ["d2"], DISTANCE_DIGITS)
+
+
 def q_region_inertia(spark, sf):
     res = regions.inertia(tables.positions(spark, sf), label_centroids(spark, sf))
     return _round(res, ["inertia"], CENTROID_DIGITS)
@@ -381,6 +397,8 @@ QUERIES: dict[str, Query] = {
     "date_profile": q_date_profile,
     "region_centroids": q_region_centroids,
     "nearest_centroid": q_nearest_centroid,
+    "nearest_centroid_cells": q_nearest_centroid_cells,
+    "nearest_of_many": q_nearest_of_many,
     "region_inertia": q_region_inertia,
     "distinct_points": q_distinct_points,
     "improve_by_region": q_improve_by_region,

@@ -393,3 +393,10 @@ ORACLE["curated_worst_today"] = ORACLE["worst_today"]
 ORACLE["streak_max_updated"] = ORACLE["streak_max_from_summaries"] = ORACLE["streak_max_by_sensor"]
 ORACLE["streak_max_calendar_updated"] = ORACLE["streak_max_calendar"]
 ORACLE["streak_max_calendar_from_summaries"] = ORACLE["streak_max_calendar_by_region"]
+ORACLE["nearest_centroid_cells"] = ORACLE["nearest_centroid"]
+ORACLE["nearest_of_many"] = """
+WITH p AS (SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS y, CAST(embedding[2] AS DOUBLE) AS x FROM embeddings),
+c AS (SELECT ((vec_id % 200) + 200) % 200 AS id, round(avg(y), 9) AS cy, round(avg(x), 9) AS cx FROM p GROUP BY 1),
+d AS (SELECT vec_id, id, (y - cy) * (y - cy) + (x - cx) * (x - cx) AS d2 FROM p, c)
+SELECT vec_id, CAST(id AS INTEGER) AS cluster, round(d2, 12) AS d2 FROM d
+QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY d2, id) = 1"""
