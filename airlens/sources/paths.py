@@ -26,6 +26,39 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(where) if s.isDirectory()]
 
 
+def files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files directly under ``path``, from one listing."""
+    fs, where = _open(spark, path)
+    if not fs.exists(where):
+        return []
+    return [s.getPath().getName() for s in fs.listStatus(where) if s.isFile()]
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """The text of a small file."""
+    fs, where = _open(spark, path)
+    stream = fs.open(where)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_new_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file; an error if it is there already."""
+    fs, where = _open(spark, path)
+    stream = fs.create(where, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, where = _open(spark, path)
+    fs.delete(where, True)
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder that driver and executors see, under ``spark.checkpoint.dir``; a local one only where unset (tests)."""
     top = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
