@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from airlens.constants import K_REGIONS, K_SEED
+from airlens.sources import versions
 from airlens.sources.paths import exists
 
 FEATURES = "geo_coordinates"
@@ -205,30 +206,38 @@ def fit_regions(points: DataFrame, k: int = K_REGIONS, seed: int = K_SEED,
     With ``model_path`` an existing model is reused only if it was fitted
     with the same k, seed, geometry and coordinate columns and, with
     ``check_data``, on the same set of points (a count + hash fingerprint
-    stored next to the model). If there is none, or it differs, or with
-    ``retrain=True``, it is refitted and overwritten; a model that cannot be
+    stored with the model). If there is none, or it differs, or with
+    ``retrain=True``, it is refitted and becomes the current version (``sources.versions``:
+    readers see the old model, whole, until the new one is finished); a model that cannot be
     read is an error and stays as it is. Works on any Hadoop file system (no local path
     checks). ``geometry="sphere"`` clusters unit vectors instead of raw
     degrees; the model still takes latitude and longitude.
     """
     spark = points.sparkSession
     fp = fingerprint(points, lat, lon, weight) if (model_path and check_data) else None
-    if model_path and not retrain and exists(spark, model_path):
+    stored = _stored_model(spark, model_path) if model_path else None
+    if stored and not retrain:
         # a storage fault surfaces here; it never leads to an overwrite
-        model = PipelineModel.load(model_path)
+        model = PipelineModel.load(stored)
         if _matches(model, k, seed, lat, lon, geometry, weight) and (
-                fp is None or _stored_fingerprint(spark, model_path) == fp):
+                fp is None or _stored_fingerprint(spark, stored) == fp):
             return model
     with _cached(points) as cached:
         model = _pipeline(k, seed, lat, lon, max_iter, geometry, weight).fit(cached)
     if model_path:
-        model.write().overwrite().save(model_path)
+        version = versions.new_version(model_path)
+        model.write().save(version)
         if fp is not None:
-            (spark.createDataFrame([fp], "n long, h long").coalesce(1)
-                  .write.mode("overwrite").json(f"{model_path}/{FINGERPRINT_DIR}"))
+            spark.createDataFrame([fp], "n long, h long").coalesce(1).write.json(f"{version}/{FINGERPRINT_DIR}")
+        versions.switch(spark, model_path, version)
     return model
 
 
+def _stored_model(spark: SparkSession, model_path: str) -> str | None:
+    """Folder of the current model: its current version, or ``model_path`` itself if a model was saved right there."""
+    return versions.current(spark, model_path) or (model_path if exists(spark, f"{model_path}/metadata") else None)
+
+
 def training_cost(model: PipelineModel) -> float | None:
     """The fit summary's cost (None for a loaded model, which has no summary)."""
     km = model.stages[-1]

@@ -3,7 +3,8 @@
     spark-submit --py-files airlens.zip run_job.py --readings <dir> --codes <file> --out <dir>
     python -m airlens.plans.job --tables /root/testdata/sf0.1 --out <dir>
 
-Every result is written as a Parquet table under ``--out``. The clean
+Every result is written as a Parquet table under ``--out`` (``run`` returns the folders; that of the
+clean readings and the model are versions behind a pointer, see ``sources.versions``). The clean
 readings are written once, partitioned by day, and every analysis reads that
 table back: the lineage is cut there (a lost executor recomputes from the
 written table, not from the raw text), and day filters prune partitions.
@@ -25,9 +26,8 @@ from airlens.operators import delta, regions, runs
 from airlens.operators.clean import DAY_KEY, TIMESTAMP_KEY
 from airlens.operators.ranking import rank_desc
 from airlens.plans import ingest, present
-from airlens.sources import sinks, tables
+from airlens.sources import sinks, tables, versions
 from airlens.sources.json_readings import READINGS_GLOB, InputError, read_country_codes
-from airlens.sources.paths import replace_folder
 
 
 @dataclass
@@ -114,14 +114,15 @@ def run(spark: SparkSession, o: JobOptions) -> dict[str, str]:
     with _Timer(tm, "ingest"):
         spark.sparkContext.setJobDescription("airlens: ingest")
         clean, codes = _clean(spark, o)
-        # written aside: the table of an earlier run stays until this one is known to hold rows
-        sinks.write_curated(clean, f"{out}/readings.new")
-        prof = ingest.profile(sinks.read_curated(spark, f"{out}/readings.new")).first()   # one small aggregate
+        # a version of its own: readers keep that of an earlier run until this one is known to hold rows
+        version = versions.new_version(f"{out}/readings")
+        sinks.write_curated(clean, version)
+        prof = ingest.profile(sinks.read_curated(spark, version)).first()   # one small aggregate
         if not prof["rows"]:
             raise InputError("no clean readings")
-        replace_folder(spark, f"{out}/readings.new", f"{out}/readings")
-        written["readings"] = f"{out}/readings"
-        clean = sinks.read_curated(spark, f"{out}/readings")
+        versions.switch(spark, f"{out}/readings", version)
+        written["readings"] = version
+        clean = sinks.read_curated(spark, version)
         as_of = o.as_of or prof["last_date"]
 
     # 2. countries, alongside 3a. the region fit (both only read the curated table)
@@ -217,6 +218,9 @@ def run(spark: SparkSession, o: JobOptions) -> dict[str, str]:
             together(*tasks)
 
     together(rank, streaks, maps) if o.maps else together(rank, streaks)
+    for kept in (f"{out}/readings", o.model_path):
+        if kept:
+            versions.clean_up(spark, kept)
     return written
 
 

@@ -400,3 +400,4 @@ c AS (SELECT ((vec_id % 200) + 200) % 200 AS id, round(avg(y), 9) AS cy, round(a
 d AS (SELECT vec_id, id, (y - cy) * (y - cy) + (x - cx) * (x - cx) AS d2 FROM p, c)
 SELECT vec_id, CAST(id AS INTEGER) AS cluster, round(d2, 12) AS d2 FROM d
 QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY d2, id) = 1"""
+ORACLE["readings_incremental"] = ORACLE["readings_clean"]

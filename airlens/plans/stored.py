@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from airlens.operators import delta, run_state, runs
 from airlens.plans import catalog
-from airlens.sources import sinks
+from airlens.sources import incremental, sinks
 from airlens.sources.paths import shared_folder
 
 
@@ -52,7 +52,16 @@ def q_streak_max_calendar_updated(spark: SparkSession, sf: str) -> DataFrame:
     return _streaks_by_update(spark, sf, "calendar")
 
 
+def q_readings_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """The curated table after two runs: all days but the last, then all of them, which writes the last day only."""
+    clean, path = catalog.readings(spark, sf), shared_folder(spark, "incremental")
+    incremental.update(clean.where(F.col("date") < delta.latest_date(clean)), path)
+    incremental.update(clean, path)
+    return incremental.read(spark, path)
+
+
 QUERIES = {
+    "readings_incremental": q_readings_incremental,
     "streak_max_updated": q_streak_max_updated,
     "streak_max_calendar_updated": q_streak_max_calendar_updated,
     "curated_improve_by_country": q_curated_improve_by_country,

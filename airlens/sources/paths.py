@@ -1,4 +1,4 @@
-"""Whether a path exists, its folders, and replacing one folder by another, on any Hadoop file system."""
+"""Paths on any Hadoop file system: whether they exist, what is in a folder, small text files, the shared folder."""
 
 from __future__ import annotations
 
@@ -68,13 +68,3 @@ def shared_folder(spark: SparkSession, name: str) -> str:
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
         top = spark.sparkContext.getCheckpointDir()
     return f"{top.rstrip('/')}/airlens/{name}-{uuid.uuid4().hex}"
-
-
-def replace_folder(spark: SparkSession, new: str, old: str) -> None:
-    """Put the finished folder ``new`` in the place of ``old``."""
-    fs, source = _open(spark, new)
-    _, target = _open(spark, old)
-    if fs.exists(target):
-        fs.delete(target, True)
-    if not fs.rename(source, target):
-        raise OSError(f"cannot move {new} to {old}")

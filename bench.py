@@ -46,11 +46,11 @@ def main() -> None:
 
     opts = job.JobOptions(out=f"{scratch}/out", tables=sf_dir)
     t0 = time.perf_counter()
-    job.run(spark, opts)
+    written = job.run(spark, opts)
     total = time.perf_counter() - t0
     for k, v in opts.timings.items():
         timings[f"job_{k}"] = v
-    n_readings = spark.read.parquet(f"{scratch}/out/readings").count()
+    n_readings = spark.read.parquet(written["readings"]).count()
 
     errors: dict[str, str] = {}
 

@@ -151,3 +151,32 @@ def test_training_on_cells(spark, tmp_path):
     assert 2 <= spark.read.parquet(written["centroids"]).count() <= 3      # as the start finds them
     assert [r.inertia > 0 for r in spark.read.parquet(written["elbow"]).collect()] == [True, True]
     assert spark.read.parquet(written["clustered"]).where("cluster is null").count() == 0
+
+
+def test_a_failed_run_leaves_table_and_model(spark, tmp_path, monkeypatch):
+    """Between write and switch: readers still get the table and the model of the run before."""
+    from airlens.operators import regions
+    from airlens.sources import versions
+    src, out = tmp_path / "src", tmp_path / "out"
+    src.mkdir()
+    write_table(src)
+    opts = dict(out=str(out), readings=str(src), k=3, maps=False, model_path=str(tmp_path / "model"))
+    written = job.run(spark, job.JobOptions(**opts))
+    centres = sorted(spark.read.parquet(written["centroids"]).collect())
+    table, model = versions.current(spark, f"{out}/readings"), versions.current(spark, opts["model_path"])
+    assert table == written["readings"]
+
+    def fail(*a):
+        raise OSError("lost")
+
+    monkeypatch.setattr(versions, "switch", fail)
+    with pytest.raises(OSError):
+        job.run(spark, job.JobOptions(**opts, retrain=True))
+    pts = regions.training_points(spark.read.parquet(table))
+    with pytest.raises(OSError):
+        regions.fit_regions(pts, k=2, model_path=opts["model_path"])
+    monkeypatch.undo()
+    assert versions.current(spark, f"{out}/readings") == table and spark.read.parquet(table).count() == N_ROWS
+    assert versions.current(spark, opts["model_path"]) == model
+    again = job.run(spark, job.JobOptions(**opts))
+    assert sorted(spark.read.parquet(again["centroids"]).collect()) == centres
