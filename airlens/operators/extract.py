@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,14 +20,15 @@ def _measure_by_name(name: str) -> tuple[Column, Column]:
     return hit["value"], hit.isNotNull()
 
 
-def extract_readings(raw: DataFrame, match: str = "position") -> DataFrame:
+def extract_readings(raw: DataFrame, match: str = "position", keep: Sequence[str] | None = None) -> DataFrame:
     """Flatten nested readings to (id, ts, country, latitude, longitude,
     sensor_id, date, P1, P2).
 
     ``match="position"`` keeps a reading only when slot 0 is P1 and slot 1 is
     P2 (the original behaviour); ``match="name"`` finds P1 and P2 anywhere in
     the list. Text that is not a number or a date becomes NULL (``try_cast``)
-    and is dropped later by the cleaning step, never raising.
+    and is dropped later by the cleaning step, never raising. With ``keep`` no reading is dropped: the columns of
+    ``keep`` come first, and ``_ok`` tells whether the measures are listed as asked.
     """
     if match == "position":
         p1, ok1 = _measure_by_position(0, "P1")
@@ -35,9 +38,10 @@ def extract_readings(raw: DataFrame, match: str = "position") -> DataFrame:
         p2, ok2 = _measure_by_name("P2")
     else:
         raise ValueError(f"match must be 'position' or 'name', not {match!r}")
-    return (raw
-            .where(ok1 & ok2)
+    source = raw.where(ok1 & ok2) if keep is None else raw.withColumn("_ok", F.coalesce(ok1 & ok2, F.lit(False)))
+    return (source
             .select(
+                *([] if keep is None else [*keep, "_ok"]),
                 F.col("id").alias("id"),
                 F.col("timestamp").try_cast("timestamp_ntz").alias("ts"),
                 F.col("location.country").alias("country"),

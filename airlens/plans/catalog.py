@@ -23,7 +23,7 @@ from airlens.operators.clean import TIMESTAMP_KEY, dedupe_before_join
 from airlens.operators.extract import extract_readings, extract_readings_sql
 from airlens.operators.ranking import rank_desc
 from airlens.plans import ingest, present
-from airlens.sources import tables
+from airlens.sources import rejects, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -136,6 +136,12 @@ def q_nested_extract(spark, sf):
     return extract_readings(tables.raw_readings(spark, sf), match="position")
 
 
+def q_reject_counts(spark, sf):
+    """Lines of the nested text that the ingest cannot use, by reason (their file is the event table)."""
+    lines = tables.raw_lines(spark, sf).select(F.lit("events").alias("file"), "line")
+    return rejects.reject_counts(rejects.checked_lines(lines))
+
+
 def q_nested_extract_by_name(spark, sf):
     return extract_readings(tables.raw_readings(spark, sf), match="name")
 
@@ -393,6 +399,7 @@ QUERIES: dict[str, Query] = {
     "band_pair": q_band_pair,
     "nested_extract": q_nested_extract,
     "nested_extract_by_name": q_nested_extract_by_name,
+    "reject_counts": q_reject_counts,
     "country_counts": q_country_counts,
     "date_profile": q_date_profile,
     "region_centroids": q_region_centroids,

@@ -26,7 +26,7 @@ from airlens.operators import delta, regions, runs
 from airlens.operators.clean import DAY_KEY, TIMESTAMP_KEY
 from airlens.operators.ranking import rank_desc
 from airlens.plans import ingest, present
-from airlens.sources import sinks, tables, versions
+from airlens.sources import rejects, sinks, tables, versions
 from airlens.sources.json_readings import READINGS_GLOB, InputError, read_country_codes
 
 
@@ -57,6 +57,8 @@ class JobOptions:
     train_on: str = "positions"          # "positions" (original), "sensors" or "cells" (weighted grid)
     grid: int = regions.TRAINING_GRID    # cells along the longer side, for train_on="cells"
     geometry: str = "degrees"            # "degrees" (original) or "sphere"
+    rejects: bool = False                # write the bad lines of the JSON files, and their counts per file
+    most_bad: float | None = None        # fail if a larger share of the lines is bad
     concurrency: int = 4                 # independent branches submitted side by side
     timings: dict[str, float] = field(default_factory=dict)
 
@@ -110,6 +112,15 @@ def run(spark: SparkSession, o: JobOptions) -> dict[str, str]:
             for f in [pool.submit(t) for t in tasks]:
                 f.result()
 
+    if o.readings and (o.rejects or o.most_bad is not None):
+        with _Timer(tm, "rejects"):
+            checked = rejects.checked_lines(rejects.read_lines(spark, o.readings, o.readings_glob), o.match)
+            save("reject_counts", rejects.reject_counts(checked))
+            if o.rejects:
+                save("rejected_lines", rejects.rejected(checked))
+            if o.most_bad is not None:
+                rejects.check_share(sinks.read_table(spark, written["reject_counts"]), o.most_bad)
+
     # 1. ingest -> curated readings (partitioned by day), read back
     with _Timer(tm, "ingest"):
         spark.sparkContext.setJobDescription("airlens: ingest")
@@ -253,6 +264,8 @@ def _parse(argv=None) -> JobOptions:
                    help="cells along the longer side of the positions' bounding box, for --train-on cells")
     p.add_argument("--as-of")
     p.add_argument("--previous", help="comparison day (default: the day before --as-of)")
+    p.add_argument("--rejects", action="store_true", help="write the bad lines of the JSON files and their counts")
+    p.add_argument("--most-bad", type=float, help="fail if a larger share of the lines is bad")
     p.add_argument("--concurrency", type=int, default=4,
                    help="independent branches submitted side by side (1 = one after another)")
     p.add_argument("--train-on", choices=["positions", "sensors", "cells"], default="positions",
@@ -267,7 +280,8 @@ def _parse(argv=None) -> JobOptions:
                       dedupe_on=a.dedupe_on, validate_first=a.validate_first,
                       require_both_days=a.require_both_days, as_of=a.as_of, previous=a.previous,
                       readings_glob=a.readings_glob, top_countries=a.top_countries, top_regions=a.top_regions,
-                      training_partitions=a.training_partitions, train_on=a.train_on, grid=a.grid, geometry=a.geometry, concurrency=a.concurrency)
+                      training_partitions=a.training_partitions, train_on=a.train_on, grid=a.grid, geometry=a.geometry,
+                      rejects=a.rejects, most_bad=a.most_bad, concurrency=a.concurrency)
 
 
 def main(argv=None) -> None:

@@ -401,3 +401,13 @@ d AS (SELECT vec_id, id, (y - cy) * (y - cy) + (x - cx) * (x - cx) AS d2 FROM p,
 SELECT vec_id, CAST(id AS INTEGER) AS cluster, round(d2, 12) AS d2 FROM d
 QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY d2, id) = 1"""
 ORACLE["readings_incremental"] = ORACLE["readings_clean"]
+ORACLE["reject_counts"] = """
+WITH r AS (
+  SELECT CASE WHEN event_type IN ('error', 'signup') THEN 'measures'
+              WHEN value IS NULL OR TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) IS NULL THEN 'number'
+              WHEN ts IS NULL THEN 'timestamp' WHEN event_type IS NULL THEN 'place' END AS reason FROM events
+)
+SELECT 'events' AS file, count(*) AS lines, 0::BIGINT AS malformed, count(*) FILTER (reason = 'measures') AS measures,
+       count(*) FILTER (reason = 'number') AS number, count(*) FILTER (reason = 'timestamp') AS "timestamp",
+       count(*) FILTER (reason = 'place') AS place
+FROM r"""

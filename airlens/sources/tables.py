@@ -85,6 +85,11 @@ def raw_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     from airlens.schemas import RAW
 
+    return raw_lines(spark, sf_dir).select(F.from_json("line", RAW).alias("r")).select("r.*")
+
+
+def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(line) the text that ``raw_readings`` parses."""
     ev = load(spark, sf_dir, "events")
     p1 = F.struct(F.lit("P1").alias("value_type"), F.col("value").cast("string").alias("value"))
     p2 = F.struct(F.lit("P2").alias("value_type"),
@@ -102,8 +107,7 @@ def raw_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.col("user_id").alias("id"),
                  F.struct(F.lit(None).cast("string").alias("name")).alias("sensor_type")).alias("sensor"),
         values.alias("sensordatavalues"))
-    text = ev.select(F.to_json(record).alias("line"))
-    return text.select(F.from_json("line", RAW).alias("r")).select("r.*")
+    return ev.select(F.to_json(record).alias("line"))
 
 
 def nested_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
