@@ -28,6 +28,8 @@ from airlens.operators.ranking import rank_desc
 from airlens.plans import ingest, present
 from airlens.sources import rejects, sinks, tables, versions
 from airlens.sources.json_readings import READINGS_GLOB, InputError, read_country_codes
+from airlens.sources.ledger import Ledger, key_of
+from airlens.sources.paths import exists
 
 
 @dataclass
@@ -59,6 +61,7 @@ class JobOptions:
     geometry: str = "degrees"            # "degrees" (original) or "sphere"
     rejects: bool = False                # write the bad lines of the JSON files, and their counts per file
     most_bad: float | None = None        # fail if a larger share of the lines is bad
+    resume: bool = False                 # skip what an earlier run with the same options and files has finished
     concurrency: int = 4                 # independent branches submitted side by side
     timings: dict[str, float] = field(default_factory=dict)
 
@@ -84,6 +87,12 @@ def _clean(spark: SparkSession, o: JobOptions) -> tuple[DataFrame, DataFrame | N
     return clean, codes
 
 
+def _key(spark: SparkSession, o: JobOptions) -> str:
+    """Digest of the input files and of every option that results depend on."""
+    fixed = {k: v for k, v in vars(o).items() if k not in ("out", "concurrency", "resume", "timings")}
+    return key_of(spark, fixed, [p for p in (o.readings, o.codes, o.tables) if p])
+
+
 def run(spark: SparkSession, o: JobOptions) -> dict[str, str]:
     """Run the job; returns {table name: path}. Timings go to ``o.timings``.
 
@@ -91,16 +100,25 @@ def run(spark: SparkSession, o: JobOptions) -> dict[str, str]:
     result tables of one stage) are submitted from separate threads, so
     Spark runs their jobs side by side instead of leaving executors idle
     during small jobs (``concurrency=1`` runs them one after another).
+
+    With ``resume`` each finished table is noted under a digest of the options and input files, and a run
+    with the same digest goes on after the last one (the model is kept under ``out`` then).
     """
     out = o.out.rstrip("/")
     written: dict[str, str] = {}
     tm = o.timings
+    done = Ledger(spark, out, _key(spark, o) if o.resume else None)
+    model_path = o.model_path or (f"{out}/model" if o.resume else None)
 
     def save(name: str, df: DataFrame) -> None:
         path = f"{out}/{name}"
+        if done.has(name):
+            written[name] = path
+            return
         # thread-local: names the Spark jobs of this write in the event log
         spark.sparkContext.setJobDescription(f"airlens: write {name}")
         sinks.write_table(df, path)
+        done.add(name)
         written[name] = path
 
     def together(*tasks) -> None:
@@ -125,13 +143,18 @@ def run(spark: SparkSession, o: JobOptions) -> dict[str, str]:
     with _Timer(tm, "ingest"):
         spark.sparkContext.setJobDescription("airlens: ingest")
         clean, codes = _clean(spark, o)
+        version = done.value("readings") if done.has("readings") else None
         # a version of its own: readers keep that of an earlier run until this one is known to hold rows
-        version = versions.new_version(f"{out}/readings")
-        sinks.write_curated(clean, version)
+        fresh = version is None or not exists(spark, version)
+        if fresh:
+            version = versions.new_version(f"{out}/readings")
+            sinks.write_curated(clean, version)
         prof = ingest.profile(sinks.read_curated(spark, version)).first()   # one small aggregate
         if not prof["rows"]:
             raise InputError("no clean readings")
-        versions.switch(spark, f"{out}/readings", version)
+        if fresh:
+            versions.switch(spark, f"{out}/readings", version)
+            done.add("readings", version)
         written["readings"] = version
         clean = sinks.read_curated(spark, version)
         as_of = o.as_of or prof["last_date"]
@@ -151,6 +174,10 @@ def run(spark: SparkSession, o: JobOptions) -> dict[str, str]:
 
     def fit() -> None:
         spark.sparkContext.setJobDescription("airlens: region fit")
+        fitted = ["centroids", "region_fit", "clustered", *(["elbow"] if o.elbow else [])]
+        if done.has(*fitted):
+            written.update({name: f"{out}/{name}" for name in fitted})
+            return
         with _Timer(tm, "regions_fit"):
             weight = regions.WEIGHT if o.train_on == "cells" else None
             if weight:
@@ -160,19 +187,27 @@ def run(spark: SparkSession, o: JobOptions) -> dict[str, str]:
             source = source.persist(StorageLevel.MEMORY_AND_DISK)
             # read by the fingerprint, the fit, the inertia and the elbow
             points = regions.laid_out(source, source.count(), tasks=o.training_partitions).persist(StorageLevel.MEMORY_AND_DISK)
-            model = regions.fit_regions(points, k=o.k, seed=o.seed, model_path=o.model_path,
-                                        retrain=o.retrain, geometry=o.geometry, weight=weight)
+            model = regions.fit_regions(points, k=o.k, seed=o.seed, model_path=model_path,
+                                        retrain=o.retrain and not done.has("cost"), geometry=o.geometry, weight=weight)
             centroids = regions.centroid_table(spark, model)
             save("centroids", centroids)
             cost = regions.training_cost(model)
+            if done.has("cost"):
+                cost = float(done.value("cost"))      # of the fit of the run that did not finish
+            elif cost is not None:
+                done.add("cost", repr(float(cost)))
             fit_row = regions.inertia(points, centroids, weight=weight).withColumn(
                 "training_cost", F.lit(cost).cast("double"))
             tasks = [lambda: save("region_fit", fit_row)]
             if o.elbow:
                 tasks.append(lambda: save("elbow", regions.elbow(spark, points, o.elbow_ks, seed=o.seed, weight=weight)))
             # every position is scored once; all later branches read this table
-            tasks.append(lambda: sinks.write_curated(regions.assign_positions(clean, model), f"{out}/clustered"))
-            together(*tasks)
+
+            def cluster() -> None:
+                sinks.write_curated(regions.assign_positions(clean, model), f"{out}/clustered")
+                done.add("clustered")
+
+            together(*tasks, *([] if done.has("clustered") else [cluster]))
             written["clustered"] = f"{out}/clustered"
             points.unpersist()
             source.unpersist()
@@ -229,7 +264,7 @@ def run(spark: SparkSession, o: JobOptions) -> dict[str, str]:
             together(*tasks)
 
     together(rank, streaks, maps) if o.maps else together(rank, streaks)
-    for kept in (f"{out}/readings", o.model_path):
+    for kept in (f"{out}/readings", model_path):
         if kept:
             versions.clean_up(spark, kept)
     return written
@@ -264,6 +299,8 @@ def _parse(argv=None) -> JobOptions:
                    help="cells along the longer side of the positions' bounding box, for --train-on cells")
     p.add_argument("--as-of")
     p.add_argument("--previous", help="comparison day (default: the day before --as-of)")
+    p.add_argument("--resume", action="store_true",
+                   help="go on after a run with the same options and input files that did not finish")
     p.add_argument("--rejects", action="store_true", help="write the bad lines of the JSON files and their counts")
     p.add_argument("--most-bad", type=float, help="fail if a larger share of the lines is bad")
     p.add_argument("--concurrency", type=int, default=4,
@@ -281,7 +318,7 @@ def _parse(argv=None) -> JobOptions:
                       require_both_days=a.require_both_days, as_of=a.as_of, previous=a.previous,
                       readings_glob=a.readings_glob, top_countries=a.top_countries, top_regions=a.top_regions,
                       training_partitions=a.training_partitions, train_on=a.train_on, grid=a.grid, geometry=a.geometry,
-                      rejects=a.rejects, most_bad=a.most_bad, concurrency=a.concurrency)
+                      resume=a.resume, rejects=a.rejects, most_bad=a.most_bad, concurrency=a.concurrency)
 
 
 def main(argv=None) -> None:

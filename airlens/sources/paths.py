@@ -34,6 +34,18 @@ def files(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(where) if s.isFile()]
 
 
+def listing(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(name, length, time of change) of every file under ``path``; empty if there is nothing."""
+    fs, where = _open(spark, path)
+    if not fs.exists(where):
+        return []
+    found, left = [], fs.listFiles(where, True)
+    while left.hasNext():
+        f = left.next()
+        found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return found
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     """The text of a small file."""
     fs, where = _open(spark, path)
