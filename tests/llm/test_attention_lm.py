@@ -104,6 +104,50 @@ def test_gradients(model):
     assert -L.log10_probabilities(m, before, target, doc).mean() < loss - 0.05
 
 
+def test_a_step_goes_against_the_gradient_of_the_loss(model, monkeypatch):
+    """Adam's first step moves every weight by RATE; the loss must fall along each, as finite differences tell."""
+    m, n = model
+    monkeypatch.setattr(L, "STEPS", 1)
+    monkeypatch.setattr(L, "ROUNDS", 1)
+    r = np.random.default_rng(4)
+    target = np.argsort(m["rank_of"])[r.integers(0, 300, (L.BATCH + 1) * L.STRIDE)]
+    before = np.append(n - 1, target[:-1])
+    doc = np.sort(r.integers(0, 9, len(target)))
+    got, weight = L._train(m, before, target, doc)
+    assert weight == L.BATCH
+    tried = 0
+    for name in L.TRAINED:
+        step = got[name] - m[name]
+        assert np.abs(step).max() <= L.RATE * 1.01
+        for at in r.choice(step.size, min(step.size, 40), replace=False):
+            loss = []
+            for way in (0.05, -0.05):
+                x = m[name].copy()
+                x.flat[at] += way
+                loss.append(-L.log10_probabilities(m | {name: x}, before, target, doc)[L.STRIDE:].mean())
+            if abs(loss[0] - loss[1]) > 2e-6:
+                tried += 1
+                assert (loss[0] > loss[1]) == (step.flat[at] < 0), name
+    assert tried > 60
+
+
+def test_large_scores_stay_finite_in_training(model):
+    """A sum of class scores beyond float32 is taken again less the largest score."""
+    m, n = model
+    target = np.argsort(m["rank_of"])[np.random.default_rng(6).integers(0, 300, 2000)]
+    got, _ = L._train(m | {"bias": m["bias"] + np.float32(200)}, np.append(n - 1, target[:-1]), target, np.zeros(2000, np.int64))
+    assert all(np.isfinite(got[k]).all() for k in L.TRAINED)
+
+
+def test_words_are_split_and_numbered_in_one_go():
+    """Arrow's words are those of bytes.split(); nothing is done word by word."""
+    texts = ["", " ", " A\tb\x0b\x0cC\r\nd ", "É\u3000x\x1cy\x85Z\u00a0q", "\x00 a", "one", "  two"]
+    words, n = L._split(L.pa.array(texts))
+    want = [t.encode().lower().split() for t in texts]
+    assert [w.encode() for w in words.to_pylist()] == [w for x in want for w in x] and n.tolist() == [len(x) for x in want]
+    assert L._split(L.pa.array(["", "  "]))[1].tolist() == [0, 0]
+
+
 @pytest.mark.parametrize("n", [1, 5, 499, 3000, 50_001])
 def test_rounds_train_on_all_windows(n):
     rounds = [L._windows(n, turn) for turn in range(L.ROUNDS)]

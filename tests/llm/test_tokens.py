@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from airlens.llm import packing, token_counts, token_files
+from airlens.llm import packing, subwords, token_counts, token_files
 from airlens.llm.queries import tokenizer
 from airlens.llm.subwords import Subwords
 
@@ -48,6 +48,17 @@ def test_many_words_at_once(path, rows):
     assert sub.encode_words([])[1].tolist() == []
 
 
+def test_plain_words_are_told_apart_in_one_go(monkeypatch):
+    """Words of a chunk get no regular expression each."""
+    words = ["plain", "né", "a-b", "odd\u4e00", "x<|endoftext|>y", "<|endoftext|><|endoftext|>", "last."]
+    sub = Subwords(WORD)
+    sub._special = ["<|endoftext|>"]
+    assert sub._plain_lines("\n".join([*words, ""]), len(words)).tolist() == [True, True, True, False, False, False, True]
+    monkeypatch.setattr(subwords, "_PLAIN", None)       # the test of a single text
+    ids, counts = sub.encode_words(["plain", "words", "a-b", "12"])
+    assert ids.tolist() == [i for x in ids_of(WORD, ["plain", "words", "a-b", "12"]) for i in x] and len(counts) == 4
+
+
 def test_token_files(spark, docs, rows, tmp_path):
     out = str(tmp_path / "files")
     token_files.write_tokens(docs, out, WORD, end_id=1)
